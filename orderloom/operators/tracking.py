@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.operators.merge import insert_ignore
+from orderloom.operators.relational import union_all
 
 START = datetime(1970, 1, 1)
 LOG_SCHEMA = T.StructType([
@@ -54,11 +55,11 @@ def changed_groups(df: DataFrame, keys: list[str], mark: datetime, stamp_col: st
 
 def advance(log: DataFrame, tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """The log with the highest stamp of every table; a table without rows adds nothing."""
-    spark = log.sparkSession
-    for name, (df, col) in tables.items():
-        mark = df.agg(F.max(col).alias("updatetime")).select(F.lit(name).alias("dwtable_name"), "updatetime")
-        log = insert_ignore(log, mark.filter("updatetime IS NOT NULL"), ["dwtable_name", "updatetime"])
-    return log
+    marks = union_all(*[
+        df.agg(F.max(col).alias("updatetime")).select(F.lit(name).alias("dwtable_name"), "updatetime")
+        for name, (df, col) in tables.items()
+    ])
+    return insert_ignore(log, marks, ["dwtable_name", "updatetime"])
 
 
 def gated(gate: Column, new: dict[str, Column]) -> dict[str, Column]:
