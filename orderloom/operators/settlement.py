@@ -7,44 +7,42 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.functions.scalar import safe_ratio
 from orderloom.operators import outcome as o
 from orderloom.operators.aggregates import allocate, with_totals
 from orderloom.operators.relational import lookup
 
 MARKETPLACES = ("Shopee shops", "Tiktok shops")
+# Sums of fractional amounts are exact, so that they do not depend on the order tasks finish in.
+EXACT = "decimal(18,6)"
 
 
-def settle(fact: DataFrame, dim_order: DataFrame, dim_delivery: DataFrame, mark: datetime | None = None,
-           by_order: bool = False) -> DataFrame:
-    """Fact rows with finalstatus and all line-grain money filled in.
+def classify(fact: DataFrame, dim_order: DataFrame, dim_delivery: DataFrame, mark: datetime | None = None,
+             by_order: bool = False) -> DataFrame:
+    """Fact rows with finalstatus, plus helper columns: order sums, line value, platform, gate.
 
-    mark       recompute only rows stamped after it, others keep what they hold.
+    mark       relabel only rows stamped after it, others keep what they hold.
     by_order   widen that gate to all lines of an order with a newer line. This equals a full
                recompute; gating by line leaves a sibling line as it was.
 
     `fact` must hold whole orders. Sums by order are joined back, never windowed, so that an order of
     any size is spread over tasks.
     """
-    names = fact.columns
     value = F.col("quantity") * F.col("originalprice") - F.col("discountamount_allquantity") \
         - F.col("extradiscountamount_allquantity").cast("double")
-    rows = fact.withColumn("__value", value)
+    rows = fact.withColumn("__value", value.cast(EXACT))
     sums = {"__qty": F.col("quantity"), "__total": F.col("__value")}
+    newer = F.coalesce(F.col("lastupdateat") > F.lit(mark).cast("timestamp_ntz"), F.lit(False))
     if mark is not None and by_order:
-        sums["__new"] = (F.col("lastupdateat") > F.lit(mark).cast("timestamp_ntz")).cast("int")
+        sums["__new"] = newer.cast("int")
     rows = with_totals(rows, ["orderid"], sums)
     if mark is None:
         gate = F.lit(True)
-    elif by_order:
-        gate = F.col("__new") > 0
     else:
-        gate = F.coalesce(F.col("lastupdateat") > F.lit(mark).cast("timestamp_ntz"), F.lit(False))
-    rows = lookup(rows, dim_order, "orderid", {
+        gate = F.col("__new") > 0 if by_order else newer
+    rows = lookup(rows.withColumn("__gate", gate), dim_order, "orderid", {
         "parentsource": "__parent", "status": "__status", "return_reason": "__reason", "platform": "__platform"})
     rows = lookup(rows, dim_delivery, {"deliveryid": "trackingnumber"}, {
         "courier": "__courier", "delivery_status": "__delivery"})
-
     line = o.Line(
         parentsource=F.col("__parent"), order_status=F.col("__status"), return_reason=F.col("__reason"),
         courier=F.col("__courier"), delivery_status=F.col("__delivery"),
@@ -52,11 +50,19 @@ def settle(fact: DataFrame, dim_order: DataFrame, dim_delivery: DataFrame, mark:
         prepaid=F.col("baseorder_codprepaid_allquantity"), quantity=F.col("quantity"),
         returned=F.col("return_quantity"), total_quantity=F.col("__qty"), total_amount=F.col("__total"),
     )
-    rows = rows.withColumn("finalstatus", F.when(gate, o.outcome(line)).otherwise(F.col("finalstatus")))
-    rows = rows.withColumn("__success", o.success_value(
+    label = F.when(F.col("__gate"), o.outcome(line)).otherwise(F.col("finalstatus"))
+    return rows.withColumn("finalstatus", label)
+
+
+def settle(fact: DataFrame, dim_order: DataFrame, dim_delivery: DataFrame, mark: datetime | None = None,
+           by_order: bool = False) -> DataFrame:
+    """Fact rows with finalstatus and all line-grain money filled in; see classify for the gate."""
+    rows = classify(fact, dim_order, dim_delivery, mark, by_order)
+    success = o.success_value(
         F.col("finalstatus"), F.col("quantity"), F.col("originalprice"), F.col("discountamount_allquantity"),
-        F.col("extradiscountamount_allquantity"), F.col("return_quantity")))
-    rows = with_totals(rows, ["orderid"], {"__success_total": F.col("__success")})
+        F.col("extradiscountamount_allquantity"), F.col("return_quantity"))
+    rows = with_totals(rows.withColumn("__success", success.cast(EXACT)), ["orderid"],
+                       {"__success_total": F.col("__success")})
 
     by_quantity = (F.col("quantity"), F.col("__qty"))
     by_success = (F.col("__success"), F.col("__success_total"))
@@ -68,16 +74,17 @@ def settle(fact: DataFrame, dim_order: DataFrame, dim_delivery: DataFrame, mark:
         "cod_collected_allquantity":
             F.when(~F.col("__platform").isin(*MARKETPLACES),
                    allocate(F.col("baseorder_cod_collected_allquantity"), *by_success))
-            .otherwise(F.col("__success")),
+            .otherwise(F.col("__success").cast("double")),
         "codbank_collected_allquantity":
             allocate(F.col("baseorder_codbank_collected_allquantity"), *by_success),
         "positive_reconciliation_allquantity":
             F.when(F.col("finalstatus").isin(o.CANCELLED, o.PENDING), allocate(positive, *by_quantity))
             .otherwise(allocate(positive, *by_success)),
         "codprepaid_allquantity":
-            F.col("baseorder_codprepaid_allquantity") * safe_ratio(F.col("__value"), F.col("__total")),
+            allocate(F.col("baseorder_codprepaid_allquantity"), F.col("__value"), F.col("__total")),
     }
     types = {f.name: f.dataType for f in fact.schema.fields}
     return rows.select(*[
-        F.when(gate, new[n]).otherwise(F.col(n)).cast(types[n]).alias(n) if n in new else F.col(n) for n in names
+        F.when(F.col("__gate"), new[n]).otherwise(F.col(n)).cast(types[n]).alias(n) if n in new else F.col(n)
+        for n in fact.columns
     ])

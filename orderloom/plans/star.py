@@ -232,7 +232,7 @@ def apply_parcels(fact: DataFrame, parcels: DataFrame) -> DataFrame:
 
 def apply_bank(fact: DataFrame, banks: DataFrame) -> DataFrame:
     """Transfers per order."""
-    source = banks.groupBy("orderid").agg(F.sum("bankvalue").alias("value"), F.max("dw_updatedat").alias("at"))
+    source = banks.groupBy("orderid").agg(F.sum(F.col("bankvalue").cast("decimal(18,6)")).alias("value"), F.max("dw_updatedat").alias("at"))
     return update_from(fact, source, "orderid", {
         "baseorder_codbank_collected_allquantity": _keep_null("value"), "lastupdateat": _newer("at")})
 
