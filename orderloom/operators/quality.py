@@ -83,7 +83,7 @@ def volume_gate(df: DataFrame, checks: dict[str, Column], minimum: int) -> DataF
     short = {n: c for n, c in violations(df, checks).items() if c < minimum}
     if short:
         warnings.warn(f"nothing loaded, fewer than {minimum} valid rows: {short}", stacklevel=2)
-        return df.limit(0)
+        return df.filter(F.lit(False))
     return df
 
 

@@ -47,6 +47,18 @@ def since(df: DataFrame, mark: datetime, col: str = "dw_updatedat") -> DataFrame
     return df.filter(F.col(col) > F.lit(mark).cast("timestamp_ntz"))
 
 
+def since_each(df: DataFrame, name_col: str, marks: dict[str, datetime], col: str = "dw_updatedat") -> DataFrame:
+    """Rows after the mark of the feed they belong to, all feeds in one scan."""
+    low = F.lit(getattr(marks, "default", START)).cast("timestamp_ntz")
+    name = F.col(name_col)
+    mark = F.when(F.lit(False), low)
+    for feed, at in marks.items():
+        mark = mark.when(name == feed, F.lit(at).cast("timestamp_ntz"))
+    floor = min([*marks.values(), getattr(marks, "default", START)])
+    # The lowest mark is a plain value that the scan can prune by; the rest is decided row by row.
+    return since(df, floor, col).filter(F.col(col) > mark.otherwise(low))
+
+
 def changed_groups(df: DataFrame, keys: list[str], mark: datetime, stamp_col: str = "dw_updatedat") -> DataFrame:
     """All rows of groups that have at least one row after the mark."""
     touched = since(df, mark, stamp_col).select(*keys).distinct()
@@ -62,6 +74,12 @@ def advance(log: DataFrame, tables: dict[str, tuple[DataFrame, str]]) -> DataFra
     return insert_ignore(log, marks, ["dwtable_name", "updatetime"])
 
 
+def advance_each(log: DataFrame, df: DataFrame, name_col: str, col: str) -> DataFrame:
+    """As advance, for several feeds held in one frame."""
+    marks = df.groupBy(F.col(name_col).alias("dwtable_name")).agg(F.max(col).alias("updatetime"))
+    return insert_ignore(log, marks, ["dwtable_name", "updatetime"])
+
+
 def gated(gate: Column, new: dict[str, Column]) -> dict[str, Column]:
     """Recompute columns only where the gate holds; other rows keep what they have."""
     return {name: F.when(gate, value).otherwise(F.col(name)) for name, value in new.items()}

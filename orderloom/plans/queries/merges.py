@@ -162,7 +162,7 @@ SELECT coalesce(shop.id, pos.id) AS id, coalesce(pos.createdat, shop.createdat)
 FROM shop FULL OUTER JOIN pos ON shop.id = pos.id
 """)
 def feeds_one_merge(t):
-    target = t.orders.limit(0).select(
+    target = t.orders.filter(F.lit(False)).select(
         F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("createdat"),
         *[F.lit(None).cast("string").alias(c) for c in ("platform", "cancel_reason", "parentsource")])
     shop = t.orders.filter("o_orderpriority <> '1-URGENT'").select(
@@ -218,16 +218,13 @@ fresh AS (SELECT event_type, count(*) AS n_new, cast(sum(round(value * 100)) AS
 SELECT event_type, n_new, amount, next_mark FROM fresh
 """)
 def watermark_delta(t):
-    ev = t.events.withColumnRenamed("ts", "dw_updatedat")
-    earlier = ev.filter("dw_updatedat < TIMESTAMP_NTZ'2024-01-20' AND event_type <> 'view'")
-    log = earlier.groupBy(F.col("event_type").alias("dwtable_name")).agg(F.max("dw_updatedat").alias("updatetime"))
-    marks = tracking.watermarks(log)
-    kinds = ("click", "error", "purchase", "signup", "view")
-    fresh = {k: tracking.since(ev.filter(F.col("event_type") == k), marks[k]) for k in kinds}
-    after = tracking.advance(log, {k: (df, "dw_updatedat") for k, df in fresh.items()})
+    ev = t.events
+    earlier = ev.filter("ts < TIMESTAMP_NTZ'2024-01-20' AND event_type <> 'view'")
+    log = earlier.groupBy(F.col("event_type").alias("dwtable_name")).agg(F.max("ts").alias("updatetime"))
+    fresh = tracking.since_each(ev, "event_type", tracking.watermarks(log), "ts")
+    sums = fresh.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_new"), F.sum(cents("value")).alias("amount"))
+    after = tracking.advance_each(log, fresh, "event_type", "ts")
     newest = after.groupBy("dwtable_name").agg(F.max("updatetime").alias("next_mark"))
-    sums = rel.union_all(*fresh.values()).groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("n_new"), F.sum(cents("value")).alias("amount"))
     return rel.lookup(sums, newest, {"event_type": "dwtable_name"}, ["next_mark"])
 
 
