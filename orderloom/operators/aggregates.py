@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,7 +73,7 @@ def average_price(df: DataFrame, key: str, price: Column, discount: Column | Non
 
 
 def with_totals(df: DataFrame, keys: list[str], totals_by: dict[str, Column]) -> DataFrame:
-    """Every row with sums over its key group.
+    """Every row with sums over its key group; keys are never NULL.
 
     Same result as a whole-partition window, but sums are pre-aggregated before the shuffle and
     joined back, so that a hot key is split by the adaptive join where a window would put it in one task.
@@ -79,11 +81,8 @@ def with_totals(df: DataFrame, keys: list[str], totals_by: dict[str, Column]) ->
     sums = df.groupBy(*[F.col(k).alias(GROUP + k) for k in keys]).agg(
         *[F.sum(c).alias(n) for n, c in totals_by.items()]
     )
-    condition = None
-    for k in keys:
-        part = df[k].eqNullSafe(sums[GROUP + k])
-        condition = part if condition is None else condition & part
-    return df.join(sums, condition, "left").select(*[df[c] for c in df.columns], *totals_by)
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(GROUP + k) for k in keys])
+    return df.join(sums, same, "left").select(*df.columns, *totals_by)
 
 
 def allocate(amount: Column, weight: Column, whole: Column) -> Column:

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from orderloom.functions.rules import not_in, rule_cascade
+from orderloom.functions.rules import rule_cascade
 
 # Status texts as the couriers and shops write them, without diacritics.
 SELF_COURIER = "Tu Van Chuyen"
@@ -39,88 +37,60 @@ COD_KEPT_STATUSES = (
 FREE_STATUSES = CANCELLED_STATUSES
 
 
-@dataclass(frozen=True)
-class Line:
-    """What the rules look at, as columns."""
-
-    parentsource: Column
-    order_status: Column
-    return_reason: Column
-    courier: Column
-    delivery_status: Column
-    cod: Column
-    bank: Column
-    prepaid: Column
-    quantity: Column
-    returned: Column
-    total_quantity: Column
-    total_amount: Column
-
-    @property
-    def paid(self) -> Column:
-        return self.cod + F.when(self.bank == 0, self.prepaid).otherwise(self.bank)
-
-
-def _money_back(when: Column, paid: Column, rest: str) -> list[tuple[Column, str]]:
-    """Nothing kept, at most the fee kept, or more."""
-    return [
-        (when & (paid <= 0), RETURNED),
-        (when & (paid > 0) & (paid <= FEE_LIMIT), FEE_ONLY),
-        (when & (paid > FEE_LIMIT), rest),
-    ]
-
-
-def _goods_back(when: Column, line: Line) -> dict[str, tuple[Column, str]]:
-    return {
-        "none": (when & (line.returned == 0), SUCCESS),
-        "all": (when & (line.returned >= line.quantity), RETURNED),
-        "some": (when & (line.returned > 0) & (line.returned < line.quantity), PARTLY),
-    }
-
-
-def _ordinary(line: Line, done: Column, paid_up: list[tuple[Column, str]]) -> list[tuple[Column, str]]:
-    paid, total = line.paid, line.total_amount
-    when = not_in(line.parentsource, (EXCHANGE, ADDITION)) & done
-    partly_paid = when & (paid > FEE_LIMIT) & (paid < total)
-    kept_nothing, kept_fee, _ = _money_back(when, paid, "")
-    goods = _goods_back(partly_paid, line)
-    return [
-        kept_nothing, kept_fee,
-        *[(when & state & (paid >= total), label) for state, label in paid_up],
-        goods["none"], goods["all"], goods["some"],
-    ]
-
-
-def outcome(line: Line) -> Column:
-    """The label of the first rule that holds; unknown conditions do not hold."""
-    paid, parent = line.paid, line.parentsource
-    by_courier = line.courier != SELF_COURIER
-    by_self = (line.courier == SELF_COURIER) | line.courier.isNull()
-    returned = line.delivery_status.isin(*RETURNED_STATUSES)
-    delivered = line.delivery_status.isin(*DELIVERED_STATUSES)
-    courier_done = by_courier & line.delivery_status.isin(*RETURNED_STATUSES, *DELIVERED_STATUSES)
-    self_done = by_self & line.order_status.isin(*SELF_FINISHED)
-
-    market_done = parent.isNull() & (line.delivery_status == MARKET_DONE)
-    market_back = market_done & line.return_reason.isNotNull()
-    market_goods = _goods_back(market_back & (line.total_quantity > 1), line)
-
-    rules = [
-        *_ordinary(line, courier_done, [(returned, RETURNED), (delivered, SUCCESS)]),
-        ((parent == ADDITION) & courier_done, SUCCESS),
-        *_money_back((parent == EXCHANGE) & courier_done, paid, PARTLY),
-        (by_courier & line.delivery_status.isin(*CANCELLED_STATUSES, MARKET_CANCELLED), CANCELLED),
-        *_ordinary(line, self_done, [(F.lit(True), SUCCESS)]),
-        ((parent == ADDITION) & self_done, SUCCESS),
-        *_money_back((parent == EXCHANGE) & self_done, paid, FEE_ONLY),
-        (by_self & line.order_status.isin(*SELF_CANCELLED), CANCELLED),
-        (market_done & line.return_reason.isNull(), SUCCESS),
-        (market_back & (line.total_quantity == 1), RETURNED),
-        market_goods["all"], market_goods["some"], market_goods["none"],
-        (parent.isNull() & ((line.order_status == MARKET_CANCELLED) | (line.delivery_status == MARKET_CANCELLED)),
-         CANCELLED),
-    ]
-    return rule_cascade(rules, PENDING)
+def paid(cod: Column, bank: Column, prepaid: Column) -> Column:
+    """Money of an order: collected on delivery plus transfers, or the prepayment where there is no transfer."""
+    return cod + F.when(bank == 0, prepaid).otherwise(bank)
+
+
+def _listed(*texts: str) -> str:
+    return ", ".join(f"'{t}'" for t in texts)
+
+
+def _finished(exchange_rest: str, paid_up: str) -> str:
+    """Label of a finished order of a known parent source, by money first and goods second."""
+    return f"""CASE
+      WHEN {{parentsource}} = '{ADDITION}' THEN '{SUCCESS}'
+      WHEN {{paid}} <= 0 THEN '{RETURNED}'
+      WHEN {{paid}} <= {FEE_LIMIT} THEN '{FEE_ONLY}'
+      WHEN {{parentsource}} = '{EXCHANGE}' THEN '{exchange_rest}'
+      WHEN {{paid}} >= {{total_amount}} THEN {paid_up}
+      WHEN {{paid}} < {{total_amount}} THEN CASE
+        WHEN {{returned}} = 0 THEN '{SUCCESS}'
+        WHEN {{returned}} >= {{quantity}} THEN '{RETURNED}'
+        WHEN {{returned}} > 0 AND {{returned}} < {{quantity}} THEN '{PARTLY}'
+        ELSE '{PENDING}' END
+      ELSE '{PENDING}' END"""
+
+
+# Rules that share a condition are nested under it: a row that meets the condition but none of the
+# inner rules meets no later rule either. Unknown conditions do not hold.
+RULES = f"""CASE
+    WHEN {{parentsource}} IS NOT NULL AND ({{paid}} IS NOT NULL OR {{parentsource}} = '{ADDITION}')
+      AND {{courier}} <> '{SELF_COURIER}' AND {{delivery_status}} IN ({_listed(*RETURNED_STATUSES, *DELIVERED_STATUSES)})
+      THEN {_finished(PARTLY, f"IF({{delivery_status}} IN ({_listed(*DELIVERED_STATUSES)}), '{SUCCESS}', '{RETURNED}')")}
+    WHEN {{courier}} <> '{SELF_COURIER}'
+      AND {{delivery_status}} IN ({_listed(*CANCELLED_STATUSES, MARKET_CANCELLED)}) THEN '{CANCELLED}'
+    WHEN {{parentsource}} IS NOT NULL AND ({{paid}} IS NOT NULL OR {{parentsource}} = '{ADDITION}')
+      AND coalesce({{courier}}, '{SELF_COURIER}') = '{SELF_COURIER}' AND {{order_status}} IN ({_listed(*SELF_FINISHED)})
+      THEN {_finished(FEE_ONLY, f"'{SUCCESS}'")}
+    WHEN coalesce({{courier}}, '{SELF_COURIER}') = '{SELF_COURIER}'
+      AND {{order_status}} IN ({_listed(*SELF_CANCELLED)}) THEN '{CANCELLED}'
+    WHEN {{parentsource}} IS NULL AND {{delivery_status}} = '{MARKET_DONE}' AND {{return_reason}} IS NULL THEN '{SUCCESS}'
+    WHEN {{parentsource}} IS NULL AND {{delivery_status}} = '{MARKET_DONE}' AND {{total_quantity}} = 1 THEN '{RETURNED}'
+    WHEN {{parentsource}} IS NULL AND {{delivery_status}} = '{MARKET_DONE}' AND {{total_quantity}} > 1
+      AND {{returned}} IS NOT NULL AND ({{returned}} = 0 OR {{quantity}} IS NOT NULL) AND {{returned}} >= 0
+      THEN CASE WHEN {{returned}} >= {{quantity}} THEN '{RETURNED}' WHEN {{returned}} > 0 THEN '{PARTLY}' ELSE '{SUCCESS}' END
+    WHEN {{parentsource}} IS NULL AND ({{order_status}} = '{MARKET_CANCELLED}' OR {{delivery_status}} = '{MARKET_CANCELLED}')
+      THEN '{CANCELLED}'
+    ELSE '{PENDING}' END"""
+
+INPUTS = ("parentsource", "order_status", "return_reason", "courier", "delivery_status", "paid", "quantity", "returned",
+          "total_quantity", "total_amount")
+
+
+def outcome(**columns: str) -> Column:
+    """The label of the first rule that holds, from the named columns (see INPUTS)."""
+    return F.expr(RULES.format(**{name: columns.get(name, name) for name in INPUTS}))
 
 
 def success_value(status: Column, quantity: Column, price: Column, discount: Column, extra: Column,

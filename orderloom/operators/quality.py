@@ -66,10 +66,9 @@ def flag_files(df: DataFrame, bad: Column, file_col: str = "source_file") -> Dat
 def fallback_per_file(df: DataFrame, col: str, bad: Column, value: Column, file_col: str = "source_file") -> DataFrame:
     """Where one row of a file is bad, all rows of that file take the fallback value."""
     files = flag_files(df, bad, file_col).select(F.col(file_col).alias("__file"), F.lit(True).alias("__bad"))
-    joined = df.join(files, df[file_col].eqNullSafe(files["__file"]), "left")
-    return joined.select(*[
-        F.when(F.col("__bad"), value).otherwise(df[c]).alias(c) if c == col else df[c] for c in df.columns
-    ])
+    joined = df.join(files, F.col(file_col).eqNullSafe(F.col("__file")), "left")
+    return joined.select(*[F.when(F.col("__bad"), value).otherwise(F.col(c)).alias(c) if c == col else c
+                           for c in df.columns])
 
 
 def reject_files(df: DataFrame, bad: Column, file_col: str = "source_file") -> tuple[DataFrame, DataFrame]:

@@ -47,11 +47,11 @@ def _pairs(on) -> dict[str, str]:
 
 def _join(df: DataFrame, other: DataFrame, on, cols: list[str]) -> DataFrame:
     keys = _pairs(on)
-    right = _prefixed(other, keys, cols)
-    # Rows without a key match nothing; dropping them here keeps them out of the shuffle.
-    right = right.dropna(subset=[RIGHT + k for k in keys])
-    condition = reduce(lambda a, b: a & b, [df[k] == right[RIGHT + k] for k in keys])
-    return df.join(right, condition, "left")
+    return df.join(_prefixed(other, keys, cols), _equal(keys), "left")
+
+
+def _equal(keys) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k) == F.col(RIGHT + k) for k in keys])
 
 
 def lookup(df: DataFrame, other: DataFrame, on, cols: list[str] | dict[str, str]) -> DataFrame:
@@ -61,14 +61,13 @@ def lookup(df: DataFrame, other: DataFrame, on, cols: list[str] | dict[str, str]
     """
     names = cols if isinstance(cols, dict) else {c: c for c in cols}
     joined = _join(df, other, on, list(names))
-    return joined.select(*[df[c] for c in df.columns], *[F.col(RIGHT + "v_" + c).alias(n) for c, n in names.items()])
+    return joined.select(*df.columns, *[F.col(RIGHT + "v_" + c).alias(n) for c, n in names.items()])
 
 
 def missing_members(df: DataFrame, key: Column, dim: DataFrame, dim_key: str, name: str = "member") -> DataFrame:
     """Rows whose key is not in the dimension, the key added as a column."""
-    keyed = df.withColumn(name, key)
-    known = dim.select(F.col(dim_key).alias(RIGHT + "key"))
-    return keyed.join(known, keyed[name] == known[RIGHT + "key"], "left_anti")
+    known = dim.select(F.col(dim_key).alias(RIGHT + name))
+    return df.withColumn(name, key).join(known, _equal([name]), "left_anti")
 
 
 def update_from(
@@ -89,7 +88,7 @@ def update_from(
 
     out = []
     for field in df.schema.fields:
-        old = df[field.name]
+        old = F.col(field.name)
         if field.name in rules:
             old = F.when(hit, rules[field.name](old, right)).otherwise(old).cast(field.dataType).alias(field.name)
         out.append(old)
@@ -98,19 +97,16 @@ def update_from(
 
 def null_unmatched(df: DataFrame, col: str, dim: DataFrame, key: str) -> DataFrame:
     """Empty a reference that the dimension does not hold."""
-    known = dim.select(F.col(key).alias(RIGHT + "key")).distinct()
-    joined = df.join(known, df[col] == known[RIGHT + "key"], "left")
-    return joined.select(
-        *[F.col(RIGHT + "key").alias(c) if c == col else df[c] for c in df.columns]
-    )
+    known = dim.select(F.col(key).alias(RIGHT + col)).distinct()
+    joined = df.join(known, _equal([col]), "left")
+    return joined.select(*[F.col(RIGHT + c).alias(c) if c == col else c for c in df.columns])
 
 
 def delete_keys(df: DataFrame, doomed: DataFrame, on) -> DataFrame:
     """Rows whose key is not among the doomed ones."""
     keys = _pairs(on)
     gone = doomed.select(*[F.col(src).alias(RIGHT + dst) for dst, src in keys.items()])
-    condition = reduce(lambda a, b: a & b, [df[k] == gone[RIGHT + k] for k in keys])
-    return df.join(gone, condition, "left_anti")
+    return df.join(gone, _equal(keys), "left_anti")
 
 
 def delete_where(df: DataFrame, predicate: Column) -> DataFrame:
@@ -124,11 +120,11 @@ def map_codes(df: DataFrame, col: str, mapping: DataFrame, order: str | None = N
     Where a code is listed twice, the row with the highest order wins.
     """
     code, label = [c for c in mapping.columns if c != order][:2]
-    labels = mapping.groupBy(F.col(code).alias(RIGHT + "code")).agg(
+    labels = mapping.groupBy(F.col(code).alias(RIGHT + col)).agg(
         (F.max_by(label, order) if order else F.max(label)).alias(RIGHT + "label")
     )
-    joined = df.join(labels, df[col] == labels[RIGHT + "code"], "left")
-    return joined.select(*[F.col(RIGHT + "label").alias(c) if c == col else df[c] for c in df.columns])
+    joined = df.join(labels, _equal([col]), "left")
+    return joined.select(*[F.col(RIGHT + "label").alias(c) if c == col else c for c in df.columns])
 
 
 def union_all(*frames: DataFrame) -> DataFrame:

@@ -12,8 +12,9 @@ from orderloom.operators.aggregates import allocate, with_totals
 from orderloom.operators.relational import lookup
 
 MARKETPLACES = ("Shopee shops", "Tiktok shops")
-# Sums of fractional amounts are exact, so that they do not depend on the order tasks finish in.
-EXACT = "decimal(18,6)"
+# Kept values may be fractions of a dong. They are summed as whole numbers of this part of a dong,
+# so that a total does not depend on the order tasks finish in. All other amounts are whole.
+PARTS = 10_000
 
 
 def classify(fact: DataFrame, dim_order: DataFrame, dim_delivery: DataFrame, mark: datetime | None = None,
@@ -29,7 +30,7 @@ def classify(fact: DataFrame, dim_order: DataFrame, dim_delivery: DataFrame, mar
     """
     value = F.col("quantity") * F.col("originalprice") - F.col("discountamount_allquantity") \
         - F.col("extradiscountamount_allquantity").cast("double")
-    rows = fact.withColumn("__value", value.cast(EXACT))
+    rows = fact.withColumn("__value", value)
     sums = {"__qty": F.col("quantity"), "__total": F.col("__value")}
     newer = F.coalesce(F.col("lastupdateat") > F.lit(mark).cast("timestamp_ntz"), F.lit(False))
     if mark is not None and by_order:
@@ -43,14 +44,14 @@ def classify(fact: DataFrame, dim_order: DataFrame, dim_delivery: DataFrame, mar
         "parentsource": "__parent", "status": "__status", "return_reason": "__reason", "platform": "__platform"})
     rows = lookup(rows, dim_delivery, {"deliveryid": "trackingnumber"}, {
         "courier": "__courier", "delivery_status": "__delivery"})
-    line = o.Line(
-        parentsource=F.col("__parent"), order_status=F.col("__status"), return_reason=F.col("__reason"),
-        courier=F.col("__courier"), delivery_status=F.col("__delivery"),
-        cod=F.col("baseorder_cod_collected_allquantity"), bank=F.col("baseorder_codbank_collected_allquantity"),
-        prepaid=F.col("baseorder_codprepaid_allquantity"), quantity=F.col("quantity"),
-        returned=F.col("return_quantity"), total_quantity=F.col("__qty"), total_amount=F.col("__total"),
-    )
-    label = F.when(F.col("__gate"), o.outcome(line)).otherwise(F.col("finalstatus"))
+    rows = rows.withColumn("__paid", o.paid(
+        F.col("baseorder_cod_collected_allquantity"), F.col("baseorder_codbank_collected_allquantity"),
+        F.col("baseorder_codprepaid_allquantity")))
+    label = o.outcome(
+        parentsource="__parent", order_status="__status", return_reason="__reason", courier="__courier",
+        delivery_status="__delivery", paid="__paid", returned="return_quantity", total_quantity="__qty",
+        total_amount="__total")
+    label = F.when(F.col("__gate"), label).otherwise(F.col("finalstatus"))
     return rows.withColumn("finalstatus", label)
 
 
@@ -61,11 +62,12 @@ def settle(fact: DataFrame, dim_order: DataFrame, dim_delivery: DataFrame, mark:
     success = o.success_value(
         F.col("finalstatus"), F.col("quantity"), F.col("originalprice"), F.col("discountamount_allquantity"),
         F.col("extradiscountamount_allquantity"), F.col("return_quantity"))
-    rows = with_totals(rows.withColumn("__success", success.cast(EXACT)), ["orderid"],
-                       {"__success_total": F.col("__success")})
+    rows = rows.withColumn("__success", success)
+    rows = rows.withColumn("__parts", F.floor(F.col("__success") * PARTS + 0.5).cast("bigint"))
+    rows = with_totals(rows, ["orderid"], {"__all_parts": F.col("__parts")})
 
     by_quantity = (F.col("quantity"), F.col("__qty"))
-    by_success = (F.col("__success"), F.col("__success_total"))
+    by_success = (F.col("__parts"), F.col("__all_parts"))
     positive = F.col("baseorder_positive_reconciliation_allquantity")
     new = {
         "shippingfee": allocate(F.col("baseorder_shippingfee"), *by_quantity),
@@ -74,7 +76,7 @@ def settle(fact: DataFrame, dim_order: DataFrame, dim_delivery: DataFrame, mark:
         "cod_collected_allquantity":
             F.when(~F.col("__platform").isin(*MARKETPLACES),
                    allocate(F.col("baseorder_cod_collected_allquantity"), *by_success))
-            .otherwise(F.col("__success").cast("double")),
+            .otherwise(F.col("__success")),
         "codbank_collected_allquantity":
             allocate(F.col("baseorder_codbank_collected_allquantity"), *by_success),
         "positive_reconciliation_allquantity":

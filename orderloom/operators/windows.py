@@ -6,6 +6,8 @@ one sheet: windows run inside a block, and one summary row per block carries val
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,15 +95,14 @@ def _one_per_key(df: DataFrame, keys, order: list[Column]) -> DataFrame:
     return df.withColumn("__rank", F.row_number().over(window)).filter("__rank = 1").drop("__rank")
 
 
-def duplicates(df: DataFrame, keys) -> DataFrame:
-    """All members of groups with more than one row."""
+def duplicates(df: DataFrame, keys, null_safe: bool = True) -> DataFrame:
+    """All members of groups with more than one row. NULL keys form a group; switch that off for
+    keys without NULL, which saves a shuffle."""
     keys = _partition(keys)
     repeated = df.groupBy(*[F.col(k).alias("__k_" + k) for k in keys]).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
-    condition = None
-    for k in keys:
-        part = df[k].eqNullSafe(repeated["__k_" + k])
-        condition = part if condition is None else condition & part
-    return df.join(repeated, condition, "left_semi")
+    pairs = [(F.col(k), F.col("__k_" + k)) for k in keys]
+    same = reduce(lambda a, b: a & b, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
+    return df.join(repeated, same, "left_semi")
 
 
 def with_group_size(df: DataFrame, keys, out: str) -> DataFrame:

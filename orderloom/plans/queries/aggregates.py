@@ -217,4 +217,4 @@ QUALIFY count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1
 """)
 def duplicate_members(t):
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
-    return win.duplicates(rows, ["l_orderkey", "l_linenumber"])
+    return win.duplicates(rows, ["l_orderkey", "l_linenumber"], null_safe=False)

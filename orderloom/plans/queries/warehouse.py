@@ -27,7 +27,7 @@ def _built(t):
 
 @query(f"""
 WITH {O}
-SELECT cast(l_orderkey AS varchar) AS orderid, cast(l_partkey AS varchar) AS productid, qty AS quantity,
+SELECT l_orderkey AS orderid, l_partkey AS productid, qty AS quantity,
   back AS return_quantity, finalstatus FROM judged
 """)
 def order_outcome(t):
@@ -37,7 +37,7 @@ def order_outcome(t):
 
 @query(f"""
 WITH {O}
-SELECT cast(l_orderkey AS varchar) AS orderid, cast(l_partkey AS varchar) AS productid,
+SELECT l_orderkey AS orderid, l_partkey AS productid,
   {share('(o_custkey + 20000)', 'qty', 'total_qty')} AS shippingfee,
   {share('cast(-o_custkey AS double)', 'qty', 'total_qty')} AS negative_reconciliation_allquantity,
   CASE WHEN finalstatus IN ('Huy', 'Pending') THEN {share('whole', 'qty', 'total_qty')} END AS idle_money
@@ -52,12 +52,12 @@ def allocate_quantity_share(t):
 
 @query(f"""
 WITH {O}
-SELECT cast(l_orderkey AS varchar) AS orderid, cast(l_partkey AS varchar) AS productid, finalstatus,
-  CASE WHEN priority = '4-NOT SPECIFIED' THEN cast(success AS double) ELSE {share('cod', 'success', 'total_success')} END
+SELECT l_orderkey AS orderid, l_partkey AS productid, finalstatus,
+  CASE WHEN priority = '4-NOT SPECIFIED' THEN cast(success AS double) ELSE {share('cod', 'parts', 'all_parts')} END
     AS cod_collected_allquantity,
-  {share('bank', 'success', 'total_success')} AS codbank_collected_allquantity,
+  {share('bank', 'parts', 'all_parts')} AS codbank_collected_allquantity,
   CASE WHEN finalstatus IN ('Huy', 'Pending') THEN {share('whole', 'qty', 'total_qty')}
-    ELSE {share('whole', 'success', 'total_success')} END AS positive_reconciliation_allquantity,
+    ELSE {share('whole', 'parts', 'all_parts')} END AS positive_reconciliation_allquantity,
   {share('prepaid', 'worth', 'total')} AS codprepaid_allquantity
 FROM settled
 """)
@@ -180,7 +180,7 @@ SELECT orderid, productid, ship AS baseorder_shippingfee, cod AS baseorder_cod_c
   minus AS baseorder_negative_reconciliation_allquantity, back AS return_quantity, finalstatus, ts_at AS lastupdateat,
   cast(floor({share('ship', 'quantity', 'total_qty')} + 0.0001) AS bigint) AS shippingfee,
   cast(floor(CASE WHEN platform IN ('Shopee shops', 'Tiktok shops') THEN cast(success AS double)
-    ELSE {share('cod', 'success', 'total_success')} END + 0.0001) AS bigint) AS cod_collected
+    ELSE {share('cod', 'parts', 'all_parts')} END + 0.0001) AS bigint) AS cod_collected
 FROM fact5
 """)
 def fact_settled(t):
@@ -232,14 +232,14 @@ def report_month_channel(t):
 WITH {O},
 gate AS (SELECT *, EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderdate > TIMESTAMP '1998-06-01')
   AS is_new FROM settled)
-SELECT cast(l_orderkey AS varchar) AS orderid, cast(l_partkey AS varchar) AS productid,
+SELECT l_orderkey AS orderid, l_partkey AS productid,
   CASE WHEN is_new THEN finalstatus ELSE 'cu' END AS finalstatus,
   CASE WHEN is_new THEN {share('(o_custkey + 20000)', 'qty', 'total_qty')} ELSE -1.0 END AS shippingfee
 FROM gate
 """)
 def gated_recompute(t):
     fact, dim_order, dim_delivery = roles.outcome_frames(t)
-    stamps = t.orders.select(F.col("o_orderkey").cast("string").alias("orderid"), F.col("o_orderdate").alias("lastupdateat"))
+    stamps = t.orders.select(F.col("o_orderkey").alias("orderid"), F.col("o_orderdate").alias("lastupdateat"))
     fact = fact.join(stamps, "orderid", "left").withColumns(
         {"finalstatus": F.lit("cu"), "shippingfee": F.lit(-1.0)})
     out = settle(fact, dim_order, dim_delivery, datetime(1998, 6, 1))

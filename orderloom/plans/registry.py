@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from orderloom.session import tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
+SCHEMAS: dict[str, StructType] = {}
 
 
 class Tables:
@@ -21,7 +23,10 @@ class Tables:
         self.spark, self.path = tune(spark), path
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        path = f"{self.path}/{name}.parquet"
+        if path not in SCHEMAS:  # looked up once, so that later reads start without a footer job
+            SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(SCHEMAS[path]).parquet(path)
 
     __getattr__ = __call__
 

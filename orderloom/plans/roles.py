@@ -17,21 +17,26 @@ def _text(prefix: str, col: str):
     return F.concat(F.lit(prefix), F.col(col).cast("string"))
 
 
+def _state(flag: str, status: str):
+    """Two letters as one number, which hash aggregation can keep the smallest of."""
+    return F.ascii(flag) * 100 + F.ascii(status)
+
+
 def outcome_frames(t) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(fact lines, order dimension, delivery dimension) that reach every outcome rule."""
     key = F.col("l_orderkey")
     lines = t.lineitem.groupBy("l_orderkey", "l_partkey").agg(
         F.when(key % 7 == 0, F.lit(1)).otherwise(F.sum("l_quantity")).cast("bigint").alias("quantity"),
         F.min(F.floor(F.col("l_extendedprice") / F.col("l_quantity"))).cast("bigint").alias("originalprice"),
-        F.min("l_returnflag").alias("flag"), F.min("l_linestatus").alias("state"),
+        F.min(_state("l_returnflag", "l_linestatus")).alias("state"),
         F.min(F.round(F.col("l_discount") * 100).cast("bigint")).alias("off"))
     lines = lookup(lines, t.orders, {"l_orderkey": "o_orderkey"}, ["o_totalprice", "o_custkey"])
     key, qty, off = F.col("l_orderkey"), F.col("quantity"), F.col("off")
     whole = F.round("o_totalprice").cast("double")
     zero = F.lit(0.0)
     fact = lines.select(
-        key.cast("string").alias("orderid"), F.col("l_partkey").cast("string").alias("productid"),
-        F.concat_ws("-", key, "flag", "state").alias("deliveryid"), "quantity", "originalprice",
+        key.alias("orderid"), F.col("l_partkey").alias("productid"),
+        F.concat_ws("-", key, "state").alias("deliveryid"), "quantity", "originalprice",
         (off * 100).cast("double").alias("discountamount_allquantity"), off.cast("double").alias(
             "extradiscountamount_allquantity"),
         F.when(off >= 8, qty).when(off >= 5, F.floor(qty / 2)).otherwise(F.lit(0)).cast("bigint").alias(
@@ -54,30 +59,25 @@ def outcome_frames(t) -> tuple[DataFrame, DataFrame, DataFrame]:
         (priority == "1-URGENT", "don doi"), (priority == "2-HIGH", "bo sung"),
         (priority == "4-NOT SPECIFIED", F.lit(None).cast("string"))], "di moi")
     dim_order = t.orders.select(
-        number.cast("string").alias("orderid"), parent.alias("parentsource"),
+        number.alias("orderid"), parent.alias("parentsource"),
         rule_cascade([(status == "F", "thanh cong"), (status == "P", "dang chuyen hoan"),
                       (number % 2 == 0, "khach huy")], "CANCELLED").alias("status"),
         F.when(F.col("o_custkey") % 3 == 0, "x").alias("return_reason"),
         F.when(priority == "4-NOT SPECIFIED", "Shopee shops").otherwise("pos").alias("platform"))
-    flag, state = F.col("l_returnflag"), F.col("l_linestatus")
-    parcel = F.concat_ws("-", "l_orderkey", F.min("l_returnflag"), F.min("l_linestatus"))
-    dim_delivery = t.lineitem.groupBy("l_orderkey", "l_partkey").agg(
-        parcel.alias("trackingnumber"), F.min("l_returnflag").alias("l_returnflag"),
-        F.min("l_linestatus").alias("l_linestatus"))
-    dim_delivery = dim_delivery.select(
-        "trackingnumber", "l_orderkey", "l_returnflag", "l_linestatus").distinct().select(
-        "trackingnumber",
-        F.when(F.col("l_orderkey") % 4 == 0, F.lit(SELF)).when(F.col("l_orderkey") % 4 != 1, F.lit("Courier")).alias(
-            "courier"),
+    number, state = F.col("l_orderkey"), F.col("state")
+    parcels = t.lineitem.select("l_orderkey", _state("l_returnflag", "l_linestatus").alias("state")).distinct()
+    dim_delivery = parcels.select(
+        F.concat_ws("-", number, state).alias("trackingnumber"),
+        F.when(number % 4 == 0, F.lit(SELF)).when(number % 4 != 1, F.lit("Courier")).alias("courier"),
         rule_cascade([
-            (flag == "R", "Da tra hang"), ((flag == "A") & (state == "F"), "Da giao hang"), (flag == "A", "Huy"),
-            (state == "F", "COMPLETED")], "Dang giao").alias("delivery_status"))
+            (state >= 8200, "Da tra hang"), (state == 6570, "Da giao hang"), (state == 6579, "Huy"),
+            (state == 7870, "COMPLETED")], "Dang giao").alias("delivery_status"))
     return fact, dim_order, dim_delivery
 
 
 OUTCOME_SQL = """line AS (SELECT l_orderkey, l_partkey,
     CASE WHEN l_orderkey % 7 = 0 THEN 1 ELSE cast(sum(l_quantity) AS bigint) END AS qty,
-    min(cast(floor(l_extendedprice / l_quantity) AS bigint)) AS price, min(l_returnflag) AS flag, min(l_linestatus) AS state,
+    min(cast(floor(l_extendedprice / l_quantity) AS bigint)) AS price, min(l_returnflag || l_linestatus) AS state,
     min(cast(round(l_discount * 100) AS bigint)) AS off
   FROM lineitem GROUP BY l_orderkey, l_partkey),
 fact AS (SELECT line.*, o_custkey, o_orderpriority AS priority, o_orderstatus,
@@ -92,8 +92,8 @@ fact AS (SELECT line.*, o_custkey, o_orderpriority AS priority, o_orderstatus,
       ELSE CASE WHEN o_orderkey % 2 = 0 THEN 'khach huy' ELSE 'CANCELLED' END END AS status,
     o_custkey % 3 = 0 AS has_reason,
     CASE WHEN l_orderkey % 4 = 0 THEN 'self' WHEN l_orderkey % 4 = 1 THEN NULL ELSE 'courier' END AS courier,
-    CASE WHEN flag = 'R' THEN 'back' WHEN flag = 'A' AND state = 'F' THEN 'given' WHEN flag = 'A' THEN 'Huy'
-      WHEN state = 'F' THEN 'COMPLETED' ELSE 'Dang giao' END AS parcel
+    CASE WHEN state[1] = 'R' THEN 'back' WHEN state = 'AF' THEN 'given' WHEN state = 'AO' THEN 'Huy'
+      WHEN state = 'NF' THEN 'COMPLETED' ELSE 'Dang giao' END AS parcel
   FROM line JOIN orders ON l_orderkey = o_orderkey),
 summed AS (SELECT *, sum(qty) OVER (PARTITION BY l_orderkey) AS total_qty, sum(worth) OVER (PARTITION BY l_orderkey) AS total,
     cod + CASE WHEN bank = 0 THEN prepaid ELSE bank END AS paid,
@@ -121,14 +121,15 @@ judged AS (SELECT *, CASE
       CASE WHEN back >= qty THEN 'Hoan' WHEN back > 0 THEN 'Hoan mot phan' ELSE 'Thanh cong' END
     WHEN parent IS NULL AND status = 'CANCELLED' THEN 'Huy'
     ELSE 'Pending' END AS finalstatus FROM summed),
-valued AS (SELECT *, cast(CASE
+valued AS (SELECT *, CASE
     WHEN finalstatus IN ('Huy', 'Pending', 'Hoan') THEN 0.0
     WHEN finalstatus IN ('Thanh cong', 'Hoan thu ship') THEN cast(worth AS double)
     WHEN qty > back THEN cast((qty - back) * price AS double)
       - cast(off * 100 AS double) * (cast(qty - back AS double) / cast(qty AS double))
       - cast(off AS double) * (cast(qty - back AS double) / cast(qty AS double))
-    ELSE 0.0 END AS decimal(18, 6)) AS success FROM judged),
-settled AS (SELECT *, sum(success) OVER (PARTITION BY l_orderkey) AS total_success FROM valued)"""
+    ELSE 0.0 END AS success FROM judged),
+settled AS (SELECT *, cast(floor(success * 10000 + 0.5) AS bigint) AS parts,
+    sum(cast(floor(success * 10000 + 0.5) AS bigint)) OVER (PARTITION BY l_orderkey) AS all_parts FROM valued)"""
 
 
 def staging(t) -> dict[str, DataFrame]:
@@ -360,14 +361,15 @@ fact3 AS (SELECT *, CASE
       CASE WHEN back >= quantity THEN 'Hoan' WHEN back > 0 THEN 'Hoan mot phan' ELSE 'Thanh cong' END
     WHEN parent IS NULL AND (order_status = 'CANCELLED' OR parcel = 'CANCELLED') THEN 'Huy'
     ELSE 'Pending' END AS finalstatus FROM fact2),
-fact4 AS (SELECT *, cast(CASE
+fact4 AS (SELECT *, CASE
     WHEN finalstatus IN ('Huy', 'Pending', 'Hoan') THEN 0.0
     WHEN finalstatus IN ('Thanh cong', 'Hoan thu ship') THEN worth
     WHEN quantity > back THEN cast((quantity - back) * price AS double)
       - off * (cast(quantity - back AS double) / cast(quantity AS double))
       - extra * (cast(quantity - back AS double) / cast(quantity AS double))
-    ELSE 0.0 END AS decimal(18, 6)) AS success FROM fact3),
-fact5 AS (SELECT *, sum(success) OVER (PARTITION BY orderid) AS total_success FROM fact4)"""
+    ELSE 0.0 END AS success FROM fact3),
+fact5 AS (SELECT *, cast(floor(success * 10000 + 0.5) AS bigint) AS parts,
+    sum(cast(floor(success * 10000 + 0.5) AS bigint)) OVER (PARTITION BY orderid) AS all_parts FROM fact4)"""
 
 
 def share_sql(amount: str, part: str, whole: str) -> str:

@@ -30,6 +30,7 @@ def local_session(app: str = "orderloom", cores: int | str = "*", **conf: str) -
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", os.cpu_count() or 8)
         .config("spark.driver.memory", "8g")

@@ -95,7 +95,7 @@ def with_header_cells(df: DataFrame, grid: DataFrame, cells: dict[str, tuple[int
     rows = sorted({r for r, _ in cells.values()})
     head = grid.filter(F.col("row_no").isin(rows)).groupBy(F.col(FILE).alias("__file")).agg(*[
         F.max(F.when(F.col("row_no") == r, F.get("cells", F.lit(c)))).alias(name) for name, (r, c) in cells.items()])
-    return df.join(head, df[FILE] == head["__file"], "left").drop("__file")
+    return df.join(head, F.col(FILE) == F.col("__file"), "left").drop("__file")
 
 
 def read_landed_json(spark: SparkSession, path: str | list[str], schema: T.StructType | str) -> DataFrame:
