@@ -26,14 +26,22 @@ def _whole(name: str) -> Column:
     return ~s.matches(col(name).cast("string"), r"^-?\d+$")
 
 
-def _cash(df: DataFrame, courier: str, row_no: str | None = None, **cols) -> DataFrame:
-    extra = {"row_no": row_no} if row_no else {}
+def _cash(df: DataFrame, courier: str, **cols) -> DataFrame:
+    """Contract columns; row_no orders the batch by file and row, so that a file loaded again replaces its rows."""
+    place = F.concat_ws(" ", "source_file", F.lpad(F.col("row_no").cast("string"), 19, "0"))
     return to_contract(
         df, {"sessionid": cols["sessionid"], "delivery_orderid": cols["delivery_orderid"],
-             "reconciliation_value": cols["value"], "reconciliation_at": cols["at"], **extra},
+             "reconciliation_value": cols["value"], "reconciliation_at": cols["at"], "row_no": place},
         {"courier": courier, "reconciliation_content": F.lit(None).cast("string")})
 
 
+def _sums(rows: DataFrame, keys: list[str], amount: Column) -> DataFrame:
+    """Sums per key inside each file. The same key in another file is a second copy, not a second payment."""
+    return rows.dropna(subset=keys).groupBy("source_file", *keys).agg(
+        F.min("at").cast("timestamp_ntz").alias("at"), F.sum(amount.cast("bigint")).alias("value"),
+        F.max("row_no").alias("row_no"))
+
+
 def odd_parcel_ids(df: DataFrame, name: str) -> DataFrame:
     """Rows whose parcel id has neither known form; they are loaded all the same."""
     return df.filter(~s.matches(col(name), PARCEL_ID, ignore_case=True))
@@ -50,8 +58,7 @@ def clean_jte_cash(cash: DataFrame, run_date: date) -> DataFrame:
     paid_on = F.when(code.contains("-"), F.date_add(s.parse_date(text, "yyyy-M-d"), 1))
     rows = rows.withColumn("at", paid_on)
     rows = fallback_per_file(rows, "at", F.col("at").isNull(), F.lit(run_date))
-    sums = rows.dropna(subset=["Mã vận đơn", "Kỳ thanh toán"]).groupBy("Mã vận đơn", "Kỳ thanh toán").agg(
-        F.sum(col("Tiền thực nhận").cast("bigint")).alias("value"), F.min("at").cast("timestamp_ntz").alias("at"))
+    sums = _sums(rows, ["Mã vận đơn", "Kỳ thanh toán"], col("Tiền thực nhận"))
     return _cash(sums, "JT Express", sessionid="Kỳ thanh toán", delivery_orderid="Mã vận đơn", value="value", at="at")
 
 
@@ -65,7 +72,7 @@ def bad_spx_files(cash: DataFrame) -> DataFrame:
 def clean_spx_cash(cash: DataFrame) -> DataFrame:
     """Transactions that belong to a parcel; files with unsound rows are left out."""
     rows = cash.filter(is_not(col("Mã vận đơn"), "-")).join(bad_spx_files(cash), "source_file", "left_anti")
-    return _cash(rows, "SPX Express", "row_no", sessionid="Mã giao dịch", delivery_orderid="Mã vận đơn",
+    return _cash(rows, "SPX Express", sessionid="Mã giao dịch", delivery_orderid="Mã vận đơn",
                  value=col("Số tiền (VND)").cast("bigint"),
                  at=s.parse_time_strict(col("Thời gian giao dịch"), "yyyy/MM/dd HH:mm:ss"))
 
@@ -81,8 +88,7 @@ def clean_ghn_cash(cash: DataFrame, run_date: date) -> DataFrame:
     rows = rows.join(flag_files(rows, unsound), "source_file", "left_anti")
     rows = rows.withColumn("at", s.parse_date(F.col("session_date"), "dd/MM/yyyy"))
     rows = fallback_per_file(rows, "at", F.col("at").isNull(), F.lit(run_date))
-    sums = rows.groupBy("Mã đơn GHN", "session_id").agg(
-        F.min("at").cast("timestamp_ntz").alias("at"), F.sum(col(amount).cast("bigint")).alias("value"))
+    sums = _sums(rows, ["Mã đơn GHN", "session_id"], col(amount))
     return _cash(sums, "Giao Hàng Nhanh", sessionid="session_id", delivery_orderid="Mã đơn GHN", value="value", at="at")
 
 
@@ -94,9 +100,8 @@ def clean_ghn_coin_moves(moves: DataFrame, run_date: date) -> DataFrame:
                        F.lit(" "), s.last_chars(day, 5), F.lit("_"), kind)
     rows = fail_rows(moves, {"Số tiền is not whole": _whole("Số tiền")})
     rows = rows.select(
-        "source_file", s.drop_suffix(col("Nội dung"), "_PR").alias("parcel"), session.alias("session"),
-        col("Số tiền").cast("bigint").alias("amount"), s.parse_time(day, "dd/MM/yyyy HH:mm").alias("at"))
+        "source_file", "row_no", s.drop_suffix(col("Nội dung"), "_PR").alias("parcel"), session.alias("session"),
+        col("Số tiền").alias("amount"), s.parse_time(day, "dd/MM/yyyy HH:mm").alias("at"))
     rows = fallback_per_file(rows, "at", F.col("at").isNull(), F.lit(run_date).cast("timestamp_ntz"))
-    sums = rows.dropna(subset=["parcel", "session"]).groupBy("parcel", "session").agg(
-        F.min("at").alias("at"), F.sum("amount").alias("value"))
+    sums = _sums(rows, ["parcel", "session"], F.col("amount"))
     return _cash(sums, "Giao Hàng Nhanh", sessionid="session", delivery_orderid="parcel", value="value", at="at")

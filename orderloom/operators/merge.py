@@ -65,7 +65,8 @@ def upsert(
     if mode not in MODES:
         raise ValueError(f"unknown merge mode {mode!r}, expected one of {MODES}")
     given = [c for c in source.columns if c not in keys and c != order_col]
-    unknown = [c for c in given if c not in target.columns]
+    known = target.columns
+    unknown = [c for c in given if c not in known]
     if unknown:
         raise ValueError(f"source columns not in target: {unknown}")
     updated = set(given if update_cols is None else update_cols)
@@ -81,7 +82,7 @@ def upsert(
     moved = F.lit(True)
     if mode == "changed":
         moved = differs([F.col(TGT + c) for c in compared], [F.col(SRC + c) for c in compared])
-        if f"{SRC}__mixed" in s.columns:
+        if compared:
             moved = F.col(f"{SRC}__mixed") | moved
     elif mode == "coalesce":
         moved = reduce(or_, [_known_differs(c, raw_compare) for c in compared], F.lit(False))

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.scalar import safe_ratio, sku_prefix, sum_array, sum_columns
 from orderloom.operators import aggregates as agg, relational as rel, windows as win
-from orderloom.plans.registry import cents, query
+from orderloom.plans.registry import cents, query, whole
 
 
 @query("""
@@ -104,15 +104,15 @@ def collapse_lines(t):
 
 @query("""
 SELECT l_orderkey, l_linenumber, l_partkey,
-  -(coalesce(cast(round(l_extendedprice * l_discount * 100) AS bigint), 0)
-    + coalesce(CASE WHEN l_returnflag <> 'R' THEN cast(round(l_extendedprice * l_tax * 100) AS bigint) END, 0)
+  -(coalesce(cast(floor(l_extendedprice * l_discount * 100 + 0.5) AS bigint), 0)
+    + coalesce(CASE WHEN l_returnflag <> 'R' THEN cast(floor(l_extendedprice * l_tax * 100 + 0.5) AS bigint) END, 0)
     + coalesce(nullif(cast(l_quantity AS bigint), 1), 0)) AS shipping_cost
 FROM lineitem
 """)
 def fee_row_sum(t):
     fees = [
-        F.round(F.col("l_extendedprice") * F.col("l_discount") * 100).cast("bigint"),
-        F.when(F.col("l_returnflag") != "R", F.round(F.col("l_extendedprice") * F.col("l_tax") * 100).cast("bigint")),
+        cents(F.col("l_extendedprice") * F.col("l_discount")),
+        F.when(F.col("l_returnflag") != "R", cents(F.col("l_extendedprice") * F.col("l_tax"))),
         F.nullif(F.col("l_quantity").cast("bigint"), F.lit(1)),
     ]
     return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", sum_columns(fees, -1).alias("shipping_cost"))
@@ -136,13 +136,13 @@ def nested_fee_sum(t):
 
 @query("""
 SELECT o_orderkey, o_orderstatus, cast(coalesce(sum(l_quantity), 0) AS bigint) AS total_quantity,
-  cast(coalesce(sum(cast(l_quantity AS bigint) * 100 * 1000 - cast(round(l_extendedprice * l_discount * 100) AS bigint)), 0)
+  cast(coalesce(sum(cast(l_quantity AS bigint) * 100 * 1000 - cast(floor(l_extendedprice * l_discount * 100 + 0.5) AS bigint)), 0)
        AS bigint) AS total_amount
 FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey, o_orderstatus
 """)
 def order_totals(t):
     qty = F.col("l_quantity").cast("bigint")
-    off = F.round(F.col("l_extendedprice") * F.col("l_discount") * 100).cast("bigint")
+    off = cents(F.col("l_extendedprice") * F.col("l_discount"))
     sums = agg.totals(t.lineitem, "l_orderkey", sums={"total_quantity": qty, "total_amount": qty * 100_000 - off})
     out = rel.lookup(t.orders.select("o_orderkey", "o_orderstatus"), sums, {"o_orderkey": "l_orderkey"},
                      ["total_quantity", "total_amount"])
@@ -176,7 +176,7 @@ SELECT user_id, event_id, amount, run_id, count(*) OVER (PARTITION BY user_id, r
 FROM numbered
 """)
 def fill_down_even_split(t):
-    cell = F.when(F.col("event_type").isin("purchase", "signup"), F.round("value").cast("bigint"))
+    cell = F.when(F.col("event_type").isin("purchase", "signup"), whole("value"))
     sheet = t.events.select("user_id", "event_id", cell.alias("amount"))
     filled = win.fill_down(sheet, ["amount"], "user_id", "event_id", block_rows=4096)
     numbered = win.runs(filled, "amount", "user_id", "event_id", block_rows=4096)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from orderloom.operators import merge, relational as rel, tracking
 from orderloom.plans import star
-from orderloom.plans.registry import cents, query
+from orderloom.plans.registry import cents, query, whole
 
 RUN = datetime(2024, 2, 1, 8)
 BEFORE = datetime(2024, 1, 1, 8)
@@ -199,7 +199,7 @@ def update_from_rules(t):
     parcels = t.orders.filter("o_orderpriority <> '1-URGENT'").select(
         F.concat(F.lit("T"), "o_orderkey").alias("delivery_orderid"), status.alias("orderstatus"),
         F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", F.col("o_custkey") + 20000).alias("shippingcost"),
-        F.when(F.col("o_orderpriority") != "5-LOW", F.round("o_totalprice").cast("bigint")).alias("cod_collected"),
+        F.when(F.col("o_orderpriority") != "5-LOW", whole("o_totalprice")).alias("cod_collected"),
         F.col("o_orderdate").alias("dw_updatedat"))
     fact = t.lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", F.concat(F.lit("T"), "l_orderkey").alias("deliveryid"),

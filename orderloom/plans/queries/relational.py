@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from orderloom.functions.rules import is_not, not_in, out_of_range, overwrite_where, rule_cascade
 from orderloom.operators import quality, relational as rel
 from orderloom.operators.aggregates import average_price
-from orderloom.plans.registry import query
+from orderloom.plans.registry import cents, query
 
 
 @query("""
@@ -156,7 +156,7 @@ WITH item AS (SELECT l_orderkey, l_partkey, l_returnflag,
               FROM lineitem),
 escrow AS (SELECT l_orderkey, l_partkey,
                 concat_ws('_', l_suppkey, l_linenumber, cast(l_quantity AS bigint)) AS line_key,
-                cast(sum(round(l_extendedprice * l_discount * 100)) AS bigint) AS off
+                cast(sum(floor(l_extendedprice * l_discount * 100 + 0.5)) AS bigint) AS off
               FROM lineitem WHERE l_returnflag <> 'N' GROUP BY ALL)
 SELECT item.l_orderkey, item.l_partkey, item.line_key, l_extendedprice, off
 FROM item LEFT JOIN escrow ON item.l_orderkey = escrow.l_orderkey AND item.l_partkey = escrow.l_partkey
@@ -165,7 +165,7 @@ FROM item LEFT JOIN escrow ON item.l_orderkey = escrow.l_orderkey AND item.l_par
 def composite_key_join(t):
     key = F.concat_ws("_", "l_suppkey", "l_linenumber", F.col("l_quantity").cast("bigint"))
     items = t.lineitem.withColumn("line_key", key)
-    off = F.round(F.col("l_extendedprice") * F.col("l_discount") * 100).cast("bigint")
+    off = cents(F.col("l_extendedprice") * F.col("l_discount"))
     escrow = items.filter("l_returnflag <> 'N'").groupBy("l_orderkey", "l_partkey", "line_key").agg(
         F.sum(off).alias("off"))
     return rel.lookup(items.select("l_orderkey", "l_partkey", "line_key", "l_extendedprice"), escrow,

@@ -11,6 +11,7 @@ from orderloom.operators.tracking import START, _Default
 from orderloom.plans import reports, roles, star
 from orderloom.plans.registry import query
 from orderloom.schemas import STAR, STAR_KEYS, STAR_REFERENCES, empty
+from orderloom.staged import Staged
 
 ALL = _Default(START, {})
 O, S, FACT = roles.OUTCOME_SQL, roles.STAGING_SQL, f"{roles.STAGING_SQL},\n{roles.FACT_SQL}"
@@ -21,8 +22,12 @@ def _blank_star(t):
     return {name: empty(t.spark, name) for name in STAR} | {"dim_product": roles.catalogue(t)}
 
 
-def _built(t):
-    return star.build_star(roles.staging(t), _blank_star(t), ALL)
+def _built(t, keep=False):
+    """The star of all shared tables; `keep` also writes the finished tables, for queries that read several."""
+    stage = Staged(t.spark)
+    tables = star.build_star(roles.staging(t), _blank_star(t), ALL, stage=stage,
+                             keep=(lambda _, df: stage(df)) if keep else None)
+    return {**tables, "fact_orderdetails": stage(tables["fact_orderdetails"])} if keep else tables
 
 
 @query(f"""
@@ -151,7 +156,11 @@ SELECT ids.id AS order_or_delivery_id, coalesce(cast(t.max_at AS timestamp), c.m
 FROM ids LEFT JOIN courier_sum c ON ids.id = c.id LEFT JOIN tik_sum t ON ids.id = t.id
 """)
 def dim_reconciliation_keys(t):
-    return _built(t)["dim_reconciliation"]
+    lake = roles.staging(t)
+    new = star.new_headers(lake, ALL)
+    new["pos"] = star.fix_tracking(new["pos"], star.parcel_keys(empty(t.spark, "dim_delivery"), lake, new, ALL))
+    return star.build_dim_reconciliation(empty(t.spark, "dim_reconciliation"), lake, new, ALL,
+                                         star.courier_money(lake, ALL), star.tiktok_money(lake, ALL))
 
 
 @query(f"""
@@ -164,8 +173,7 @@ SELECT orderid, productid, parentproductid, deliveryid, customer AS customer_sur
 def fact_lines(t):
     lake = roles.staging(t)
     new = star.new_headers(lake, ALL)
-    dim_delivery = star.build_dim_delivery(empty(t.spark, "dim_delivery"), lake, new, ALL)
-    new["pos"] = star.fix_tracking(new["pos"], dim_delivery)
+    new["pos"] = star.fix_tracking(new["pos"], star.parcel_keys(empty(t.spark, "dim_delivery"), lake, new, ALL))
     fact = star.insert_fact(empty(t.spark, "fact_orderdetails"), star.new_lines(lake, new))
     return fact.select(
         "orderid", "productid", "parentproductid", "deliveryid", "customer_surrogateid", "transaction_orderid",
@@ -202,7 +210,7 @@ UNION ALL SELECT 'dangling ' || name, CASE WHEN name = 'parentproductid'
 FROM (VALUES ('customer_surrogateid'), ('deliveryid'), ('orderid'), ('parentproductid'), ('transaction_orderid')) AS x(name)
 """)
 def star_integrity(t):
-    tables = _built(t)
+    tables = _built(t, keep=True)
     fact = tables["fact_orderdetails"]
     checks = [
         quality.repeated_keys(tables[name], keys).select(

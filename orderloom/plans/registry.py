@@ -43,6 +43,11 @@ def query(sql: str | None = None):
     return register
 
 
+def whole(col: str | Column) -> Column:
+    """A number that is not negative, rounded to the nearest whole one; stays in generated code, unlike round()."""
+    return F.floor((F.col(col) if isinstance(col, str) else col) + 0.5).cast("bigint")
+
+
 def cents(col: str | Column) -> Column:
     """An amount as whole cents."""
-    return F.round((F.col(col) if isinstance(col, str) else col) * 100).cast("bigint")
+    return whole((F.col(col) if isinstance(col, str) else col) * 100)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from orderloom.functions.rules import rule_cascade
 from orderloom.operators.relational import lookup, union_all
+from orderloom.plans.registry import cents, whole
 from orderloom.schemas import LAKE, conform
 
 SELF = "Tu Van Chuyen"
@@ -29,10 +30,10 @@ def outcome_frames(t) -> tuple[DataFrame, DataFrame, DataFrame]:
         F.when(key % 7 == 0, F.lit(1)).otherwise(F.sum("l_quantity")).cast("bigint").alias("quantity"),
         F.min(F.floor(F.col("l_extendedprice") / F.col("l_quantity"))).cast("bigint").alias("originalprice"),
         F.min(_state("l_returnflag", "l_linestatus")).alias("state"),
-        F.min(F.round(F.col("l_discount") * 100).cast("bigint")).alias("off"))
+        F.min(cents("l_discount")).alias("off"))
     lines = lookup(lines, t.orders, {"l_orderkey": "o_orderkey"}, ["o_totalprice", "o_custkey"])
     key, qty, off = F.col("l_orderkey"), F.col("quantity"), F.col("off")
-    whole = F.round("o_totalprice").cast("double")
+    amount = whole("o_totalprice").cast("double")
     zero = F.lit(0.0)
     fact = lines.select(
         key.alias("orderid"), F.col("l_partkey").alias("productid"),
@@ -41,13 +42,13 @@ def outcome_frames(t) -> tuple[DataFrame, DataFrame, DataFrame]:
             "extradiscountamount_allquantity"),
         F.when(off >= 8, qty).when(off >= 5, F.floor(qty / 2)).otherwise(F.lit(0)).cast("bigint").alias(
             "return_quantity"),
-        F.when(key % 5 == 4, whole).when(key % 5 == 3, F.lit(-1.0)).otherwise(zero).alias(
+        F.when(key % 5 == 4, amount).when(key % 5 == 3, F.lit(-1.0)).otherwise(zero).alias(
             "baseorder_cod_collected_allquantity"),
-        F.when(key % 5 == 2, whole).otherwise(zero).alias("baseorder_codbank_collected_allquantity"),
+        F.when(key % 5 == 2, amount).otherwise(zero).alias("baseorder_codbank_collected_allquantity"),
         F.when(key % 5 == 1, F.lit(30_000.0)).otherwise(F.when(key % 5 == 2, F.lit(999.0)).otherwise(zero)).alias(
             "baseorder_codprepaid_allquantity"),
         (F.col("o_custkey") + 20_000).cast("double").alias("baseorder_shippingfee"),
-        whole.alias("baseorder_positive_reconciliation_allquantity"),
+        amount.alias("baseorder_positive_reconciliation_allquantity"),
         (-F.col("o_custkey")).cast("double").alias("baseorder_negative_reconciliation_allquantity"),
         *[F.lit(None).cast("double").alias(c) for c in (
             "shippingfee", "cod_collected_allquantity", "codbank_collected_allquantity", "codprepaid_allquantity",
@@ -141,12 +142,12 @@ def staging(t) -> dict[str, DataFrame]:
     known = F.col("c_mktsegment") != "HOUSEHOLD"
     by_hand, shopee, tiktok = priority == "2-HIGH", priority == "4-NOT SPECIFIED", priority == "5-LOW"
     pos = ~shopee & ~tiktok
-    whole = F.round("o_totalprice").cast("bigint")
+    price = whole("o_totalprice")
     lines = t.lineitem.groupBy("l_orderkey", "l_partkey").agg(
         F.sum("l_quantity").cast("bigint").alias("quantity"),
         F.min(F.floor(F.col("l_extendedprice") / F.col("l_quantity"))).cast("bigint").alias("price"),
         F.min("l_suppkey").alias("supplier"), F.min("l_linenumber").alias("line"),
-        F.max(F.round(F.col("l_discount") * 100).cast("bigint")).alias("off"), F.max("l_shipdate").alias("shipped"))
+        F.max(cents("l_discount")).alias("off"), F.max("l_shipdate").alias("shipped"))
     sku = F.concat(F.lit("P"), "l_partkey", F.lit("-"), "supplier")
     lines = lookup(lines, t.orders, {"l_orderkey": "o_orderkey"}, ["o_orderpriority"]).withColumn("sku", sku)
 
@@ -162,7 +163,7 @@ def staging(t) -> dict[str, DataFrame]:
             F.when(priority == "1-URGENT", "don doi").when(by_hand & (status == "P"), "bo sung").otherwise(
                 "di moi").alias("orderparentsource"),
             F.lit("fanpage").alias("ordersource"), F.lit("facebook").alias("platform"),
-            F.when(priority == "1-URGENT", F.floor(whole / 10)).alias("cod_prepaid"),
+            F.when(priority == "1-URGENT", F.floor(price / 10)).alias("cod_prepaid"),
             F.lit(False).alias("is_wrongproduct"), at.alias("dw_updatedat")),
         "nhanhvnorderdetails": lines.filter(pos).select(
             _text("N", "l_orderkey").alias("orderid"), F.col("sku").alias("productid"),
@@ -173,7 +174,7 @@ def staging(t) -> dict[str, DataFrame]:
                 "delivery_orderid"),
             F.when(by_hand, "Da giao").when(status == "F", "Da giao hang").when(
                 priority == "1-URGENT", "Huy").otherwise("Da tra hang").alias("orderstatus"),
-            F.when(status == "F", whole).otherwise(F.lit(30000)).alias("cod_collected"),
+            F.when(status == "F", price).otherwise(F.lit(30000)).alias("cod_collected"),
             (F.col("o_custkey") + 20000).alias("shippingcost"), at.alias("createdat"),
             F.date_add(at, 2).cast("timestamp_ntz").alias("completedat"),
             F.when(by_hand, SELF).otherwise("Giao Hang Nhanh").alias("courier"), F.lit(0).alias("compensationvalue"),
@@ -182,7 +183,7 @@ def staging(t) -> dict[str, DataFrame]:
             _text("KB_", "event_id").alias("bank_surrogateid"), F.to_date("ts").alias("notedate"),
             F.when(F.col("event_type") == "purchase", _text("N", "event_id")).otherwise(_text("N", "user_id")).alias(
                 "orderid"),
-            F.round(F.col("value") * 1000).alias("bankvalue"), F.col("ts").alias("dw_updatedat")),
+            whole(F.col("value") * 1000).cast("double").alias("bankvalue"), F.col("ts").alias("dw_updatedat")),
         "returnedorders_scan": lookup(
             t.lineitem.filter("l_returnflag = 'R'"), lines, ["l_orderkey", "l_partkey"], ["sku", "o_orderpriority"]
         ).select(
@@ -194,7 +195,7 @@ def staging(t) -> dict[str, DataFrame]:
             F.concat_ws("_", "event_type", "event_id").alias("sessionid"),
             F.concat(F.when(F.col("event_type") == "view", "S").otherwise("T"),
                      F.floor(F.col("event_id") / 2)).alias("delivery_orderid"),
-            (F.round(F.col("value") * 1000) * F.when(F.col("event_type") == "error", -1).otherwise(1)).cast(
+            (whole(F.col("value") * 1000) * F.when(F.col("event_type") == "error", -1).otherwise(1)).cast(
                 "bigint").alias("reconciliation_value"),
             F.col("ts").alias("reconciliation_at"), F.lit("Giao Hang Nhanh").alias("courier"),
             F.nullif("event_type", F.lit("error")).alias("reconciliation_content"), F.col("ts").alias("dw_updatedat")),
@@ -232,7 +233,7 @@ def staging(t) -> dict[str, DataFrame]:
         "tiktok_reconciliation": union_all(
             orders.filter(tiktok & (status != "P")).select(
                 _text("K", "o_orderkey").alias("order_or_statement_id"), F.date_add(at, 10).alias("transactiontime"),
-                whole.alias("revenue"), (-F.floor(whole / 10)).alias("totalfee"), at.alias("dw_updatedat")),
+                price.alias("revenue"), (-F.floor(price / 10)).alias("totalfee"), at.alias("dw_updatedat")),
             orders.filter(tiktok & (status == "O")).select(
                 _text("K", "o_orderkey").alias("order_or_statement_id"), F.date_add(at, 20).alias("transactiontime"),
                 F.lit(0).cast("bigint").alias("revenue"), F.lit(-500).cast("bigint").alias("totalfee"),
@@ -244,7 +245,7 @@ def staging(t) -> dict[str, DataFrame]:
 def catalogue(t) -> DataFrame:
     """Listed products: parts outside promotion, by parent sku."""
     return conform(t.part.filter("p_type <> 'PROMO'").select(
-        _text("P", "p_partkey").alias("productid"), F.round("p_retailprice").cast("bigint").alias("retailprice"),
+        _text("P", "p_partkey").alias("productid"), whole("p_retailprice").alias("retailprice"),
         F.col("p_type").alias("cate_purpose")), "dim_product")
 
 

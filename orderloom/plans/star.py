@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -22,6 +23,8 @@ ZEROS = dict.fromkeys([*BASE_MEASURES, "extradiscountamount_allquantity", "retur
 
 Tables = dict[str, DataFrame]
 Marks = dict[str, datetime]
+Step = Callable[[DataFrame], DataFrame]
+Keep = Callable[[str, DataFrame], DataFrame]
 
 
 def _as(df: DataFrame, **cols: str | Column) -> DataFrame:
@@ -71,6 +74,15 @@ def build_dim_delivery(dim: DataFrame, lake: Tables, new: Tables, marks: Marks)
     return upsert_feeds(dim, feeds, ["trackingnumber"])
 
 
+def parcel_keys(dim: DataFrame, lake: Tables, new: Tables, marks: Marks) -> DataFrame:
+    """Tracking numbers the delivery dimension will hold after this run, without building it."""
+    key = "trackingnumber"
+    return union_all(
+        dim.select(key), _as(new["shopee"], **{key: "delivery_orderid"}), _as(new["tiktok"], **{key: "tracking_number"}),
+        _as(since(lake["deliveryorders"], marks["deliveryorders"]), **{key: "delivery_orderid"}),
+        _as(since(lake["handle_deliveryorders"], marks["handle_deliveryorders"]), **{key: "delivery_orderid"}))
+
+
 def fix_tracking(pos: DataFrame, dim_delivery: DataFrame) -> DataFrame:
     """Self-delivered orders get their sheet number; numbers no parcel has become NULL."""
     own = (F.col("deliverybrand") == o.SELF_COURIER) & F.col("trackingnumber").isNull()
@@ -237,13 +249,20 @@ def apply_bank(fact: DataFrame, banks: DataFrame) -> DataFrame:
         "baseorder_codbank_collected_allquantity": _keep_null("value"), "lastupdateat": _newer("at")})
 
 
-def apply_money(fact: DataFrame, money: DataFrame, key: str) -> DataFrame:
-    """Settlements per transaction."""
-    source = money.select(key, "positive_amount", "negative_amount", "max_dw_updatedat")
-    return update_from(fact, source, {"transaction_orderid": key}, {
+def apply_money(fact: DataFrame, couriers: DataFrame, tiktok: DataFrame) -> DataFrame:
+    """Settlements per transaction (B31). A key in both sources takes the marketplace amount where there is one."""
+    amounts = ("positive_amount", "negative_amount")
+
+    def part(df: DataFrame, key: str, seq: int) -> DataFrame:
+        return _as(df, id=key, **{c: c for c in amounts}, at="max_dw_updatedat", seq=F.lit(seq))
+
+    both = union_all(part(couriers, "delivery_orderid", 0), part(tiktok, "order_or_statement_id", 1))
+    source = both.groupBy("id").agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("seq"))).alias(c) for c in amounts], F.max("at").alias("at"))
+    return update_from(fact, source, {"transaction_orderid": "id"}, {
         "baseorder_positive_reconciliation_allquantity": _keep_null("positive_amount"),
         "baseorder_negative_reconciliation_allquantity": _keep_null("negative_amount"),
-        "lastupdateat": _newer("max_dw_updatedat")})
+        "lastupdateat": _newer("at")})
 
 
 def apply_returns(fact: DataFrame, scans: DataFrame) -> DataFrame:
@@ -257,33 +276,66 @@ def apply_returns(fact: DataFrame, scans: DataFrame) -> DataFrame:
     return out.drop("__sku")
 
 
-def build_star(lake: Tables, star: Tables, marks: Marks, by_order: bool = False) -> Tables:
-    """The star after one run over the staging tables. Lazy: nothing is computed here."""
+def touched_orders(fact: DataFrame, lake: Tables, new: Tables, marks: Marks, couriers: DataFrame,
+                   tiktok: DataFrame) -> DataFrame:
+    """Orders whose fact rows can change in this run: new headers, and orders of changed parcels, transfers,
+    settlements and returns."""
+    changed = union_all(
+        _as(since(lake["deliveryorders"], marks["deliveryorders"]), id="delivery_orderid"),
+        _as(since(lake["returnedorders_scan"], marks["returnedorders_scan"]), id="delivery_orderid"))
+    settled = union_all(_as(couriers, id="delivery_orderid"), _as(tiktok, id="order_or_statement_id"))
+    slim = fact.select("orderid", "deliveryid", "transaction_orderid")
+    return union_all(
+        *[new[channel].select("orderid") for channel in ("shopee", "tiktok", "pos")],
+        _as(since(lake["customerbanks"], marks["customerbanks"]), orderid="orderid"),
+        slim.join(changed, slim["deliveryid"] == changed["id"], "left_semi").select("orderid"),
+        slim.join(settled, slim["transaction_orderid"] == settled["id"], "left_semi").select("orderid"),
+    ).distinct()
+
+
+def build_star(lake: Tables, star: Tables, marks: Marks, *, by_order: bool = False, only_touched: bool = False,
+               stage: Step | None = None, keep: Keep | None = None) -> Tables:
+    """The star after one run over the staging tables.
+
+    by_order      recompute all lines of an order with a newer line (equals a full recompute); otherwise only
+                  the newer lines themselves
+    only_touched  the fact in the result holds just the orders that can change, to be merged by key
+    stage         called for results that several steps read; give it back from storage to cut the plan there
+    keep          called with (name, frame) when a dimension is ready that later steps look up
+    """
+    stage, keep = stage or (lambda df: df), keep or (lambda _, df: df)
     new = new_headers(lake, marks)
-    dim_delivery = build_dim_delivery(star["dim_delivery"], lake, new, marks)
-    new["pos"] = fix_tracking(new["pos"], dim_delivery)
+    known = parcel_keys(star["dim_delivery"], lake, new, marks)
+    new["pos"] = stage(fix_tracking(new["pos"], known))
     lines = new_lines(lake, new)
-    couriers, tiktok = courier_money(lake, marks), tiktok_money(lake, marks)
-    dim_order = build_dim_order(star["dim_order"], new)
+    couriers, tiktok = stage(courier_money(lake, marks)), stage(tiktok_money(lake, marks))
+
+    def ready(name: str, df: DataFrame) -> DataFrame:
+        return keep(name, conform(df, name))
 
-    fact = insert_fact(star["fact_orderdetails"], lines)
+    dims = {
+        "dim_order": ready("dim_order", build_dim_order(star["dim_order"], new)),
+        "dim_delivery": ready("dim_delivery", build_dim_delivery(star["dim_delivery"], lake, new, marks)),
+    }
+    old = star["fact_orderdetails"]
+    if only_touched:
+        touched = stage(touched_orders(old, lake, new, marks, couriers, tiktok))
+        old = old.join(touched, "orderid", "left_semi")
+    # Joins are grouped by key, so that a shuffle by parcel, one by transaction and one by order serve all steps.
+    fact = insert_fact(old, lines)
     fact = apply_parcels(fact, lake["deliveryorders"])
-    fact = apply_bank(fact, lake["customerbanks"])
-    fact = apply_money(fact, couriers, "delivery_orderid")
-    fact = apply_money(fact, tiktok, "order_or_statement_id")
     fact = apply_returns(fact, lake["returnedorders_scan"])
-    fact = settle(fact, dim_order, dim_delivery, marks["fact and dim tables"], by_order)
-
-    out = {
-        "dim_order": dim_order,
-        "dim_delivery": dim_delivery,
-        "dim_customer": build_dim_customer(star["dim_customer"], new),
-        "dim_product": build_dim_product(star["dim_product"], lake, lines, marks),
-        "dim_reconciliation": build_dim_reconciliation(
-            star["dim_reconciliation"], lake, new, marks, couriers, tiktok),
-        "fact_orderdetails": fact,
+    fact = apply_money(fact, couriers, tiktok)
+    fact = stage(apply_bank(fact, lake["customerbanks"]))
+    fact = settle(fact, dims["dim_order"], dims["dim_delivery"], marks["fact and dim tables"], by_order)
+    return {
+        **dims,
+        "dim_customer": ready("dim_customer", build_dim_customer(star["dim_customer"], new)),
+        "dim_product": ready("dim_product", build_dim_product(star["dim_product"], lake, lines, marks)),
+        "dim_reconciliation": ready("dim_reconciliation", build_dim_reconciliation(
+            star["dim_reconciliation"], lake, new, marks, couriers, tiktok)),
+        "fact_orderdetails": conform(fact, "fact_orderdetails"),
     }
-    return {name: conform(df, name) for name, df in out.items()}
 
 
 def advance_log(log: DataFrame, lake: Tables, fact: DataFrame) -> DataFrame:

@@ -187,7 +187,11 @@ def empty(spark: SparkSession, table: str) -> DataFrame:
 
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Columns of a table in its order and types; columns the frame lacks are NULL."""
-    return df.select(*[
-        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in {**LAKE, **STAR}[table].fields
-    ])
+    have = {f.name: f.dataType for f in df.schema.fields}
+
+    def column(field: T.StructField):
+        if have.get(field.name) == field.dataType:
+            return field.name
+        return (F.col(field.name) if field.name in have else F.lit(None)).cast(field.dataType).alias(field.name)
+
+    return df.select(*[column(f) for f in {**LAKE, **STAR}[table].fields])
