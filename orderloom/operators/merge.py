@@ -128,47 +128,57 @@ def insert_ignore(target: DataFrame, source: DataFrame, keys: list[str]) -> Data
     return target.unionByName(fresh, allowMissingColumns=True).select(*target.columns)
 
 
-def upsert_feeds(
-    target: DataFrame, feeds: list[tuple[DataFrame, list[str]]], keys: list[str], *,
-    insert_defaults: dict[str, object] | None = None,
-) -> DataFrame:
-    """Several feeds into one table with one shuffle; per column the last feed that writes it wins.
+def fold_feeds(feeds: list[tuple[DataFrame, list[str]]], keys: list[str]) -> DataFrame:
+    """Several feeds as one row per key: for every set of columns written by the same feeds one struct, holding
+    the values of the last of these feeds, or NULL where none of them knows the key.
 
-    Each feed is (rows, order columns). A feed writes the columns it has besides keys and order columns;
-    of equal keys inside a feed the last in its order wins. Equal to one upsert after the other.
+    Each feed is (rows, order columns): of equal keys inside a feed the last in its order (text or time) wins.
+    A feed writes the columns it has besides keys and those that start with two underscores.
     """
     parts, writers = [], {}
     for i, (rows, order) in enumerate(feeds):
         cols = [c for c in rows.columns if c not in keys and not c.startswith("__")]
         for c in cols:
             writers.setdefault(c, []).append(i)
-        parts.append(rows.dropna(subset=keys).select(
-            *keys, *cols, F.lit(i).alias("__feed"),
-            F.concat_ws("\x01", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in order]).alias("__order"),
-        ))
+        place = F.concat_ws("\x01", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in order])
+        parts.append(rows.dropna(subset=keys).select(*keys, *cols, F.lit(i).alias("__feed"), place.alias("__order")))
     batch = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     groups: dict[tuple[int, ...], list[str]] = {}
     for c, by in writers.items():
         groups.setdefault(tuple(by), []).append(c)
     rank = F.struct("__feed", "__order")
-    aggs = [
+    structs = [
         F.max_by(F.struct(*cols), F.when(F.col("__feed").isin(list(by)), rank)).alias(f"__g{n}")
         for n, (by, cols) in enumerate(groups.items())
-    ] or [F.lit(True).alias("__only_keys")]
-    one = batch.groupBy(*keys).agg(*aggs)
-    s = one.select(*keys, *[F.col(c) for c in one.columns if c not in keys], F.lit(True).alias("__new"))
+    ]
+    return batch.groupBy(*keys).agg(*structs) if structs else batch.select(*keys).distinct()
+
+
+def apply_feeds(target: DataFrame, folded: DataFrame, keys: list[str],
+                insert_defaults: dict[str, object] | None = None) -> DataFrame:
+    """Merge folded feeds into a table; columns no feed knows keep their value, or take the default on new keys."""
+    source_of = {c: g.name for g in folded.schema.fields if g.name not in keys for c in g.dataType.names}
     t = target.select(*[F.col(c).alias(c if c in keys else TGT + c) for c in target.columns], F.lit(True).alias("__old"))
-    both = t.join(s, keys, "full_outer")
-    source_of = {c: n for n, cols in enumerate(groups.values()) for c in cols}
+    both = t.join(folded, keys, "full_outer")
+    is_old = F.col("__old").isNotNull()
     out = []
     for field in target.schema.fields:
         name = field.name
         if name in keys:
             out.append(F.col(name).cast(field.dataType).alias(name))
             continue
-        old = F.when(F.col("__old").isNotNull(), F.col(TGT + name)).otherwise(F.lit((insert_defaults or {}).get(name)))
+        value = F.when(is_old, F.col(TGT + name)).otherwise(F.lit((insert_defaults or {}).get(name)))
         if name in source_of:
-            group = F.col(f"__g{source_of[name]}")
-            old = F.when(group.isNotNull(), group[name]).otherwise(old)
-        out.append(old.cast(field.dataType).alias(name))
+            group = F.col(source_of[name])
+            value = F.when(group.isNotNull(), group[name]).otherwise(value)
+        out.append(value.cast(field.dataType).alias(name))
     return both.select(*out)
+
+
+def upsert_feeds(target: DataFrame, feeds: list[tuple[DataFrame, list[str]]], keys: list[str], *,
+                 insert_defaults: dict[str, object] | None = None) -> DataFrame:
+    """Several feeds into one table with one shuffle each side; per column the last feed that writes it wins.
+
+    Equal to one upsert of a column subset after the other.
+    """
+    return apply_feeds(target, fold_feeds(feeds, keys), keys, insert_defaults)

@@ -10,7 +10,7 @@ from orderloom.operators.settlement import classify, settle
 from orderloom.operators.tracking import START, _Default
 from orderloom.plans import reports, roles, star
 from orderloom.plans.registry import query
-from orderloom.schemas import STAR, STAR_KEYS, STAR_REFERENCES, empty
+from orderloom.schemas import STAR, STAR_KEYS, STAR_REFERENCES, conform, empty
 from orderloom.staged import Staged
 
 ALL = _Default(START, {})
@@ -24,12 +24,19 @@ def _blank_star(t):
 
 def _built(t, keep=False):
     """The star of all shared tables; `keep` also writes the finished tables, for queries that read several."""
-    stage = Staged(t.spark)
-    tables = star.build_star(roles.staging(t), _blank_star(t), ALL, stage=stage,
-                             keep=(lambda _, df: stage(df)) if keep else None)
+    stage, blank = Staged(t.spark), _blank_star(t)
+
+    def merge(name, feeds):
+        return stage(conform(star.merged(name, blank[name], feeds), name))
+
+    tables = star.build_star(roles.staging(t), blank, ALL, stage=stage, merge=merge if keep else None)
     return {**tables, "fact_orderdetails": stage(tables["fact_orderdetails"])} if keep else tables
 
 
+def _merged(t, name, feeds):
+    return star.merged(name, _blank_star(t)[name], feeds)
+
+
 @query(f"""
 WITH {O}
 SELECT l_orderkey AS orderid, l_partkey AS productid, qty AS quantity,
@@ -88,7 +95,7 @@ SELECT orderid, o_orderdate, state, NULL, 'Tiktok shops', 'shop 2', CASE o_order
 """)
 def dim_order_channels(t):
     lake = roles.staging(t)
-    return star.build_dim_order(empty(t.spark, "dim_order"), star.new_headers(lake, ALL)).drop("source")
+    return _merged(t, "dim_order", star.order_feeds(star.new_headers(lake, ALL))).drop("source")
 
 
 @query(f"""
@@ -99,7 +106,7 @@ SELECT id AS trackingnumber, courier, CASE WHEN has_parcel THEN 'tk1' END AS cou
 """)
 def dim_delivery_feeds(t):
     lake = roles.staging(t)
-    out = star.build_dim_delivery(empty(t.spark, "dim_delivery"), lake, star.new_headers(lake, ALL), ALL)
+    out = _merged(t, "dim_delivery", star.delivery_feeds(lake, star.new_headers(lake, ALL), ALL))
     return out.drop("pickupat", "handleteam_note2", "handleteam_note3")
 
 
@@ -118,7 +125,7 @@ QUALIFY row_number() OVER (PARTITION BY id ORDER BY ts_at DESC, orderid DESC) =
 """)
 def dim_customer_surrogate(t):
     new = star.new_headers(roles.staging(t), ALL)
-    return star.build_dim_customer(empty(t.spark, "dim_customer"), new).drop("district")
+    return _merged(t, "dim_customer", star.customer_feeds(new)).drop("district")
 
 
 @query(f"""
@@ -141,7 +148,7 @@ UNION ALL SELECT id, cast(price AS bigint), NULL FROM fresh
 def dim_product_members(t):
     lake = roles.staging(t)
     lines = star.new_lines(lake, star.new_headers(lake, ALL))
-    out = star.build_dim_product(roles.catalogue(t), lake, lines, ALL)
+    out = _merged(t, "dim_product", star.product_feeds(roles.catalogue(t), lake, lines, ALL))
     return out.select("productid", "retailprice", "cate_purpose")
 
 
@@ -159,8 +166,8 @@ def dim_reconciliation_keys(t):
     lake = roles.staging(t)
     new = star.new_headers(lake, ALL)
     new["pos"] = star.fix_tracking(new["pos"], star.parcel_keys(empty(t.spark, "dim_delivery"), lake, new, ALL))
-    return star.build_dim_reconciliation(empty(t.spark, "dim_reconciliation"), lake, new, ALL,
-                                         star.courier_money(lake, ALL), star.tiktok_money(lake, ALL))
+    return _merged(t, "dim_reconciliation", star.reconciliation_feeds(
+        lake, new, ALL, star.courier_money(lake, ALL), star.tiktok_money(lake, ALL)))
 
 
 @query(f"""
@@ -174,7 +181,7 @@ def fact_lines(t):
     lake = roles.staging(t)
     new = star.new_headers(lake, ALL)
     new["pos"] = star.fix_tracking(new["pos"], star.parcel_keys(empty(t.spark, "dim_delivery"), lake, new, ALL))
-    fact = star.insert_fact(empty(t.spark, "fact_orderdetails"), star.new_lines(lake, new))
+    fact = _merged(t, "fact_orderdetails", star.fact_feeds(star.new_lines(lake, new)))
     return fact.select(
         "orderid", "productid", "parentproductid", "deliveryid", "customer_surrogateid", "transaction_orderid",
         "baseorder_cod_collected_allquantity", "baseorder_codprepaid_allquantity", "quantity", "originalprice",

@@ -16,15 +16,17 @@ from orderloom.operators.merge import upsert_feeds
 from orderloom.operators.relational import delete_keys, lookup, null_unmatched, union_all, update_from
 from orderloom.operators.settlement import settle
 from orderloom.operators.tracking import advance, changed_groups, since
-from orderloom.schemas import BASE_MEASURES, conform
+from orderloom.schemas import BASE_MEASURES, STAR_KEYS, conform
 
 UNCONFIRMED = ("don moi", "cho khach xac nhan")
-ZEROS = dict.fromkeys([*BASE_MEASURES, "extradiscountamount_allquantity", "return_quantity"], 0)
+DEFAULTS = {"fact_orderdetails": dict.fromkeys(
+    [*BASE_MEASURES, "extradiscountamount_allquantity", "return_quantity"], 0)}
 
 Tables = dict[str, DataFrame]
 Marks = dict[str, datetime]
-Step = Callable[[DataFrame], DataFrame]
-Keep = Callable[[str, DataFrame], DataFrame]
+Feeds = list[tuple[DataFrame, list[str]]]
+Stage = Callable[[DataFrame], DataFrame]
+Merge = Callable[[str, Feeds], DataFrame]
 
 
 def _as(df: DataFrame, **cols: str | Column) -> DataFrame:
@@ -42,7 +44,8 @@ def new_headers(lake: Tables, marks: Marks) -> Tables:
     }
 
 
-def build_dim_order(dim: DataFrame, new: Tables) -> DataFrame:
+def order_feeds(new: Tables) -> Feeds:
+    """Headers of three channels."""
     shop = {"created_byperson": "shopname", "cancel_reason": "cancel_reason", "lastupdateat": "dw_updatedat"}
     shopee = _as(new["shopee"], orderid="orderid", createdat="createdat", status="orderstatus",
                  platform=F.lit("Shopee shops"), return_reason="returned_orderids", **shop)
@@ -51,11 +54,11 @@ def build_dim_order(dim: DataFrame, new: Tables) -> DataFrame:
     pos = _as(new["pos"], orderid="orderid", createdat="created_at", status="orderstatus",
               parentsource="orderparentsource", source="ordersource", platform="platform",
               created_byperson="created_byperson", is_wrongproduct="is_wrongproduct", lastupdateat="dw_updatedat")
-    return upsert_feeds(dim, [(shopee, []), (tiktok, []), (pos, [])], ["orderid"])
+    return [(shopee, []), (tiktok, []), (pos, [])]
 
 
-def build_dim_delivery(dim: DataFrame, lake: Tables, new: Tables, marks: Marks) -> DataFrame:
-    """Parcels from the two marketplaces, the courier files and the handling notes, in this order."""
+def delivery_feeds(lake: Tables, new: Tables, marks: Marks) -> Feeds:
+    """Parcels from the two marketplaces, the courier files and the handling notes, in this order."""
     shopee = _as(new["shopee"], trackingnumber="delivery_orderid", courier="courier", delivery_status="orderstatus",
                  createdat="createdat", pickupat="pickupat", deliveryat="completedat", lastupdateat="dw_updatedat",
                  __by="orderid")
@@ -70,8 +73,7 @@ def build_dim_delivery(dim: DataFrame, lake: Tables, new: Tables, marks: Marks)
                 trackingnumber="delivery_orderid", scan_deliveryorder_at="scan_deliveryorder_at",
                 handleteam_note1="handleteam_note1", handleteam_note2="handleteam_note2",
                 handleteam_note3="handleteam_note3", lastupdateat="dw_updatedat")
-    feeds = [(shopee, ["lastupdateat", "__by"]), (tiktok, ["lastupdateat", "__by"]), (parcels, []), (notes, [])]
-    return upsert_feeds(dim, feeds, ["trackingnumber"])
+    return [(shopee, ["lastupdateat", "__by"]), (tiktok, ["lastupdateat", "__by"]), (parcels, []), (notes, [])]
 
 
 def parcel_keys(dim: DataFrame, lake: Tables, new: Tables, marks: Marks) -> DataFrame:
@@ -92,7 +94,8 @@ def fix_tracking(pos: DataFrame, dim_delivery: DataFrame) -> DataFrame:
     return null_unmatched(pos, "trackingnumber", dim_delivery, "trackingnumber")
 
 
-def build_dim_customer(dim: DataFrame, new: Tables) -> DataFrame:
+def customer_feeds(new: Tables) -> Feeds:
+    """Buyers under a key made of account or phone and city; the latest order describes them."""
     account = F.coalesce("buyer_accountname", F.lit(""))
     shopee = _as(new["shopee"], customer_surrogateid=account, ecommerce_name=account, __at="dw_updatedat",
                  __by="orderid")
@@ -104,10 +107,10 @@ def build_dim_customer(dim: DataFrame, new: Tables) -> DataFrame:
               phonenumber="customerphonenumber", name="customername", country=F.lit("Viet Nam"),
               city="customer_cityaddress", district="customer_districtaddress", __at="dw_updatedat", __by="orderid")
     order = ["__at", "__by"]
-    return upsert_feeds(dim, [(shopee, order), (tiktok, order), (pos, order)], ["customer_surrogateid"])
+    return [(shopee, order), (tiktok, order), (pos, order)]
 
 
-def build_dim_product(dim: DataFrame, lake: Tables, lines: Tables, marks: Marks) -> DataFrame:
+def product_feeds(dim: DataFrame, lake: Tables, lines: Tables, marks: Marks) -> Feeds:
     """Parent skus nobody has listed, at their mean selling price; the first channel to sell one names it."""
     parent = "parentproductid"
 
@@ -125,7 +128,7 @@ def build_dim_product(dim: DataFrame, lake: Tables, lines: Tables, marks: Marks)
     fresh = delete_keys(found, dim, {parent: "productid"})
     fresh = fresh.groupBy(F.col(parent).alias("productid")).agg(
         F.min_by(F.struct("retailprice"), "__seq")["retailprice"].cast("bigint").alias("retailprice"))
-    return union_all(dim, fresh).select(*dim.columns)
+    return [(fresh, [])]
 
 
 def courier_money(lake: Tables, marks: Marks) -> DataFrame:
@@ -154,9 +157,8 @@ def tiktok_money(lake: Tables, marks: Marks) -> DataFrame:
     return lookup(sums, texts, key, ["all_at"])
 
 
-def build_dim_reconciliation(dim: DataFrame, lake: Tables, new: Tables, marks: Marks, couriers: DataFrame,
-                             tiktok: DataFrame) -> DataFrame:
-    """One row per key that may be settled, and what was settled so far."""
+def reconciliation_feeds(lake: Tables, new: Tables, marks: Marks, couriers: DataFrame, tiktok: DataFrame) -> Feeds:
+    """One row per key that may be settled, and what was settled so far."""
     key = "order_or_delivery_id"
     placeholders = union_all(
         _as(new["shopee"], **{key: "orderid"}), _as(new["tiktok"], **{key: "orderid"}),
@@ -168,7 +170,7 @@ def build_dim_reconciliation(dim: DataFrame, lake: Tables, new: Tables, marks: M
     market = _as(tiktok, **{key: "order_or_statement_id"},
                  max_transactiontime=F.col("max_at").cast("timestamp_ntz"),
                  min_transactiontime=F.col("min_at").cast("timestamp_ntz"), all_transactiontime="all_at")
-    return upsert_feeds(dim, [(placeholders, []), (paid, []), (market, [])], [key])
+    return [(placeholders, []), (paid, []), (market, [])]
 
 
 def new_lines(lake: Tables, new: Tables) -> Tables:
@@ -188,7 +190,7 @@ def new_lines(lake: Tables, new: Tables) -> Tables:
     }
 
 
-def insert_fact(fact: DataFrame, lines: Tables) -> DataFrame:
+def fact_feeds(lines: Tables) -> Feeds:
     """Order lines of the three channels, with the measures each of them knows."""
     pos = _as(
         lines["pos"], orderid="orderid", productid="productid", parentproductid="parentproductid",
@@ -214,8 +216,12 @@ def insert_fact(fact: DataFrame, lines: Tables) -> DataFrame:
         transaction_orderid="orderid", baseorder_cod_collected_allquantity=(shown * qty - off).cast("double"),
         quantity=qty, originalprice=shown, discountamount_allquantity=off.cast("double"),
         lastupdateat="dw_updatedat")
-    return upsert_feeds(fact, [(pos, []), (shopee, []), (tiktok, [])], ["orderid", "productid"],
-                        insert_defaults=ZEROS)
+    return [(pos, []), (shopee, []), (tiktok, [])]
+
+
+def merged(name: str, table: DataFrame, feeds: Feeds) -> DataFrame:
+    """A star table after its feeds."""
+    return upsert_feeds(table, feeds, STAR_KEYS[name], insert_defaults=DEFAULTS.get(name))
 
 
 def _newer(stamp: str):
@@ -294,48 +300,43 @@ def touched_orders(fact: DataFrame, lake: Tables, new: Tables, marks: Marks, cou
 
 
 def build_star(lake: Tables, star: Tables, marks: Marks, *, by_order: bool = False, only_touched: bool = False,
-               stage: Step | None = None, keep: Keep | None = None) -> Tables:
+               stage: Stage | None = None, merge: Merge | None = None) -> Tables:
     """The star after one run over the staging tables.
 
     by_order      recompute all lines of an order with a newer line (equals a full recompute); otherwise only
                   the newer lines themselves
     only_touched  the fact in the result holds just the orders that can change, to be merged by key
     stage         called for results that several steps read; give it back from storage to cut the plan there
-    keep          called with (name, frame) when a dimension is ready that later steps look up
+    merge         called with (dimension, feeds) to bring a dimension up to date; by default a lazy merge
     """
-    stage, keep = stage or (lambda df: df), keep or (lambda _, df: df)
+    stage = stage or (lambda df: df)
+    merge = merge or (lambda name, feeds: conform(merged(name, star[name], feeds), name))
     new = new_headers(lake, marks)
     known = parcel_keys(star["dim_delivery"], lake, new, marks)
     new["pos"] = stage(fix_tracking(new["pos"], known))
     lines = new_lines(lake, new)
     couriers, tiktok = stage(courier_money(lake, marks)), stage(tiktok_money(lake, marks))
 
-    def ready(name: str, df: DataFrame) -> DataFrame:
-        return keep(name, conform(df, name))
-
     dims = {
-        "dim_order": ready("dim_order", build_dim_order(star["dim_order"], new)),
-        "dim_delivery": ready("dim_delivery", build_dim_delivery(star["dim_delivery"], lake, new, marks)),
+        "dim_order": merge("dim_order", order_feeds(new)),
+        "dim_delivery": merge("dim_delivery", delivery_feeds(lake, new, marks)),
+        "dim_customer": merge("dim_customer", customer_feeds(new)),
+        "dim_product": merge("dim_product", product_feeds(star["dim_product"], lake, lines, marks)),
+        "dim_reconciliation": merge(
+            "dim_reconciliation", reconciliation_feeds(lake, new, marks, couriers, tiktok)),
     }
     old = star["fact_orderdetails"]
     if only_touched:
         touched = stage(touched_orders(old, lake, new, marks, couriers, tiktok))
         old = old.join(touched, "orderid", "left_semi")
     # Joins are grouped by key, so that a shuffle by parcel, one by transaction and one by order serve all steps.
-    fact = insert_fact(old, lines)
+    fact = merged("fact_orderdetails", old, fact_feeds(lines))
     fact = apply_parcels(fact, lake["deliveryorders"])
     fact = apply_returns(fact, lake["returnedorders_scan"])
     fact = apply_money(fact, couriers, tiktok)
     fact = stage(apply_bank(fact, lake["customerbanks"]))
     fact = settle(fact, dims["dim_order"], dims["dim_delivery"], marks["fact and dim tables"], by_order)
-    return {
-        **dims,
-        "dim_customer": ready("dim_customer", build_dim_customer(star["dim_customer"], new)),
-        "dim_product": ready("dim_product", build_dim_product(star["dim_product"], lake, lines, marks)),
-        "dim_reconciliation": ready("dim_reconciliation", build_dim_reconciliation(
-            star["dim_reconciliation"], lake, new, marks, couriers, tiktok)),
-        "fact_orderdetails": conform(fact, "fact_orderdetails"),
-    }
+    return {**dims, "fact_orderdetails": conform(fact, "fact_orderdetails")}
 
 
 def advance_log(log: DataFrame, lake: Tables, fact: DataFrame) -> DataFrame:
