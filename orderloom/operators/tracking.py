@@ -59,10 +59,13 @@ def since_each(df: DataFrame, name_col: str, marks: dict[str, datetime], col: st
     return since(df, floor, col).filter(F.col(col) > mark.otherwise(low))
 
 
-def changed_groups(df: DataFrame, keys: list[str], mark: datetime, stamp_col: str = "dw_updatedat") -> DataFrame:
-    """All rows of groups that have at least one row after the mark."""
-    touched = since(df, mark, stamp_col).select(*keys).distinct()
-    return df.join(touched, keys, "left_semi")
+def changed_groups(df: DataFrame, keys: list[str], mark: datetime, stamp_col: str = "dw_updatedat",
+                   also: DataFrame | None = None) -> DataFrame:
+    """All rows of groups that have at least one row after the mark, or whose key is in `also`."""
+    touched = since(df, mark, stamp_col).select(*keys)
+    if also is not None:
+        touched = touched.union(also.select(*keys))
+    return df.join(touched.distinct(), keys, "left_semi")
 
 
 def advance(log: DataFrame, tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:

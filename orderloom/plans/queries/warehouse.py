@@ -167,7 +167,7 @@ def dim_reconciliation_keys(t):
     new = star.new_headers(lake, ALL)
     new["pos"] = star.fix_tracking(new["pos"], star.parcel_keys(empty(t.spark, "dim_delivery"), lake, new, ALL))
     return _merged(t, "dim_reconciliation", star.reconciliation_feeds(
-        lake, new, ALL, star.courier_money(lake, ALL), star.tiktok_money(lake, ALL)))
+        lake, new, ALL, star.courier_money(lake, ALL, new), star.tiktok_money(lake, ALL, new)))
 
 
 @query(f"""

@@ -131,9 +131,17 @@ def product_feeds(dim: DataFrame, lake: Tables, lines: Tables, marks: Marks) ->
     return [(fresh, [])]
 
 
-def courier_money(lake: Tables, marks: Marks) -> DataFrame:
-    """Courier settlements per parcel, whole history of parcels with news."""
-    rows = changed_groups(lake["delivery_reconciliation"], ["delivery_orderid"], marks["delivery_reconciliation"])
+def transactions(new: Tables) -> DataFrame:
+    """Keys under which the orders of this run are settled."""
+    return union_all(_as(new["shopee"], id="orderid"), _as(new["tiktok"], id="orderid"),
+                     _as(new["pos"], id="trackingnumber").dropna())
+
+
+def courier_money(lake: Tables, marks: Marks, new: Tables) -> DataFrame:
+    """Courier settlements per parcel (C2, A7-A9): the whole history of keys with news, and of the orders of
+    this run, whose money may have come before them."""
+    rows = changed_groups(lake["delivery_reconciliation"], ["delivery_orderid"], marks["delivery_reconciliation"],
+                          also=transactions(new).withColumnRenamed("id", "delivery_orderid"))
     sums = rows.groupBy("delivery_orderid").agg(
         F.max("reconciliation_at").alias("max_at"), F.min("reconciliation_at").alias("min_at"),
         *signed_totals(F.col("reconciliation_value"), "amount"), F.max("dw_updatedat").alias("max_dw_updatedat"))
@@ -146,10 +154,11 @@ def courier_money(lake: Tables, marks: Marks) -> DataFrame:
     return lookup(sums, texts, "delivery_orderid", ["all_at", "all_content", "all_sessionid"])
 
 
-def tiktok_money(lake: Tables, marks: Marks) -> DataFrame:
+def tiktok_money(lake: Tables, marks: Marks, new: Tables) -> DataFrame:
     """Marketplace settlements per order or statement."""
     key, at = "order_or_statement_id", F.col("transactiontime")
-    rows = changed_groups(lake["tiktok_reconciliation"], [key], marks["tiktok_reconciliation"])
+    rows = changed_groups(lake["tiktok_reconciliation"], [key], marks["tiktok_reconciliation"],
+                          also=transactions(new).withColumnRenamed("id", key))
     sums = rows.groupBy(key).agg(
         F.max(at).alias("max_at"), F.min(at).alias("min_at"), F.sum("revenue").alias("positive_amount"),
         F.sum("totalfee").alias("negative_amount"), F.max("dw_updatedat").alias("max_dw_updatedat"))
@@ -315,7 +324,7 @@ def build_star(lake: Tables, star: Tables, marks: Marks, *, by_order: bool = Fal
     known = parcel_keys(star["dim_delivery"], lake, new, marks)
     new["pos"] = stage(fix_tracking(new["pos"], known))
     lines = new_lines(lake, new)
-    couriers, tiktok = stage(courier_money(lake, marks)), stage(tiktok_money(lake, marks))
+    couriers, tiktok = stage(courier_money(lake, marks, new)), stage(tiktok_money(lake, marks, new))
 
     dims = {
         "dim_order": merge("dim_order", order_feeds(new)),

@@ -41,13 +41,13 @@ class TableStore:
         """(snapshot, bucket -> version): at most one small row per bucket."""
         try:
             log = self.spark.read.schema(LOG).json(f"{self.root}/{name}/log")
-            last = log.agg(F.max("snapshot")).first()[0]
         except AnalysisException:
             return 0, {}
+        states = log.groupBy("snapshot").agg(F.collect_list(F.struct("bucket", "version")).alias("files"))
+        last = states.agg(F.max_by(F.struct("snapshot", "files"), "snapshot").alias("state")).first().state
         if last is None:
             return 0, {}
-        rows = log.filter(F.col("snapshot") == last).collect()
-        return last, {r.bucket: r.version for r in rows if r.bucket is not None}
+        return last.snapshot, {f.bucket: f.version for f in last.files if f.bucket is not None}
 
     def read(self, name: str, buckets: list[int] | None = None) -> DataFrame:
         """The current rows, of some buckets only if given."""
