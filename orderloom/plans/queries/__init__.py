@@ -1,3 +1,3 @@
 """Registered queries by operator family."""
 
-from orderloom.plans.queries import aggregates, merges, relational, text, warehouse  # noqa: F401
+from orderloom.plans.queries import aggregates, feeds, merges, relational, text, warehouse  # noqa: F401

@@ -124,6 +124,9 @@ def product_feeds(dim: DataFrame, lake: Tables, lines: Tables, marks: Marks) ->
         priced(0, lines["shopee"], F.col("realprice")),
         priced(1, lines["tiktok"], F.col("displayprice"), F.col("shopdiscount_allquantities"), F.col("quantity")),
         priced(2, pos, F.col("price"), F.col("discount_allproduct"), F.col("quantity")),
+        # Orders without lines refer to the blank product.
+        lines["pos"].filter(F.col(parent) == "").select(
+            parent, F.lit(None).cast("double").alias("retailprice"), F.lit(3).alias("__seq")),
     )
     fresh = delete_keys(found, dim, {parent: "productid"})
     fresh = fresh.groupBy(F.col(parent).alias("productid")).agg(
