@@ -35,18 +35,26 @@ def _fold_table() -> tuple[str, str]:
 
 
 def fold_diacritics(col: Column) -> Column:
-    """ASCII form of accented Latin text; NULL stays NULL."""
+    """ASCII form of accented Latin text; NULL stays NULL.
+
+    Plain ASCII text is passed through after one look, and the folds to several letters run only on texts
+    that hold such a letter.
+    """
     plain, folded = _fold_table()
-    out = F.regexp_replace(col, r"\p{Mn}+", "")
-    out = F.translate(out, plain, folded)
+    out = F.translate(F.regexp_replace(col, r"\p{Mn}+", ""), plain, folded)
+    wide = out
     for letter, text in MULTI_FOLDS.items():
-        out = F.replace(out, F.lit(letter), F.lit(text))
-    return out
+        wide = F.replace(wide, F.lit(letter), F.lit(text))
+    out = F.when(col.rlike("[" + "".join(MULTI_FOLDS) + "]"), wide).otherwise(out)
+    return F.when(col.rlike(r"[^\x00-\x7F]"), out).otherwise(col)
+
+
+WHITE_SPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\u00a0\u2028\u2029\u3000"
 
 
 def strip_ws(col: Column) -> Column:
     """Cut all white space at both ends, not only blanks."""
-    return F.regexp_replace(col, r"^\s+|\s+$", "")
+    return F.btrim(col, F.lit(WHITE_SPACE))
 
 
 def drop_ws(col: Column) -> Column:
@@ -73,7 +81,7 @@ def zero_if_null(col: Column) -> Column:
 
 def comma_list(col: Column) -> Column:
     """Ids split by blanks, tabs, line breaks, plus or minus, joined by single commas."""
-    return F.regexp_replace(F.regexp_replace(strip_ws(col), r"[\n\t +-]", ","), r",+", ",")
+    return F.regexp_replace(strip_ws(col), r"[\n\t +,-]+", ",")
 
 
 def sku_prefix(col: Column, sep: str = "-") -> Column:
@@ -178,8 +186,7 @@ def sum_columns(cols: list[Column], sign: int = 1) -> Column:
 
 def sum_array(array: Column, field: str) -> Column:
     """Sum of a text field inside an array of structs; NULL as soon as one is not a whole number."""
-    values = F.transform(array, lambda item: item[field].try_cast("bigint"))
-    return F.aggregate(values, F.lit(0).cast("bigint"), lambda acc, v: acc + v)
+    return F.aggregate(array, F.lit(0).cast("bigint"), lambda total, item: total + item[field].try_cast("bigint"))
 
 
 def list_text(array: Column, sep: str = ",") -> Column:

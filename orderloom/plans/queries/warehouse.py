@@ -29,7 +29,7 @@ def _built(t, keep=False):
     def merge(name, feeds):
         return stage(conform(star.merged(name, blank[name], feeds), name))
 
-    tables = star.build_star(roles.staging(t), blank, ALL, stage=stage, merge=merge if keep else None)
+    tables = star.build_star(roles.staging(t, stage), blank, ALL, stage=stage, merge=merge if keep else None)
     return {**tables, "fact_orderdetails": stage(tables["fact_orderdetails"])} if keep else tables
 
 
@@ -147,7 +147,7 @@ UNION ALL SELECT id, cast(price AS bigint), NULL FROM fresh
 UNION ALL SELECT '', NULL, NULL FROM (SELECT count(*) AS n FROM fact0 WHERE productid = '') WHERE n > 0
 """)
 def dim_product_members(t):
-    lake = roles.staging(t)
+    lake = roles.staging(t, Staged(t.spark))
     lines = star.new_lines(lake, star.new_headers(lake, ALL))
     out = _merged(t, "dim_product", star.product_feeds(roles.catalogue(t), lake, lines, ALL))
     return out.select("productid", "retailprice", "cate_purpose")
@@ -179,7 +179,7 @@ SELECT orderid, productid, parentproductid, deliveryid, customer AS customer_sur
   ts_at AS lastupdateat FROM fact0
 """)
 def fact_lines(t):
-    lake = roles.staging(t)
+    lake = roles.staging(t, Staged(t.spark))
     new = star.new_headers(lake, ALL)
     new["pos"] = star.fix_tracking(new["pos"], star.parcel_keys(empty(t.spark, "dim_delivery"), lake, new, ALL))
     fact = _merged(t, "fact_orderdetails", star.fact_feeds(star.new_lines(lake, new)))

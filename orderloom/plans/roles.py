@@ -133,8 +133,11 @@ settled AS (SELECT *, cast(floor(success * 10000 + 0.5) AS bigint) AS parts,
     sum(cast(floor(success * 10000 + 0.5) AS bigint)) OVER (PARTITION BY l_orderkey) AS all_parts FROM valued)"""
 
 
-def staging(t) -> dict[str, DataFrame]:
-    """All staging tables, derived from the shared tables."""
+def staging(t, stage=None) -> dict[str, DataFrame]:
+    """All staging tables, derived from the shared tables.
+
+    stage   writes the product lines, from which four of the tables are made, once
+    """
     orders = lookup(t.orders, t.customer, {"o_custkey": "c_custkey"}, ["c_name", "c_mktsegment", "c_nationkey"])
     orders = lookup(orders, t.nation, {"c_nationkey": "n_nationkey"}, ["n_name"])
     number, at = F.col("o_orderkey"), F.col("o_orderdate")
@@ -150,6 +153,8 @@ def staging(t) -> dict[str, DataFrame]:
         F.max(cents("l_discount")).alias("off"), F.max("l_shipdate").alias("shipped"))
     sku = F.concat(F.lit("P"), "l_partkey", F.lit("-"), "supplier")
     lines = lookup(lines, t.orders, {"l_orderkey": "o_orderkey"}, ["o_orderpriority"]).withColumn("sku", sku)
+    if stage is not None:
+        lines = stage(lines)
 
     out = {
         "nhanhvnorders": orders.filter(pos).select(
