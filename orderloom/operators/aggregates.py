@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.scalar import safe_ratio
+from orderloom.operators.relational import join_back
 
 GROUP = "__g_"
 
@@ -73,16 +72,12 @@ def average_price(df: DataFrame, key: str, price: Column, discount: Column | Non
 
 
 def with_totals(df: DataFrame, keys: list[str], totals_by: dict[str, Column]) -> DataFrame:
-    """Every row with sums over its key group; keys are never NULL.
+    """Every row with sums over its key group.
 
     Same result as a whole-partition window, but sums are pre-aggregated before the shuffle and
     joined back, so that a hot key is split by the adaptive join where a window would put it in one task.
     """
-    sums = df.groupBy(*[F.col(k).alias(GROUP + k) for k in keys]).agg(
-        *[F.sum(c).alias(n) for n, c in totals_by.items()]
-    )
-    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(GROUP + k) for k in keys])
-    return df.join(sums, same, "left").select(*df.columns, *totals_by)
+    return join_back(df, totals(df, keys, sums=totals_by), keys)
 
 
 def allocate(amount: Column, weight: Column, whole: Column) -> Column:

@@ -47,11 +47,35 @@ def _pairs(on) -> dict[str, str]:
 
 def _join(df: DataFrame, other: DataFrame, on, cols: list[str]) -> DataFrame:
     keys = _pairs(on)
-    return df.join(_prefixed(other, keys, cols), _equal(keys), "left")
+    return df.join(_known(_prefixed(other, keys, cols), keys), _equal(keys), "left")
 
 
 def _equal(keys) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k) == F.col(RIGHT + k) for k in keys])
+    """Join condition on keys whose right side is never NULL, so that NULL on the left matches nothing.
+
+    The null-safe form does not change the result. It makes Catalyst shuffle the right side for the join itself,
+    also where that is a grouped frame already partitioned by the key: adaptive execution splits a hot key only in
+    joins that sit directly on their shuffles.
+    """
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(RIGHT + k)) for k in keys])
+
+
+def _known(right: DataFrame, keys) -> DataFrame:
+    return right.filter(reduce(lambda a, b: a & b, [F.col(RIGHT + k).isNotNull() for k in keys]))
+
+
+def keep_keys(df: DataFrame, wanted: DataFrame, on) -> DataFrame:
+    """Rows whose key is among the wanted ones."""
+    keys = _pairs(on)
+    right = wanted.select(*[F.col(src).alias(RIGHT + dst) for dst, src in keys.items()]).distinct()
+    return df.join(_known(right, keys), _equal(keys), "left_semi")
+
+
+def join_back(df: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """Every row of df with the columns of its group; NULL keys form a group. `groups` holds each key once."""
+    added = [c for c in groups.columns if c not in keys]
+    right = groups.select(*[F.col(k).alias(RIGHT + k) for k in keys], *added)
+    return df.join(right, _equal(keys), "left").select(*df.columns, *added)
 
 
 def lookup(df: DataFrame, other: DataFrame, on, cols: list[str] | dict[str, str]) -> DataFrame:
@@ -67,7 +91,7 @@ def lookup(df: DataFrame, other: DataFrame, on, cols: list[str] | dict[str, str]
 def missing_members(df: DataFrame, key: Column, dim: DataFrame, dim_key: str, name: str = "member") -> DataFrame:
     """Rows whose key is not in the dimension, the key added as a column."""
     known = dim.select(F.col(dim_key).alias(RIGHT + name))
-    return df.withColumn(name, key).join(known, _equal([name]), "left_anti")
+    return df.withColumn(name, key).join(_known(known, [name]), _equal([name]), "left_anti")
 
 
 def update_from(
@@ -98,7 +122,7 @@ def update_from(
 def null_unmatched(df: DataFrame, col: str, dim: DataFrame, key: str) -> DataFrame:
     """Empty a reference that the dimension does not hold."""
     known = dim.select(F.col(key).alias(RIGHT + col)).distinct()
-    joined = df.join(known, _equal([col]), "left")
+    joined = df.join(_known(known, [col]), _equal([col]), "left")
     return joined.select(*[F.col(RIGHT + c).alias(c) if c == col else c for c in df.columns])
 
 
@@ -106,7 +130,7 @@ def delete_keys(df: DataFrame, doomed: DataFrame, on) -> DataFrame:
     """Rows whose key is not among the doomed ones."""
     keys = _pairs(on)
     gone = doomed.select(*[F.col(src).alias(RIGHT + dst) for dst, src in keys.items()])
-    return df.join(gone, _equal(keys), "left_anti")
+    return df.join(_known(gone, keys), _equal(keys), "left_anti")
 
 
 def delete_where(df: DataFrame, predicate: Column) -> DataFrame:
@@ -123,7 +147,7 @@ def map_codes(df: DataFrame, col: str, mapping: DataFrame, order: str | None = N
     labels = mapping.groupBy(F.col(code).alias(RIGHT + col)).agg(
         (F.max_by(label, order) if order else F.max(label)).alias(RIGHT + "label")
     )
-    joined = df.join(labels, _equal([col]), "left")
+    joined = df.join(_known(labels, [col]), _equal([col]), "left")
     return joined.select(*[F.col(RIGHT + "label").alias(c) if c == col else c for c in df.columns])
 
 

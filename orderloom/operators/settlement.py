@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.operators import outcome as o
-from orderloom.operators.aggregates import allocate, with_totals
-from orderloom.operators.relational import lookup
+from orderloom.operators.aggregates import allocate, totals, with_totals
+from orderloom.operators.relational import join_back, lookup
 
 MARKETPLACES = ("Shopee shops", "Tiktok shops")
 # Kept values may be fractions of a dong. They are summed as whole numbers of this part of a dong,
@@ -35,14 +35,15 @@ def classify(fact: DataFrame, dim_order: DataFrame, dim_delivery: DataFrame, mar
     newer = F.coalesce(F.col("lastupdateat") > F.lit(mark).cast("timestamp_ntz"), F.lit(False))
     if mark is not None and by_order:
         sums["__new"] = newer.cast("int")
-    rows = with_totals(rows, ["orderid"], sums)
+    # Sums and header of an order are brought together first, so that the lines are shuffled once for both.
+    per_order = lookup(totals(rows, ["orderid"], sums=sums), dim_order, "orderid", {
+        "parentsource": "__parent", "status": "__status", "return_reason": "__reason", "platform": "__platform"})
+    rows = join_back(rows, per_order, ["orderid"])
     if mark is None:
         gate = F.lit(True)
     else:
         gate = F.col("__new") > 0 if by_order else newer
-    rows = lookup(rows.withColumn("__gate", gate), dim_order, "orderid", {
-        "parentsource": "__parent", "status": "__status", "return_reason": "__reason", "platform": "__platform"})
-    rows = lookup(rows, dim_delivery, {"deliveryid": "trackingnumber"}, {
+    rows = lookup(rows.withColumn("__gate", gate), dim_delivery, {"deliveryid": "trackingnumber"}, {
         "courier": "__courier", "delivery_status": "__delivery"})
     rows = rows.withColumn("__paid", o.paid(
         F.col("baseorder_cod_collected_allquantity"), F.col("baseorder_codbank_collected_allquantity"),

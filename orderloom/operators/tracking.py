@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.operators.merge import insert_ignore
-from orderloom.operators.relational import union_all
+from orderloom.operators.relational import keep_keys, union_all
 
 START = datetime(1970, 1, 1)
 LOG_SCHEMA = T.StructType([
@@ -65,7 +65,7 @@ def changed_groups(df: DataFrame, keys: list[str], mark: datetime, stamp_col: st
     touched = since(df, mark, stamp_col).select(*keys)
     if also is not None:
         touched = touched.union(also.select(*keys))
-    return df.join(touched.distinct(), keys, "left_semi")
+    return keep_keys(df, touched, keys)
 
 
 def advance(log: DataFrame, tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:

@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderloom.operators.relational import join_back
+
 BLOCK_ROWS = 100_000
 
 
@@ -72,8 +74,7 @@ def split_even(df: DataFrame, col: str, by, row_no: str = "row_no", block_rows:
     by = _partition(by)
     names = df.columns
     numbered = runs(df, col, by, row_no, "__run", block_rows)
-    sizes = numbered.groupBy(*by, "__run").agg(F.count(F.lit(1)).alias("__size"))
-    joined = numbered.join(sizes, [*by, "__run"], "left")
+    joined = with_group_size(numbered, [*by, "__run"], "__size")
     return joined.select(*[(F.col(c) / F.col("__size")).alias(c) if c == col else F.col(c) for c in names])
 
 
@@ -95,18 +96,15 @@ def _one_per_key(df: DataFrame, keys, order: list[Column]) -> DataFrame:
     return df.withColumn("__rank", F.row_number().over(window)).filter("__rank = 1").drop("__rank")
 
 
-def duplicates(df: DataFrame, keys, null_safe: bool = True) -> DataFrame:
-    """All members of groups with more than one row. NULL keys form a group; switch that off for
-    keys without NULL, which saves a shuffle."""
+def duplicates(df: DataFrame, keys) -> DataFrame:
+    """All members of groups with more than one row; NULL keys form a group."""
     keys = _partition(keys)
     repeated = df.groupBy(*[F.col(k).alias("__k_" + k) for k in keys]).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
-    pairs = [(F.col(k), F.col("__k_" + k)) for k in keys]
-    same = reduce(lambda a, b: a & b, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col("__k_" + k)) for k in keys])
     return df.join(repeated, same, "left_semi")
 
 
 def with_group_size(df: DataFrame, keys, out: str) -> DataFrame:
     """Every row with the number of rows in its group."""
     keys = _partition(keys)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
-    return df.join(sizes, keys, "left").select(*df.columns, out)
+    return join_back(df, df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out)), keys)

@@ -13,7 +13,7 @@ from orderloom.functions.scalar import sku_prefix, surrogate
 from orderloom.operators import outcome as o
 from orderloom.operators.aggregates import average_price, ordered_text, signed_totals
 from orderloom.operators.merge import upsert_feeds
-from orderloom.operators.relational import delete_keys, lookup, null_unmatched, union_all, update_from
+from orderloom.operators.relational import delete_keys, keep_keys, lookup, null_unmatched, union_all, update_from
 from orderloom.operators.settlement import settle
 from orderloom.operators.tracking import advance, changed_groups, since
 from orderloom.schemas import BASE_MEASURES, STAR_KEYS, conform
@@ -306,8 +306,8 @@ def touched_orders(fact: DataFrame, lake: Tables, new: Tables, marks: Marks, cou
     return union_all(
         *[new[channel].select("orderid") for channel in ("shopee", "tiktok", "pos")],
         _as(since(lake["customerbanks"], marks["customerbanks"]), orderid="orderid"),
-        slim.join(changed, slim["deliveryid"] == changed["id"], "left_semi").select("orderid"),
-        slim.join(settled, slim["transaction_orderid"] == settled["id"], "left_semi").select("orderid"),
+        keep_keys(slim, changed, {"deliveryid": "id"}).select("orderid"),
+        keep_keys(slim, settled, {"transaction_orderid": "id"}).select("orderid"),
     ).distinct()
 
 
@@ -340,7 +340,7 @@ def build_star(lake: Tables, star: Tables, marks: Marks, *, by_order: bool = Fal
     old = star["fact_orderdetails"]
     if only_touched:
         touched = stage(touched_orders(old, lake, new, marks, couriers, tiktok))
-        old = old.join(touched, "orderid", "left_semi")
+        old = keep_keys(old, touched, "orderid")
     # Joins are grouped by key, so that a shuffle by parcel, one by transaction and one by order serve all steps.
     fact = merged("fact_orderdetails", old, fact_feeds(lines))
     fact = apply_parcels(fact, lake["deliveryorders"])
