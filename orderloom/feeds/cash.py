@@ -14,6 +14,7 @@ from orderloom.operators.quality import fail_rows, fallback_per_file, flag_files
 from orderloom.operators.relational import to_contract
 from orderloom.operators.windows import duplicates
 
+# Columns and cells of the landed files.
 JTE_CASH = ("Mã vận đơn", "Tiền thực nhận", "Kỳ thanh toán")
 SPX_CASH = ("Mã giao dịch", "Mã vận đơn", "Thời gian giao dịch", "Số tiền (VND)")
 GHN_CASH = ("Mã đơn GHN", "(1) + (2) + (3) + (4) + (5)")

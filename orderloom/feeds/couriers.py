@@ -18,6 +18,7 @@ GHTK_FEES = (
     "Phí thư tín, tài liệu", "Phí nguyên vật liệu", "Phí hoàn hàng", "Phí thay đổi địa chỉ giao", "Phí lưu kho",
     "Phí giao lại", "Phí đổi địa chỉ trả hàng", "Phí xuất trả lại", "Tiền tip COD", "Khuyến mãi",
 )
+# The other columns of the landed files.
 GHTK_PARCELS = ("Mã ĐH", "Mã ĐH shop", "Trạng thái đơn hàng", "Thời gian tạo đơn", "Thời gian lấy thành công",
                 "Thời gian giao hàng thành công", "Giá trị hàng hóa")
 GHTK_PAYMENTS = ("STT", "Mã đơn hàng", "Tiền CoD", *GHTK_FEES)

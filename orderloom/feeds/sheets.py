@@ -12,6 +12,7 @@ from orderloom.operators.quality import expect_or_drop, volume_gate
 from orderloom.operators.relational import to_contract, union_all
 from orderloom.operators.windows import BLOCK_ROWS, duplicates, fill_down, split_even
 
+# Columns of the sheets.
 CUSTOMER_BANK = ("ID", "Ngày", "ID đơn hàng", "Sđt khách bank", "Số tiền bank", "Người xác nhận", "Mã FT", "Ghi chú")
 RETURN_SCANS = ("Key", "NGÀY", "THÁNG", "Mã vận đơn", "Col1", "Mã SP")
 DELIVERY_SCANS = ("Mã vận đơn", "Ngày bắn đơn")

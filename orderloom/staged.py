@@ -8,10 +8,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="orderloom-")
+
+
 def staging_root(spark: SparkSession) -> str:
     """The folder the cluster names in spark.checkpoint.dir; a temporary one only for local sessions."""
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -19,9 +25,7 @@ def staging_root(spark: SparkSession) -> str:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="orderloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_root()
 
 
 class Staged:
