@@ -4,9 +4,9 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle import TESTDATA, compare, duck
+from orderloom.plans.registry import QUERIES, SQL
 
 SF = f"{TESTDATA}/sf0.001"
-SQL = entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -14,14 +14,15 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     ok, text = compare(spark, entry.queries()[name], SQL[name], SF, con)
     assert ok, text
 
 
 def test_contract(spark):
-    assert set(SQL) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql())
     df = entry.entry(spark)
     assert df.columns == ["orderid", "productid", "quantity", "return_quantity", "finalstatus"]
     assert df.count() > 0
