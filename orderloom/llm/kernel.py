@@ -58,7 +58,7 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
 class Texts:
     """The words of a few texts: buf, and for each word starts, ends, doc (its text's place in the batch)."""
 
-    def __init__(self, texts: pa.Array, lower: bool = False):
+    def __init__(self, texts: pa.Array, lower: bool = False, separator: np.ndarray = SPACE):
         raw = [t or b"" for t in texts.cast(pa.binary()).to_pylist()]
         self.n = len(raw)
         self.buf = np.frombuffer(b"\n".join([*raw, b""]), dtype=np.uint8)
@@ -66,7 +66,7 @@ class Texts:
             self.buf = LOWER[self.buf]
         lengths = np.fromiter((len(t) + 1 for t in raw), dtype=np.int64, count=self.n)
         self.doc_ends = np.cumsum(lengths) if self.n else np.zeros(0, dtype=np.int64)
-        inside = ~SPACE[self.buf]
+        inside = ~separator[self.buf]
         edge = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0, append=0))
         self.starts, self.ends = edge[0::2], edge[1::2]
         self.doc = np.searchsorted(self.doc_ends, self.starts, side="right")
