@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from orderloom.llm.decontaminate import leaks
 from orderloom.llm.jaccard_join import jaccard_links
+from orderloom.llm.language import held_out as language_held_out
+from orderloom.llm.language import language
 from orderloom.llm.mixing import mix
+from orderloom.llm.quality import quality
 from orderloom.llm.sharding import shards
 from orderloom.llm.tables import table
 from orderloom.llm.toxicity import held_out, toxicity
@@ -68,3 +71,15 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_key")
+
+
+@query()
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
+@query()
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language(docs).select("doc_id", language_held_out().alias("held_out"), "lang_pred", "score")

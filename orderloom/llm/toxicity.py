@@ -1,9 +1,10 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index, distance-weighted votes.
 
-Fit (once, on a documented bounded sample of labelled rows): the words whose presence tells the label apart by a chi-square test,
-their document frequencies over all documents, the examples as TF-IDF vectors of these words, and a logistic calibration of the
+Terms are words and the beginnings of words, since insults are inflected and compounded. Fit (once, on a documented bounded sample
+of labelled rows): the terms whose presence tells the label apart by a chi-square test, their document frequencies over all
+documents, the examples as TF-IDF vectors of these terms, and a logistic calibration of the
 votes, learnt leaving each example out. Score: each whole text becomes such a vector; its K nearest distinct example vectors (ties
-of the last included) vote with weight 1 / (1 - cosine + SOFTEN) for each example they stand for. A text with none of the words is
+of the last included) vote with weight 1 / (1 - cosine + SOFTEN) for each example they stand for. A text with none of the terms is
 at cosine 0 from everything; its votes are those of the examples that have none either.
 
 The index holds example vectors in blocks of BLOCK and, for each word and block, the largest weight. A block's bound is the sum of
@@ -32,29 +33,43 @@ BLOCK = 64
 K = 25
 SOFTEN = 0.05
 CACHE = 50_000
+BEGINNINGS = (4, 5, 6)  # bytes
 SEPARATOR = np.array([not (b >= 0x80 or chr(b).isalnum()) for b in range(256)])
 
 
-def _terms(column: pa.Array) -> tuple[kernel.Texts, np.ndarray]:
+def _terms(column: pa.Array) -> tuple[kernel.Texts, np.ndarray, np.ndarray]:
+    """The terms of each text, and the text each belongs to, text by text: its words and the beginnings of its longer words."""
     texts = kernel.Texts(column, lower=True, separator=SEPARATOR)
-    return texts, texts.hashes()
-
-
-def _in_words(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """The place of each hash among the sorted words, or -1."""
+    starts, ends, doc, salt = [texts.starts], [texts.ends], [texts.doc], [np.zeros(len(texts.starts), dtype=U)]
+    for length in BEGINNINGS:
+        longer = np.flatnonzero(texts.ends - texts.starts > length)
+        starts.append(texts.starts[longer])
+        ends.append(texts.starts[longer] + length)
+        doc.append(texts.doc[longer])
+        salt.append(np.full(len(longer), kernel.STEP[length], dtype=U))
+    hashes = kernel.span_hashes(texts.buf, np.concatenate(starts), np.concatenate(ends)) ^ np.concatenate(salt)
+    doc = np.concatenate(doc)
+    order = np.argsort(doc, kind="stable")
+    return texts, doc[order], hashes[order]
+
+
+def _in_words(words: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which hashes are among the sorted words, and the places of these among them."""
     if not len(words):
-        return np.full(len(hashes), -1, dtype=np.int64)
-    at = np.minimum(np.searchsorted(words, hashes), len(words) - 1)
-    return np.where(words[at] == hashes, at, -1)
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    maybe = np.zeros(1 << 16, dtype=bool)
+    maybe[(words >> U(48)).astype(np.int64)] = True
+    hit = np.flatnonzero(maybe[(hashes >> U(48)).astype(np.int64)])
+    at = np.minimum(np.searchsorted(words, hashes[hit]), len(words) - 1)
+    same = words[at] == hashes[hit]
+    return hit[same], at[same]
 
 
 def _vectors(column: pa.Array, words: np.ndarray, idf: np.ndarray):
-    """Per text the places of its words and their TF-IDF weights, of length 1."""
-    texts, hashes = _terms(column)
-    at = _in_words(words, hashes)
-    hit = np.flatnonzero(at >= 0)
-    doc, at = texts.doc[hit], at[hit]
-    code, count = np.unique(doc * max(1, len(words)) + at, return_counts=True)
+    """Per text the places of its terms and their TF-IDF weights, of length 1."""
+    texts, doc, hashes = _terms(column)
+    hit, at = _in_words(words, hashes)
+    code, count = np.unique(doc[hit] * max(1, len(words)) + at, return_counts=True)
     doc, at = np.divmod(code, max(1, len(words)))
     cut = np.searchsorted(doc, np.arange(texts.n + 1))
     for d in range(texts.n):
@@ -155,8 +170,8 @@ def _fresh(examples: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in kernel.slices(batches, "text"):
-            texts, hashes = _terms(batch.column("text"))
-            value, at = kernel.grams(hashes, texts.doc, 5)
+            texts = kernel.Texts(batch.column("text"), lower=True, separator=SEPARATOR)
+            value, at = kernel.grams(texts.hashes(), texts.doc, 5)
             cut = np.searchsorted(texts.doc[at], np.arange(texts.n + 1))
             low = [[int(kernel.mix(value[a:b] ^ kernel.STEP[s]).min()) >> 1 if b > a else None for s in range(4)] for a, b in zip(cut, cut[1:])]
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(low, pa.list_(pa.int64()))], names=["row", "low"])
@@ -175,9 +190,10 @@ def _choose_words(examples: DataFrame) -> list[int]:
 
     def run(batches):
         for batch in kernel.slices(batches, "text"):
-            texts, hashes = _terms(batch.column("text"))
+            texts, doc, hashes = _terms(batch.column("text"))
             label = np.array(batch.column("label").to_pylist())
-            out = [np.unique(hashes[a:b]) for a, b in zip(texts.first, texts.first[1:])]
+            cut = np.searchsorted(doc, np.arange(texts.n + 1))
+            out = [np.unique(hashes[a:b]) for a, b in zip(cut, cut[1:])]
             words = np.concatenate([*out, hashes[:0]])
             mark = np.repeat(label, [len(o) for o in out])
             word, at = np.unique(words, return_inverse=True)
@@ -201,10 +217,9 @@ def _frequencies(docs: DataFrame, words: np.ndarray) -> tuple[np.ndarray, int]:
     def run(batches):
         n, df = 0, np.zeros(len(words), dtype=np.int64)
         for batch in kernel.slices(batches, "text"):
-            texts, hashes = _terms(batch.column("text"))
-            at = _in_words(words, hashes)
-            hit = np.flatnonzero(at >= 0)
-            df += np.bincount(np.unique(texts.doc[hit] * max(1, len(words)) + at[hit]) % max(1, len(words)), minlength=len(words))[: len(words)]
+            texts, doc, hashes = _terms(batch.column("text"))
+            hit, at = _in_words(words, hashes)
+            df += np.bincount(np.unique(doc[hit] * max(1, len(words)) + at) % max(1, len(words)), minlength=len(words))[: len(words)]
             n += texts.n
         yield pa.RecordBatch.from_arrays([pa.array([-1, *range(len(words))], pa.int64()), pa.array([n, *df.tolist()], pa.int64())], names=["word", "n"])
 
