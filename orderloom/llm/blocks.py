@@ -34,21 +34,32 @@ def _split(keys: np.ndarray, buckets: int) -> np.ndarray:
     return np.searchsorted(keys, np.array([b * step for b in range(1, buckets)], dtype=U))
 
 
-def ask(block: int, order: int, keys: np.ndarray, counts: np.ndarray, buckets: int, width: int) -> list[dict]:
+def _planes(numbers: np.ndarray) -> bytes:
+    """The numbers' bytes plane by plane: the leading bytes of sorted keys, and of small counts, then compress to nearly nothing."""
+    return numbers.view(np.uint8).reshape(len(numbers), -1).T.tobytes()
+
+
+def _numbers(raw: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def ask(block: int, order: int, keys: np.ndarray, counts: np.ndarray, buckets: int, width: int) -> pa.Table:
     """Requests for sorted distinct keys; width: bytes of a key that are sent, after the leading bits the bucket stands for."""
     cuts = [0, *_split(keys, buckets).tolist(), len(keys)]
-    step, rows = (1 << 64) // buckets, []
+    step, bucket, sent, often = (1 << 64) // buckets, [], [], []
     for b, (start, stop) in enumerate(zip(cuts, cuts[1:])):
         if stop > start:
-            part = keys[start:stop]
+            part = keys[start:stop] - U(b * step)
             if width == 4:  # the leading 32 bits of what is left within the bucket
-                shift = max(0, step.bit_length() - 32)
-                part = ((part - U(b * step)) >> U(shift)).astype(np.uint32)
-            rows.append({"block": block, "ord": order, "bucket": b, "keys": part.tobytes(), "counts": counts[start:stop].astype(np.uint32).tobytes()})
-    return rows
+                part = (part >> U(max(0, step.bit_length() - 32))).astype(np.uint32)
+            bucket.append(b)
+            sent.append(_planes(part))
+            often.append(_planes(counts[start:stop].astype(np.uint32)))
+    return pa.table([pa.array([block] * len(bucket), pa.int64()), pa.array([order] * len(bucket), pa.int32()), pa.array(bucket, pa.int32()),
+                     pa.array(sent, pa.binary()), pa.array(often, pa.binary())], names=["block", "ord", "bucket", "keys", "counts"])
 
 
-ASKED = pa.schema([("block", pa.int64()), ("ord", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
 ASKED_SQL = "block long, ord int, bucket int, keys binary, counts binary"
 ANSWERED_SQL = "block long, ord int, bucket int, counts binary"
 
@@ -57,34 +68,46 @@ def _answer(width: int, encode: Callable[[np.ndarray], np.ndarray]):
     kind = np.uint32 if width == 4 else U
 
     def answer(table: pa.Table) -> pa.Table:
-        asked = [np.frombuffer(x, dtype=kind) for x in table.column("keys").to_pylist()]
-        counts = np.concatenate([np.frombuffer(x, dtype=np.uint32) for x in table.column("counts").to_pylist()]).astype(np.int64)
-        keys, place = np.unique(np.concatenate(asked), return_inverse=True)
-        del keys
-        total = encode(np.bincount(place, weights=counts).astype(np.int64))[place]
+        asked = [_numbers(x, kind) for x in table.column("keys").to_pylist()]
+        counts = np.concatenate([_numbers(x, np.uint32) for x in table.column("counts").to_pylist()])
         ends = np.cumsum([len(x) for x in asked])
-        parts = [total[e - len(x): e].tobytes() for x, e in zip(asked, ends)]
+        order = np.argsort(np.concatenate(asked), kind="stable")
+        keys = np.concatenate(asked)[order]
+        group = np.cumsum(np.diff(keys, prepend=keys[:1]) != 0)
+        total = np.empty(len(keys), dtype=np.int64)
+        total[order] = np.bincount(group, weights=counts[order]).astype(np.int64)[group]
+        total = encode(total)
+        parts = [_planes(total[e - len(x): e]) for x, e in zip(asked, ends)]
         return pa.table([table.column("block"), table.column("ord"), table.column("bucket"), pa.array(parts, pa.binary())],
                         names=["block", "ord", "bucket", "counts"])
 
     return answer
 
 
-def with_counts(routed: DataFrame, request, use, schema: str, *, width: int = 8, encode=lambda x: x.astype(np.uint32)) -> DataFrame:
-    """use(block's rows, {ord: counts in the order asked}) for each block of `routed` (a column `block`).
+def _found(right: pa.Table, kind) -> dict[int, np.ndarray]:
+    rows = sorted(zip(right.column("ord").to_pylist(), right.column("bucket").to_pylist(), right.column("counts").to_pylist()))
+    return {o: np.concatenate([_numbers(c, kind) for k, _, c in rows if k == o]) for o in {r[0] for r in rows}}
 
-    request(block, rows) gives rows of ask(); its keys per ord must be the distinct keys of the block in rising order.
+
+def answered(routed: DataFrame, before: DataFrame | None, request, *, width: int = 8, encode=lambda x: x, kind=np.int64) -> DataFrame:
+    """The counts, over all blocks, of the keys each block of `routed` (a column `block`) asks for.
+
+    request(block, rows, found) gives a table of ask(), its keys distinct and rising per ord; found has what `before` answered, by ord.
     """
-    dtype = encode(np.zeros(1, dtype=np.int64)).dtype
+    def first(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        return request(key[0].as_py(), table, {})
+
+    def later(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
+        return request(key[0].as_py(), left, _found(right, kind))
+
+    blocks = routed.groupBy("block")
+    asked = blocks.applyInArrow(first, ASKED_SQL) if before is None else blocks.cogroup(before.groupBy("block")).applyInArrow(later, ASKED_SQL)
+    return asked.groupBy("ord", "bucket").applyInArrow(_answer(width, encode), ANSWERED_SQL)
 
-    def requests(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        return pa.Table.from_pylist(request(key[0].as_py(), table), schema=ASKED)
 
+def with_answers(routed: DataFrame, answers: DataFrame, use, schema: str, kind) -> DataFrame:
+    """use(block's rows, {ord: counts in the order asked}) for each block."""
     def apply(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows = sorted(zip(right.column("ord").to_pylist(), right.column("bucket").to_pylist(), right.column("counts").to_pylist()))
-        found = {o: np.concatenate([np.frombuffer(c, dtype=dtype) for k, _, c in rows if k == o]) for o in {r[0] for r in rows}}
-        return use(left, found)
+        return use(left, _found(right, kind))
 
-    asked = routed.groupBy("block").applyInArrow(requests, ASKED_SQL)
-    answered = asked.groupBy("ord", "bucket").applyInArrow(_answer(width, encode), ANSWERED_SQL)
-    return routed.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(apply, schema)
+    return routed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(apply, schema)

@@ -97,7 +97,7 @@ def _candidates(points: DataFrame, words: int, threshold: tuple[int, int], n_blo
                     seen.add(key)
                     yield key, shingles
 
-    def request(block, table):
+    def request(block, table, found):
         every = np.concatenate([s for _, s in of_block(table)])
         keys, counts = np.unique(every, return_counts=True)
         return blocks.ask(block, 0, keys, counts, n_buckets, 4)
@@ -124,7 +124,8 @@ def _candidates(points: DataFrame, words: int, threshold: tuple[int, int], n_blo
         return np.minimum(255, np.ceil(8 * np.log2(np.maximum(counts, 1)))).astype(np.uint8)
 
     routed = points.withColumn("block", F.pmod(F.xxhash64("set_key_"), F.lit(n_blocks))).select("block", "set_key_", "text")
-    return blocks.with_counts(routed, request, use, "key string, n long, window array<long>, shingles binary", width=4, encode=log_rank)
+    answers = blocks.answered(routed, None, request, width=4, encode=log_rank)
+    return blocks.with_answers(routed, answers, use, "key string, n long, window array<long>, shingles binary", np.uint8)
 
 
 def _regions(candidates: DataFrame, stage) -> DataFrame:

@@ -11,6 +11,7 @@ from orderloom.llm.decontaminate import leaks
 from orderloom.llm.jaccard_join import jaccard_links
 from orderloom.llm.language import held_out as language_held_out
 from orderloom.llm.language import language
+from orderloom.llm.lm_score import lm_scores
 from orderloom.llm.mixing import mix
 from orderloom.llm.quality import quality
 from orderloom.llm.sharding import shards
@@ -83,3 +84,34 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language(docs).select("doc_id", language_held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query(f"""
+WITH words AS (SELECT doc_id, {WORDS_SQL.format("coalesce(text, '')")} AS w FROM documents),
+placed AS (SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM words),
+spot AS (SELECT *, lag(w) OVER d AS p, lag(w, 2) OVER d AS pp FROM placed WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+one AS (SELECT w, count(*) AS c FROM spot GROUP BY 1),
+one_own AS (SELECT doc_id, w, count(*) AS c FROM spot GROUP BY 1, 2),
+two AS (SELECT p, w, count(*) AS c FROM spot WHERE p IS NOT NULL GROUP BY 1, 2),
+two_own AS (SELECT doc_id, p, w, count(*) AS c FROM spot WHERE p IS NOT NULL GROUP BY 1, 2, 3),
+three AS (SELECT pp, p, w, count(*) AS c FROM spot WHERE pp IS NOT NULL GROUP BY 1, 2, 3),
+three_own AS (SELECT doc_id, pp, p, w, count(*) AS c FROM spot WHERE pp IS NOT NULL GROUP BY 1, 2, 3, 4),
+counts AS (SELECT s.doc_id, least(i, 3) AS reach, greatest(1, (SELECT count(*) FROM spot) - len(d.w)) AS others,
+    a.c - ao.c AS c1, b.c - bo.c AS c2, t.c - t_o.c AS c3, x.c - xo.c AS one_before, y.c - yo.c AS two_before
+  FROM spot s JOIN words d USING (doc_id) JOIN one a ON a.w = s.w JOIN one_own ao ON ao.doc_id = s.doc_id AND ao.w = s.w
+  LEFT JOIN one x ON x.w = s.p LEFT JOIN one_own xo ON xo.doc_id = s.doc_id AND xo.w = s.p
+  LEFT JOIN two b ON b.p = s.p AND b.w = s.w LEFT JOIN two_own bo ON bo.doc_id = s.doc_id AND bo.p = s.p AND bo.w = s.w
+  LEFT JOIN two y ON y.p = s.pp AND y.w = s.p LEFT JOIN two_own yo ON yo.doc_id = s.doc_id AND yo.p = s.pp AND yo.w = s.p
+  LEFT JOIN three t ON t.pp = s.pp AND t.p = s.p AND t.w = s.w
+  LEFT JOIN three_own t_o ON t_o.doc_id = s.doc_id AND t_o.pp = s.pp AND t_o.p = s.p AND t_o.w = s.w),
+scored AS (SELECT doc_id, CASE WHEN c3 > 0 THEN 3 WHEN c2 > 0 THEN 2 WHEN c1 > 0 THEN 1 ELSE 0 END AS n,
+    ln(CASE WHEN c3 > 0 THEN pow(0.4, reach - 3) * c3 / two_before WHEN c2 > 0 THEN pow(0.4, reach - 2) * c2 / one_before
+       WHEN c1 > 0 THEN pow(0.4, reach - 1) * c1 / others ELSE pow(0.4, reach) / others END) AS s FROM counts),
+sums AS (SELECT doc_id, sum(s) AS s, count(*) FILTER (n = 0) AS n0, count(*) FILTER (n = 1) AS n1, count(*) FILTER (n = 2) AS n2,
+    count(*) FILTER (n = 3) AS n3 FROM scored GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, round(coalesce(s, 0), 4) AS log_score, coalesce(n0, 0) AS n_order_0, coalesce(n1, 0) AS n_order_1,
+  coalesce(n2, 0) AS n_order_2, coalesce(n3, 0) AS n_order_3 FROM words LEFT JOIN sums USING (doc_id)
+""")
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = lm_scores(table(spark, sf_dir, "documents"))
+    return scores.withColumn("log_score", F.round("log_score", 4)).drop("mean_log_score")
