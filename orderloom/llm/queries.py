@@ -17,6 +17,7 @@ from orderloom.llm.quality import quality
 from orderloom.llm.sharding import shards
 from orderloom.llm.tables import table
 from orderloom.llm.toxicity import held_out, toxicity
+from orderloom.llm.warc import archive_roundtrip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -115,3 +116,18 @@ SELECT doc_id, len(w) AS n_words, round(coalesce(s, 0), 4) AS log_score, coalesc
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = lm_scores(table(spark, sf_dir, "documents"))
     return scores.withColumn("log_score", F.round("log_score", 4)).drop("mean_log_score")
+
+
+@query(r"""
+WITH page AS (SELECT page_id, url, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS size,
+    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)([^#]*)', ['host', 'rest']) AS u FROM pages),
+keyed AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS top,
+    regexp_replace(regexp_replace(lower(regexp_replace(u.host, '^.*@', '')), ':(80|443)$', ''), '^www\.', '') AS host FROM page),
+dealt AS (SELECT *, CASE WHEN url IS NULL THEN '' WHEN NOT regexp_matches(url, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN url
+    ELSE array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || CASE WHEN starts_with(u.rest, '/') THEN '' ELSE '/' END || u.rest END AS url_key FROM keyed)
+SELECT page_id, size AS payload_bytes, sha1(html) AS payload_digest, CASE WHEN size >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN size >= 1000 AND page_id <> top THEN top END AS refers_to, url_key, row_number() OVER (ORDER BY url_key, page_id) - 1 AS history_rank FROM dealt
+""")
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_roundtrip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "history_rank")
