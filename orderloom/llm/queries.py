@@ -11,6 +11,7 @@ from orderloom.llm.decontaminate import leaks
 from orderloom.llm.jaccard_join import jaccard_links
 from orderloom.llm.language import held_out as language_held_out
 from orderloom.llm.language import language
+from orderloom.llm.licences import licence_paragraphs
 from orderloom.llm.lm_score import lm_scores
 from orderloom.llm.mixing import mix
 from orderloom.llm.quality import quality
@@ -131,3 +132,8 @@ SELECT page_id, size AS payload_bytes, sha1(html) AS payload_digest, CASE WHEN s
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_roundtrip(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "history_rank")
+
+
+@query()
+def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_paragraphs(table(spark, sf_dir, "documents"))
