@@ -135,16 +135,17 @@ def _regions(candidates: DataFrame, stage) -> DataFrame:
     return components(held.join(least, "pivot").select(F.col("key").alias("a"), "b"), stage)
 
 
-def _split(cells: DataFrame, big: DataFrame, radius: float) -> DataFrame:
+def _split(cells: DataFrame, big: DataFrame, radius: float, stage) -> DataFrame:
     """The Voronoi cells of PIVOTS points of each big cell, with the replicas that the triangle inequality asks for.
 
     A big cell is dealt into parts of about CELL_POINTS points, each of which meets the pivots of its cell.
     """
     parts = F.ceil(F.greatest(F.col("points") / CELL_POINTS, F.col("shingles_") / CELL_SHINGLES)).cast("int")
-    inside = cells.join(big.select("cell", F.col("points").alias("was_"), parts.alias("parts_")), "cell")
+    inside = cells.drop("was_").join(big.select("cell", F.col("points").alias("was_"), parts.alias("parts_")), "cell")
     ranked = inside.select("cell", "parts_", "key", "shingles",
                            F.row_number().over(Window.partitionBy("cell").orderBy(F.xxhash64("cell", "key"), "key")).alias("rank_"))
-    pivots = ranked.filter(F.col("rank_") <= PIVOTS).select("cell", "key", "shingles", F.explode(F.sequence(F.lit(0), F.col("parts_") - 1)).alias("part"))
+    chosen = stage(ranked.filter(F.col("rank_") <= PIVOTS).select("cell", "key", "shingles", "parts_"))
+    pivots = chosen.select("cell", "key", "shingles", F.explode(F.sequence(F.lit(0), F.col("parts_") - 1)).alias("part"))
     points = inside.select("cell", F.pmod(F.xxhash64("key"), F.col("parts_")).cast("int").alias("part"), "key", "n", "copies", "shingles", "home", "was_")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -249,7 +250,7 @@ def _joined(points: DataFrame, threshold: tuple[int, int], stage) -> DataFrame:
         rest = big.filter(~F.coalesce(stuck, F.lit(False)))
         if rest.isEmpty():
             break
-        cells = stage(_split(cells, rest, radius))
+        cells = stage(_split(cells, rest, radius, stage))
     every = done[0]
     for part in done[1:]:
         every = every.unionByName(part)
