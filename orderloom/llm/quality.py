@@ -147,6 +147,14 @@ def _covers(rule: Rule, x: np.ndarray, names: list[str]) -> np.ndarray:
     return reduce(operator.and_, (c.holds(x, names) for c in rule), np.ones(len(x), dtype=bool))
 
 
+def _relaxed(c: Condition, others: np.ndarray) -> Condition:
+    """The threshold moved halfway to the nearest of the rows to keep that it shuts out."""
+    out = others[others < c.threshold] if c.above else others[others > c.threshold]
+    if not len(out):
+        return c
+    return Condition(c.name, c.above, float(c.threshold + (out.max() if c.above else out.min())) / 2)
+
+
 def _grow(x: np.ndarray, y: np.ndarray, names: list[str]) -> Rule:
     rule: list[Condition] = []
     inside = np.ones(len(x), dtype=bool)
@@ -165,6 +173,7 @@ def _grow(x: np.ndarray, y: np.ndarray, names: list[str]) -> Rule:
                         best, gain = Condition(name, above, float(t)), g
         if best is None:
             break
+        best = _relaxed(best, x[inside & ~y, names.index(best.name)])
         rule.append(best)
         inside &= best.holds(x, names)
     return tuple(rule)
