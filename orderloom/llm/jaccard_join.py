@@ -179,13 +179,13 @@ def _common(sets: list[np.ndarray]) -> np.ndarray:
     common = np.zeros((m, m), dtype=np.float32)
     for k in range(2, 17):  # shingles of few points: their pairs one by one
         at = starts[size == k]
-        for part in np.array_split(at, 1 + len(at) * k * k // (1 << 22)):
+        for part in np.array_split(at, 1 + len(at) * k * k // (1 << 19)):
             who = owner[part[:, None] + np.arange(k)]
             code = (who[:, :, None] * m + who[:, None, :]).ravel()
             if len(code):
                 common += np.bincount(code, minlength=m * m).reshape(m, m)
     many = np.flatnonzero(size > 16)
-    for part in np.array_split(many, 1 + len(many) // 2048):  # shingles of many: rows of 0 and 1, multiplied
+    for part in np.array_split(many, 1 + len(many) // 512):  # shingles of many: rows of 0 and 1, multiplied
         if len(part):
             has = np.zeros((m, len(part)), dtype=np.float32)
             for column, g in enumerate(part):

@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _POWERS: dict[str, np.ndarray] = {}
 
 
@@ -37,7 +37,7 @@ LOWER[65:91] += 32
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POWERS.get("up", ())) < n:
-        size = 1 << max(16, (n - 1).bit_length())
+        size = -(-n // 65536) * 65536
         for name, base in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
             steps = np.full(size, U(base), dtype=U)
             steps[0] = 1
