@@ -25,11 +25,11 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 EXAMPLES_PER_LANGUAGE = 1_500  # labelled rows learnt from, those with the smallest hash of doc_id
 ROUNDS = 3
 MAX_PIECE = 16
-MAX_BYTES = 96
+MAX_BYTES = 60
 BYTE_PROBABILITY = 1e-6
 POOLED = 0.02  # share of the pooled model that is mixed into each language
 SCALE = float(np.exp(2.5))  # keeps the forward sums of a word near 1
-LENGTHS = (4, 6, 8, 10, 12, 16, 20, 24, 32, 48, MAX_BYTES + 1)
+LENGTHS = (4, 6, 8, 10, 12, 16, 20, 24, 32, 48, MAX_BYTES)
 CACHE = 300_000
 SPACE_MARK = "▁"  # the vocabulary's mark of a word's beginning
 
