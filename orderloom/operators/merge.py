@@ -17,7 +17,8 @@ MODES = ("replace", "changed", "coalesce")
 
 def last_per_key(source: DataFrame, keys: list[str], order_col: str | None, mode: str = "replace",
                  stamp_col: str | None = None) -> DataFrame:
-    """One row per key out of a batch in which a key may come several times; the last row wins.
+    """One row per key out of a batch in which a key may come several times; the last row wins. Without an
+    order column the largest row wins, so that the order of arrival never decides.
 
     In coalesce mode the last known value of each column wins instead of the last row. Adds
     `__mixed` (changed mode: the batch holds unlike rows of the key) or `__lo_c` / `__hi_c` / `__gap_c`
@@ -25,8 +26,8 @@ def last_per_key(source: DataFrame, keys: list[str], order_col: str | None, mode
     """
     cols = [c for c in source.columns if c not in keys and c != order_col]
     values = [c for c in cols if c != stamp_col]
-    order = F.col(order_col) if order_col else F.lit(0)
     row = F.struct(*cols) if cols else F.struct(F.lit(True).alias("__none"))
+    order = F.col(order_col) if order_col else row
     aggs = [F.max_by(row, order).alias("__row")]
     extra: list[Column] = []
     if mode == "changed" and values:
@@ -122,9 +123,16 @@ def _known_differs(col: str, raw: bool) -> Column:
     return known | (F.col(f"{SRC}__gap_{col}") & old.isNotNull()) if raw else known
 
 
-def insert_ignore(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Append keys the target does not hold; known keys stay as they are, columns not given are NULL."""
-    fresh = delete_keys(source.dropna(subset=keys).dropDuplicates(keys), target, keys)
+def insert_ignore(target: DataFrame, source: DataFrame, keys: list[str], order_col: str | None = None) -> DataFrame:
+    """Append keys the target does not hold; known keys stay as they are, columns not given are NULL.
+
+    Of equal keys in the source the first in order_col is taken, without an order the smallest row.
+    """
+    cols = [c for c in source.columns if c not in keys and c != order_col]
+    row = F.struct(*cols) if cols else F.struct(F.lit(True).alias("__none"))
+    first = F.min_by(row, order_col) if order_col else F.min(row)
+    one = source.dropna(subset=keys).groupBy(*keys).agg(first.alias("__row")).select(*keys, *[F.col("__row")[c].alias(c) for c in cols])
+    fresh = delete_keys(one, target, keys)
     return target.unionByName(fresh, allowMissingColumns=True).select(*target.columns)
 
 

@@ -141,12 +141,12 @@ def delete_where(df: DataFrame, predicate: Column) -> DataFrame:
 def map_codes(df: DataFrame, col: str, mapping: DataFrame, order: str | None = None) -> DataFrame:
     """Code to label; unmapped codes become NULL. `mapping` is (code, label[, order]).
 
-    Where a code is listed twice, the row with the highest order wins.
+    Where a code is listed twice, the row with the highest order wins; without an order unlike labels are an error.
     """
     code, label = [c for c in mapping.columns if c != order][:2]
-    labels = mapping.groupBy(F.col(code).alias(RIGHT + col)).agg(
-        (F.max_by(label, order) if order else F.max(label)).alias(RIGHT + "label")
-    )
+    unlike = F.raise_error(F.concat(F.lit("two labels and no order for code "), F.first(code).cast("string"))).cast("string")
+    only = F.when(F.min(label).eqNullSafe(F.max(label)), F.max(label)).otherwise(unlike)
+    labels = mapping.groupBy(F.col(code).alias(RIGHT + col)).agg((F.max_by(label, order) if order else only).alias(RIGHT + "label"))
     joined = df.join(_known(labels, [col]), _equal([col]), "left")
     return joined.select(*[F.col(RIGHT + "label").alias(c) if c == col else c for c in df.columns])
 

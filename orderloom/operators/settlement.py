@@ -12,9 +12,9 @@ from orderloom.operators.aggregates import allocate, totals, with_totals
 from orderloom.operators.relational import join_back, lookup
 
 MARKETPLACES = ("Shopee shops", "Tiktok shops")
-# Kept values may be fractions of a dong. They are summed as whole numbers of this part of a dong,
-# so that a total does not depend on the order tasks finish in. All other amounts are whole.
-PARTS = 10_000
+# Kept values may be fractions of a dong. They are summed as decimals, exactly, so that a total does not
+# depend on the order tasks finish in. All other amounts are whole.
+EXACT = "decimal(28,10)"
 
 
 def classify(fact: DataFrame, dim_order: DataFrame, dim_delivery: DataFrame, mark: datetime | None = None,
@@ -64,11 +64,10 @@ def settle(fact: DataFrame, dim_order: DataFrame, dim_delivery: DataFrame, mark:
         F.col("finalstatus"), F.col("quantity"), F.col("originalprice"), F.col("discountamount_allquantity"),
         F.col("extradiscountamount_allquantity"), F.col("return_quantity"))
     rows = rows.withColumn("__success", success)
-    rows = rows.withColumn("__parts", F.floor(F.col("__success") * PARTS + 0.5).cast("bigint"))
-    rows = with_totals(rows, ["orderid"], {"__all_parts": F.col("__parts")})
+    rows = with_totals(rows, ["orderid"], {"__kept": F.col("__success").cast(EXACT)})
 
     by_quantity = (F.col("quantity"), F.col("__qty"))
-    by_success = (F.col("__parts"), F.col("__all_parts"))
+    by_success = (F.col("__success").cast(EXACT).cast("double"), F.col("__kept").cast("double"))
     positive = F.col("baseorder_positive_reconciliation_allquantity")
     new = {
         "shippingfee": allocate(F.col("baseorder_shippingfee"), *by_quantity),

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,14 +51,16 @@ def since(df: DataFrame, mark: datetime, col: str = "dw_updatedat") -> DataFrame
 
 def since_each(df: DataFrame, name_col: str, marks: dict[str, datetime], col: str = "dw_updatedat") -> DataFrame:
     """Rows after the mark of the feed they belong to, all feeds in one scan."""
-    low = F.lit(getattr(marks, "default", START)).cast("timestamp_ntz")
-    name = F.col(name_col)
-    mark = F.when(F.lit(False), low)
-    for feed, at in marks.items():
-        mark = mark.when(name == feed, F.lit(at).cast("timestamp_ntz"))
-    floor = min([*marks.values(), getattr(marks, "default", START)])
-    # The lowest mark is a plain value that the scan can prune by; the rest is decided row by row.
-    return since(df, floor, col).filter(F.col(col) > mark.otherwise(low))
+    name, stamped = F.col(name_col), F.col(col)
+
+    def after(mark: datetime) -> Column:
+        return stamped > F.lit(mark).cast("timestamp_ntz")
+
+    # A disjunction of plain comparisons, feed by feed: the scan prunes by each feed's own mark.
+    rest = after(getattr(marks, "default", START))
+    if marks:
+        rest = (name.isNull() | ~name.isin(*marks)) & rest
+    return df.filter(reduce(or_, [(name == feed) & after(at) for feed, at in marks.items()], rest))
 
 
 def changed_groups(df: DataFrame, keys: list[str], mark: datetime, stamp_col: str = "dw_updatedat",

@@ -65,11 +65,11 @@ def allocate_quantity_share(t):
 @query(f"""
 WITH {O}
 SELECT l_orderkey AS orderid, l_partkey AS productid, finalstatus,
-  CASE WHEN priority = '4-NOT SPECIFIED' THEN cast(success AS double) ELSE {share('cod', 'parts', 'all_parts')} END
+  CASE WHEN priority = '4-NOT SPECIFIED' THEN cast(success AS double) ELSE {share('cod', 'kept', 'all_kept')} END
     AS cod_collected_allquantity,
-  {share('bank', 'parts', 'all_parts')} AS codbank_collected_allquantity,
+  {share('bank', 'kept', 'all_kept')} AS codbank_collected_allquantity,
   CASE WHEN finalstatus IN ('Huy', 'Pending') THEN {share('whole', 'qty', 'total_qty')}
-    ELSE {share('whole', 'parts', 'all_parts')} END AS positive_reconciliation_allquantity,
+    ELSE {share('whole', 'kept', 'all_kept')} END AS positive_reconciliation_allquantity,
   {share('prepaid', 'worth', 'total')} AS codprepaid_allquantity
 FROM settled
 """)
@@ -196,7 +196,7 @@ SELECT orderid, productid, ship AS baseorder_shippingfee, cod AS baseorder_cod_c
   minus AS baseorder_negative_reconciliation_allquantity, back AS return_quantity, finalstatus, ts_at AS lastupdateat,
   cast(floor({share('ship', 'quantity', 'total_qty')} + 0.0001) AS bigint) AS shippingfee,
   cast(floor(CASE WHEN platform IN ('Shopee shops', 'Tiktok shops') THEN cast(success AS double)
-    ELSE {share('cod', 'parts', 'all_parts')} END + 0.0001) AS bigint) AS cod_collected
+    ELSE {share('cod', 'kept', 'all_kept')} END + 0.0001) AS bigint) AS cod_collected
 FROM fact5
 """)
 def fact_settled(t):

@@ -16,7 +16,7 @@ SELECT date_format(o.createdat, 'yyyy-MM') AS month, o.platform, f.finalstatus,
        sum(f.quantity) AS pieces, sum(f.return_quantity) AS pieces_back,
        sum(f.quantity * f.originalprice) AS order_value
 FROM fact_orderdetails f JOIN dim_order o ON f.orderid = o.orderid
-WHERE year(o.createdat) = :year
+WHERE o.createdat >= make_timestamp_ntz(:year, 1, 1, 0, 0, 0) AND o.createdat < make_timestamp_ntz(:year + 1, 1, 1, 0, 0, 0)
 GROUP BY ALL
 """
 
@@ -26,7 +26,8 @@ SELECT p.cate_purpose, count(*) AS n_lines,
        count_if(f.finalstatus IN ('Hoan', 'Hoan mot phan')) / count(*) AS return_rate
 FROM fact_orderdetails f JOIN dim_order o ON f.orderid = o.orderid
 LEFT JOIN dim_product p ON f.parentproductid = p.productid
-WHERE year(o.createdat) = :year AND month(o.createdat) = :month
+WHERE o.createdat >= make_timestamp_ntz(:year, :month, 1, 0, 0, 0)
+  AND o.createdat < add_months(make_date(:year, :month, 1), 1)
 GROUP BY p.cate_purpose
 """
 
@@ -35,7 +36,8 @@ SELECT d.courier, d.courieraccount, count(DISTINCT f.deliveryid) AS n_parcels, s
        sum(f.cod_collected_allquantity) AS cod
 FROM fact_orderdetails f JOIN dim_delivery d ON f.deliveryid = d.trackingnumber
 JOIN dim_order o ON f.orderid = o.orderid
-WHERE year(o.createdat) = :year AND month(o.createdat) = :month
+WHERE o.createdat >= make_timestamp_ntz(:year, :month, 1, 0, 0, 0)
+  AND o.createdat < add_months(make_date(:year, :month, 1), 1)
 GROUP BY d.courier, d.courieraccount
 """
 
@@ -43,7 +45,8 @@ UNRECONCILED = """
 SELECT f.orderid, min(f.transaction_orderid) AS transaction_orderid,
        sum(f.cod_collected_allquantity) AS expected, sum(f.positive_reconciliation_allquantity) AS received
 FROM fact_orderdetails f JOIN dim_order o ON f.orderid = o.orderid
-WHERE f.finalstatus IN ('Thanh cong', 'Hoan mot phan') AND year(o.createdat) = :year AND month(o.createdat) = :month
+WHERE f.finalstatus IN ('Thanh cong', 'Hoan mot phan') AND o.createdat >= make_timestamp_ntz(:year, :month, 1, 0, 0, 0)
+  AND o.createdat < add_months(make_date(:year, :month, 1), 1)
 GROUP BY f.orderid
 HAVING coalesce(sum(f.positive_reconciliation_allquantity), 0) < sum(f.cod_collected_allquantity)
 """
@@ -53,8 +56,10 @@ REPORTS = {"month_channel": MONTH_CHANNEL, "return_rate": RETURN_RATE, "shipping
 
 
 def run_report(spark: SparkSession, tables: dict[str, DataFrame], sql: str, params: dict | None = None,
-               out_path: str | None = None) -> DataFrame:
-    """Run one SELECT over the given tables; with a path, also write it there as CSV for a sheet.
+               out_path: str | None = None, one_file: bool = False) -> DataFrame:
+    """Run one SELECT over the given tables; with a path, also write it there as CSV.
+
+    one_file: for a sheet of a few rows; all rows then pass one task after the report is computed.
 
     Parameters are named (:year) and never pasted into the text.
     """
@@ -64,7 +69,8 @@ def run_report(spark: SparkSession, tables: dict[str, DataFrame], sql: str, para
         df.createOrReplaceTempView(name)
     result = spark.sql(text, args=used)
     if out_path is not None:
-        sheet_types(result).coalesce(1).write.mode("overwrite").option("header", True).csv(out_path)
+        rows = sheet_types(result)
+        (rows.repartition(1) if one_file else rows).write.mode("overwrite").option("header", True).csv(out_path)
     return result
 
 

@@ -129,8 +129,8 @@ valued AS (SELECT *, CASE
       - cast(off * 100 AS double) * (cast(qty - back AS double) / cast(qty AS double))
       - cast(off AS double) * (cast(qty - back AS double) / cast(qty AS double))
     ELSE 0.0 END AS success FROM judged),
-settled AS (SELECT *, cast(floor(success * 10000 + 0.5) AS bigint) AS parts,
-    sum(cast(floor(success * 10000 + 0.5) AS bigint)) OVER (PARTITION BY l_orderkey) AS all_parts FROM valued)"""
+settled AS (SELECT *, cast(cast(success AS decimal(28,10)) AS double) AS kept,
+    cast(sum(cast(success AS decimal(28,10))) OVER (PARTITION BY l_orderkey) AS double) AS all_kept FROM valued)"""
 
 
 def staging(t, stage=None) -> dict[str, DataFrame]:
@@ -374,8 +374,8 @@ fact4 AS (SELECT *, CASE
       - off * (cast(quantity - back AS double) / cast(quantity AS double))
       - extra * (cast(quantity - back AS double) / cast(quantity AS double))
     ELSE 0.0 END AS success FROM fact3),
-fact5 AS (SELECT *, cast(floor(success * 10000 + 0.5) AS bigint) AS parts,
-    sum(cast(floor(success * 10000 + 0.5) AS bigint)) OVER (PARTITION BY orderid) AS all_parts FROM fact4)"""
+fact5 AS (SELECT *, cast(cast(success AS decimal(28,10)) AS double) AS kept,
+    cast(sum(cast(success AS decimal(28,10))) OVER (PARTITION BY orderid) AS double) AS all_kept FROM fact4)"""
 
 
 def share_sql(amount: str, part: str, whole: str) -> str:

@@ -30,21 +30,24 @@ class Run:
     """One run: a stamp, a store, and the places the feeds land in.
 
     paths   step -> list of sources; a source is a dict of landed paths and of what describes them (account, shop)
-    params  start, end (unconfirmed orders of that range are loaded anew), year (of return scans), report parameters
+    params  start, end (unconfirmed orders of that range are loaded anew), year (of return scans), report parameters,
+            multiline (cells of landed sheets hold line breaks)
     """
 
     def __init__(self, spark: SparkSession, store: TableStore, paths: dict[str, list[dict]], run_ts: datetime,
                  params: dict | None = None):
         self.spark, self.store, self.paths, self.run_ts, self.params = spark, store, paths, run_ts, params or {}
+        self.multiline = bool(self.params.get("multiline", False))
 
     def table(self, path, columns, **options) -> DataFrame:
-        return read_landed_table(self.spark, path, list(columns), **options)
+        return read_landed_table(self.spark, path, list(columns), **{"multiline": self.multiline, **options})
 
     def workbook(self, path, columns, skip_rows: int, tokens: tuple = (), **tags) -> DataFrame:
-        return table_from_grid(read_grid(self.spark, path, path_tokens=tokens), list(columns), skip_rows=skip_rows, **tags)
+        grid = read_grid(self.spark, path, path_tokens=tokens, multiline=self.multiline)
+        return table_from_grid(grid, list(columns), skip_rows=skip_rows, **tags)
 
-    def json(self, path, schema) -> DataFrame:
-        return read_landed_json(self.spark, path, schema)
+    def json(self, path, schema, key: str | None = None) -> DataFrame:
+        return read_landed_json(self.spark, path, schema, key)
 
 
 def _ghtk(run: Run, src: dict) -> Frames:
@@ -114,13 +117,13 @@ def _spx_cash(run: Run, src: dict) -> Frames:
 
 
 def _ghn_cash(run: Run, src: dict) -> Frames:
-    grid = read_grid(run.spark, src["folder"], path_tokens=("ghn",), bad_path="skip")
+    grid = read_grid(run.spark, src["folder"], path_tokens=("ghn",), bad_path="skip", multiline=run.multiline)
     rows = with_header_cells(table_from_grid(grid, list(cash.GHN_CASH), skip_rows=20), grid, cash.GHN_CASH_CELLS)
     return {"delivery_reconciliation": cash.clean_ghn_cash(rows, run.run_ts.date())}
 
 
 def _ghn_coin_moves(run: Run, src: dict) -> Frames:
-    grid = read_grid(run.spark, src["folder"], path_tokens=("ghn",), bad_path="skip")
+    grid = read_grid(run.spark, src["folder"], path_tokens=("ghn",), bad_path="skip", multiline=run.multiline)
     rows = table_from_grid(grid, list(cash.GHN_COIN_MOVES), skip_rows=2)
     return {"delivery_reconciliation": cash.clean_ghn_coin_moves(rows, run.run_ts.date())}
 
@@ -131,14 +134,16 @@ def _tiktok_income(run: Run, src: dict) -> Frames:
 
 
 def _pos(run: Run, src: dict) -> Frames:
-    orders = run.json(src["orders"], pos.SCHEMA)
-    maps = {name: run.spark.read.schema("code STRING, label STRING, seq INT").option("header", True).csv(path)
+    orders = run.json(src["orders"], pos.SCHEMA, "info.id")
+    # A map of two columns has its order from the file; one file of a map is read by one task.
+    place = F.coalesce(F.col("seq").cast("bigint"), F.monotonically_increasing_id()).alias("seq")
+    maps = {name: run.spark.read.schema("code STRING, label STRING, seq INT").option("header", True).csv(path).select("code", "label", place)
             for name, path in (src.get("maps") or {}).items()}
     return {"nhanhvnorders": pos.clean_pos_orders(orders, maps), "nhanhvnorderdetails": pos.clean_pos_lines(orders)}
 
 
 def _shopee(run: Run, src: dict) -> Frames:
-    orders, escrows = run.json(src["orders"], shopee.ORDERS), run.json(src["escrows"], shopee.ESCROWS)
+    orders, escrows = run.json(src["orders"], shopee.ORDERS, "order_sn"), run.json(src["escrows"], shopee.ESCROWS, "order_sn")
     return {
         "shopeeorders": shopee.clean_shopee_orders(
             orders, escrows, run.json(src["trackings"], shopee.TRACKINGS), src["shop"]),
@@ -197,7 +202,12 @@ def _log_path(store: TableStore) -> str:
 
 def refresh_star(store: TableStore, *, by_order: bool = True) -> dict[str, DataFrame]:
     """Bring the star up to date with the staging tables; only buckets with changes are rewritten."""
-    stage = Staged(store.spark)
+    with Staged(store.spark) as stage:
+        _refresh(store, stage, by_order)
+    return {name: store.read(name) for name in STAR}
+
+
+def _refresh(store: TableStore, stage: Staged, by_order: bool) -> None:
     log = read_log(store)
     lake = {name: store.read(name) for name in LAKE}
     old = {name: store.read(name) for name in STAR}
@@ -213,8 +223,6 @@ def refresh_star(store: TableStore, *, by_order: bool = True) -> dict[str, DataF
     # The marks move last: a run that dies before is repeated from the old ones.
     after = star.advance_log(log, lake, fact)
     delete_keys(after, log, ["dwtable_name", "updatetime"]).coalesce(1).write.mode("append").parquet(_log_path(store))
-    stage.drop()
-    return {name: store.read(name) for name in STAR}
 
 
 def run(steps: list[str], spark: SparkSession, store: TableStore, paths: dict[str, list[dict]], run_ts: datetime,
@@ -228,16 +236,19 @@ def run(steps: list[str], spark: SparkSession, store: TableStore, paths: dict[st
             action()
             state[name] = "ok"
         except Exception as error:
-            warnings.warn(f"{name} failed, nothing of it was loaded after the error: {error}", stacklevel=3)
+            warnings.warn(f"{name} failed; tables loaded before the error: {', '.join(written) or 'none'}: {error}", stacklevel=3)
             state[name] = f"failed: {type(error).__name__}"
 
+    written: list[str] = []
+
     def feed(step: str, source: dict) -> None:
-        stage = Staged(spark)
-        # All rows of a source are cleaned and written aside before its first table is touched.
-        ready = {table: stage(rows) for table, rows in FEEDS[step](job, source).items()}
-        for table, rows in ready.items():
-            load(store, table, rows, run_ts)
-        stage.drop()
+        written.clear()
+        with Staged(spark) as stage:
+            # All rows of a source are cleaned and written aside before its first table is touched.
+            ready = {table: stage(rows) for table, rows in FEEDS[step](job, source).items()}
+            for table, rows in ready.items():
+                load(store, table, rows, run_ts)
+                written.append(table)
 
     for step in steps:
         if step == "star":

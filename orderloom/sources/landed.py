@@ -46,14 +46,14 @@ def _tagged(df: DataFrame, source: str | None, account: str | None) -> DataFrame
 def read_landed_table(
     spark: SparkSession, path: str | list[str], columns: list[str], *, path_tokens: tuple[str, ...] = (),
     exclude_name_chars: str = "(", bad_path: str = "fail", source: str | None = None, account: str | None = None,
-    types: dict[str, str] | None = None, multiline: bool = True,
+    types: dict[str, str] | None = None, multiline: bool = False,
 ) -> DataFrame:
     """Sheet ranges and tables with their header in the first line: all text, plus row_no and source_file.
 
     columns    the columns of the file in file order, after row_no
     bad_path   "fail" or "skip" files whose path lacks one of the tokens
     types      columns to cast strictly
-    multiline  cells may hold line breaks; switch off so that large files are read in pieces
+    multiline  cells may hold line breaks; then a file is read by one task, otherwise in pieces
     """
     reader = spark.read.schema(text_schema(columns)).option("header", True).option("enforceSchema", True)
     df = _guarded(reader.option("multiLine", multiline).option("escape", '"').csv(path), path_tokens,
@@ -62,15 +62,34 @@ def read_landed_table(
     return _tagged(df.select("row_no", *[f"`{c}`" for c in columns], FILE), source, account)
 
 
+# A record of a CSV text, and a cell of a record that has a comma put in front.
+RECORD = r'(?:[^"\n]++|"(?:[^"]++|"")*+")*+\n'
+CELL = r',("(?:[^"]++|"")*+"|[^,]*+)'
+
+
 def read_grid(
-    spark: SparkSession, path: str | list[str], width: int = 64, *, path_tokens: tuple[str, ...] = (),
-    exclude_name_chars: str = "(", bad_path: str = "fail", multiline: bool = True,
+    spark: SparkSession, path: str | list[str], *, path_tokens: tuple[str, ...] = (),
+    exclude_name_chars: str = "(", bad_path: str = "fail", multiline: bool = False,
 ) -> DataFrame:
-    """Whole workbook sheets cell by cell: row_no, cells (array of text), source_file. No header is assumed."""
-    names = [f"c{i}" for i in range(width)]
-    reader = spark.read.schema(text_schema(names)).option("header", False).option("multiLine", multiline)
-    df = _guarded(reader.option("escape", '"').csv(path), path_tokens, exclude_name_chars, bad_path)
-    return df.select("row_no", F.array(*names).alias("cells"), FILE)
+    """Whole workbook sheets cell by cell: row_no, cells (array of text, as many as the row has), source_file.
+
+    No header is assumed. Empty cells are NULL. multiline: cells may hold line breaks; then a file is read by one
+    task. Without it, a line that ends within a quoted cell is an error, not a broken row.
+    """
+    df = _guarded(spark.read.text(path, wholetext=multiline), path_tokens, exclude_name_chars, bad_path)
+    line = F.col("value")
+    if multiline:
+        records = F.regexp_extract_all(F.concat(F.regexp_replace(line, "\r\n", "\n"), F.lit("\n")), F.lit(RECORD), F.lit(0))
+        df = df.select(F.explode(records).alias("value"), FILE).withColumn("value", F.expr("substring(value, 1, length(value) - 1)"))
+    else:
+        quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+        broken = F.raise_error(F.concat(F.lit("a cell holds a line break, read with multiline: "), FILE)).cast("string")
+        df = df.withColumn("value", F.when(quotes % 2 == 0, F.rtrim(line, F.lit("\r"))).otherwise(broken))
+    cells = F.transform(F.regexp_extract_all(F.concat(F.lit(","), "value"), F.lit(CELL), F.lit(1)), lambda x: F.when(
+        F.startswith(x, F.lit('"')), F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).when(x != "", x))
+    df = df.filter(F.col("value") != "").select(cells.alias("cells"), FILE)
+    return df.select(F.get("cells", F.lit(0)).try_cast("bigint").alias("row_no"),
+                     F.slice("cells", 2, F.greatest(F.size("cells") - 1, F.lit(0))).alias("cells"), FILE)
 
 
 def table_from_grid(grid: DataFrame, columns: list[str], *, skip_rows: int = 0, source: str | None = None,
@@ -98,9 +117,20 @@ def with_header_cells(df: DataFrame, grid: DataFrame, cells: dict[str, tuple[int
     return df.join(head, F.col(FILE) == F.col("__file"), "left").drop("__file")
 
 
-def read_landed_json(spark: SparkSession, path: str | list[str], schema: T.StructType | str) -> DataFrame:
-    """JSON lines with a declared schema; absent branches are NULL."""
-    return spark.read.schema(schema).json(path)
+def read_landed_json(spark: SparkSession, path: str | list[str], schema: T.StructType | str, key: str | None = None) -> DataFrame:
+    """JSON lines with a declared schema; absent branches are NULL.
+
+    key: the field that names a record. Where pages overlap, the record of the file written last wins, in one
+    file the last line; records without a key all stay.
+    """
+    df = spark.read.schema(schema).json(path)
+    if key is None:
+        return df
+    place = F.struct(F.col("_metadata.file_modification_time"), F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
+                     F.monotonically_increasing_id())
+    known = df.select(F.struct("*").alias("__row"), place.alias("__place"), F.col(key).alias("__key"))
+    last = known.filter("__key is not null").groupBy("__key").agg(F.max_by("__row", "__place").alias("__row"))
+    return last.select("__row.*").unionByName(known.filter("__key is null").select("__row.*"))
 
 
 def explode_path(df: DataFrame, path: str, keep: list[str], alias: str = "item") -> DataFrame:

@@ -7,6 +7,7 @@ repeated. Parquet itself knows no MERGE; where the catalog has a table format th
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +20,7 @@ from orderloom.staged import Staged
 
 KEYS = {**LAKE_KEYS, **STAR_KEYS}
 SCHEMAS = {**LAKE, **STAR}
-LOG = "snapshot BIGINT, version BIGINT, bucket INT"
+LOG = "snapshot BIGINT, version STRING, bucket INT"
 BUCKET = "__bucket"
 
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
@@ -37,17 +38,22 @@ class TableStore:
     def bucket(self, name: str) -> Column:
         return F.pmod(F.xxhash64(*self.by.get(name, KEYS[name])), F.lit(self.buckets)).cast("int")
 
-    def _current(self, name: str) -> tuple[int, dict[int, int]]:
+    def _current(self, name: str) -> tuple[int, dict[int, str]]:
         """(snapshot, bucket -> version): at most one small row per bucket."""
         try:
             log = self.spark.read.schema(LOG).json(f"{self.root}/{name}/log")
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":  # only a table that was never written is empty
+                raise
             return 0, {}
         states = log.groupBy("snapshot").agg(F.collect_list(F.struct("bucket", "version")).alias("files"))
         last = states.agg(F.max_by(F.struct("snapshot", "files"), "snapshot").alias("state")).first().state
         if last is None:
             return 0, {}
-        return last.snapshot, {f.bucket: f.version for f in last.files if f.bucket is not None}
+        files = {f.bucket: f.version for f in last.files if f.bucket is not None}
+        if len(files) < sum(f.bucket is not None for f in last.files):
+            raise RuntimeError(f"two writers wrote snapshot {last.snapshot} of {name}")
+        return last.snapshot, files
 
     def read(self, name: str, buckets: list[int] | None = None) -> DataFrame:
         """The current rows, of some buckets only if given."""
@@ -60,17 +66,19 @@ class TableStore:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
-    def _write(self, name: str, df: DataFrame, touched: list[int], snapshot: int, current: dict[int, int]) -> None:
-        version, schema = snapshot + 1, SCHEMAS[name]
+    def _write(self, name: str, df: DataFrame, touched: list[int], snapshot: int, current: dict[int, str]) -> None:
+        version, schema = f"{snapshot + 1}-{uuid.uuid4().hex[:8]}", SCHEMAS[name]  # no other writer has this folder
         path = f"{self.root}/{name}/data/version={version}"
         rows = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]).withColumn(BUCKET, self.bucket(name))
         # Adaptive execution splits large buckets over tasks and joins small ones before writing.
-        rows.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+        rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(path)
         listed = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
         written = {r[0] for r in self.spark.read.schema(listed).parquet(path).select(BUCKET).distinct().collect()}
         kept = {b: v for b, v in current.items() if b not in touched}
-        entries = [(version, v, b) for b, v in {**kept, **dict.fromkeys(written, version)}.items()]
-        entries = entries or [(version, None, None)]
+        entries = [(snapshot + 1, v, b) for b, v in {**kept, **dict.fromkeys(written, version)}.items()]
+        entries = entries or [(snapshot + 1, None, None)]
+        if self._current(name)[0] != snapshot:
+            raise RuntimeError(f"another writer changed {name} after snapshot {snapshot}; run the merge again")
         self.spark.createDataFrame(entries, LOG).coalesce(1).write.mode("append").json(f"{self.root}/{name}/log")
 
     def replace(self, name: str, df: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ def staging_root(spark: SparkSession) -> str:
 
 
 class Staged:
-    """Writes intermediate tables and drops them at the end of a run."""
+    """Writes intermediate tables; as a context manager it drops them at the end, also after an error."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
@@ -42,6 +42,12 @@ class Staged:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def __enter__(self) -> Staged:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.drop()
+
     def drop(self) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -83,7 +83,7 @@ def test_store_rewrites_only_touched_buckets(spark, tmp_path):
     store.merge("dim_order", one, lambda a, b: upsert(a, b, ["orderid"], stamp_col=None))
     assert store.read("dim_order").count() == 200 and store.read("dim_order").filter("status = 'done'").count() == 1
     _, current = store._current("dim_order")
-    assert sorted(current.values()).count(2) == 1, "one bucket has a new version"
+    assert sum(v.startswith("2-") for v in current.values()) == 1, "one bucket has a new version"
     doomed = store.read("dim_order").select("orderid")
     store.merge("dim_order", doomed, lambda a, b: delete_keys(a, b, "orderid"))
     assert store.read("dim_order").count() == 0
