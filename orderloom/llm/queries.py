@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm.decontaminate import leaks
+from orderloom.llm.decontaminate import NUMBER, NUMBER_WORDS, OUTER, PLACEHOLDERS, QUANTITY, SENTENCE_ENDS, UNITS, leaks
 from orderloom.llm.jaccard_join import jaccard_links
 from orderloom.llm.language import held_out as language_held_out
 from orderloom.llm.language import language
@@ -71,7 +71,42 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
-@query()
+def _in(words) -> str:
+    return "(" + ", ".join(f"'{w}'" for w in words) + ")"
+
+
+OUTER_SQL = "'" + OUTER.replace("'", "''") + "'"
+
+
+@query(f"""
+WITH sides AS (SELECT 'd' AS side, doc_id AS id, {WORDS_SQL.format("coalesce(text, '')")} AS w FROM documents
+  UNION ALL SELECT 'i', item_id, {WORDS_SQL.format("coalesce(text, '')")} FROM benchmark),
+bared AS (SELECT side, id, w, list_transform(w, lambda x: trim(x, {OUTER_SQL})) AS bare FROM sides WHERE len(w) > 0),
+formed AS (SELECT side, id, list_transform(bare, lambda x: lower(x)) AS low, list_transform(range(1, len(w) + 1), lambda i: CASE
+    WHEN bare[i][1] BETWEEN '0' AND '9' THEN CASE WHEN regexp_matches(lower(bare[i]), '{NUMBER}') THEN '<num>'
+      WHEN regexp_matches(lower(bare[i]), '{QUANTITY}') THEN '<qty>' ELSE lower(bare[i]) END
+    WHEN lower(bare[i]) IN {_in(UNITS)} THEN '<unit>' WHEN lower(bare[i]) IN {_in(NUMBER_WORDS)} THEN '<num>'
+    WHEN bare[i][1] <> lower(bare[i][1]) AND i > 1 AND right(w[greatest(i - 1, 1)], 1) NOT IN {_in(SENTENCE_ENDS)} THEN '<name>'
+    ELSE lower(bare[i]) END) AS forms FROM bared),
+item AS (SELECT id AS item_id, low, forms, least(8, len(forms)) AS size FROM formed WHERE side = 'i'),
+cut AS (SELECT item_id, size, pos, array_to_string(forms[pos + 1:pos + size], ' ') AS g FROM (SELECT *, unnest(range(0, len(forms) - size + 1)) AS pos FROM item)
+  WHERE len(list_filter(forms[pos + 1:pos + size], lambda x: x NOT IN {_in(PLACEHOLDERS)})) >= least(4, ceil(size / 2))),
+doc AS (SELECT id AS doc_id, low, forms FROM formed WHERE side = 'd'),
+seen AS (SELECT doc_id, size, unnest(range(0, len(forms) - size + 1)) AS pos,
+    unnest(list_transform(range(0, len(forms) - size + 1), lambda p: array_to_string(forms[p + 1:p + size], ' '))) AS g
+  FROM doc, (SELECT DISTINCT size FROM item) WHERE len(forms) >= size),
+met AS (SELECT doc_id, item_id, seen.pos - cut.pos AS shift, cut.pos AS item_pos, size FROM seen JOIN cut USING (size, g)),
+places AS (SELECT DISTINCT doc_id, item_id, shift, k FROM (SELECT *, unnest(range(item_pos, item_pos + size)) AS k FROM met)),
+slots AS (SELECT p.doc_id, p.item_id, shift, i.low[k + 1] AS item_word, d.low[k + shift + 1] AS doc_word
+  FROM places p JOIN item i USING (item_id) JOIN doc d USING (doc_id) WHERE i.forms[k + 1] IN {_in(PLACEHOLDERS)}),
+checked AS (SELECT doc_id, item_id, shift, count(*) AS slots, count(DISTINCT item_word) AS a, count(DISTINCT doc_word) AS b,
+    count(DISTINCT (item_word, doc_word)) AS pairs, bool_or(item_word <> doc_word) AS differs FROM slots GROUP BY ALL),
+covered AS (SELECT doc_id, item_id, count(DISTINCT item_pos) AS n_matched, max(coalesce(slots, 0)) AS n_slots, bool_or(coalesce(differs, false)) AS reparametrised
+  FROM met LEFT JOIN checked USING (doc_id, item_id, shift) WHERE slots IS NULL OR (a = pairs AND b = pairs) GROUP BY ALL),
+totals AS (SELECT item_id, count(*) AS n_windows FROM cut GROUP BY item_id)
+SELECT doc_id, item_id, n_windows, n_matched, n_matched / n_windows AS coverage, n_slots, reparametrised
+FROM covered JOIN totals USING (item_id) WHERE n_matched / n_windows >= 0.5
+""")
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_key")
 
