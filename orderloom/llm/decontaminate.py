@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.llm.tables import staging
+from orderloom.llm.tables import joinable, staging
 
 WINDOW = 8
 MIN_LITERALS = 4
@@ -67,13 +67,19 @@ def canonical(tokens: Column) -> Column:
     return let(tokens, lambda t: F.transform(t, lambda x, i: _form(x, F.when(i > 0, F.get(t, i - 1)))))
 
 
-def _windows(forms: Column, sizes: list[int]) -> Column:
-    """(size, pos, hash) of every window of the given sizes."""
-    def of_size(h, n):
+def _slots(tokens: Column, forms: Column) -> Column:
+    """The words that placeholders stand for, null for other words."""
+    return F.transform(forms, lambda x, i: F.when(x.isin(*PLACEHOLDERS), _bare(F.get(tokens, i))))
+
+
+def _windows(tokens: Column, sizes: list[int]) -> Column:
+    """(size, pos, hash, slots) of every window of the given sizes; slots: the words of its placeholders, null elsewhere."""
+    def of_size(h, s, n):
         return F.when(F.size(h) >= n, F.transform(F.sequence(F.lit(0), F.size(h) - n), lambda i: F.struct(
-            F.lit(n).alias("size"), i.alias("pos"), F.xxhash64(F.slice(h, i + 1, F.lit(n))).alias("hash")))).otherwise(
-            F.array().cast("array<struct<size:int,pos:int,hash:bigint>>"))
-    return let(F.transform(forms, lambda x: F.xxhash64(x)), lambda h: F.flatten(F.array(*[of_size(h, n) for n in sizes])))
+            F.lit(n).alias("size"), i.alias("pos"), F.xxhash64(F.slice(h, i + 1, F.lit(n))).alias("hash"), F.slice(s, i + 1, F.lit(n)).alias("slots")))).otherwise(
+            F.array().cast("array<struct<size:int,pos:int,hash:bigint,slots:array<string>>>"))
+    return let(tokens, lambda t: let(canonical(t), lambda f: let(F.transform(f, lambda x: F.xxhash64(x)), lambda h: let(
+        _slots(t, f), lambda s: F.flatten(F.array(*[of_size(h, s, n) for n in sizes]))))))
 
 
 def row_key(docs: DataFrame) -> Column:
@@ -92,39 +98,34 @@ def leaks(docs: DataFrame, items: DataFrame, *, window: int = WINDOW, min_litera
     stage = staging(docs.sparkSession)
     item = items.select("item_id", words(F.col("text")).alias("raw")).filter("size(raw) > 0")
     item = stage(item.select(F.xxhash64("item_id", "raw").alias("item_key"), "item_id", "raw", canonical(F.col("raw")).alias("forms")).distinct())
-    sizes = sorted(r[0] for r in item.select(F.least(F.size("forms"), F.lit(window))).distinct().collect())  # at most `window` numbers
+    sizes = sorted(r[0] for r in item.select(F.least(F.size("forms"), F.lit(window))).distinct().collect()) or [window]  # at most `window` numbers
     n = F.least(F.size("forms"), F.lit(window))
-    cut = item.select("item_key", "item_id", F.explode(_windows(F.col("forms"), sizes or [window])).alias("w"), "forms").filter(F.col("w.size") == n)
+    cut = item.select("item_key", "item_id", F.explode(_windows(F.col("raw"), sizes)).alias("w"), "forms").filter(F.col("w.size") == n)
     literals = F.size(F.filter(F.slice("forms", F.col("w.pos") + 1, F.col("w.size")), lambda x: ~x.isin(*PLACEHOLDERS)))
     cut = stage(cut.filter(literals >= F.least(F.lit(min_literals), F.ceil(F.col("w.size") / 2))).select(
-        "item_key", "item_id", F.col("w.size").alias("size"), F.col("w.pos").alias("item_pos"), F.col("w.hash").alias("hash")))
+        "item_key", "item_id", F.col("w.size").alias("size"), F.col("w.pos").alias("item_pos"), F.col("w.hash").alias("hash"), F.col("w.slots").alias("item_slots")))
     totals = cut.groupBy("item_id").agg(F.countDistinct("item_key", "item_pos").alias("n_windows"))
     small = cut.count() <= BROADCAST_WINDOWS
-    of_docs = docs.select(row_key(docs).alias("row_key"), F.explode(_windows(canonical(words(F.col("text"))), sizes or [window])).alias("w")).select(
-        "row_key", F.col("w.pos").alias("pos"), F.col("w.hash").alias("hash"), F.col("w.size").alias("size"))
-    met = stage(of_docs.join(F.broadcast(cut) if small else cut, ["size", "hash"]).select("row_key", "pos", "item_key", "item_id", "item_pos", "size").distinct())
-    # the words behind the placeholders of both sides, for rows with a match
-    rows = met.select("row_key").distinct()
-    texts = docs.select("doc_id", row_key(docs).alias("row_key"), "text").join(rows, "row_key").select(
-        "doc_id", "row_key", words(F.col("text")).alias("doc_raw")).dropDuplicates(["row_key"])
-    spot = met.withColumn("shift", F.col("pos") - F.col("item_pos"))
-    places = spot.select("row_key", "item_key", "shift", F.explode(F.sequence(F.col("item_pos"), F.col("item_pos") + F.col("size") - 1)).alias("at")).distinct()
-    slots = places.join(item, "item_key").filter(F.get("forms", F.col("at")).isin(*PLACEHOLDERS)).select(
-        "row_key", "item_key", "shift", "at", F.get("raw", F.col("at")).alias("item_word"))
-    slots = slots.join(texts, "row_key").select("row_key", "item_key", "shift", _bare("item_word").alias("item_word"),
-                                                _bare(F.get("doc_raw", F.col("at") + F.col("shift"))).alias("doc_word"))
+    # only windows with a match leave the scan, with the words behind their placeholders: texts are never shuffled
+    of_docs = docs.select("doc_id", row_key(docs).alias("row_key"), F.explode(_windows(words(F.col("text")), sizes)).alias("w")).select(
+        "doc_id", "row_key", F.col("w.pos").alias("pos"), F.col("w.hash").alias("hash"), F.col("w.size").alias("size"), F.col("w.slots").alias("doc_slots"))
+    met = of_docs.join(F.broadcast(cut) if small else cut, ["size", "hash"]).select(
+        "doc_id", "row_key", "item_key", "item_id", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "doc_slots", "item_slots")
+    spot = stage(met.distinct())
+    pairs = F.filter(F.transform("item_slots", lambda x, i: F.struct((F.col("item_pos") + i).alias("at"), x.alias("item_word"), F.get("doc_slots", i).alias("doc_word"))),
+                     lambda x: x["item_word"].isNotNull())
+    slots = spot.select("row_key", "item_key", "shift", F.explode(pairs).alias("p")).select("row_key", "item_key", "shift", "p.*").distinct()
     checked = slots.groupBy("row_key", "item_key", "shift").agg(
         F.count("*").alias("slots"), F.countDistinct("item_word").alias("a"), F.countDistinct("doc_word").alias("b"),
         F.countDistinct("item_word", "doc_word").alias("pairs"), F.max((F.col("item_word") != F.col("doc_word")).cast("int")).alias("differs"))
     keys = ["row_key", "item_key", "shift"]
     kept = spot.join(checked, keys, "left").filter("slots is null or (a = pairs and b = pairs)")
-    covered = kept.groupBy("row_key", "item_id").agg(
+    covered = kept.groupBy("doc_id", "row_key", "item_id").agg(
         F.countDistinct("item_key", "item_pos").alias("n_matched"), F.max(F.coalesce("slots", F.lit(0))).alias("n_slots"),
         (F.max(F.coalesce("differs", F.lit(0))) == 1).alias("reparametrised"))
     found = covered.join(totals.withColumnRenamed("item_id", "item_"), F.col("item_id").eqNullSafe(F.col("item_"))).drop("item_")
     found = found.withColumn("coverage", F.col("n_matched") / F.col("n_windows")).filter(F.col("coverage") >= min_coverage)
-    return found.join(texts.select("row_key", "doc_id"), "row_key").select(
-        "doc_id", "item_id", "n_windows", "n_matched", "coverage", "n_slots", "reparametrised", "row_key")
+    return found.select("doc_id", "item_id", "n_windows", "n_matched", "coverage", "n_slots", "reparametrised", "row_key")
 
 
 def _bare(word) -> Column:
@@ -133,5 +134,5 @@ def _bare(word) -> Column:
 
 def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of `docs`, with all their columns, that are no leak of any item."""
-    found = leaks(docs, items).select(F.col("row_key").alias("leaked_")).distinct()
+    found = joinable(leaks(docs, items).select(F.col("row_key").alias("leaked_")).distinct(), staging(docs.sparkSession))
     return docs.join(found, row_key(docs) == F.col("leaked_"), "left_anti")
