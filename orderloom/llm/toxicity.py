@@ -1,19 +1,20 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index, distance-weighted votes.
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine over an inverted index, distance-weighted votes.
 
 Terms are words and the beginnings of words, since insults are inflected and compounded. Fit (once, on a documented bounded sample
-of labelled rows): the terms whose presence tells the label apart by a chi-square test, their document frequencies over all
-documents, the examples as TF-IDF vectors of these terms, and a logistic calibration of the
-votes, learnt leaving each example out. Score: each whole text becomes such a vector; its K nearest distinct example vectors (ties
-of the last included) vote with weight 1 / (1 - cosine + SOFTEN) for each example they stand for. A text with none of the terms is
-at cosine 0 from everything; its votes are those of the examples that have none either.
-
-The index holds example vectors in blocks of BLOCK and, for each word and block, the largest weight. A block's bound is the sum of
-query weight times block maximum; blocks are visited by falling bound until no bound can reach the K-th best cosine, so the
-neighbours are exact. Index size is bounded by MAX_EXAMPLES and MAX_WORDS, whatever the size of the corpus.
+of labelled rows): all terms of the sample, with a weight of how well their presence tells the label apart (chi-square, less for what
+chance gives) and their document frequencies over all documents, the examples as vectors of these terms, and a logistic calibration
+of the votes, learnt leaving each example out of the index and of the terms' weights. Score: each whole text becomes such a vector;
+its K nearest distinct example vectors (ties of the last included) vote with weight 1 / (1 - cosine + SOFTEN) for each example they
+stand for. A text with none of the terms is at cosine 0 from everything; its votes are those of the examples that have none either.
+
+The index holds the example vectors by term and by example. A query adds up the postings of its heaviest terms, until what is left of
+it is shorter than REST; a vector of length 1 can gain no more than that length, so only vectors within it of the K-th best are
+computed in full, and the neighbours are exact. Index size is bounded by the terms of MAX_EXAMPLES texts, whatever the size of the corpus.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -26,10 +27,9 @@ from orderloom.llm.kernel import U
 from orderloom.llm.tables import staging
 
 MAX_EXAMPLES = 20_000  # labelled rows the index is fitted on, those with the smallest hash of doc_id
-MAX_WORDS = 512
-MIN_CHI2 = 30.0
-MIN_DOCS = 5
-BLOCK = 64
+CHANCE = 10.0  # chi-square values well below this count by their square
+LEAST = 0.01  # what any term counts
+REST = 0.05
 K = 25
 SOFTEN = 0.05
 CACHE = 50_000
@@ -57,71 +57,109 @@ def _in_words(words: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.nda
     """Which hashes are among the sorted words, and the places of these among them."""
     if not len(words):
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    maybe = np.zeros(1 << 16, dtype=bool)
-    maybe[(words >> U(48)).astype(np.int64)] = True
-    hit = np.flatnonzero(maybe[(hashes >> U(48)).astype(np.int64)])
-    at = np.minimum(np.searchsorted(words, hashes[hit]), len(words) - 1)
-    same = words[at] == hashes[hit]
-    return hit[same], at[same]
+    unique, back = np.unique(hashes, return_inverse=True)
+    at = np.minimum(np.searchsorted(words, unique), len(words) - 1)
+    at = np.where(words[at] == unique, at, -1)[back]
+    hit = np.flatnonzero(at >= 0)
+    return hit, at[hit]
 
 
-def _vectors(column: pa.Array, words: np.ndarray, idf: np.ndarray):
-    """Per text the places of its terms and their TF-IDF weights, of length 1."""
+def _vectors(column: pa.Array, words: np.ndarray, gain: np.ndarray):
+    """Per text the places of its terms and their weights, of length 1."""
     texts, doc, hashes = _terms(column)
     hit, at = _in_words(words, hashes)
     code, count = np.unique(doc[hit] * max(1, len(words)) + at, return_counts=True)
     doc, at = np.divmod(code, max(1, len(words)))
     cut = np.searchsorted(doc, np.arange(texts.n + 1))
+    weights = (1 + np.log(count)) * gain[at]
     for d in range(texts.n):
-        where, tf = at[cut[d]: cut[d + 1]], count[cut[d]: cut[d + 1]]
-        weight = (1 + np.log(tf)) * idf[where]
+        where, weight = at[cut[d]: cut[d + 1]], weights[cut[d]: cut[d + 1]]
         yield where, weight / np.sqrt((weight * weight).sum()) if len(where) else weight
 
 
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All places of the ranges, one range after the other."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
+
+
+@dataclass
+class Sparse:
+    """Vectors by row: the terms and weights of row i are those from cut[i] to cut[i + 1]."""
+
+    cut: np.ndarray
+    at: np.ndarray
+    weight: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.cut) - 1
+
+
+def _sparse(dense: np.ndarray) -> Sparse:
+    row, at = np.nonzero(dense)
+    return Sparse(np.searchsorted(row, np.arange(len(dense) + 1)), at.astype(np.int32), dense[row, at].astype(np.float32))
+
+
 @dataclass
 class BlockMaxIndex:
     """Distinct example vectors with how many examples, and how many of label 1, each stands for."""
 
     words: np.ndarray
-    idf: np.ndarray
-    vectors: np.ndarray  # one row each, dense over the chosen words
+    idf: np.ndarray  # the weight of each word
+    vectors: Sparse | np.ndarray  # or dense, one row each
     total: np.ndarray
     positive: np.ndarray
     evidence: list[list[int]]
     calibration: tuple[float, float] = (0.0, 1.0)
-    tops: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     seen: dict = field(default_factory=dict)
 
     def __post_init__(self):
-        blocks = -(-len(self.vectors) // BLOCK)
-        self.tops = np.array([self.vectors[b * BLOCK: (b + 1) * BLOCK].max(axis=0) for b in range(blocks)], dtype=np.float32).reshape(blocks, len(self.words))
+        rows = self.rows = self.vectors if isinstance(self.vectors, Sparse) else _sparse(self.vectors)
+        size = np.diff(rows.cut)
+        self.empty = np.flatnonzero(size == 0)
+        self.of_term = np.concatenate([[0], np.cumsum(np.bincount(rows.at, minlength=len(self.words)))])
+        row = np.repeat(np.arange(len(rows), dtype=np.int32), size)
+        self.ids, self.weights = np.empty(len(row), dtype=np.int32), np.empty(len(row), dtype=np.float32)
+        step = max(1, len(self.words) // 16)
+        for low in range(0, len(self.words), step):  # by ranges of terms, which keeps the sorted places few
+            some = np.flatnonzero((rows.at >= low) & (rows.at < low + step))
+            some = some[np.argsort(rows.at[some], kind="stable")]
+            part = slice(self.of_term[low], self.of_term[low] + len(some))
+            self.ids[part], self.weights[part] = row[some], rows.weight[some]
 
     def nearest(self, where: np.ndarray, weight: np.ndarray, k: int = K, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k nearest vectors and all that tie with the last, and their cosines."""
-        bound = self.tops[:, where] @ weight
-        order = np.argsort(-bound, kind="stable")
-        ids, cosines, least = [], [], -1.0
-        for b in order:
-            if bound[b] <= 0 or bound[b] < least - 1e-6:
-                break
-            cos = self.vectors[b * BLOCK: (b + 1) * BLOCK, where] @ weight
-            near = np.flatnonzero((cos > 0) & (cos >= least - 1e-9))
-            near = near[near + b * BLOCK != skip]
-            ids.append(near + b * BLOCK)
-            cosines.append(cos[near])
-            every = np.concatenate(cosines)
-            if len(every) >= k:
-                least = np.partition(every, len(every) - k)[len(every) - k]
-        if not ids:
+        order = np.argsort(-weight, kind="stable")
+        mass = (weight * weight)[order]
+        left = np.sqrt(np.maximum(mass.sum() - np.cumsum(mass), 0))
+        head = order[: np.searchsorted(-left, -REST) + 1]
+        first = self.of_term[where[head]]
+        size = self.of_term[where[head] + 1] - first
+        place = _ranges(first, size)
+        part = np.bincount(self.ids[place], weights=self.weights[place] * np.repeat(weight[head], size), minlength=len(self.rows))
+        if 0 <= skip < len(part):
+            part[skip] = 0
+        rest = float(left[len(head) - 1]) + 1e-5 if len(head) else 0.0  # and what rounding adds to a vector's length
+        if (part > 0).sum() >= k:
+            near = np.flatnonzero(part >= np.partition(part, len(part) - k)[len(part) - k] - rest)
+        else:
+            near = np.arange(len(part))
+        near = near[near != skip]
+        full = np.zeros(len(self.words))
+        full[where] = weight
+        size = self.rows.cut[near + 1] - self.rows.cut[near]
+        place = _ranges(self.rows.cut[near], size)
+        cosines = np.bincount(np.repeat(np.arange(len(near)), size), weights=self.rows.weight[place] * full[self.rows.at[place]], minlength=len(near))
+        near, cosines = near[cosines > 0], cosines[cosines > 0]
+        if not len(near):
             return np.zeros(0, dtype=np.int64), np.zeros(0)
-        ids, cosines = np.concatenate(ids), np.concatenate(cosines)
-        keep = cosines >= least - 1e-9
-        order = np.lexsort((ids[keep], -np.round(cosines[keep], 9)))
-        return ids[keep][order], cosines[keep][order]
+        keep = cosines >= (np.partition(cosines, len(cosines) - k)[len(cosines) - k] if len(cosines) >= k else 0) - 1e-9
+        order = np.lexsort((near[keep], -np.round(cosines[keep], 9)))
+        return near[keep][order], cosines[keep][order]
 
     def votes(self, where: np.ndarray, weight: np.ndarray, out: int = -1, label: int = 0) -> tuple[float, np.ndarray, np.ndarray]:
         """The share of votes for label 1. out: an example vector one of whose examples, of that label, is left out."""
-        ids, cos = self.nearest(where, weight) if len(where) else (np.flatnonzero(~self.vectors.any(axis=1)), np.zeros(1))
+        ids, cos = self.nearest(where, weight) if len(where) else (self.empty, np.zeros(1))
         n, pos = self.total[ids].astype(float), self.positive[ids].astype(float)
         n[ids == out] -= 1
         pos[ids == out] -= label
@@ -131,7 +169,7 @@ class BlockMaxIndex:
         return float(share), ids, cos
 
     def score(self, where: np.ndarray, weight: np.ndarray) -> tuple[float, list[int], float]:
-        key = where.tobytes() + np.round(weight, 6).tobytes()
+        key = hashlib.blake2b(where.tobytes() + np.round(weight, 6).tobytes(), digest_size=16).digest()
         if key not in self.seen:
             if len(self.seen) >= CACHE:
                 self.seen.clear()
@@ -185,8 +223,8 @@ def _fresh(examples: DataFrame) -> DataFrame:
     return examples.sparkSession.createDataFrame(fresh, "row long")
 
 
-def _choose_words(examples: DataFrame) -> list[int]:
-    """The words that tell the labels apart, by chi-square on presence in a document; at most MAX_WORDS."""
+def _count_words(examples: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, int]:
+    """The terms of the examples, sorted, in how many and in how many of label 1 each stands, and how many there are; no terms without both labels."""
 
     def run(batches):
         for batch in kernel.slices(batches, "text"):
@@ -203,12 +241,19 @@ def _choose_words(examples: DataFrame) -> list[int]:
     totals = examples.agg(F.count("*"), F.sum("label")).first()
     all_n, all_pos = totals[0], totals[1] or 0
     if all_pos in (0, all_n):
-        return []
+        return np.zeros(0, dtype=U), np.zeros(0), np.zeros(0), all_n, all_pos
     counts = examples.select("text", "label").mapInArrow(run, "word long, n long, pos long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
-    share = all_pos / all_n
-    chi2 = F.pow(F.col("pos") - F.col("n") * share, 2) / (F.col("n") * share * (1 - share)) * (F.lit(1.0) / (1 - F.col("n") / (all_n + 1)))
-    best = counts.filter(F.col("n") >= MIN_DOCS).withColumn("chi2", chi2).filter(F.col("chi2") >= MIN_CHI2)
-    return [r.word for r in best.orderBy(F.desc("chi2"), "word").limit(MAX_WORDS).collect()]
+    found = counts.toArrow()  # the terms of MAX_EXAMPLES texts at most
+    words, n, pos = (found.column(c).to_numpy() for c in ("word", "n", "pos"))
+    order = np.argsort(words.view(U))
+    return words.view(U)[order], n[order].astype(float), pos[order].astype(float), all_n, all_pos
+
+
+def _relevance(n: np.ndarray, pos: np.ndarray, all_n: int, all_pos: int) -> np.ndarray:
+    """How much a term's presence tells of the label: chi-square, damped where it is what chance gives; 0 for terms of no example."""
+    share = min(max(all_pos / max(1, all_n), 1e-6), 1 - 1e-6)
+    chi2 = (pos - n * share) ** 2 / (np.maximum(n, 1) * share * (1 - share)) / (1 - n / (all_n + 1))
+    return np.where(n > 0, LEAST + chi2 * chi2 / (chi2 + CHANCE), 0.0)
 
 
 def _frequencies(docs: DataFrame, words: np.ndarray) -> tuple[np.ndarray, int]:
@@ -221,11 +266,14 @@ def _frequencies(docs: DataFrame, words: np.ndarray) -> tuple[np.ndarray, int]:
             hit, at = _in_words(words, hashes)
             df += np.bincount(np.unique(doc[hit] * max(1, len(words)) + at) % max(1, len(words)), minlength=len(words))[: len(words)]
             n += texts.n
-        yield pa.RecordBatch.from_arrays([pa.array([-1, *range(len(words))], pa.int64()), pa.array([n, *df.tolist()], pa.int64())], names=["word", "n"])
+        some = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(df[some], n))], names=["word", "n"])
 
-    rows = docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()  # MAX_WORDS + 1 rows
-    found = {r.word: r.n for r in rows}
-    return np.array([found.get(i, 0) for i in range(len(words))], dtype=float), found.get(-1, 0)
+    found = docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).toArrow()  # a row per word, and one
+    word, n = found.column("word").to_numpy(), found.column("n").to_numpy()
+    df = np.zeros(len(words))
+    df[word[word >= 0]] = n[word >= 0]
+    return df, int(n[word < 0].sum())
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, max_examples: int = MAX_EXAMPLES) -> BlockMaxIndex:
@@ -238,34 +286,45 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_examples: int = MAX_EXAMPLES)
     texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").groupBy(F.xxhash64("doc_id", "text").alias("row")).agg(
         F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.first("label").alias("label"))
     examples = stage(texts)
-    words = np.array(sorted(w % (1 << 64) for w in _choose_words(examples.join(F.broadcast(_fresh(examples)), "row"))), dtype=U)
+    words, n_of, pos_of, all_n, all_pos = _count_words(examples.join(F.broadcast(_fresh(examples)), "row"))
     df, n = _frequencies(docs, words)
     idf = np.log((n + 1) / (df + 1)) + 1
+    gain = idf * _relevance(n_of, pos_of, all_n, all_pos)
 
     def run(batches):
         for batch in kernel.slices(batches, "text"):
-            got = [(w.tolist(), v.tolist()) for w, v in _vectors(batch.column("text"), words, idf)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array([g[0] for g in got], pa.list_(pa.int64())),
-                                              pa.array([g[1] for g in got], pa.list_(pa.float64()))], names=["doc_id", "label", "at", "weight"])
-
-    rows = examples.select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label int, at array<long>, weight array<double>").collect()
-    groups: dict[tuple, list] = {}
-    for r in sorted(rows, key=lambda r: r.doc_id):
-        groups.setdefault((tuple(r.at), tuple(np.round(r.weight, 9))), []).append((r.doc_id, r.label))
-    # vectors with the same heaviest word stand together, which makes the block maxima tight
-    keys = sorted(groups, key=lambda k: (k[0][int(np.argmax(k[1]))] if k[0] else -1, k))
-    vectors = np.zeros((len(keys), len(words)), dtype=np.float32)
-    for i, (at, weight) in enumerate(keys):
-        vectors[i, list(at)] = weight
-    members = [groups[k] for k in keys]
-    index = BlockMaxIndex(words, idf, vectors, np.array([len(m) for m in members], dtype=np.int64),
+            got = [(w.astype(np.int32).tobytes(), v.astype(np.float32).tobytes()) for w, v in _vectors(batch.column("text"), words, gain)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("label"), pa.array([g[0] for g in got], pa.binary()),
+                                              pa.array([g[1] for g in got], pa.binary())], names=["doc_id", "label", "at", "weight"])
+
+    rows = examples.select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label int, at binary, weight binary").toArrow()
+    groups: dict[bytes, list] = {}
+    cells = [(b.column(2)[i].as_buffer(), b.column(3)[i].as_buffer(), b.column(0)[i].as_py(), b.column(1)[i].as_py()) for b in rows.to_batches() for i in range(b.num_rows)]
+    for at, weight, doc_id, label in sorted(cells, key=lambda c: c[2]):
+        key = hashlib.blake2b(at, digest_size=16)
+        key.update(weight)
+        groups.setdefault(key.digest(), [at, weight, []])[2].append((doc_id, label))
+    distinct = [groups[k] for k in sorted(groups)]
+    cut = np.concatenate([[0], np.cumsum([at.size // 4 for at, _, _ in distinct], dtype=np.int64)])
+    vectors = Sparse(cut, np.empty(cut[-1], dtype=np.int32), np.empty(cut[-1], dtype=np.float32))
+    for i, (at, weight, _) in enumerate(distinct):
+        vectors.at[cut[i]: cut[i + 1]] = np.frombuffer(at, dtype=np.int32)
+        vectors.weight[cut[i]: cut[i + 1]] = np.frombuffer(weight, dtype=np.float32)
+    members, keys = [m for _, _, m in distinct], range(len(distinct))
+    rows = cells = groups = distinct = at = weight = None  # their bytes are in the vectors now
+    index = BlockMaxIndex(words, gain, vectors, np.array([len(m) for m in members], dtype=np.int64),
                           np.array([sum(y for _, y in m) for m in members], dtype=np.int64), [[d for d, _ in m[:3]] for m in members])
     x, y, n_ = [], [], []
     for i in range(0, len(keys), max(1, len(keys) // 4000)):
-        at, weight = np.array(keys[i][0], dtype=np.int64), np.array(keys[i][1])
+        at = vectors.at[vectors.cut[i]: vectors.cut[i + 1]].astype(np.int64)
+        times = vectors.weight[vectors.cut[i]: vectors.cut[i + 1]] / gain[at]
         for label, count in ((1, index.positive[i]), (0, index.total[i] - index.positive[i])):
             if count:
-                x.append(_logit(index.votes(at, weight, i, label)[0]))
+                # as if this example had not been counted: what stands in it alone is no term
+                weight = times * idf[at] * _relevance(n_of[at] - 1, pos_of[at] - label, all_n - 1, all_pos - label)
+                some = weight > 0
+                weight = weight[some] / np.sqrt((weight[some] ** 2).sum())
+                x.append(_logit(index.votes(at[some], weight, i, label)[0]))
                 y.append(label * count)
                 n_.append(count)
     index.calibration = _calibrate(np.array(x, dtype=float), np.array(y, dtype=float), np.array(n_, dtype=float))
@@ -280,7 +339,10 @@ def score(docs: DataFrame, index: BlockMaxIndex, carry: list[str] | None = None,
     new = [f"{prefix}_score", f"{prefix}_evidence", f"{prefix}_cosine"]
     carry = [c for c in (["doc_id"] if carry is None else carry) if c not in new]
 
+    shared = docs.sparkSession.sparkContext.broadcast(index)  # read once per worker, not once per task
+
     def run(batches):
+        index = shared.value
         for batch in kernel.slices(batches, "text"):
             got = [index.score(w, v) for w, v in _vectors(batch.column("text"), index.words, index.idf)]
             yield pa.RecordBatch.from_arrays(

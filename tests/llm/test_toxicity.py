@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from orderloom.llm import toxicity as tox
 
@@ -81,3 +82,25 @@ def test_without_two_classes(spark, docs_of, text_of, which):
 def test_empty_documents(spark, docs_of):
     table = spark.createDataFrame([(1, 1, 1), (2, 1, 0)], "doc_id long, quality int, toxic int")
     assert tox.toxicity(docs_of([]), table).collect() == []
+
+
+def test_an_insult_seen_once(spark, docs_of, text_of):
+    rows, labels = planted(text_of, 200)
+    once = next(i for i, _, t in labels if t and i % 5 == 2)
+    rows = [(i, text_of(i, 40, 900).replace(" ", " zorgblat ", 1) if i == once else t) for i, t in rows]
+    plain = " ".join(f"unheard{i}" for i in "abcdefghij")
+    docs = docs_of(rows + [(9000, f"{plain} zorgblat"), (9001, plain), (9002, "zorgblat")])
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int").filter(~tox.held_out() | (F.col("doc_id") == once))
+    found = {r.doc_id: r for r in tox.score(docs, tox.fit(docs, table.withColumnRenamed("toxic", "label"))).collect()}
+    assert found[9000].toxicity_score >= 0.5 > found[9001].toxicity_score and found[9002].toxicity_score >= 0.5
+    assert found[9000].toxicity_evidence == found[9002].toxicity_evidence == [once]
+
+
+def test_few_labels(spark):
+    from oracle import TESTDATA
+    from orderloom.llm.queries import QUERIES
+
+    labels = spark.read.parquet(f"{TESTDATA}/sf0.001/labels.parquet").select("doc_id", "toxic")
+    out = QUERIES["op5_toxicity"](spark, f"{TESTDATA}/sf0.001").join(labels, "doc_id").collect()
+    assert sum(r.toxic for r in out) == 11
+    assert [r.doc_id for r in out if r.predicted != r.toxic] == []
