@@ -43,6 +43,10 @@ def _tagged(df: DataFrame, source: str | None, account: str | None) -> DataFrame
     return df
 
 
+# A line that ends within a quoted cell.
+OPEN = r'^(?:(?:"(?:[^"]++|"")*+"[^,]*+|[^",][^,]*+|),)*+"(?:[^"]++|"")*+$'
+
+
 def read_landed_table(
     spark: SparkSession, path: str | list[str], columns: list[str], *, path_tokens: tuple[str, ...] = (),
     exclude_name_chars: str = "(", bad_path: str = "fail", source: str | None = None, account: str | None = None,
@@ -53,11 +57,20 @@ def read_landed_table(
     columns    the columns of the file in file order, after row_no
     bad_path   "fail" or "skip" files whose path lacks one of the tokens
     types      columns to cast strictly
-    multiline  cells may hold line breaks; then a file is read by one task, otherwise in pieces
+    multiline  cells may hold line breaks; then a file is read by one task, otherwise in pieces, and a line that
+               ends within a quoted cell is an error, not a broken row
     """
-    reader = spark.read.schema(text_schema(columns)).option("header", True).option("enforceSchema", True)
+    schema = text_schema(columns)
+    if not multiline:  # a column that no file has makes the reader keep the line of every row
+        schema = schema.add("__none", T.StringType()).add("__line", T.StringType())
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", True)
+    reader = reader.option("columnNameOfCorruptRecord", "__line").option("columnPruning", multiline)
     df = _guarded(reader.option("multiLine", multiline).option("escape", '"').csv(path), path_tokens,
                   exclude_name_chars, bad_path)
+    if not multiline:
+        broken = F.raise_error(F.concat(F.lit("a cell holds a line break, read with multiline: "), FILE, F.lit(" row "),
+                                        F.coalesce(F.col("row_no").cast("string"), "__none", F.lit("?")))).cast("boolean")
+        df = df.filter(F.when(F.coalesce(F.col("__line").rlike(OPEN), F.lit(False)), broken).otherwise(F.lit(True)))
     df = df.withColumns({c: F.col(f"`{c}`").cast(t) for c, t in (types or {}).items()})
     return _tagged(df.select("row_no", *[f"`{c}`" for c in columns], FILE), source, account)
 

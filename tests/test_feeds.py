@@ -43,6 +43,19 @@ def test_landed_table_guards_and_order(spark, tmp_path):
     assert read_landed_table(spark, folder, cols, path_tokens=("spx",), bad_path="skip").count() == 0
 
 
+def test_landed_table_refuses_a_cut_cell(spark, tmp_path):
+    whole, inner, last = (str(tmp_path / n) for n in ("whole", "inner", "last"))
+    for folder, lines in ((whole, '1,"a ""b"", c",5\n2,5" pipe,6\n3,,\n4,,"x"\n'), (inner, '1,x,5\n2,"o1\no2",6\n'), (last, '1,x,"o1\no2"\n')):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "a.csv").write_text(f"row_no,ids,amount\n{lines}")
+    got = [tuple(r) for r in read_landed_table(spark, whole, ["ids", "amount"]).drop("source_file").orderBy("row_no").collect()]
+    assert got == [(1, 'a "b", c', "5"), (2, '5" pipe', "6"), (3, None, None), (4, None, "x")]
+    for folder in (inner, last):
+        with pytest.raises(Exception, match="read with multiline"):
+            read_landed_table(spark, folder, ["ids", "amount"]).select("amount").collect()
+    assert read_landed_table(spark, inner, ["ids", "amount"], multiline=True).select("ids", "amount").collect()[1] == ("o1\no2", "6")
+
+
 def test_grid_header_cells_and_column_choice(spark, tmp_path):
     cells = {(8, 1): "COD_1", (9, 1): "05/02/2024"}
     landing.grid(tmp_path / "one.csv", ["b", "a", "c"], [{"a": "1", "b": "2"}], 20, cells)
