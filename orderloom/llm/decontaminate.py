@@ -1,10 +1,11 @@
-"""Benchmark questions in documents, also with other numbers, names and units, found by template windows.
+"""Benchmark questions in documents, also with other numbers, names and units, found by template and literal windows.
 
 Each word of a text is put in canonical form: lower case without outer punctuation, or a placeholder <num>, <unit>, <qty> (a number
 with its unit attached) or <name> (a capitalised word that does not begin a sentence). Windows of WINDOW canonical words of the
-documents are hash-joined with those of the items. Matched windows of one document, item and alignment then have their slots
-checked: the placeholders' words must map one to one from the item to the document. A document is a leak of an item if windows of
-consistent alignments cover at least MIN_COVERAGE of the item's windows. Built of DataFrame expressions only.
+documents are hash-joined with those of the items, and so are literal windows, of lower-case words without placeholders. Matched windows
+of one document, item and alignment then have their slots checked: each placeholder's word must map to one word of the document, or to
+one in most of its places; windows that hold another place are dropped. A document is a leak of an item if the windows left cover at
+least MIN_COVERAGE of the item's windows. Built of DataFrame expressions only.
 """
 
 from __future__ import annotations
@@ -73,13 +74,16 @@ def _slots(tokens: Column, forms: Column) -> Column:
 
 
 def _windows(tokens: Column, sizes: list[int]) -> Column:
-    """(size, pos, hash, slots) of every window of the given sizes; slots: the words of its placeholders, null elsewhere."""
-    def of_size(h, s, n):
+    """(size, pos, hash, plain, slots) of every window of the given sizes; plain: the hash of its lower-case words; slots: the words of
+    its placeholders, null elsewhere."""
+    def of_size(h, l, s, n):
         return F.when(F.size(h) >= n, F.transform(F.sequence(F.lit(0), F.size(h) - n), lambda i: F.struct(
-            F.lit(n).alias("size"), i.alias("pos"), F.xxhash64(F.slice(h, i + 1, F.lit(n))).alias("hash"), F.slice(s, i + 1, F.lit(n)).alias("slots")))).otherwise(
-            F.array().cast("array<struct<size:int,pos:int,hash:bigint,slots:array<string>>>"))
+            F.lit(n).alias("size"), i.alias("pos"), F.xxhash64(F.slice(h, i + 1, F.lit(n))).alias("hash"), F.xxhash64(F.slice(l, i + 1, F.lit(n))).alias("plain"),
+            F.slice(s, i + 1, F.lit(n)).alias("slots")))).otherwise(
+            F.array().cast("array<struct<size:int,pos:int,hash:bigint,plain:bigint,slots:array<string>>>"))
     return let(tokens, lambda t: let(canonical(t), lambda f: let(F.transform(f, lambda x: F.xxhash64(x)), lambda h: let(
-        _slots(t, f), lambda s: F.flatten(F.array(*[of_size(h, s, n) for n in sizes]))))))
+        F.transform(t, lambda x: F.xxhash64(F.lit("plain"), _bare(x))), lambda l: let(
+            _slots(t, f), lambda s: F.flatten(F.array(*[of_size(h, l, s, n) for n in sizes])))))))
 
 
 def row_key(docs: DataFrame) -> Column:
@@ -92,8 +96,9 @@ def leaks(docs: DataFrame, items: DataFrame, *, window: int = WINDOW, min_litera
     coverage, n_slots (compared), reparametrised (a slot differs), row_key.
 
     An item of fewer than `window` words is one window of its length; windows with fewer than min_literals words that are no
-    placeholder (or half of a shorter window) match nothing. Null and empty texts, of either side, match nothing. Repeated rows
-    give one pair. Items under one item_id count as one item. Extra columns are not read.
+    placeholder (or half of a shorter window) match only literally, and count only in items that have no others. n_matched is that of the
+    template windows if these are a leak by themselves, else that of both kinds. Null and empty texts, of either side, match nothing.
+    Repeated rows give one pair. Items under one item_id count as one item. Extra columns are not read.
     """
     stage = staging(docs.sparkSession)
     item = items.select("item_id", words(F.col("text")).alias("raw")).filter("size(raw) > 0")
@@ -102,28 +107,49 @@ def leaks(docs: DataFrame, items: DataFrame, *, window: int = WINDOW, min_litera
     n = F.least(F.size("forms"), F.lit(window))
     cut = item.select("item_key", "item_id", F.explode(_windows(F.col("raw"), sizes)).alias("w"), "forms").filter(F.col("w.size") == n)
     literals = F.size(F.filter(F.slice("forms", F.col("w.pos") + 1, F.col("w.size")), lambda x: ~x.isin(*PLACEHOLDERS)))
-    cut = stage(cut.filter(literals >= F.least(F.lit(min_literals), F.ceil(F.col("w.size") / 2))).select(
-        "item_key", "item_id", F.col("w.size").alias("size"), F.col("w.pos").alias("item_pos"), F.col("w.hash").alias("hash"), F.col("w.slots").alias("item_slots")))
+    enough = literals >= F.least(F.lit(min_literals), F.ceil(F.col("w.size") / 2))
+    cut = cut.select("item_key", "item_id", F.col("w.size").alias("size"), F.col("w.pos").alias("item_pos"), F.col("w.hash").alias("hash"), F.col("w.plain").alias("plain"),
+                     F.col("w.slots").alias("item_slots"), enough.alias("enough"))
+    some = cut.groupBy(F.col("item_key").alias("key_")).agg(F.max("enough").alias("templates"))
+    cut = stage(cut.join(some, F.col("item_key") == F.col("key_")).filter("enough or not templates").drop("key_", "templates"))
     totals = cut.groupBy("item_id").agg(F.countDistinct("item_key", "item_pos").alias("n_windows"))
     small = cut.count() <= BROADCAST_WINDOWS
+    # a window is looked up by either hash, in one pass over the texts
+    keys_of = F.array(F.struct(F.lit(False).alias("literal"), F.col("hash").alias("key")), F.struct(F.lit(True).alias("literal"), F.col("plain").alias("key")))
+    either = cut.select("item_key", "item_id", "size", "item_pos", "item_slots", "enough", F.explode(keys_of).alias("k")).filter("k.literal or enough").select(
+        "item_key", "item_id", "size", "item_pos", "item_slots", "k.*")
     # only windows with a match leave the scan, with the words behind their placeholders: texts are never shuffled
-    of_docs = docs.select("doc_id", row_key(docs).alias("row_key"), F.explode(_windows(words(F.col("text")), sizes)).alias("w")).select(
-        "doc_id", "row_key", F.col("w.pos").alias("pos"), F.col("w.hash").alias("hash"), F.col("w.size").alias("size"), F.col("w.slots").alias("doc_slots"))
-    met = of_docs.join(F.broadcast(cut) if small else cut, ["size", "hash"]).select(
-        "doc_id", "row_key", "item_key", "item_id", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "doc_slots", "item_slots")
+    of_docs = docs.select("doc_id", row_key(docs).alias("row_key"), F.explode(_windows(words(F.col("text")), sizes)).alias("w"))
+    of_docs = of_docs.select("doc_id", "row_key", F.col("w.pos").alias("pos"), F.col("w.size").alias("size"), F.col("w.slots").alias("doc_slots"), F.explode(F.array(
+        F.struct(F.lit(False).alias("literal"), F.col("w.hash").alias("key")), F.struct(F.lit(True).alias("literal"), F.col("w.plain").alias("key")))).alias("k")).select(
+        "doc_id", "row_key", "pos", "size", "doc_slots", "k.*")
+    met = of_docs.join(F.broadcast(either) if small else either, ["size", "literal", "key"]).select(
+        "doc_id", "row_key", "item_key", "item_id", "item_pos", "literal", (F.col("pos") - F.col("item_pos")).alias("shift"), F.when(~F.col("literal"), F.col("doc_slots")).otherwise(
+            F.col("item_slots")).alias("doc_slots"), "item_slots")
     spot = stage(met.distinct())
     pairs = F.filter(F.transform("item_slots", lambda x, i: F.struct((F.col("item_pos") + i).alias("at"), x.alias("item_word"), F.get("doc_slots", i).alias("doc_word"))),
                      lambda x: x["item_word"].isNotNull())
-    slots = spot.select("row_key", "item_key", "shift", F.explode(pairs).alias("p")).select("row_key", "item_key", "shift", "p.*").distinct()
-    checked = slots.groupBy("row_key", "item_key", "shift").agg(
-        F.count("*").alias("slots"), F.countDistinct("item_word").alias("a"), F.countDistinct("doc_word").alias("b"),
-        F.countDistinct("item_word", "doc_word").alias("pairs"), F.max((F.col("item_word") != F.col("doc_word")).cast("int")).alias("differs"))
     keys = ["row_key", "item_key", "shift"]
-    kept = spot.join(checked, keys, "left").filter("slots is null or (a = pairs and b = pairs)")
+    slots = spot.select(*keys, F.explode(pairs).alias("p")).select(*keys, "p.*").distinct()
+    of_word = slots.groupBy(*keys, "item_word", "doc_word").agg(F.collect_list("at").alias("places"))
+    of_word = of_word.groupBy(*keys, "item_word").agg(F.sum(F.size("places")).alias("n"), F.collect_list(
+        F.struct("doc_word", "places")).alias("maps"))
+    major = F.filter("maps", lambda m: 2 * F.size(m["places"]) > F.col("n"))
+    checked = of_word.select(*keys, "n", F.exists(major, lambda m: m["doc_word"] != F.col("item_word")).alias("differs"), F.flatten(F.transform(F.filter(
+        "maps", lambda m: 2 * F.size(m["places"]) <= F.col("n")), lambda m: m["places"])).alias("clash")).groupBy(*keys).agg(
+        F.sum("n").alias("slots"), F.max(F.col("differs").cast("int")).alias("differs"), F.flatten(F.collect_list("clash")).alias("clash"))
+    kept = spot.join(checked, keys, "left").filter(F.col("clash").isNull() | ~F.exists("clash", lambda at: (at >= F.col("item_pos")) & (
+        at < F.col("item_pos") + F.size("item_slots"))))
+    kept = kept.withColumn("spot", F.struct("item_key", "item_pos"))
     covered = kept.groupBy("doc_id", "row_key", "item_id").agg(
-        F.countDistinct("item_key", "item_pos").alias("n_matched"), F.max(F.coalesce("slots", F.lit(0))).alias("n_slots"),
-        (F.max(F.coalesce("differs", F.lit(0))) == 1).alias("reparametrised"))
+        F.countDistinct(F.when(~F.col("literal"), F.col("spot"))).alias("n_template"), F.countDistinct("spot").alias("n_either"),
+        F.max(F.when(~F.col("literal"), F.coalesce("slots", F.lit(0)))).alias("slots_template"), F.max(F.coalesce("slots", F.lit(0))).alias("slots_either"),
+        F.coalesce(F.max(F.when(~F.col("literal"), F.coalesce("differs", F.lit(0)))) == 1, F.lit(False)).alias("differs_template"),
+        (F.max(F.coalesce("differs", F.lit(0))) == 1).alias("differs_either"))
     found = covered.join(totals.withColumnRenamed("item_id", "item_"), F.col("item_id").eqNullSafe(F.col("item_"))).drop("item_")
+    by_template = F.col("n_template") / F.col("n_windows") >= min_coverage
+    for new, name in (("n_matched", "n"), ("n_slots", "slots"), ("reparametrised", "differs")):
+        found = found.withColumn(new, F.when(by_template, F.col(f"{name}_template")).otherwise(F.col(f"{name}_either")))
     found = found.withColumn("coverage", F.col("n_matched") / F.col("n_windows")).filter(F.col("coverage") >= min_coverage)
     return found.select("doc_id", "item_id", "n_windows", "n_matched", "coverage", "n_slots", "reparametrised", "row_key")
 

@@ -61,3 +61,26 @@ def test_shuffled_join_finds_the_same(docs_of, items, text_of, monkeypatch):
 def test_no_python(docs_of, items):
     plan = leaks(docs_of([(1, ITEM)]), items)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_values_that_coincide_and_single_changes(docs_of, spark):
+    item = "Ann has 5 red apples and gives 3 of them to her old friend who eats all of them at once before noon."
+    long = "The river was 7 wide where the old mill stood. " + " ".join(f"part{i} of the tale" for i in range(20)) + " and then the water was 7 deep at the bridge."
+    items = spark.createDataFrame([(1, item), (2, long)], "item_id long, text string")
+    docs = docs_of([(1, item.replace("5", "4").replace("3", "4")), (2, long.replace("7 deep", "8 deep")), (3, "nothing of the kind")])
+    got = found(docs, items)
+    assert set(got) == {(1, 1), (2, 2)} and got[1, 1].reparametrised
+
+
+def test_items_of_placeholders_only(docs_of, spark):
+    items = spark.createDataFrame([(1, "1 + 2 3 4 5 6 7 8 9 10 11 12"), (2, "See Anna Bob Carl Dora Emil Fritz Gerd Hans Ida")], "item_id long, text string")
+    docs = docs_of([(1, "so 1 + 2 3 4 5 6 7 8 9 10 11 12 it is"), (2, "I see Anna Bob Carl Dora Emil Fritz Gerd Hans Ida"), (3, "so 12 + 11 10 9 8 7 6 5 4 3 2 1 it is"),
+                    (4, "See Kurt Lena Mia Nora Otto Paul Rita Sara Tom")])
+    assert set(found(docs, items)) == {(1, 1), (2, 2)}
+
+
+def test_other_case(docs_of, spark, items, text_of):
+    names = "When Anna went to town with Bob the men of Carl saw how Dora ran off with Emil and his dog."
+    more = items.unionByName(spark.createDataFrame([(6, names), (7, "Short and plain words")], "item_id long, text string"))
+    docs = docs_of([(1, ITEM.upper()), (2, OTHER.title()), (3, names.lower()), (4, f"{text_of(1, 30)} {names.upper()}"), (5, "say Short and plain words")])
+    assert set(found(docs, more)) == {(1, 1), (2, 2), (3, 6), (4, 6), (5, 7)}
