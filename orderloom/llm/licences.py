@@ -1,6 +1,6 @@
 """Licence paragraphs in documents: a trained classifier finds them, a comparison with templates confirms them.
 
-A paragraph (a line of a text) is the set of its word bigrams and trigrams, of those that stand in a template and have a word that is no
+A paragraph (a line of a text; lines that are not believed alone are also judged as a run of neighbouring lines, since notices are wrapped) is the set of its word bigrams and trigrams, of those that stand in a template and have a word that is no
 function word. A multinomial logistic regression with an elastic net, so that most weights are zero, is trained on varied templates of each
 family, on licence-like texts of no family (`unknown`) and on ordinary paragraphs of the corpus, a bounded sample (`none`). Weights become a
 small table; paragraphs are scored by joining their n-grams with it and summing per class. The probability below which a family is not
@@ -27,6 +27,7 @@ SAMPLE_DOCS = 1_000  # documents whose paragraphs stand for `none`: those with t
 SAMPLE_PARAGRAPHS = 4_000
 BELIEVED_SHARE = 0.02  # of calibration variants that may fall below the probability that is believed
 MIN_SIMILARITY = 0.6
+MARKS = r"^[\s#*/;!%-]+"  # of comments, in front of a line
 
 # Customary notices of each family, and licence-like texts of none.
 TEMPLATES = (
@@ -142,11 +143,24 @@ def train(docs: DataFrame) -> Model:
     return model
 
 
+def _judged(features: DataFrame, keys: list[str], model: Model) -> DataFrame:
+    """keys, predicted_family, probability, n (the nearest template), similarity, confirmed of what is like a licence, from rows keys, gram."""
+    scored = _logits(features, keys, model).withColumn("best", F.array_position("p", F.array_max("p")).cast("int") - 1).filter("best > 0")
+    classes = F.array(*map(F.lit, model.classes))
+    scored = scored.select(*keys, F.get(classes, F.col("best")).alias("predicted_family"), F.array_max("p").alias("probability"))
+    common = features.join(F.broadcast(model.templates), "gram").groupBy(*keys, "template").agg((F.count("*") / F.first("size")).alias("similarity"))
+    common = common.withColumn("predicted_family", F.get(F.array(*map(F.lit, model.families)), F.col("template")))
+    nearest = common.groupBy(*keys, "predicted_family").agg(F.max(F.struct("similarity", (-F.col("template")).alias("t"))).alias("n"))
+    judged = scored.join(nearest, [*keys, "predicted_family"], "left").withColumn("similarity", F.coalesce("n.similarity", F.lit(0.0)))
+    return judged.withColumn("confirmed", (F.col("predicted_family") != UNKNOWN) & (F.col("probability") >= model.believed) & (F.col("similarity") >= MIN_SIMILARITY))
+
+
 def licence_paragraphs(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """One row per licence-like paragraph of docs (doc_id, text): doc_id, paragraph (line, from 0), family, predicted_family, probability,
     template, similarity, confirmed, text.
 
-    family is the predicted one if its probability is believed and a template confirms it, else `unknown`. Null and empty texts have no
+    family is the predicted one if its probability is believed and a template confirms it, else `unknown`; lines of a wrapped notice have
+    the figures of the whole run. Null and empty texts have no
     paragraphs. Repeated rows are reported once. Extra columns are not read. Without documents the result is empty.
     """
     stage = staging(docs.sparkSession)
@@ -159,14 +173,16 @@ def licence_paragraphs(docs: DataFrame, model: Model | None = None) -> DataFrame
     lines = stage(lines.dropDuplicates(["row_key", "paragraph"]))
     keys = ["row_key", "paragraph"]
     features = stage(lines.select(*keys, F.explode(F.array_distinct(_grams(_forms(F.col("text")), (2, 3)))).alias("gram")))
-    scored = _logits(features, keys, model).withColumn("best", F.array_position("p", F.array_max("p")).cast("int") - 1).filter("best > 0")
-    classes = F.array(*map(F.lit, model.classes))
-    scored = scored.select(*keys, F.get(classes, F.col("best")).alias("predicted_family"), F.array_max("p").alias("probability"))
-    common = features.join(F.broadcast(model.templates), "gram").groupBy(*keys, "template").agg((F.count("*") / F.first("size")).alias("similarity"))
-    common = common.withColumn("predicted_family", F.get(F.array(*map(F.lit, model.families)), F.col("template")))
-    nearest = common.groupBy(*keys, "predicted_family").agg(F.max(F.struct("similarity", (-F.col("template")).alias("t"))).alias("n"))
-    judged = scored.join(nearest, [*keys, "predicted_family"], "left").withColumn("similarity", F.coalesce("n.similarity", F.lit(0.0)))
-    judged = judged.withColumn("confirmed", (F.col("predicted_family") != UNKNOWN) & (F.col("probability") >= model.believed) & (F.col("similarity") >= MIN_SIMILARITY))
+    alone = stage(_judged(features, keys, model))
+    # lines that were not believed, in runs of neighbours: a line's number less its place among them is the same all over a run
+    loose = lines.join(alone.filter("confirmed").select(*keys), keys, "left_anti").groupBy("row_key").agg(F.sort_array(F.collect_list(F.struct("paragraph", "text"))).alias("l"))
+    loose = stage(loose.select("row_key", F.posexplode("l").alias("i", "l")).select("row_key", (F.col("l.paragraph") - F.col("i")).alias("run"), "l.*"))
+    runs = loose.groupBy("row_key", "run").agg(F.sort_array(F.collect_list(F.struct("paragraph", F.regexp_replace("text", MARKS, "").alias("text")))).alias("l"))
+    runs = runs.filter("size(l) > 1").select("row_key", "run", F.array_join(F.col("l.text"), " ").alias("text"))
+    wrapped = _judged(runs.select("row_key", "run", F.explode(F.array_distinct(_grams(_forms(F.col("text")), (2, 3)))).alias("gram")), ["row_key", "run"], model)
+    wrapped = loose.select(*keys, "run").join(wrapped.filter("confirmed"), ["row_key", "run"]).drop("run")
+    judged = alone.join(wrapped.select(*keys, F.struct(*[c for c in wrapped.columns if c not in keys]).alias("w")), keys, "left")
+    judged = judged.select(*keys, *[F.coalesce(f"w.{c}", c).alias(c) for c in wrapped.columns if c not in keys])
     return judged.join(lines, keys).select(
         "doc_id", "paragraph", F.when(F.col("confirmed"), F.col("predicted_family")).otherwise(F.lit(UNKNOWN)).alias("family"), "predicted_family",
         "probability", (-F.col("n.t")).alias("template"), "similarity", "confirmed", "text")

@@ -43,3 +43,14 @@ def test_trains_without_documents(docs_of):
 def test_no_python(docs_of, model):
     plan = licence_paragraphs(docs_of([(1, "Released under the MIT License.")]), model)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_wrapped_notices(docs_of, model, text_of):
+    mit = ("# Permission is hereby granted, free of charge, to any person obtaining a copy\n# of this software and associated documentation files (the \"Software\"), to deal\n"
+           "# in the Software without restriction")
+    gpl = (" * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n"
+           " * the Free Software Foundation, either version 3 of the License, or\n * (at your option) any later version.")
+    docs = docs_of([(1, f"{text_of(1, 20)}\n{mit}\n\n{text_of(2, 20)}"), (2, f"{gpl}\n{text_of(3, 20)}")])
+    out = licence_paragraphs(docs, model).collect()
+    assert {(r.doc_id, r.family) for r in out} == {(1, "MIT"), (2, "GPL-3.0")}
+    assert {(r.doc_id, r.paragraph) for r in out} >= {(1, 1), (1, 2), (2, 1), (2, 2)} and all(r.confirmed for r in out)
