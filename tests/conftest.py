@@ -17,8 +17,3 @@ def spark(tmp_path_factory):
     })
     yield session
     session.stop()
-
-
-def rows(df, *order):
-    """Rows as tuples, sorted."""
-    return sorted((tuple(r) for r in df.collect()), key=lambda r: tuple((v is None, str(v)) for v in r))

@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from rowsets import rows
 from orderloom.operators import merge as m
 from orderloom.operators import relational as rel
 

@@ -5,7 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from rowsets import rows
 from orderloom.operators import quality as q
 from orderloom.operators import tracking as tr
 from orderloom.plans import reports

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from rowsets import rows
 from orderloom.operators import aggregates as agg
 from orderloom.operators import windows as win
 

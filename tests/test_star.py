@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import landing
-from conftest import rows
+from rowsets import rows
 from oracle import TESTDATA
 from orderloom.feeds import cash, couriers, sheets, tiktok
 from orderloom.operators import quality
