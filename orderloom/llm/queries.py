@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderloom.llm.centroids import clusters
 from orderloom.llm.decontaminate import NUMBER, NUMBER_WORDS, OUTER, PLACEHOLDERS, QUANTITY, SENTENCE_ENDS, UNITS, leaks
 from orderloom.llm.jaccard_join import jaccard_links
 from orderloom.llm.language import held_out as language_held_out
@@ -17,6 +18,7 @@ from orderloom.llm.mixing import mix
 from orderloom.llm.quality import quality
 from orderloom.llm.sharding import shards
 from orderloom.llm.tables import table
+from orderloom.llm.top_k import top_k
 from orderloom.llm.toxicity import held_out, toxicity
 from orderloom.llm.warc import archive_roundtrip
 
@@ -172,3 +174,44 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence_paragraphs(table(spark, sf_dir, "documents"))
+
+
+def _means_sql(rounds: int) -> str:
+    """The assignments and centroids of each round, as common table expressions."""
+    distance = "list_sum(list_transform(range(1, 65), lambda i: (k.v[i] - c.v[i]) * (k.v[i] - c.v[i])))"
+    steps = []
+    for n in range(rounds + 1):
+        steps.append(f"a{n} AS (SELECT r, any_value(k.vec_id) AS vec_id, any_value(k.v) AS v, min({{'d': {distance}, 'c': c.c}}) AS near FROM kept k, c{n} c GROUP BY r)")
+        if n < rounds:
+            steps.append(f"""m{n} AS (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM (
+  SELECT near.c AS c, i, sum(v[i]) AS s, count(*) AS n FROM (SELECT *, unnest(range(1, 65)) AS i FROM a{n}) GROUP BY ALL) GROUP BY c),
+c{n + 1} AS (SELECT c{n}.c, coalesce(m{n}.v, c{n}.v) AS v FROM c{n} LEFT JOIN m{n} USING (c))""")
+    return ",\n".join(steps)
+
+
+WHOLE_SQL = "coalesce(list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), len(embedding) = 0)"
+
+
+@query(f"""
+WITH kept AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::HUGEINT) AS v, row_number() OVER () AS r FROM embeddings
+  WHERE len(embedding) = 64 AND {WHOLE_SQL}),
+c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, v) - 1 AS c, v FROM kept ORDER BY sha256('1:' || vec_id) NULLS LAST, v LIMIT 16),
+{_means_sql(3)}
+SELECT vec_id, near.c::INTEGER AS cluster, near.d::BIGINT AS distance, (sum(near.d) OVER (PARTITION BY near.c))::BIGINT AS cluster_inertia,
+  (sum(near.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c3.v, ',')) AS centroid_sha256 FROM a3 JOIN c3 ON c3.c = near.c
+""")
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters(table(spark, sf_dir, "embeddings"))
+
+
+@query(f"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::HUGEINT) AS v, row_number() OVER () AS r FROM embeddings
+  WHERE {WHOLE_SQL}),
+scored AS (SELECT a.r, a.vec_id AS query_id, b.r AS o, b.vec_id,
+    list_sum(list_transform(range(1, 1 + least(len(a.v), len(b.v))), lambda i: a.v[i] * b.v[i]))::BIGINT AS score
+  FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 20 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST, o) AS rank FROM scored)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 20
+""")
+def op13_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
