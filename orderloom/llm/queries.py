@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm.centroids import clusters
 from orderloom.llm.decontaminate import NUMBER, NUMBER_WORDS, OUTER, PLACEHOLDERS, QUANTITY, SENTENCE_ENDS, UNITS, leaks
+from orderloom.llm.dialogue import structure
 from orderloom.llm.jaccard_join import jaccard_links
 from orderloom.llm.language import held_out as language_held_out
 from orderloom.llm.language import language
@@ -215,3 +216,8 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <=
 """)
 def op13_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query()
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure(table(spark, sf_dir, "conversations"))
