@@ -21,7 +21,7 @@ from orderloom.llm.vectors import components, finite, padded
 
 K = 20
 SCALE = 64
-LIMIT = (1 << 31) - 1  # of a component
+LIMIT = 1 << 25  # of a component: scores of up to 8,191 components stay within 64 bits
 CHUNK = 8192  # vectors of a chunk
 GROUP = 2048  # queries of a group
 PARTS = 4096  # partitions that chunks or groups are packed in; further ones share them
@@ -29,7 +29,6 @@ TILE = 256  # queries whose scores are held at once
 SEEDS = 512
 BLOCK = 16  # dimensions
 FEW = 0.15  # share of pairs left from which they are compacted
-LONG = (1 << 63) - 1
 
 
 def _exact(dims: int, a: int, b: int):
@@ -128,15 +127,13 @@ def best(queries: np.ndarray, candidates: np.ndarray, own: np.ndarray, k: int) -
             score = np.zeros(len(at_q))
         found.append((at_q + start, at_c, score))
     at_q, at_c, score = (np.concatenate([f[i] for f in found]) for i in range(3))
-    if score.dtype == object:
-        score = np.array([max(-LONG, min(LONG, int(s))) for s in score], dtype=np.int64)
     return at_q, at_c, score.astype(np.int64)
 
 
 def top_k(vectors: DataFrame, is_query: Column, *, k: int = K, scale: int = SCALE) -> DataFrame:
     """For each row of `vectors` (vec_id, embedding) that is a query, the k other rows with the largest inner product: query_id, rank, vec_id, score.
 
-    A component is floor(scale * x), held within 2**31 - 1; scores beyond 64 bits are held within those. Ties go to the smaller vec_id, null ids last;
+    A component is floor(scale * x), held within 2**25 (33 million). Ties go to the smaller vec_id, null ids last;
     rows with equal ids and scores are ranked one after the other. Null vectors and those with null or non-finite components take no part. Missing
     components of a shorter vector count as zeros, so empty vectors score 0. With fewer other rows there are fewer results. A repeated row is a
     query, and a candidate, as often as it stands there; it is not its own candidate, but that of its copies. Null values of is_query are false. Other
