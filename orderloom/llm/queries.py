@@ -82,33 +82,43 @@ OUTER_SQL = "'" + OUTER.replace("'", "''") + "'"
 
 
 @query(f"""
-WITH sides AS (SELECT 'd' AS side, doc_id AS id, {WORDS_SQL.format("coalesce(text, '')")} AS w FROM documents
-  UNION ALL SELECT 'i', item_id, {WORDS_SQL.format("coalesce(text, '')")} FROM benchmark),
-bared AS (SELECT side, id, w, list_transform(w, lambda x: trim(x, {OUTER_SQL})) AS bare FROM sides WHERE len(w) > 0),
-formed AS (SELECT side, id, list_transform(bare, lambda x: lower(x)) AS low, list_transform(range(1, len(w) + 1), lambda i: CASE
+WITH sides AS (SELECT DISTINCT 'd' AS side, doc_id AS id, {WORDS_SQL.format("coalesce(text, '')")} AS w FROM documents
+  UNION ALL SELECT DISTINCT 'i', item_id, {WORDS_SQL.format("coalesce(text, '')")} FROM benchmark),
+bared AS (SELECT side, id, w, list_transform(w, lambda x: trim(x, {OUTER_SQL})) AS bare, row_number() OVER () AS r FROM sides WHERE len(w) > 0),
+formed AS (SELECT side, id, r, list_transform(bare, lambda x: lower(x)) AS low, list_transform(range(1, len(w) + 1), lambda i: CASE
     WHEN bare[i][1] BETWEEN '0' AND '9' THEN CASE WHEN regexp_matches(lower(bare[i]), '{NUMBER}') THEN '<num>'
       WHEN regexp_matches(lower(bare[i]), '{QUANTITY}') THEN '<qty>' ELSE lower(bare[i]) END
     WHEN lower(bare[i]) IN {_in(UNITS)} THEN '<unit>' WHEN lower(bare[i]) IN {_in(NUMBER_WORDS)} THEN '<num>'
     WHEN bare[i][1] <> lower(bare[i][1]) AND i > 1 AND right(w[greatest(i - 1, 1)], 1) NOT IN {_in(SENTENCE_ENDS)} THEN '<name>'
     ELSE lower(bare[i]) END) AS forms FROM bared),
-item AS (SELECT id AS item_id, low, forms, least(8, len(forms)) AS size FROM formed WHERE side = 'i'),
-cut AS (SELECT item_id, size, pos, array_to_string(forms[pos + 1:pos + size], ' ') AS g FROM (SELECT *, unnest(range(0, len(forms) - size + 1)) AS pos FROM item)
-  WHERE len(list_filter(forms[pos + 1:pos + size], lambda x: x NOT IN {_in(PLACEHOLDERS)})) >= least(4, ceil(size / 2))),
-doc AS (SELECT id AS doc_id, low, forms FROM formed WHERE side = 'd'),
-seen AS (SELECT doc_id, size, unnest(range(0, len(forms) - size + 1)) AS pos,
-    unnest(list_transform(range(0, len(forms) - size + 1), lambda p: array_to_string(forms[p + 1:p + size], ' '))) AS g
-  FROM doc, (SELECT DISTINCT size FROM item) WHERE len(forms) >= size),
-met AS (SELECT doc_id, item_id, seen.pos - cut.pos AS shift, cut.pos AS item_pos, size FROM seen JOIN cut USING (size, g)),
-places AS (SELECT DISTINCT doc_id, item_id, shift, k FROM (SELECT *, unnest(range(item_pos, item_pos + size)) AS k FROM met)),
-slots AS (SELECT p.doc_id, p.item_id, shift, i.low[k + 1] AS item_word, d.low[k + shift + 1] AS doc_word
-  FROM places p JOIN item i USING (item_id) JOIN doc d USING (doc_id) WHERE i.forms[k + 1] IN {_in(PLACEHOLDERS)}),
-checked AS (SELECT doc_id, item_id, shift, count(*) AS slots, count(DISTINCT item_word) AS a, count(DISTINCT doc_word) AS b,
-    count(DISTINCT (item_word, doc_word)) AS pairs, bool_or(item_word <> doc_word) AS differs FROM slots GROUP BY ALL),
-covered AS (SELECT doc_id, item_id, count(DISTINCT item_pos) AS n_matched, max(coalesce(slots, 0)) AS n_slots, bool_or(coalesce(differs, false)) AS reparametrised
-  FROM met LEFT JOIN checked USING (doc_id, item_id, shift) WHERE slots IS NULL OR (a = pairs AND b = pairs) GROUP BY ALL),
-totals AS (SELECT item_id, count(*) AS n_windows FROM cut GROUP BY item_id)
-SELECT doc_id, item_id, n_windows, n_matched, n_matched / n_windows AS coverage, n_slots, reparametrised
-FROM covered JOIN totals USING (item_id) WHERE n_matched / n_windows >= 0.5
+item AS (SELECT r AS item, id AS item_id, low, forms, least(8, len(forms)) AS size FROM formed WHERE side = 'i'),
+every AS (SELECT item, size, pos, array_to_string(forms[pos + 1:pos + size], ' ') AS g, array_to_string(low[pos + 1:pos + size], ' ') AS l,
+    len(list_filter(forms[pos + 1:pos + size], lambda x: x NOT IN {_in(PLACEHOLDERS)})) >= least(4, ceil(size / 2)) AS enough
+  FROM (SELECT *, unnest(range(0, len(forms) - size + 1)) AS pos FROM item)),
+cut AS (SELECT * FROM every QUALIFY enough OR NOT bool_or(enough) OVER (PARTITION BY item)),
+doc AS (SELECT r AS d, id AS doc_id, low, forms FROM formed WHERE side = 'd'),
+seen AS (SELECT d, size, pos, array_to_string(forms[pos + 1:pos + size], ' ') AS g, array_to_string(low[pos + 1:pos + size], ' ') AS l
+  FROM (SELECT *, unnest(range(0, len(forms) - size + 1)) AS pos FROM doc, (SELECT DISTINCT size FROM item) WHERE len(forms) >= size)),
+met AS (SELECT d, item, shift, item_pos, size, bool_or(literal) AS literal FROM (
+    SELECT d, item, seen.pos - cut.pos AS shift, cut.pos AS item_pos, size, true AS literal FROM seen JOIN cut USING (size, l)
+    UNION ALL SELECT d, item, seen.pos - cut.pos, cut.pos, size, false FROM seen JOIN cut USING (size, g) WHERE enough) GROUP BY ALL),
+places AS (SELECT *, unnest(range(item_pos, item_pos + size)) AS k FROM met),
+slots AS (SELECT p.d, p.item, shift, item_pos, k, i.low[k + 1] AS item_word, d.low[k + shift + 1] AS doc_word
+  FROM places p JOIN item i USING (item) JOIN doc d USING (d) WHERE i.forms[k + 1] IN {_in(PLACEHOLDERS)}),
+votes AS (SELECT *, count(*) OVER (PARTITION BY d, item, shift, item_word) AS n, count(*) OVER (PARTITION BY d, item, shift, item_word, doc_word) AS c
+  FROM (SELECT DISTINCT d, item, shift, k, item_word, doc_word FROM slots)),
+dropped AS (SELECT DISTINCT d, item, shift, item_pos FROM slots JOIN votes USING (d, item, shift, k) WHERE 2 * c <= n),
+kept AS (SELECT met.*, item_pos - row_number() OVER (PARTITION BY d, item, shift ORDER BY item_pos) AS run FROM met
+  LEFT JOIN dropped x USING (d, item, shift, item_pos) WHERE literal OR x.d IS NULL),
+runs AS (SELECT d, item, max(n) AS run_words FROM (SELECT d, item, shift, run, count(*) + max(size) - 1 AS n FROM kept GROUP BY ALL) GROUP BY ALL),
+covered AS (SELECT d, item, count(DISTINCT item_pos) AS n_matched FROM kept GROUP BY ALL),
+compared AS (SELECT d, item, count(DISTINCT k) AS n_slots, bool_or(item_word <> doc_word) AS differs FROM slots JOIN kept USING (d, item, shift, item_pos) GROUP BY ALL),
+totals AS (SELECT item, count(*) AS n_windows FROM cut GROUP BY item),
+leaked AS (SELECT d, item, n_windows, n_matched, n_matched / n_windows AS coverage, run_words, coalesce(n_slots, 0) AS n_slots, coalesce(differs, false) AS reparametrised
+  FROM covered JOIN totals USING (item) JOIN runs USING (d, item) LEFT JOIN compared USING (d, item) WHERE n_matched / n_windows >= 0.5 OR run_words >= 13),
+best AS (SELECT doc_id, item_id, max({{'c': coverage, 'm': n_matched, 'n': n_windows, 'r': run_words, 's': n_slots, 'd': reparametrised}}) AS b
+  FROM leaked JOIN item USING (item) JOIN doc USING (d) GROUP BY d, doc_id, item_id)
+SELECT doc_id, item_id, b.n AS n_windows, b.m AS n_matched, b.c AS coverage, b.r AS run_words, b.s AS n_slots, b.d AS reparametrised FROM best
 """)
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_key")
