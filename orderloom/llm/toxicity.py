@@ -14,8 +14,8 @@ found: the neighbours are exact. Vectors that share their heaviest term are put
 texts of EXAMPLE_CHARS characters, whatever the size of the corpus (5 MB over the given tables).
 
 Weights are TF-IDF times how well a term's presence tells the label apart. Plain TF-IDF was measured and found wanting: of 126 toxic held-out documents its
-nearest neighbours find 48, with these weights all 126 (4,000 examples, 1,200 documents; clean ones are left alone by both). Terms within one
-standard deviation of what chance gives weigh nothing; no other term is left out.
+nearest neighbours find 48, with these weights all 126 (4,000 examples, 1,200 documents; clean ones are left alone by both). Terms within two standard
+deviations (rare ones: one) of what chance gives weigh nothing; no other term is left out.
 """
 
 from __future__ import annotations
@@ -39,6 +39,7 @@ BLOCK = 64  # vectors
 FIRST_BLOCKS = 4
 SHINGLE_WORDS = 5
 SIMILAR = (75, 100)
+EXPECTED = 5
 CHANCE = 10.0  # chi-square values well below this count by their square
 REST = 0.05
 K = 25
@@ -268,10 +269,13 @@ def _count_words(examples: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 
 def _relevance(n: np.ndarray, pos: np.ndarray, all_n: int, all_pos: int) -> np.ndarray:
-    """How much a term's presence tells of the label: chi-square, damped where it is what chance gives, and 0 within one standard deviation of that."""
+    """How much a term's presence tells of the label: chi-square, damped where it is what chance gives, and 0 within two standard deviations of that.
+
+    Terms that chance alone would put into fewer than EXPECTED examples of label 1 need to be out of one only: a rare insult has no more to show.
+    """
     share = min(max(all_pos / max(1, all_n), 1e-6), 1 - 1e-6)
     chi2 = (pos - n * share) ** 2 / (np.maximum(n, 1) * share * (1 - share)) / (1 - n / (all_n + 1))
-    return np.where((n > 0) & (chi2 >= 1), chi2 * chi2 / (chi2 + CHANCE), 0.0)
+    return np.where((n > 0) & (chi2 >= np.where(n * share >= EXPECTED, 4, 1)), chi2 * chi2 / (chi2 + CHANCE), 0.0)
 
 
 def _frequencies(docs: DataFrame, words: np.ndarray) -> tuple[np.ndarray, int]:
@@ -368,8 +372,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, max_examples: int = MAX_EXAMPLES,
                     out.append(_logit(index.votes(at[some], weight, int(place_of[np.searchsorted(row_of, row)]), label)[0]))
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.float64()), batch.column("label")], names=["x", "y"])
 
-        seen = columns.mapInArrow(left_out, "x double, y int").orderBy("x", "y").toArrow()  # a row per example
+        seen = columns.mapInArrow(left_out, "x double, y int").toArrow()  # a row per example
     x, y = seen.column("x").to_numpy(), seen.column("y").to_numpy().astype(float)
+    order = np.lexsort((y, x))  # sums in the same order each time
+    x, y = x[order], y[order]
     return Model(shared, _calibrate(x, y, np.ones(len(x))))
 
 
