@@ -201,14 +201,14 @@ def _log_path(store: TableStore) -> str:
 
 
 def refresh_star(store: TableStore, *, by_order: bool = True) -> dict[str, DataFrame]:
-    """Bring the star up to date with the staging tables; only buckets with changes are rewritten."""
+    """Bring the star up to date with the staging tables; only partitions with changes are rewritten, and read beyond their keys."""
     with Staged(store.spark) as stage:
         _refresh(store, stage, by_order)
     return {name: store.read(name) for name in STAR}
 
 
 def _refresh(store: TableStore, stage: Staged, by_order: bool) -> None:
-    log = read_log(store)
+    log, seen = read_log(store), store.marks()  # what is written from here on is news for the next run
     lake = {name: store.read(name) for name in LAKE}
     old = {name: store.read(name) for name in STAR}
 
@@ -216,12 +216,12 @@ def _refresh(store: TableStore, stage: Staged, by_order: bool) -> None:
         keys = STAR_KEYS[name]
         return store.merge(name, fold_feeds(feeds, keys), lambda t, s: conform(apply_feeds(t, s, keys), name), stage)
 
-    tables = star.build_star(lake, old, watermarks(log), by_order=by_order, only_touched=True, stage=stage, merge=merge)
-    fact = store.merge(
+    tables = star.build_star(lake, old, watermarks(log), by_order=by_order, only_touched=True, stage=stage, merge=merge, reach=store.reach)
+    store.merge(
         "fact_orderdetails", tables["fact_orderdetails"],
         lambda t, s: upsert(t, s, STAR_KEYS["fact_orderdetails"], stamp_col=None), stage)
     # The marks move last: a run that dies before is repeated from the old ones.
-    after = star.advance_log(log, lake, fact)
+    after = star.advance_log(log, {**{n: seen.get(n) for n in LAKE}, "fact and dim tables": store.marks().get("fact_orderdetails")})
     delete_keys(after, log, ["dwtable_name", "updatetime"]).coalesce(1).write.mode("append").parquet(_log_path(store))
 
 

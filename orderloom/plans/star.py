@@ -12,10 +12,10 @@ from orderloom.functions.rules import not_in
 from orderloom.functions.scalar import sku_prefix, surrogate
 from orderloom.operators import outcome as o
 from orderloom.operators.aggregates import average_price, ordered_text, signed_totals
-from orderloom.operators.merge import upsert_feeds
+from orderloom.operators.merge import insert_ignore, upsert_feeds
 from orderloom.operators.relational import delete_keys, keep_keys, lookup, null_unmatched, union_all, update_from
 from orderloom.operators.settlement import settle
-from orderloom.operators.tracking import advance, changed_groups, since
+from orderloom.operators.tracking import changed_groups, since
 from orderloom.schemas import BASE_MEASURES, STAR_KEYS, conform
 
 UNCONFIRMED = ("don moi", "cho khach xac nhan")
@@ -27,6 +27,13 @@ Marks = dict[str, datetime]
 Feeds = list[tuple[DataFrame, list[str]]]
 Stage = Callable[[DataFrame], DataFrame]
 Merge = Callable[[str, Feeds], DataFrame]
+Reach = Callable[[str, DataFrame, dict[str, str]], DataFrame]
+
+
+def whole_tables(*groups: Tables) -> Reach:
+    """Rows by key out of frames that are not partitioned: all rows, as the joins pick theirs."""
+    tables = {name: df for group in groups for name, df in group.items()}
+    return lambda name, keys, on: tables[name]
 
 
 def _as(df: DataFrame, **cols: str | Column) -> DataFrame:
@@ -140,11 +147,18 @@ def transactions(new: Tables) -> DataFrame:
                      _as(new["pos"], id="trackingnumber").dropna())
 
 
-def courier_money(lake: Tables, marks: Marks, new: Tables) -> DataFrame:
-    """Courier settlements per parcel (C2, A7-A9): the whole history of keys with news, and of the orders of
-    this run, whose money may have come before them."""
-    rows = changed_groups(lake["delivery_reconciliation"], ["delivery_orderid"], marks["delivery_reconciliation"],
-                          also=transactions(new).withColumnRenamed("id", "delivery_orderid"))
+def history(name: str, key: str, lake: Tables, marks: Marks, new: Tables, reach: Reach | None) -> DataFrame:
+    """All rows of keys with news, and of the orders of this run, whose money may have come before them."""
+    also = transactions(new).withColumnRenamed("id", key)
+    if reach is None:
+        return changed_groups(lake[name], [key], marks[name], also=also)
+    touched = since(lake[name], marks[name]).select(key).union(also).distinct()
+    return keep_keys(reach(name, touched, {key: key}), touched, key)
+
+
+def courier_money(lake: Tables, marks: Marks, new: Tables, reach: Reach | None = None) -> DataFrame:
+    """Courier settlements per parcel."""
+    rows = history("delivery_reconciliation", "delivery_orderid", lake, marks, new, reach)
     sums = rows.groupBy("delivery_orderid").agg(
         F.max("reconciliation_at").alias("max_at"), F.min("reconciliation_at").alias("min_at"),
         *signed_totals(F.col("reconciliation_value"), "amount"), F.max("dw_updatedat").alias("max_dw_updatedat"))
@@ -157,11 +171,10 @@ def courier_money(lake: Tables, marks: Marks, new: Tables) -> DataFrame:
     return lookup(sums, texts, "delivery_orderid", ["all_at", "all_content", "all_sessionid"])
 
 
-def tiktok_money(lake: Tables, marks: Marks, new: Tables) -> DataFrame:
+def tiktok_money(lake: Tables, marks: Marks, new: Tables, reach: Reach | None = None) -> DataFrame:
     """Marketplace settlements per order or statement."""
     key, at = "order_or_statement_id", F.col("transactiontime")
-    rows = changed_groups(lake["tiktok_reconciliation"], [key], marks["tiktok_reconciliation"],
-                          also=transactions(new).withColumnRenamed("id", key))
+    rows = history("tiktok_reconciliation", key, lake, marks, new, reach)
     sums = rows.groupBy(key).agg(
         F.max(at).alias("max_at"), F.min(at).alias("min_at"), F.sum("revenue").alias("positive_amount"),
         F.sum("totalfee").alias("negative_amount"), F.max("dw_updatedat").alias("max_dw_updatedat"))
@@ -185,13 +198,16 @@ def reconciliation_feeds(lake: Tables, new: Tables, marks: Marks, couriers: Data
     return [(placeholders, []), (paid, []), (market, [])]
 
 
-def new_lines(lake: Tables, new: Tables) -> Tables:
+def new_lines(lake: Tables, new: Tables, reach: Reach | None = None) -> Tables:
     """Changed headers with their lines; marketplace headers without lines have no product and are left out."""
-    shopee = lookup(new["shopee"], lake["shopeeorderdetails"], "orderid", [
+    reach = reach or whole_tables(lake)
+    of = {name: reach(name, new[channel].select("orderid"), {"orderid": "orderid"}) for channel, name in (
+        ("shopee", "shopeeorderdetails"), ("tiktok", "tiktokorderdetails"), ("pos", "nhanhvnorderdetails"))}
+    shopee = lookup(new["shopee"], of["shopeeorderdetails"], "orderid", [
         "product_skuid", "orderproduct_id", "quantity", "displayprice", "realprice", "shopdiscount_allquantities"])
-    tiktok = lookup(new["tiktok"], lake["tiktokorderdetails"], "orderid", [
+    tiktok = lookup(new["tiktok"], of["tiktokorderdetails"], "orderid", [
         "product_skuid", "quantity", "displayprice", "shopdiscount_allquantities"])
-    pos = lookup(new["pos"], lake["nhanhvnorderdetails"], "orderid", [
+    pos = lookup(new["pos"], of["nhanhvnorderdetails"], "orderid", [
         "productid", "parentproductid", "price", "quantity", "discount_allproduct"])
     with_parent = {"parentproductid": sku_prefix(F.col("product_skuid"))}
     blank = {c: F.coalesce(c, F.lit("")) for c in ("productid", "parentproductid")}
@@ -312,7 +328,7 @@ def touched_orders(fact: DataFrame, lake: Tables, new: Tables, marks: Marks, cou
 
 
 def build_star(lake: Tables, star: Tables, marks: Marks, *, by_order: bool = False, only_touched: bool = False,
-               stage: Stage | None = None, merge: Merge | None = None) -> Tables:
+               stage: Stage | None = None, merge: Merge | None = None, reach: Reach | None = None) -> Tables:
     """The star after one run over the staging tables.
 
     by_order      recompute all lines of an order with a newer line (equals a full recompute); otherwise only
@@ -320,14 +336,19 @@ def build_star(lake: Tables, star: Tables, marks: Marks, *, by_order: bool = Fal
     only_touched  the fact in the result holds just the orders that can change, to be merged by key
     stage         called for results that several steps read; give it back from storage to cut the plan there
     merge         called with (dimension, feeds) to bring a dimension up to date; by default a lazy merge
+    reach         called with (table, keys, {column: column of keys}) for rows of a stored table by key, so that only the partitions
+                  that hold some are read; by default the whole tables are joined
     """
+    stored = reach is not None
     stage = stage or (lambda df: df)
     merge = merge or (lambda name, feeds: conform(merged(name, star[name], feeds), name))
     new = new_headers(lake, marks)
+    if stored:  # looked up in many tables
+        new = {channel: stage(df) for channel, df in new.items()}
     known = parcel_keys(star["dim_delivery"], lake, new, marks)
     new["pos"] = stage(fix_tracking(new["pos"], known))
-    lines = new_lines(lake, new)
-    couriers, tiktok = stage(courier_money(lake, marks, new)), stage(tiktok_money(lake, marks, new))
+    lines = new_lines(lake, new, reach)
+    couriers, tiktok = stage(courier_money(lake, marks, new, reach)), stage(tiktok_money(lake, marks, new, reach))
 
     dims = {
         "dim_order": merge("dim_order", order_feeds(new)),
@@ -340,18 +361,22 @@ def build_star(lake: Tables, star: Tables, marks: Marks, *, by_order: bool = Fal
     old = star["fact_orderdetails"]
     if only_touched:
         touched = stage(touched_orders(old, lake, new, marks, couriers, tiktok))
-        old = keep_keys(old, touched, "orderid")
+        old = reach("fact_orderdetails", touched, {"orderid": "orderid"}) if stored else keep_keys(old, touched, "orderid")
     # Joins are grouped by key, so that a shuffle by parcel, one by transaction and one by order serve all steps.
     fact = merged("fact_orderdetails", old, fact_feeds(lines))
-    fact = apply_parcels(fact, lake["deliveryorders"])
-    fact = apply_returns(fact, lake["returnedorders_scan"])
+    reach = reach or whole_tables(lake, dims)
+    if stored:  # its keys say which partitions of the other tables are read
+        fact = stage(fact)
+    fact = apply_parcels(fact, reach("deliveryorders", fact, {"delivery_orderid": "deliveryid"}))
+    fact = apply_returns(fact, reach("returnedorders_scan", fact, {"delivery_orderid": "deliveryid"}))
     fact = apply_money(fact, couriers, tiktok)
-    fact = stage(apply_bank(fact, lake["customerbanks"]))
-    fact = settle(fact, dims["dim_order"], dims["dim_delivery"], marks["fact and dim tables"], by_order)
+    fact = stage(apply_bank(fact, reach("customerbanks", fact, {"orderid": "orderid"})))
+    fact = settle(fact, reach("dim_order", fact, {"orderid": "orderid"}), reach("dim_delivery", fact, {"trackingnumber": "deliveryid"}),
+                  marks["fact and dim tables"], by_order)
     return {**dims, "fact_orderdetails": conform(fact, "fact_orderdetails")}
 
 
-def advance_log(log: DataFrame, lake: Tables, fact: DataFrame) -> DataFrame:
-    """Log the highest stamp of all staging tables and of the fact."""
-    tables = {name: (df, "dw_updatedat") for name, df in lake.items()}
-    return advance(log, {**tables, "fact and dim tables": (fact, "lastupdateat")})
+def advance_log(log: DataFrame, marks: dict[str, datetime]) -> DataFrame:
+    """The log with the highest stamp of all staging tables and of the fact, as the writes of these tables saw them."""
+    rows = [(name, at) for name, at in marks.items() if at is not None]
+    return insert_ignore(log, log.sparkSession.createDataFrame(rows, log.schema), ["dwtable_name", "updatetime"])

@@ -1,27 +1,43 @@
-"""Tables kept as Parquet buckets of their key, with a log of which files are current.
+"""Tables kept as Parquet partitions, months of the date their rows carry.
 
-A merge reads and writes only the buckets its source touches, into new folders, and then adds one entry to the
-log. Readers see the old or the new state; a run that dies half-way leaves files no entry names, and can be
-repeated. Parquet itself knows no MERGE; where the catalog has a table format that does, use its MERGE instead.
+A merge looks up which partitions hold one of its keys, by a scan of the key columns alone, merges these and the months its own rows belong to, and
+writes them with Spark's dynamic partition overwrite: what a batch does not touch is not read beyond its keys and not written. The partition is a
+matter of layout only: a row whose date changes is found in its old month and written to the new one. One job writes a table at a time. Where
+a catalog offers a table format with MERGE, use that instead: it also survives a driver that dies while Spark moves finished partitions into place.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
+from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from orderloom.operators.relational import keep_keys, lookup
 from orderloom.schemas import LAKE, LAKE_KEYS, STAR, STAR_KEYS
 from orderloom.staged import Staged
 
 KEYS = {**LAKE_KEYS, **STAR_KEYS}
 SCHEMAS = {**LAKE, **STAR}
-LOG = "snapshot BIGINT, version STRING, bucket INT"
-BUCKET = "__bucket"
+PART = "part"
+UNKNOWN = "unknown"
+MARKS = "name STRING, mark TIMESTAMP_NTZ"
+
+# The date whose month a row lies in.
+DATE_OF = {
+    "nhanhvnorders": "created_at", "shopeeorders": "createdat", "tiktokorders": "create_time", "deliveryorders": "createdat",
+    "customerbanks": "notedate", "returnedorders_scan": "scanat", "delivery_reconciliation": "reconciliation_at",
+    "handle_deliveryorders": "scan_deliveryorder_at", "tiktok_reconciliation": "transactiontime",
+    "dim_order": "createdat", "dim_delivery": "createdat", "dim_reconciliation": "min_transactiontime",
+}
+# Lines have no date of their own and lie with their order. Other tables lie in ranges of their key's hash.
+HEADER_OF = {
+    "nhanhvnorderdetails": "nhanhvnorders", "shopeeorderdetails": "shopeeorders", "tiktokorderdetails": "tiktokorders",
+    "fact_orderdetails": "dim_order",
+}
 
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -29,74 +45,119 @@ Merge = Callable[[DataFrame, DataFrame], DataFrame]
 class TableStore:
     """All tables under one root folder on storage that every executor shares."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64, by: dict[str, list[str]] | None = None):
-        """buckets: per table, the same for the life of the root. by: bucket columns where they are not the key."""
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
-        self.by = {"fact_orderdetails": ["orderid"], "nhanhvnorderdetails": ["orderid"],
-                   "shopeeorderdetails": ["orderid"], "tiktokorderdetails": ["orderid"], **(by or {})}
-
-    def bucket(self, name: str) -> Column:
-        return F.pmod(F.xxhash64(*self.by.get(name, KEYS[name])), F.lit(self.buckets)).cast("int")
-
-    def _current(self, name: str) -> tuple[int, dict[int, str]]:
-        """(snapshot, bucket -> version): at most one small row per bucket."""
+    def __init__(self, spark: SparkSession, root: str, parts: int = 64, grain: str = "yyyy-MM"):
+        """parts: partitions of a table without a date. grain: what of a date names a partition, months or days ("yyyy-MM-dd")."""
+        self.spark, self.root, self.parts, self.grain = spark, root.rstrip("/"), parts, grain
+        self.written: dict[str, list[str]] = {}  # partitions the last write of each table wrote or emptied
+
+    def _path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def _month(self, name: str) -> Column:
+        return F.coalesce(F.date_format(DATE_OF[name], self.grain), F.lit(UNKNOWN))
+
+    def placed(self, name: str, df: DataFrame) -> DataFrame:
+        """The rows with the partition they belong to."""
+        if name in DATE_OF:
+            return df.withColumn(PART, self._month(name))
+        if name in HEADER_OF:
+            header = HEADER_OF[name]
+            # narrow: ids and months of the orders
+            found = lookup(df, self.read(header, with_part=True).select("orderid", PART), "orderid", [PART])
+            return found.withColumn(PART, F.coalesce(PART, F.lit(UNKNOWN)))
+        return df.withColumn(PART, F.concat(F.lit("h"), F.pmod(F.xxhash64(*KEYS[name]), F.lit(self.parts))))
+
+    def read(self, name: str, parts: list[str] | None = None, with_part: bool = False) -> DataFrame:
+        """The current rows, of some partitions only if given."""
+        schema = T.StructType([*SCHEMAS[name].fields, T.StructField(PART, T.StringType())])
         try:
-            log = self.spark.read.schema(LOG).json(f"{self.root}/{name}/log")
+            df = self.spark.read.schema(schema).parquet(self._path(name))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":  # only a table that was never written is empty
                 raise
-            return 0, {}
-        states = log.groupBy("snapshot").agg(F.collect_list(F.struct("bucket", "version")).alias("files"))
-        last = states.agg(F.max_by(F.struct("snapshot", "files"), "snapshot").alias("state")).first().state
-        if last is None:
-            return 0, {}
-        files = {f.bucket: f.version for f in last.files if f.bucket is not None}
-        if len(files) < sum(f.bucket is not None for f in last.files):
-            raise RuntimeError(f"two writers wrote snapshot {last.snapshot} of {name}")
-        return last.snapshot, files
-
-    def read(self, name: str, buckets: list[int] | None = None) -> DataFrame:
-        """The current rows, of some buckets only if given."""
-        _, current = self._current(name)
-        data = f"{self.root}/{name}/data"
-        paths = [f"{data}/version={v}/{BUCKET}={b}" for b, v in sorted(current.items())
-                 if buckets is None or b in buckets]
+            df = self.spark.createDataFrame([], schema)
+        if parts is not None:
+            df = df.filter(F.col(PART).isin(parts) if parts else F.lit(False))
+        return df if with_part else df.drop(PART)
+
+    def parts_of(self, name: str, keys: DataFrame, on) -> list[str]:
+        """The partitions that hold one of the keys; reads nothing but the key columns. At most one short text per partition."""
+        pairs = on if isinstance(on, dict) else {k: k for k in ([on] if isinstance(on, str) else on)}
+        slim = self.read(name, with_part=True).select(*pairs, PART)
+        return sorted(r[0] for r in keep_keys(slim, keys, pairs).select(PART).distinct().collect())
+
+    def reach(self, name: str, keys: DataFrame, on) -> DataFrame:
+        """The rows with one of the keys (on: columns of the table, or a dict from them to those of `keys`), from the partitions that hold some."""
+        return keep_keys(self.read(name, self.parts_of(name, keys, on)), keys, on)
+
+    def _write(self, name: str, df: DataFrame, touched: set[str]) -> None:
         schema = SCHEMAS[name]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
-
-    def _write(self, name: str, df: DataFrame, touched: list[int], snapshot: int, current: dict[int, str]) -> None:
-        version, schema = f"{snapshot + 1}-{uuid.uuid4().hex[:8]}", SCHEMAS[name]  # no other writer has this folder
-        path = f"{self.root}/{name}/data/version={version}"
-        rows = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]).withColumn(BUCKET, self.bucket(name))
-        # Adaptive execution splits large buckets over tasks and joins small ones before writing.
-        rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(path)
-        listed = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
-        written = {r[0] for r in self.spark.read.schema(listed).parquet(path).select(BUCKET).distinct().collect()}
-        kept = {b: v for b, v in current.items() if b not in touched}
-        entries = [(snapshot + 1, v, b) for b, v in {**kept, **dict.fromkeys(written, version)}.items()]
-        entries = entries or [(snapshot + 1, None, None)]
-        if self._current(name)[0] != snapshot:
-            raise RuntimeError(f"another writer changed {name} after snapshot {snapshot}; run the merge again")
-        self.spark.createDataFrame(entries, LOG).coalesce(1).write.mode("append").json(f"{self.root}/{name}/log")
+        rows = self.placed(name, df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]))
+        stamp = next((c for c in ("dw_updatedat", "lastupdateat") if c in schema.names), None)
+        seen = Observation()
+        rows = rows.hint("rebalance", PART)  # adaptive execution splits large months over tasks and joins small ones before writing
+        rows = rows.observe(seen, F.collect_set(PART).alias("parts"), F.max(stamp or F.lit(None).cast("timestamp_ntz")).alias("mark"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(self._path(name))
+        written = set(seen.get["parts"] or [])
+        for part in touched - written:  # rows left that no other took the place of
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self._path(name)}/{PART}={part}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.written[name] = sorted(touched | written)
+        if seen.get["mark"] is not None:
+            one = self.spark.createDataFrame([(name, seen.get["mark"])], MARKS)
+            one.coalesce(1).write.mode("append").parquet(self._path("_marks"))
+
+    def marks(self) -> dict[str, datetime]:
+        """The highest stamp ever written per table, from what each write observed: a short row per write, and none of the tables is read."""
+        try:
+            seen = self.spark.read.schema(MARKS).parquet(self._path("_marks"))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return {}
+        return {r.name: r.mark for r in seen.groupBy("name").agg(F.max("mark").alias("mark")).collect()}
 
     def replace(self, name: str, df: DataFrame) -> DataFrame:
         """Write a whole table."""
-        snapshot, _ = self._current(name)
-        self._write(name, df, [], snapshot, {})
+        old = {r[0] for r in self.read(name, with_part=True).select(PART).distinct().collect()}
+        self._write(name, df, old)
         return self.read(name)
 
     def merge(self, name: str, source: DataFrame, merge: Merge, staged: Staged | None = None) -> DataFrame:
-        """Apply merge(target rows, source rows) to the buckets the source touches; give the new table.
+        """Apply merge(target rows, source rows) to the partitions that hold a key of the source or get one of its rows; give the new table.
 
-        `merge` may change or drop rows of these buckets, but not move a row to another bucket. The source is read
-        several times: pass a Staged to have it written once first, unless it is a stored table already.
+        `merge` gets, and may change or drop, all rows of these partitions. The source is read several times: pass a Staged to have it
+        written once first, unless it is a stored table already. It holds the key columns, or for a delete those of its `on`.
         """
         if staged is not None:
             source = staged(source)
-        snapshot, current = self._current(name)
-        touched = [r[0] for r in source.select(self.bucket(name)).distinct().collect()]
-        if touched:
-            self._write(name, merge(self.read(name, touched), source), touched, snapshot, current)
+        keys = [k for k in KEYS[name] if k in source.columns]
+        touched = {*self.parts_of(name, source, keys), *self._own_parts(name, source)}
+        if not touched and source.isEmpty():
+            return self.read(name)
+        while True:  # until no row goes where others lie that were not read: mostly the first time
+            merged = merge(self.read(name, sorted(touched)), source)
+            reached = set() if self._hashed(name) else {r[0] for r in self.placed(name, merged).select(PART).distinct().collect()}
+            if reached <= touched:
+                break
+            touched |= reached
+        self._write(name, merged, touched)
         return self.read(name)
+
+    def _hashed(self, name: str) -> bool:
+        return name not in DATE_OF and name not in HEADER_OF
+
+    def _own_parts(self, name: str, source: DataFrame) -> set[str]:
+        """Partitions that the rows of a batch belong to, as far as the batch says (a folded batch has the date in one of its structs)."""
+        if name in DATE_OF:
+            date = DATE_OF[name]
+            held = [F.col(date)] if date in source.columns else [
+                F.col(f.name)[date] for f in source.schema.fields if isinstance(f.dataType, T.StructType) and date in f.dataType.names]
+            if not held:
+                return set()
+            found = source.select(F.coalesce(F.date_format(held[0], self.grain), F.lit(UNKNOWN)).alias(PART))
+        elif set(KEYS[name]) <= set(source.columns):
+            found = self.placed(name, source)
+        else:
+            return set()
+        return {r[0] for r in found.select(PART).distinct().collect()}

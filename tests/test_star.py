@@ -30,7 +30,7 @@ NUMBER = {"deliveryorders": "delivery_orderid", "handle_deliveryorders": "delive
 
 def test_incremental_equals_full(spark, tmp_path):
     t = Tables(spark, f"{TESTDATA}/sf0.001")
-    store, stage = TableStore(spark, str(tmp_path / "store"), buckets=2), Staged(spark)
+    store, stage = TableStore(spark, str(tmp_path / "store"), parts=2), Staged(spark)
     lake = {}
     for name, df in roles.staging(t).items():
         number = F.regexp_extract(F.col(NUMBER.get(name, "orderid")), r"(\d+)", 1).cast("bigint")
@@ -61,7 +61,7 @@ def test_incremental_equals_full(spark, tmp_path):
         a, b = stage(got[name]), stage(want[name])
         if name == "dim_delivery":  # the stamp is that of the last feed of a run, not of all runs
             a, b = a.drop("lastupdateat"), b.drop("lastupdateat")
-        assert a.count() == b.count()
+        assert a.count() == b.count(), name
         extra = a.exceptAll(b)
         assert extra.count() == 0, (name, extra.take(3), b.exceptAll(a).take(3))
     # contracts of the star
@@ -75,23 +75,80 @@ def test_incremental_equals_full(spark, tmp_path):
     assert len({r[1] for r in rows(runner.read_log(store)) if r[0] == "fact and dim tables"}) == 2
 
 
-def test_store_rewrites_only_touched_buckets(spark, tmp_path):
-    store = TableStore(spark, str(tmp_path / "s"), buckets=8)
-    orders = conform(spark.range(200).select(F.concat(F.lit("o"), "id").alias("orderid"), F.lit("new").alias("status")), "dim_order")
-    store.replace("dim_order", orders)
-    one = orders.filter("orderid = 'o7'").withColumn("status", F.lit("done"))
+def dated_orders(spark, n=240):
+    """n orders, ten a month."""
+    at = F.make_timestamp_ntz(F.lit(2020) + (F.col("id") / 120).cast("int"), (F.col("id") / 10).cast("int") % 12 + 1, F.lit(5), F.lit(0), F.lit(0), F.lit(0))
+    return conform(spark.range(n).select(F.concat(F.lit("o"), "id").alias("orderid"), F.lit("new").alias("status"), at.alias("createdat")), "dim_order")
+
+
+def files(root, name):
+    return {str(p): p.stat().st_mtime_ns for p in (root / name).rglob("*.parquet")}
+
+
+def test_store_rewrites_only_touched_months(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "s"))
+    store.replace("dim_order", dated_orders(spark))
+    assert len(store.written["dim_order"]) == 24
+    before = files(tmp_path / "s", "dim_order")
+    one = dated_orders(spark).filter("orderid IN ('o7', 'o8', 'o55')").withColumn("status", F.lit("done"))
     store.merge("dim_order", one, lambda a, b: upsert(a, b, ["orderid"], stamp_col=None))
-    assert store.read("dim_order").count() == 200 and store.read("dim_order").filter("status = 'done'").count() == 1
-    _, current = store._current("dim_order")
-    assert sum(v.startswith("2-") for v in current.values()) == 1, "one bucket has a new version"
-    doomed = store.read("dim_order").select("orderid")
-    store.merge("dim_order", doomed, lambda a, b: delete_keys(a, b, "orderid"))
+    assert store.written["dim_order"] == ["2020-01", "2020-06"]
+    assert len(set(before) - set(files(tmp_path / "s", "dim_order"))) == 2 and len(files(tmp_path / "s", "dim_order")) == 24
+    assert store.read("dim_order").count() == 240 and store.read("dim_order").filter("status = 'done'").count() == 3
+    # a new order joins the others of its month
+    more = dated_orders(spark).filter("orderid = 'o100'").withColumn("orderid", F.lit("more"))
+    store.merge("dim_order", more, lambda a, b: upsert(a, b, ["orderid"], stamp_col=None))
+    assert store.written["dim_order"] == ["2020-11"] and store.read("dim_order").count() == 241
+    # so does one whose date changes, also if the batch does not tell
+    into = F.make_timestamp_ntz(F.lit(2020), F.lit(3), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    store.merge("dim_order", more.select("orderid"), lambda a, b: a.withColumn("createdat", F.when(F.col("orderid") == "more", into).otherwise(F.col("createdat"))))
+    assert store.written["dim_order"] == ["2020-03", "2020-11"] and store.read("dim_order").count() == 241
+    assert store.read("dim_order", ["2020-03"]).count() == 11 and store.read("dim_order", ["2020-11"]).count() == 10
+    store.merge("dim_order", more.select("orderid"), lambda a, b: delete_keys(a, b, "orderid"))
+    # an order whose date changes leaves its month; a new one makes its own
+    moved = dated_orders(spark).filter("orderid = 'o7'").withColumn("createdat", F.lit(datetime(2030, 1, 1)).cast("timestamp_ntz"))
+    store.merge("dim_order", moved.union(moved.withColumn("orderid", F.lit("x"))), lambda a, b: upsert(a, b, ["orderid"], stamp_col=None))
+    assert store.written["dim_order"] == ["2020-01", "2030-01"] and store.read("dim_order").count() == 241
+    assert store.read("dim_order", ["2030-01"]).count() == 2
+    gone = store.read("dim_order").filter("createdat >= '2030-01-01'").select("orderid")
+    store.merge("dim_order", gone, lambda a, b: delete_keys(a, b, "orderid"), Staged(spark))
+    assert store.read("dim_order").count() == 239 and not (tmp_path / "s" / "dim_order" / "part=2030-01").exists()
+    store.merge("dim_order", dated_orders(spark).select("orderid"), lambda a, b: delete_keys(a, b, "orderid"))
     assert store.read("dim_order").count() == 0
     assert store.read("dim_delivery").count() == 0
 
 
+def test_a_batch_without_rows_writes_nothing(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "s"))
+    store.replace("dim_order", dated_orders(spark, 20))
+    before = files(tmp_path / "s", "dim_order")
+    store.merge("dim_order", dated_orders(spark).filter("false"), lambda a, b: upsert(a, b, ["orderid"], stamp_col=None))
+    assert files(tmp_path / "s", "dim_order") == before
+
+
+def test_reach_reads_only_months_with_a_key(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "s"))
+    store.replace("dim_order", dated_orders(spark))
+    wanted = spark.createDataFrame([("o3", 1), ("o131", 2), ("o131", 3), (None, 4), ("none", 5)], "id string, n int")
+    found = store.reach("dim_order", wanted, {"orderid": "id"})
+    assert sorted(r.orderid for r in found.collect()) == ["o131", "o3"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "part#" in plan and "IN (2020-01,2021-02)" in plan.split("PartitionFilters: [")[1]
+
+
+def test_lines_lie_with_their_order(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "s"))
+    orders = dated_orders(spark).selectExpr("orderid", "createdat")
+    store.replace("shopeeorders", conform(orders, "shopeeorders"))
+    lines = orders.selectExpr("orderid", "'a' AS product_skuid", "'b' AS orderproduct_id", "2L AS quantity").union(
+        spark.createDataFrame([("strange", "a", "b", 1)], "orderid string, product_skuid string, orderproduct_id string, quantity long"))
+    store.replace("shopeeorderdetails", conform(lines, "shopeeorderdetails"))
+    assert len(store.written["shopeeorderdetails"]) == 25 and "unknown" in store.written["shopeeorderdetails"]
+    assert {r.orderid for r in store.read("shopeeorderdetails", ["2020-02"]).collect()} == {f"o{i}" for i in range(10, 20)}
+
+
 def test_failed_merge_leaves_the_table(spark, tmp_path):
-    store = TableStore(spark, str(tmp_path / "s"), buckets=2)
+    store = TableStore(spark, str(tmp_path / "s"), parts=2)
     store.replace("dim_order", conform(spark.range(5).select(F.col("id").cast("string").alias("orderid")), "dim_order"))
     bad = conform(spark.range(9).select(F.col("id").cast("string").alias("orderid")), "dim_order")
     with pytest.raises(Exception, match="boom"):
@@ -146,7 +203,7 @@ def test_runner_end_to_end(spark, tmp_path):
             {"name": "status", "enabled": "YES", "sql": "SELECT finalstatus, count(*) n FROM fact_orderdetails GROUP BY 1"},
             {"name": "off", "enabled": "NO", "sql": "SELECT 1"}]), "out": str(tmp_path / "out")}],
     }
-    store = TableStore(spark, str(tmp_path / "store"), buckets=2)
+    store = TableStore(spark, str(tmp_path / "store"), parts=2)
     steps = [s for s in paths if s != "reports"] + ["star", "reports"]
     params = {"year": 2024, "start": datetime(2024, 1, 1), "end": datetime(2024, 12, 31)}
     with pytest.warns(UserWarning, match="ghtk/tk9"):
@@ -175,7 +232,7 @@ def test_runner_end_to_end(spark, tmp_path):
 
 
 def test_stream_of_landed_files(spark, tmp_path):
-    store = TableStore(spark, str(tmp_path / "store"), buckets=2)
+    store = TableStore(spark, str(tmp_path / "store"), parts=2)
     folder = tmp_path / "in"
     line = {"Mã vận đơn": "J1", "Tiền thực nhận": "100", "Kỳ thanh toán": "a-20240131-0131"}
     landing.sheet(folder / "a.csv", cash.JTE_CASH, [line])
