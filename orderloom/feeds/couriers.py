@@ -9,6 +9,7 @@ from orderloom.functions import scalar as s
 from orderloom.functions.rules import out_of_range
 from orderloom.operators.quality import coerce, fail_rows
 from orderloom.operators.relational import lookup, to_contract, union_all
+from orderloom.operators.verdicts import Inspect, any_of, drop_rejected
 
 # The fee columns of the payment file.
 GHTK_FEES = (
@@ -89,8 +90,8 @@ def clean_ghtk_parcels(parcels: DataFrame, payments: DataFrame, cancelled: DataF
         courieraccount="courieraccount")
 
 
-def clean_ghn_parcels(parcels: DataFrame, coins: DataFrame) -> DataFrame:
-    """Parcels with their coin credits; credits of lost parcels are compensation (B2)."""
+def clean_ghn_parcels(parcels: DataFrame, coins: DataFrame, inspect: Inspect = drop_rejected) -> DataFrame:
+    """Parcels with their coin credits; credits of lost parcels are compensation (B2). Fees that are no numbers count as 0."""
     paid = coins.filter(col("Loại giao dịch") == COIN_REFUND).select(
         s.drop_suffix(col("Nội dung"), "_PR").alias("id"), col("Số tiền").alias("amount"))
     paid = fail_rows(paid, {"coin amount is not whole": ~s.matches(col("amount").cast("string"), r"^-?\d+$")})
@@ -98,6 +99,7 @@ def clean_ghn_parcels(parcels: DataFrame, coins: DataFrame) -> DataFrame:
     rows = parcels.filter(~F.coalesce(col("Mã đơn hàng").endswith("_PR"), F.lit(False)))
     amounts = ("Tổng phí dịch vụ", "Phí hoàn hàng", "Tiền COD", "GTB - Thu tiền")
     rows = fail_rows(rows, {f"{c} is missing": col(c).isNull() for c in amounts})
+    rows = inspect(rows, {}, {f"{c} is no number, taken as 0": col(c).try_cast("double").isNull() for c in amounts[:2]})
     rows = lookup(rows, paid, {"Mã đơn hàng": "id"}, ["coins"])
     lost = col("Trạng thái") == LOST
     cod = whole("Tiền COD") + F.when(col("Ngày thu GTB - thu tiền").isNotNull(), whole("GTB - Thu tiền")).otherwise(0)
@@ -127,16 +129,20 @@ def clean_jte_parcels(parcels: DataFrame) -> DataFrame:
 SPX_AMOUNTS = ("Số tiền COD", "Giá trị đơn hàng", "Phí vận chuyển thực tế")
 
 
+def spx_doubts() -> dict[str, Column]:
+    """Amounts that look wrong; the rows are loaded all the same."""
+    return {**{f"{c} is below 3000 or above 1000000000": out_of_range(col(c).try_cast("double"), 3000, 1_000_000_000) for c in SPX_AMOUNTS},
+            **{f"{c} is no number": col(c).isNotNull() & col(c).try_cast("double").isNull() for c in SPX_AMOUNTS}}
+
+
 def spx_outliers(parcels: DataFrame) -> DataFrame:
-    """Rows with an amount that looks wrong; they are loaded all the same."""
-    odd = F.lit(False)
-    for name in SPX_AMOUNTS:
-        odd = odd | F.coalesce(out_of_range(col(name).try_cast("double"), 3000, 1_000_000_000), F.lit(False))
-    return parcels.filter(odd)
+    """Rows with an amount out of range."""
+    return parcels.filter(any_of({n: c for n, c in spx_doubts().items() if "below" in n}))
 
 
-def clean_spx_parcels(parcels: DataFrame) -> DataFrame:
+def clean_spx_parcels(parcels: DataFrame, inspect: Inspect = drop_rejected) -> DataFrame:
     """Parcels; amounts that are no numbers and dashed dates are unknown."""
+    parcels = inspect(parcels, {}, spx_doubts())
     cod, declared, cost = (col(c).try_cast("double").cast("bigint") for c in SPX_AMOUNTS)
     return _parcels(
         parcels, "yyyy-MM-dd HH:mm", delivery_orderid="Mã vận đơn", shop_orderid=F.lit(None).cast("string"),
@@ -153,9 +159,9 @@ def self_delivery_rows(sheet: DataFrame) -> DataFrame:
     return sheet.filter((F.coalesce(col("ID đơn"), F.lit("?")) != "") & ~col("STT").eqNullSafe(F.lit("STT")))
 
 
-def clean_self_delivery(sheet: DataFrame) -> DataFrame:
-    """Own deliveries with an order id of 9 digits; the tracking number is made from it."""
-    rows = self_delivery_rows(sheet).filter(s.matches(col("ID đơn"), r"^\d{9}$"))
+def clean_self_delivery(sheet: DataFrame, inspect: Inspect = drop_rejected) -> DataFrame:
+    """Own deliveries with an order id of 9 digits, others are left out; the tracking number is made from it."""
+    rows = inspect(self_delivery_rows(sheet), {"ID đơn is not 9 digits": ~s.matches(col("ID đơn"), r"^\d{9}$")})
     cell = {c: s.zero_if_null(s.money(col(c))) for c in ("Tổng Cod", "Phí Ship", "Cod BANK", "Cod Tiền mặt")}
     return _parcels(
         rows, "dd/MM/yyyy", delivery_orderid=F.concat(F.lit("TVC_GGSHEET_"), col("ID đơn")), shop_orderid="ID đơn",

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from orderloom.feeds.couriers import col
 from orderloom.functions import scalar as s
 from orderloom.functions.rules import is_not
-from orderloom.operators.quality import expect_or_drop, volume_gate
+from orderloom.operators.quality import enough, volume_gate
 from orderloom.operators.relational import to_contract, union_all
-from orderloom.operators.windows import BLOCK_ROWS, duplicates, fill_down, split_even
+from orderloom.operators.verdicts import Inspect, drop_rejected
+from orderloom.operators.windows import BLOCK_ROWS, fill_down, split_even, with_group_size
 
 # Columns of the sheets.
 CUSTOMER_BANK = ("ID", "Ngày", "ID đơn hàng", "Sđt khách bank", "Số tiền bank", "Người xác nhận", "Mã FT", "Ghi chú")
@@ -25,16 +26,11 @@ CATALOGUE = ("Mã SP", *[f"Col{i}" for i in range(2, 11)], "Giá nội bộ", *[
 SHEET = "source_file"
 
 
-def bank_rows(sheet: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(kept, rejected): rows with an order id, by whether their own id has the form KB_1."""
+def clean_customer_bank(sheet: DataFrame, block_rows: int = BLOCK_ROWS, inspect: Inspect = drop_rejected) -> DataFrame:
+    """Transfers; an amount is written once for merged cells: fill it down and split it evenly (B18). Rows without an id of the form KB_1 are left out."""
     rows = sheet.withColumn("ID đơn hàng", s.comma_list(col("ID đơn hàng")))
     rows = rows.filter(is_not(col("ID đơn hàng"), ",") & is_not(col("ID đơn hàng"), ""))
-    return expect_or_drop(rows, col("ID").rlike(r"^KB_\d+$"))
-
-
-def clean_customer_bank(sheet: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Transfers; an amount is written once for merged cells: fill it down and split it evenly."""
-    rows, _ = bank_rows(sheet)
+    rows = inspect(rows, {"ID is not KB_ and digits": ~s.matches(col("ID"), r"^KB_\d+$")})
     rows = rows.withColumn("Số tiền bank", s.null_if_blank(s.drop_currency(col("Số tiền bank"), "$")).cast("double"))
     rows = fill_down(rows, ["Số tiền bank"], SHEET, block_rows=block_rows)
     rows = split_even(rows, "Số tiền bank", SHEET, block_rows=block_rows)
@@ -80,23 +76,26 @@ def note_rows(*sheets: DataFrame) -> DataFrame:
     return rows.filter(is_not(col("Mã vận đơn"), "") & is_not(col("Mã vận đơn"), "Mã vận đơn"))
 
 
-def repeated_notes(*sheets: DataFrame) -> DataFrame:
-    """Parcels noted more than once; the last note counts."""
-    return duplicates(note_rows(*sheets), ["Mã vận đơn"])
-
-
-def clean_handling_notes(*sheets: DataFrame) -> DataFrame:
-    """Notes of the handling team, one sheet after the other."""
-    return to_contract(note_rows(*sheets), {
+def clean_handling_notes(*sheets: DataFrame, inspect: Inspect | None = None) -> DataFrame:
+    """Notes of the handling team, one sheet after the other (B20). Of parcels noted more than once the last note counts; an inspection reports them."""
+    rows = note_rows(*sheets)
+    if inspect is not None:
+        rows = inspect(with_group_size(rows, ["Mã vận đơn"], "__notes"), {}, {"parcel is noted more than once": F.col("__notes") > 1})
+    return to_contract(rows, {
         "delivery_orderid": "Mã vận đơn", "scan_deliveryorder_at": F.lit(None).cast("date"),
         **{f"handleteam_note{i}": s.null_if_blank(col(f"Ghi chú {i}")) for i in (1, 2, 3)}, "row_no": "row_no"})
 
 
-def clean_catalogue(sheet: DataFrame, minimum: int = 1000) -> DataFrame:
+def clean_catalogue(sheet: DataFrame, minimum: int = 1000, inspect: Inspect | None = None) -> DataFrame:
     """Listed products with price notes such as 350k; nothing at all if too few rows look right."""
     rows = sheet.withColumn("Mã SP", F.upper(s.drop_ws(col("Mã SP")))).filter(is_not(col("Mã SP"), ""))
     rows = rows.withColumn("price", s.thousands(col("Giá nội bộ")))
-    rows = volume_gate(rows, {"sku": col("Mã SP").rlike(r"^MDU\d{4}$"), "price": F.col("price").isNotNull()}, minimum)
+    right = {"sku": col("Mã SP").rlike(r"^MDU\d{4}$"), "price": F.col("price").isNotNull()}
+    if inspect is None:
+        rows = volume_gate(rows, right, minimum)
+    else:  # counted by the write of the inspection, without a pass of its own
+        rows = inspect(rows, {}, {f"no right {n}": ~F.coalesce(c, F.lit(False)) for n, c in right.items()})
+        rows = rows if enough({n: inspect.last["rows"] - inspect.last[f"no right {n}"] for n in right}, minimum) else rows.filter("false")
     return to_contract(rows, {
         "productid": "Mã SP", "retailprice": "price", **{n: s.null_if_blank(col(c)) for n, c in CATEGORIES.items()},
         "row_no": "row_no"})

@@ -20,16 +20,8 @@ def violations(df: DataFrame, checks: dict[str, Column]) -> dict[str, int]:
     return df.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in checks.items()]).first().asDict()
 
 
-def expect_or_fail(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
-    """Stop if any row meets one of the named bad conditions."""
-    bad = {n: c for n, c in violations(df, checks).items() if c}
-    if bad:
-        raise QualityError(f"rows that must not be loaded: {bad}")
-    return df
-
-
 def fail_rows(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
-    """As expect_or_fail without a pass of its own: the query itself fails on the first bad row."""
+    """Stop if any row meets one of the named bad conditions: the query itself fails on the first one."""
     for name, bad in checks.items():
         df = df.filter(
             F.when(F.coalesce(bad, F.lit(False)), F.raise_error(F.lit(f"must not be loaded: {name}")).cast("boolean"))
@@ -38,14 +30,6 @@ def fail_rows(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     return df
 
 
-def expect(df: DataFrame, checks: dict[str, Column]) -> dict[str, int]:
-    """Count and report rows that meet a doubtful condition; they are kept."""
-    found = {n: c for n, c in violations(df, checks).items() if c}
-    if found:
-        warnings.warn(f"kept although doubtful: {found}", stacklevel=2)
-    return found
-
-
 def expect_or_drop(df: DataFrame, ok: Column) -> tuple[DataFrame, DataFrame]:
     """(kept, rejected)."""
     ok = F.coalesce(ok, F.lit(False))
@@ -71,19 +55,17 @@ def fallback_per_file(df: DataFrame, col: str, bad: Column, value: Column, file_
                            for c in df.columns])
 
 
-def reject_files(df: DataFrame, bad: Column, file_col: str = "source_file") -> tuple[DataFrame, DataFrame]:
-    """(rows of sound files, files with a bad row): one bad file does not stop the others."""
-    files = flag_files(df, bad, file_col)
-    return df.join(files, file_col, "left_anti"), files
+def enough(counts: dict[str, int], minimum: int) -> bool:
+    """Whether every count reaches the minimum; reported if not."""
+    short = {n: c for n, c in counts.items() if c < minimum}
+    if short:
+        warnings.warn(f"nothing loaded, fewer than {minimum} valid rows: {short}", stacklevel=3)
+    return not short
 
 
 def volume_gate(df: DataFrame, checks: dict[str, Column], minimum: int) -> DataFrame:
     """All rows if every condition holds often enough, otherwise none."""
-    short = {n: c for n, c in violations(df, checks).items() if c < minimum}
-    if short:
-        warnings.warn(f"nothing loaded, fewer than {minimum} valid rows: {short}", stacklevel=2)
-        return df.filter(F.lit(False))
-    return df
+    return df if enough(violations(df, checks), minimum) else df.filter(F.lit(False))
 
 
 def assert_not_null(df: DataFrame, cols: list[str]) -> None:

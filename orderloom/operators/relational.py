@@ -23,12 +23,6 @@ def keep_where(df: DataFrame, predicate: Column) -> DataFrame:
     return df.filter(predicate)
 
 
-def split_where(df: DataFrame, predicate: Column) -> tuple[DataFrame, DataFrame]:
-    """(kept, rejected); a NULL predicate rejects, so that both parts add up to the input."""
-    ok = F.coalesce(predicate, F.lit(False))
-    return df.filter(ok), df.filter(~ok)
-
-
 def _prefixed(df: DataFrame, keys: dict[str, str], cols: list[str]) -> DataFrame:
     """Right side of a join, every column renamed so that no name is shared."""
     return df.select(

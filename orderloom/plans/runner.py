@@ -10,15 +10,17 @@ import warnings
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.feeds import cash, couriers, pos, sheets, shopee, tiktok
+from orderloom.operators import quality
 from orderloom.operators.merge import apply_feeds, fold_feeds, upsert
-from orderloom.operators.relational import delete_keys
+from orderloom.operators.relational import delete_keys, union_all
 from orderloom.operators.tracking import LOG_SCHEMA, stamp, watermarks
+from orderloom.operators.verdicts import Inspection
 from orderloom.plans import reports, star
-from orderloom.schemas import LAKE, LAKE_KEYS, LAKE_MODES, STAR, STAR_KEYS, conform
+from orderloom.schemas import LAKE, LAKE_KEYS, LAKE_MODES, STAR, STAR_KEYS, STAR_REFERENCES, TEXT_LIMITS, conform
 from orderloom.sources.landed import read_grid, read_landed_json, read_landed_table, table_from_grid, with_header_cells
 from orderloom.sources.store import TableStore
 from orderloom.staged import Staged
@@ -42,6 +44,8 @@ class Run:
     def table(self, path, columns, **options) -> DataFrame:
         return read_landed_table(self.spark, path, list(columns), **{"multiline": self.multiline, **options})
 
+    inspect: Inspection  # of the source at work
+
     def workbook(self, path, columns, skip_rows: int, tokens: tuple = (), **tags) -> DataFrame:
         grid = read_grid(self.spark, path, path_tokens=tokens, multiline=self.multiline)
         return table_from_grid(grid, list(columns), skip_rows=skip_rows, **tags)
@@ -67,7 +71,7 @@ def _ghn(run: Run, src: dict) -> Frames:
     tokens = tuple(src.get("tokens", ("ghn",)))
     return {"deliveryorders": couriers.clean_ghn_parcels(
         run.workbook(src["parcels"], couriers.GHN_PARCELS, 0, tokens, source="Giao Hang Nhanh", account=src["account"]),
-        run.workbook(src["coins"], couriers.GHN_COINS, 2, tokens))}
+        run.workbook(src["coins"], couriers.GHN_COINS, 2, tokens), run.inspect)}
 
 
 def _jte(run: Run, src: dict) -> Frames:
@@ -77,19 +81,19 @@ def _jte(run: Run, src: dict) -> Frames:
 
 def _spx(run: Run, src: dict) -> Frames:
     return {"deliveryorders": couriers.clean_spx_parcels(run.workbook(
-        src["parcels"], couriers.SPX_PARCELS, 3, ("spx",), source="SPX Express", account=src["account"]))}
+        src["parcels"], couriers.SPX_PARCELS, 3, ("spx",), source="SPX Express", account=src["account"]), run.inspect)}
 
 
 def _self_delivery(run: Run, src: dict) -> Frames:
-    return {"deliveryorders": couriers.clean_self_delivery(run.table(src["sheet"], couriers.SELF_DELIVERY))}
+    return {"deliveryorders": couriers.clean_self_delivery(run.table(src["sheet"], couriers.SELF_DELIVERY), run.inspect)}
 
 
 def _customer_bank(run: Run, src: dict) -> Frames:
-    return {"customerbanks": sheets.clean_customer_bank(run.table(src["sheet"], sheets.CUSTOMER_BANK))}
+    return {"customerbanks": sheets.clean_customer_bank(run.table(src["sheet"], sheets.CUSTOMER_BANK), inspect=run.inspect)}
 
 
 def _catalogue(run: Run, src: dict) -> Frames:
-    return {"dim_product": sheets.clean_catalogue(run.table(src["sheet"], sheets.CATALOGUE), src.get("minimum", 1000))}
+    return {"dim_product": sheets.clean_catalogue(run.table(src["sheet"], sheets.CATALOGUE), src.get("minimum", 1000), run.inspect)}
 
 
 def _return_scans(run: Run, src: dict) -> Frames:
@@ -103,29 +107,29 @@ def _delivery_scans(run: Run, src: dict) -> Frames:
 
 def _handling_notes(run: Run, src: dict) -> Frames:
     return {"handle_deliveryorders": sheets.clean_handling_notes(
-        *[run.table(path, sheets.HANDLING_NOTES) for path in src["sheets"]])}
+        *[run.table(path, sheets.HANDLING_NOTES) for path in src["sheets"]], inspect=run.inspect)}
 
 
 def _jte_cash(run: Run, src: dict) -> Frames:
-    rows = run.table(src["folder"], cash.JTE_CASH, path_tokens=("jte",), bad_path="skip")
-    return {"delivery_reconciliation": cash.clean_jte_cash(rows, run.run_ts.date())}
+    rows = run.table(src["folder"], cash.JTE_CASH, path_tokens=("jte",), bad_path="skip", mark=True)
+    return {"delivery_reconciliation": cash.clean_jte_cash(rows, run.run_ts.date(), run.inspect)}
 
 
 def _spx_cash(run: Run, src: dict) -> Frames:
     return {"delivery_reconciliation": cash.clean_spx_cash(
-        run.table(src["folder"], cash.SPX_CASH, path_tokens=("spx",), bad_path="skip"))}
+        run.table(src["folder"], cash.SPX_CASH, path_tokens=("spx",), bad_path="skip", mark=True), run.inspect)}
 
 
 def _ghn_cash(run: Run, src: dict) -> Frames:
-    grid = read_grid(run.spark, src["folder"], path_tokens=("ghn",), bad_path="skip", multiline=run.multiline)
+    grid = read_grid(run.spark, src["folder"], path_tokens=("ghn",), bad_path="skip", multiline=run.multiline, mark=True)
     rows = with_header_cells(table_from_grid(grid, list(cash.GHN_CASH), skip_rows=20), grid, cash.GHN_CASH_CELLS)
-    return {"delivery_reconciliation": cash.clean_ghn_cash(rows, run.run_ts.date())}
+    return {"delivery_reconciliation": cash.clean_ghn_cash(rows, run.run_ts.date(), run.inspect)}
 
 
 def _ghn_coin_moves(run: Run, src: dict) -> Frames:
-    grid = read_grid(run.spark, src["folder"], path_tokens=("ghn",), bad_path="skip", multiline=run.multiline)
+    grid = read_grid(run.spark, src["folder"], path_tokens=("ghn",), bad_path="skip", multiline=run.multiline, mark=True)
     rows = table_from_grid(grid, list(cash.GHN_COIN_MOVES), skip_rows=2)
-    return {"delivery_reconciliation": cash.clean_ghn_coin_moves(rows, run.run_ts.date())}
+    return {"delivery_reconciliation": cash.clean_ghn_coin_moves(rows, run.run_ts.date(), run.inspect)}
 
 
 def _tiktok_income(run: Run, src: dict) -> Frames:
@@ -169,8 +173,15 @@ FEEDS: dict[str, Callable[[Run, dict], Frames]] = {
 }
 
 
+def contract(table: str, keys: list[str]) -> dict[str, Column]:
+    """What no row of a table may be: without a key, or with a text longer than its column."""
+    return {**{f"{table}.{k} is missing": F.col(k).isNull() for k in keys},
+            **{f"{table}.{c} is longer than {n}": F.length(c) > n for c, n in TEXT_LIMITS.get(table, {}).items()}}
+
+
 def load(store: TableStore, table: str, rows: DataFrame, run_ts: datetime) -> DataFrame:
-    """Merge cleaned rows into their table under the rule of that table."""
+    """Merge cleaned rows into their table under the rule of that table. A row that breaks the table's contract fails the merge."""
+    rows = quality.fail_rows(rows, contract(table, {**LAKE_KEYS, **STAR_KEYS}[table]))
     order = "row_no" if "row_no" in rows.columns else None
     if table == "dim_product":
         return store.merge(table, rows, lambda t, s: upsert(t, s, STAR_KEYS[table], stamp_col=None, order_col=order))
@@ -200,14 +211,40 @@ def _log_path(store: TableStore) -> str:
     return path
 
 
-def refresh_star(store: TableStore, *, by_order: bool = True) -> dict[str, DataFrame]:
+class State(dict):
+    """What became of each step of a run (name -> "ok", "off" or "failed: ..."), and what its rows showed.
+
+    found   step -> reason or doubt -> rows; for the star, problem -> rows
+    files   step -> files left out because of a row in them
+    """
+
+    def __init__(self):
+        super().__init__()
+        self.found: dict[str, dict[str, int]] = {}
+        self.files: dict[str, list[str]] = {}
+
+
+def read_rejects(store: TableStore) -> DataFrame:
+    """Rejected rows of all runs: source_file, row_no, reasons, cells (JSON), run, feed, source."""
+    path = f"{store.root}/_rejects"
+    return store.spark.read.schema("source_file STRING, row_no BIGINT, reasons ARRAY<STRING>, cells STRING, run STRING, feed STRING, source STRING, part INT").parquet(path).drop("part")
+
+
+def star_problems(store: TableStore, fact: DataFrame) -> dict[str, int]:
+    """References of fact rows that no dimension holds, counted in one pass over narrow rows (QH). Only partitions with a referenced key are read."""
+    counts = [quality.dangling(fact, col, store.reach(dim, fact, {key: col}), key).select(F.lit(f"{col} not in {dim}").alias("problem"))
+              for col, (dim, key) in STAR_REFERENCES.items()]
+    return {r.problem: r["count"] for r in union_all(*counts).groupBy("problem").count().collect()}
+
+
+def refresh_star(store: TableStore, *, by_order: bool = True, found: dict[str, int] | None = None) -> dict[str, DataFrame]:
     """Bring the star up to date with the staging tables; only partitions with changes are rewritten, and read beyond their keys."""
     with Staged(store.spark) as stage:
-        _refresh(store, stage, by_order)
+        _refresh(store, stage, by_order, {} if found is None else found)
     return {name: store.read(name) for name in STAR}
 
 
-def _refresh(store: TableStore, stage: Staged, by_order: bool) -> None:
+def _refresh(store: TableStore, stage: Staged, by_order: bool, found: dict[str, int]) -> None:
     log, seen = read_log(store), store.marks()  # what is written from here on is news for the next run
     lake = {name: store.read(name) for name in LAKE}
     old = {name: store.read(name) for name in STAR}
@@ -217,19 +254,19 @@ def _refresh(store: TableStore, stage: Staged, by_order: bool) -> None:
         return store.merge(name, fold_feeds(feeds, keys), lambda t, s: conform(apply_feeds(t, s, keys), name), stage)
 
     tables = star.build_star(lake, old, watermarks(log), by_order=by_order, only_touched=True, stage=stage, merge=merge, reach=store.reach)
-    store.merge(
-        "fact_orderdetails", tables["fact_orderdetails"],
-        lambda t, s: upsert(t, s, STAR_KEYS["fact_orderdetails"], stamp_col=None), stage)
+    fact = stage(quality.fail_rows(tables["fact_orderdetails"], contract("fact_orderdetails", STAR_KEYS["fact_orderdetails"])))
+    found |= star_problems(store, fact)
+    store.merge("fact_orderdetails", fact, lambda t, s: upsert(t, s, STAR_KEYS["fact_orderdetails"], stamp_col=None))
     # The marks move last: a run that dies before is repeated from the old ones.
     after = star.advance_log(log, {**{n: seen.get(n) for n in LAKE}, "fact and dim tables": store.marks().get("fact_orderdetails")})
     delete_keys(after, log, ["dwtable_name", "updatetime"]).coalesce(1).write.mode("append").parquet(_log_path(store))
 
 
 def run(steps: list[str], spark: SparkSession, store: TableStore, paths: dict[str, list[dict]], run_ts: datetime,
-        params: dict | None = None) -> dict[str, str]:
-    """Run the chosen steps (names of FEEDS, then 'star', 'reports') in the given order; give the state of each."""
+        params: dict | None = None) -> State:
+    """Run the chosen steps (names of FEEDS, then 'star', 'reports') in the given order; give the state of each, with what was rejected or doubtful."""
     job = Run(spark, store, paths, run_ts, params)
-    state: dict[str, str] = {}
+    state = State()
 
     def attempt(name: str, action: Callable[[], object]) -> None:
         try:
@@ -241,9 +278,11 @@ def run(steps: list[str], spark: SparkSession, store: TableStore, paths: dict[st
 
     written: list[str] = []
 
-    def feed(step: str, source: dict) -> None:
+    def feed(step: str, label: str, source: dict) -> None:
         written.clear()
         with Staged(spark) as stage:
+            job.inspect = Inspection(stage, f"{store.root}/_rejects", step, str(label), run_ts)
+            state.found[f"{step}/{label}"], state.files[f"{step}/{label}"] = job.inspect.found, job.inspect.files
             # All rows of a source are cleaned and written aside before its first table is touched.
             ready = {table: stage(rows) for table, rows in FEEDS[step](job, source).items()}
             for table, rows in ready.items():
@@ -252,7 +291,7 @@ def run(steps: list[str], spark: SparkSession, store: TableStore, paths: dict[st
 
     for step in steps:
         if step == "star":
-            attempt(step, lambda: refresh_star(store))
+            attempt(step, lambda: refresh_star(store, found=state.found.setdefault("star", {})))
         elif step == "reports":
             tables = {name: store.read(name) for name in STAR}
             source = paths["reports"][0]
@@ -265,5 +304,5 @@ def run(steps: list[str], spark: SparkSession, store: TableStore, paths: dict[st
                     continue
             for i, source in enumerate(paths.get(step, [])):
                 label = source.get("account") or source.get("shop") or i
-                attempt(f"{step}/{label}", lambda source=source: feed(step, source))
+                attempt(f"{step}/{label}", lambda source=source, label=label: feed(step, label, source))
     return state

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FILE = "source_file"
+UNREADABLE = "__unreadable"  # why a row could not be read, where faults are marked instead of raised
 
 
 def text_schema(columns: list[str]) -> T.StructType:
@@ -50,7 +51,7 @@ OPEN = r'^(?:(?:"(?:[^"]++|"")*+"[^,]*+|[^",][^,]*+|),)*+"(?:[^"]++|"")*+$'
 def read_landed_table(
     spark: SparkSession, path: str | list[str], columns: list[str], *, path_tokens: tuple[str, ...] = (),
     exclude_name_chars: str = "(", bad_path: str = "fail", source: str | None = None, account: str | None = None,
-    types: dict[str, str] | None = None, multiline: bool = False,
+    types: dict[str, str] | None = None, multiline: bool = False, mark: bool = False,
 ) -> DataFrame:
     """Sheet ranges and tables with their header in the first line: all text, plus row_no and source_file.
 
@@ -59,6 +60,7 @@ def read_landed_table(
     types      columns to cast strictly
     multiline  cells may hold line breaks; then a file is read by one task, otherwise in pieces, and a line that
                ends within a quoted cell is an error, not a broken row
+    mark       do not raise that error: the row says it in a column __unreadable, so that other files can be loaded
     """
     schema = text_schema(columns)
     if not multiline:  # a column that no file has makes the reader keep the line of every row
@@ -68,11 +70,15 @@ def read_landed_table(
     df = _guarded(reader.option("multiLine", multiline).option("escape", '"').csv(path), path_tokens,
                   exclude_name_chars, bad_path)
     if not multiline:
-        broken = F.raise_error(F.concat(F.lit("a cell holds a line break, read with multiline: "), FILE, F.lit(" row "),
-                                        F.coalesce(F.col("row_no").cast("string"), "__none", F.lit("?")))).cast("boolean")
-        df = df.filter(F.when(F.coalesce(F.col("__line").rlike(OPEN), F.lit(False)), broken).otherwise(F.lit(True)))
+        is_open = F.coalesce(F.col("__line").rlike(OPEN), F.lit(False))
+        if mark:
+            df = df.withColumn(UNREADABLE, F.when(is_open, "a cell holds a line break"))
+        else:
+            broken = F.raise_error(F.concat(F.lit("a cell holds a line break, read with multiline: "), FILE, F.lit(" row "),
+                                            F.coalesce(F.col("row_no").cast("string"), "__none", F.lit("?")))).cast("boolean")
+            df = df.filter(F.when(is_open, broken).otherwise(F.lit(True)))
     df = df.withColumns({c: F.col(f"`{c}`").cast(t) for c, t in (types or {}).items()})
-    return _tagged(df.select("row_no", *[f"`{c}`" for c in columns], FILE), source, account)
+    return _tagged(df.select("row_no", *[f"`{c}`" for c in columns], FILE, *[c for c in df.columns if c == UNREADABLE]), source, account)
 
 
 # A record of a CSV text, and a cell of a record that has a comma put in front.
@@ -82,12 +88,12 @@ CELL = r',("(?:[^"]++|"")*+"|[^,]*+)'
 
 def read_grid(
     spark: SparkSession, path: str | list[str], *, path_tokens: tuple[str, ...] = (),
-    exclude_name_chars: str = "(", bad_path: str = "fail", multiline: bool = False,
+    exclude_name_chars: str = "(", bad_path: str = "fail", multiline: bool = False, mark: bool = False,
 ) -> DataFrame:
     """Whole workbook sheets cell by cell: row_no, cells (array of text, as many as the row has), source_file.
 
     No header is assumed. Empty cells are NULL. multiline: cells may hold line breaks; then a file is read by one
-    task. Without it, a line that ends within a quoted cell is an error, not a broken row.
+    task. Without it, a line that ends within a quoted cell is an error, not a broken row; mark: the row says it in a column __unreadable instead.
     """
     df = _guarded(spark.read.text(path, wholetext=multiline), path_tokens, exclude_name_chars, bad_path)
     line = F.col("value")
@@ -97,29 +103,40 @@ def read_grid(
     else:
         quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
         broken = F.raise_error(F.concat(F.lit("a cell holds a line break, read with multiline: "), FILE)).cast("string")
+        if mark:
+            df, broken = df.withColumn(UNREADABLE, F.when(quotes % 2 == 1, "a cell holds a line break")), line
         df = df.withColumn("value", F.when(quotes % 2 == 0, F.rtrim(line, F.lit("\r"))).otherwise(broken))
+    if mark and multiline:
+        df = df.withColumn(UNREADABLE, F.lit(None).cast("string"))
     cells = F.transform(F.regexp_extract_all(F.concat(F.lit(","), "value"), F.lit(CELL), F.lit(1)), lambda x: F.when(
         F.startswith(x, F.lit('"')), F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).when(x != "", x))
-    df = df.filter(F.col("value") != "").select(cells.alias("cells"), FILE)
+    marked = [c for c in df.columns if c == UNREADABLE]
+    df = df.filter(F.col("value") != "").select(cells.alias("cells"), FILE, *marked)
     return df.select(F.get("cells", F.lit(0)).try_cast("bigint").alias("row_no"),
-                     F.slice("cells", 2, F.greatest(F.size("cells") - 1, F.lit(0))).alias("cells"), FILE)
+                     F.slice("cells", 2, F.greatest(F.size("cells") - 1, F.lit(0))).alias("cells"), FILE, *marked)
 
 
 def table_from_grid(grid: DataFrame, columns: list[str], *, skip_rows: int = 0, source: str | None = None,
                     account: str | None = None) -> DataFrame:
     """The table under a preamble: skip rows, take the next as header, choose columns by header text.
 
-    The header is one row per file, so files may order their columns differently.
+    The header is one row per file, so files may order their columns differently. A missing column is an error, or,
+    where the grid marks its faults, makes the rows of its file unreadable.
     """
+    marked = UNREADABLE in grid.columns
     header = grid.filter(F.col("row_no") == skip_rows + 1).select(
         FILE, *[F.array_position("cells", c).alias(f"p{i}") for i, c in enumerate(columns)])
-    rows = grid.filter(F.col("row_no") > skip_rows + 1).join(header, FILE, "left")
-    out = []
+    here = F.col("row_no") > skip_rows + 1
+    rows = grid.filter(here | F.col(UNREADABLE).isNotNull() if marked else here).join(header, FILE, "left")
+    out, fault = [], F.col(UNREADABLE) if marked else None
     for i, c in enumerate(columns):
         missing = F.raise_error(F.concat(F.lit(f"no column {c!r} in "), FILE)).cast("string")
         at = F.col(f"p{i}").cast("int") - 1
-        out.append(F.when(F.coalesce(at, F.lit(-1)) < 0, missing).otherwise(F.get("cells", at)).alias(c))
-    return _tagged(rows.select("row_no", *out, FILE), source, account)
+        absent = F.coalesce(at, F.lit(-1)) < 0
+        if marked:
+            missing, fault = F.lit(None).cast("string"), F.coalesce(fault, F.when(absent, f"no column {c!r}"))
+        out.append(F.when(absent, missing).otherwise(F.get("cells", at)).alias(c))
+    return _tagged(rows.select("row_no", *out, FILE, *([fault.alias(UNREADABLE)] if marked else [])), source, account)
 
 
 def with_header_cells(df: DataFrame, grid: DataFrame, cells: dict[str, tuple[int, int]]) -> DataFrame:

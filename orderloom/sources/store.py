@@ -14,7 +14,6 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from orderloom.operators.relational import keep_keys, lookup
 from orderloom.schemas import LAKE, LAKE_KEYS, STAR, STAR_KEYS
@@ -50,6 +49,15 @@ class TableStore:
         self.spark, self.root, self.parts, self.grain = spark, root.rstrip("/"), parts, grain
         self.written: dict[str, list[str]] = {}  # partitions the last write of each table wrote or emptied
 
+    def _at(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _files(self, path: str):
+        return self._at(path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _there(self, path: str) -> bool:
+        return self._files(path).exists(self._at(path))
+
     def _path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
@@ -70,11 +78,9 @@ class TableStore:
     def read(self, name: str, parts: list[str] | None = None, with_part: bool = False) -> DataFrame:
         """The current rows, of some partitions only if given."""
         schema = T.StructType([*SCHEMAS[name].fields, T.StructField(PART, T.StringType())])
-        try:
+        if self._there(self._path(name)):
             df = self.spark.read.schema(schema).parquet(self._path(name))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":  # only a table that was never written is empty
-                raise
+        else:  # a table that was never written is empty
             df = self.spark.createDataFrame([], schema)
         if parts is not None:
             df = df.filter(F.col(PART).isin(parts) if parts else F.lit(False))
@@ -100,8 +106,8 @@ class TableStore:
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(self._path(name))
         written = set(seen.get["parts"] or [])
         for part in touched - written:  # rows left that no other took the place of
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self._path(name)}/{PART}={part}")
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            path = f"{self._path(name)}/{PART}={part}"
+            self._files(path).delete(self._at(path), True)
         self.written[name] = sorted(touched | written)
         if seen.get["mark"] is not None:
             one = self.spark.createDataFrame([(name, seen.get["mark"])], MARKS)
@@ -109,12 +115,9 @@ class TableStore:
 
     def marks(self) -> dict[str, datetime]:
         """The highest stamp ever written per table, from what each write observed: a short row per write, and none of the tables is read."""
-        try:
-            seen = self.spark.read.schema(MARKS).parquet(self._path("_marks"))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not self._there(self._path("_marks")):
             return {}
+        seen = self.spark.read.schema(MARKS).parquet(self._path("_marks"))
         return {r.name: r.mark for r in seen.groupBy("name").agg(F.max("mark").alias("mark")).collect()}
 
     def replace(self, name: str, df: DataFrame) -> DataFrame:

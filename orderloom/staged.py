@@ -36,10 +36,11 @@ class Staged:
         self.root = f"{staging_root(spark)}/staged-{uuid.uuid4().hex}"
         self.count = 0
 
-    def __call__(self, df: DataFrame) -> DataFrame:
+    def __call__(self, df: DataFrame, by: str | None = None) -> DataFrame:
+        """The rows, read from where they were written; by: a column to part them by."""
         path = f"{self.root}/{self.count}"
         self.count += 1
-        df.write.parquet(path)
+        (df.write.partitionBy(by) if by else df.write).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def __enter__(self) -> Staged:

@@ -197,7 +197,6 @@ def test_ghn_cash_and_coins(spark):
         {"Ngày": "05/02/2024 10:20", "Loại giao dịch": "Đền bù x", "Nội dung": "NVS1", "Số tiền": "5"}])
     row = cash.clean_ghn_coin_moves(moves, TODAY).first()
     assert (row.sessionid, row.reconciliation_value, row.reconciliation_at) == ("2024-02-05 10:20_denbux", 15, datetime(2024, 2, 5, 10, 20))
-    assert cash.odd_parcel_ids(moves, "Nội dung").count() == 2
 
 
 # ---- sheets
@@ -214,8 +213,6 @@ def test_customer_bank(spark):
     assert (got["KB_1"].orderid, got["KB_1"].bankvalue, got["KB_1"].customerphonenumber) == ("111,222", 600000.0, "0912")
     assert (got["KB_2"].bankvalue, len(got["KB_2"].note), len(got["KB_1"].note)) == (600000.0, 254, 255)
     assert (got["KB_3"].orderid, got["KB_3"].bankvalue, got["KB_3"].customerphonenumber) == ("444,555", 500000.0, None)
-    kept, rejected = sheets.bank_rows(df)
-    assert (kept.count(), rejected.count()) == (3, 1)
 
 
 def test_return_scans(spark):
@@ -239,7 +236,6 @@ def test_scans_and_notes(spark):
         {"Mã vận đơn": "P1", "Ghi chú 1": "a", "Ghi chú 2": ""}, {"Mã vận đơn": "Mã vận đơn"}, {"Mã vận đơn": "P1", "Ghi chú 1": "b"}])
     out = sheets.clean_handling_notes(notes).orderBy("row_no").collect()
     assert [(r.delivery_orderid, r.handleteam_note1, r.handleteam_note2) for r in out] == [("P1", "a", None), ("P1", "b", None)]
-    assert sheets.repeated_notes(notes).count() == 2
 
 
 def test_catalogue(spark):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rowsets import rows
 from orderloom.operators import quality as q
 from orderloom.operators import tracking as tr
+from orderloom.operators import verdicts as v
 from orderloom.plans import reports
 
 
@@ -18,14 +19,9 @@ def df(spark):
 
 def test_fail_warn_drop(df):
     bad = {"not a number": ~F.col("v").rlike(r"^\d+$")}
-    with pytest.raises(q.QualityError, match="not a number"):
-        q.expect_or_fail(df, bad)
-    assert q.expect_or_fail(df, {"negative": F.col("n") < 0}) is df
     with pytest.raises(Exception, match="must not be loaded: not a number"):
         q.fail_rows(df, bad).collect()
     assert q.fail_rows(df, {"negative": F.col("n") < 0}).count() == 4
-    with pytest.warns(UserWarning, match="not a number"):
-        assert q.expect(df, bad) == {"not a number": 1}
     kept, rejected = q.expect_or_drop(df, F.col("v").rlike(r"^\d+$"))
     assert (kept.count(), rejected.count()) == (2, 2)
 
@@ -35,8 +31,8 @@ def test_coerce_fallback_reject_gate(df):
     dated = df.withColumn("d", F.when(F.col("v") == "x", None).otherwise(F.lit(date(2024, 1, 1))))
     got = q.fallback_per_file(dated, "d", F.col("d").isNull(), F.lit(date(2026, 1, 1))).orderBy("n").collect()
     assert [r.d.year for r in got] == [2026, 2026, 2024, 2024]
-    kept, files = q.reject_files(df, F.col("v") == "x")
-    assert rows(kept.select("n")) == [(3,), (4,)] and rows(files) == [("f1",)]
+    assert rows(v.drop_rejected(df, {"x": F.col("v") == "x"}, by_file="source_file").select("n")) == [(3,), (4,)]
+    assert rows(v.drop_rejected(df, {"x": F.col("v") == "x"}).select("n")) == [(1,), (3,), (4,)]
     assert q.volume_gate(df, {"known": F.col("v").isNotNull()}, 3).count() == 4
     with pytest.warns(UserWarning):
         assert q.volume_gate(df, {"known": F.col("v").isNotNull()}, 4).count() == 0
