@@ -209,20 +209,47 @@ def fact_settled(t):
         F.floor(F.col("cod_collected_allquantity").cast("double") + 0.0001).cast("bigint").alias("cod_collected"))
 
 
-@query("""
-SELECT 'repeated ' || name AS problem, 0 AS n_rows FROM (VALUES ('dim_customer'), ('dim_delivery'), ('dim_order'),
-  ('dim_product'), ('dim_reconciliation'), ('fact_orderdetails')) AS x(name)
-UNION ALL SELECT 'dangling ' || name, 0
-FROM (VALUES ('customer_surrogateid'), ('deliveryid'), ('orderid'), ('parentproductid'), ('transaction_orderid')) AS x(name)
+# Faults that star_integrity plants in the star, by the number within an order's id or by the end of a key.
+LOST_REFERENCES = {"deliveryid": 50, "customer_surrogateid": 70, "parentproductid": 65, "transaction_orderid": 75}
+FACT_TWICE, ORDER_GONE, ORDER_TWICE, PRODUCT_TWICE = 60, 45, 55, 30
+KEY_TWICE = {"dim_delivery": "7", "dim_customer": "5", "dim_reconciliation": "9"}
+
+
+@query(f"""
+WITH {S},
+line AS (SELECT *, cast(substr(orderid, 2) AS bigint) AS n FROM fact0),
+planted AS (SELECT * FROM line UNION ALL SELECT * FROM line WHERE n % {FACT_TWICE} = 0),
+head AS (SELECT orderid, cast(substr(orderid, 2) AS bigint) AS n FROM pos UNION ALL SELECT orderid, o_orderkey FROM shop UNION ALL SELECT orderid, o_orderkey FROM tik),
+buyers AS (SELECT CASE WHEN known THEN c_name ELSE '' END AS id FROM shop UNION SELECT CASE WHEN known THEN c_name || '@mail' ELSE '' END || '_' || n_name FROM tik
+  UNION SELECT CASE WHEN known THEN '0' || o_custkey || '_' || n_name ELSE '_' END FROM pos),
+ids AS (SELECT orderid AS id FROM shop UNION SELECT orderid FROM tik UNION SELECT id FROM parcel UNION SELECT tracking FROM pos_sent WHERE tracking IS NOT NULL
+  UNION SELECT id FROM courier_sum UNION SELECT id FROM tik_sum)
+SELECT 'repeated fact_orderdetails' AS problem, cast(count(*) AS int) AS n_rows FROM line WHERE n % {FACT_TWICE} = 0
+UNION ALL SELECT 'repeated dim_order', cast(count(*) AS int) FROM head WHERE n % {ORDER_TWICE} = 0 AND n % {ORDER_GONE} <> 0
+UNION ALL SELECT 'repeated dim_product', cast(count(*) AS int) FROM part WHERE p_type <> 'PROMO' AND p_partkey % {PRODUCT_TWICE} = 0
+UNION ALL SELECT 'repeated dim_delivery', cast(count(*) AS int) FROM delivery WHERE id LIKE '%{KEY_TWICE["dim_delivery"]}'
+UNION ALL SELECT 'repeated dim_customer', cast(count(*) AS int) FROM buyers WHERE id LIKE '%{KEY_TWICE["dim_customer"]}'
+UNION ALL SELECT 'repeated dim_reconciliation', cast(count(*) AS int) FROM ids WHERE id LIKE '%{KEY_TWICE["dim_reconciliation"]}'
+UNION ALL SELECT 'dangling orderid', cast(count(*) AS int) FROM planted WHERE n % {ORDER_GONE} = 0
+{"".join(f"UNION ALL SELECT 'dangling {c}', cast(count(*) AS int) FROM planted WHERE n % {n} = 0 " for c, n in LOST_REFERENCES.items())}
 """)
 def star_integrity(t):
+    """Repeated keys and references without a member, counted on a star with planted faults of both kinds."""
     tables = _built(t, keep=True)
-    fact = tables["fact_orderdetails"]
+    number = F.substring("orderid", 2, 20).cast("bigint")
+    lost = {c: F.when(number % n == 0, "?").otherwise(F.col(c)) for c, n in LOST_REFERENCES.items()}
+    fact = tables["fact_orderdetails"].withColumns(lost)
+    order, product = tables["dim_order"].filter(number % ORDER_GONE != 0), tables["dim_product"]
+    listed = F.col("cate_purpose").isNotNull() & (F.substring("productid", 2, 20).try_cast("bigint") % PRODUCT_TWICE == 0)
+    tables |= {"fact_orderdetails": fact.union(fact.filter(number % FACT_TWICE == 0)), "dim_order": order.union(order.filter(number % ORDER_TWICE == 0)),
+               "dim_product": product.union(product.filter(listed))}
+    for name, end in KEY_TWICE.items():
+        tables[name] = tables[name].union(tables[name].filter(F.col(STAR_KEYS[name][0]).endswith(end)))
     checks = [
         quality.repeated_keys(tables[name], keys).select(
             F.lit(f"repeated {name}").alias("problem"), F.lit(1).alias("bad")) for name, keys in STAR_KEYS.items()]
     checks += [
-        quality.dangling(fact, col, tables[dim], key).select(
+        quality.dangling(tables["fact_orderdetails"], col, tables[dim], key).select(
             F.lit(f"dangling {col}").alias("problem"), F.lit(1).alias("bad"))
         for col, (dim, key) in STAR_REFERENCES.items()]
     names = [f"repeated {n}" for n in STAR_KEYS] + [f"dangling {c}" for c in STAR_REFERENCES]
