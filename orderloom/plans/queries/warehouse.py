@@ -269,6 +269,49 @@ def report_month_channel(t):
     return reports.run_report(t.spark, tables, reports.MONTH_CHANNEL, {"year": 1997})
 
 
+JUNE = "o_orderdate >= TIMESTAMP '1997-06-01' AND o_orderdate < TIMESTAMP '1997-07-01'"
+COD_SQL = f"CASE WHEN platform IN ('Shopee shops', 'Tiktok shops') THEN cast(success AS double) ELSE {share('cod', 'kept', 'all_kept')} END"
+PLUS_SQL = f"CASE WHEN finalstatus IN ('Huy', 'Pending') THEN {share('plus', 'quantity', 'total_qty')} ELSE {share('plus', 'kept', 'all_kept')} END"
+
+
+def _june(t, name):
+    return reports.run_report(t.spark, _built(t), reports.REPORTS[name], {"year": 1997, "month": 6})
+
+
+@query(f"""
+WITH {FACT},
+listed AS (SELECT 'P' || p_partkey AS id, p_type FROM part WHERE p_type <> 'PROMO')
+SELECT p_type AS cate_purpose, count(*) AS n_lines, count(*) FILTER (finalstatus IN ('Hoan', 'Hoan mot phan')) AS n_back,
+  count(*) FILTER (finalstatus IN ('Hoan', 'Hoan mot phan')) / count(*) AS return_rate
+FROM fact3 LEFT JOIN listed ON parentproductid = id WHERE {JUNE} GROUP BY p_type
+""")
+def report_return_rate(t):
+    return _june(t, "return_rate")
+
+
+@query(f"""
+WITH {FACT}
+SELECT fact5.courier, CASE WHEN has_parcel THEN 'tk1' END AS courieraccount, count(DISTINCT deliveryid) AS n_parcels,
+  cast(round(sum({share('ship', 'quantity', 'total_qty')})) AS bigint) AS shippingfee, cast(round(sum({COD_SQL})) AS bigint) AS cod
+FROM fact5 JOIN delivery ON deliveryid = delivery.id WHERE {JUNE} GROUP BY ALL
+""")
+def report_shipping_by_courier(t):
+    whole = {c: F.round(F.col(c).cast("double")).cast("bigint") for c in ("shippingfee", "cod")}
+    return _june(t, "shipping_by_courier").withColumns(whole)
+
+
+@query(f"""
+WITH {FACT}
+SELECT orderid, min(transaction_orderid) AS transaction_orderid, cast(round(sum({COD_SQL})) AS bigint) AS expected,
+  cast(round(sum({PLUS_SQL})) AS bigint) AS received
+FROM fact5 WHERE finalstatus IN ('Thanh cong', 'Hoan mot phan') AND {JUNE} GROUP BY orderid
+HAVING coalesce(sum({PLUS_SQL}), 0) < sum({COD_SQL})
+""")
+def report_unreconciled(t):
+    whole = {c: F.round(F.col(c).cast("double")).cast("bigint") for c in ("expected", "received")}
+    return _june(t, "unreconciled").withColumns(whole)
+
+
 @query(f"""
 WITH {O},
 gate AS (SELECT *, EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderdate > TIMESTAMP '1998-06-01')
