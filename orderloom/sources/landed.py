@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,6 +44,56 @@ def _tagged(df: DataFrame, source: str | None, account: str | None) -> DataFrame
     return df
 
 
+def read_records(
+    spark: SparkSession, path: str | list[str], *, path_tokens: tuple[str, ...] = (), exclude_name_chars: str = "(",
+    bad_path: str = "fail", mark: bool = False,
+) -> DataFrame:
+    """Records of CSV texts whose quoted cells may hold line breaks: value, is_first (of its file), source_file. A file is read in pieces.
+
+    A line break is inside a cell if the quotes before it are odd in number. Pieces of a file are counted side by side; a prefix over one row per
+    piece says how the quotes stand, and which record is open, where a piece begins. Lines that are records by themselves stay where they
+    are, the others are strung together by the line their record starts with, across the borders of pieces. A file that
+    ends within a cell is an error; mark: its rows say so in a column __unreadable. Cells with quotes have to be quoted, as writers of CSV do.
+    """
+    lines = _guarded(spark.read.option("lineSep", "\n").text(path), path_tokens, exclude_name_chars, bad_path)
+    lines = lines.select(FILE, F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.regexp_replace("value", "\r$", "").alias("value"))
+    quotes = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2
+    piece = Window.partitionBy(FILE, "block").orderBy("at")
+    so_far = piece.rowsBetween(Window.unboundedPreceding, 0)
+    lines = lines.withColumn("odd", quotes).withColumn("inside", (F.sum("odd").over(so_far) - F.col("odd")) % 2)
+    pieces = lines.groupBy(F.col(FILE).alias("file_"), F.col("block").alias("block_")).agg(
+        (F.sum("odd") % 2).alias("odd_"), *[F.max(F.when(F.col("inside") == i, F.col("at"))).alias(f"last{i}") for i in (0, 1)])
+    before = Window.partitionBy("file_").orderBy("block_").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.withColumn("begins", F.coalesce(F.sum("odd_").over(before), F.lit(0)) % 2)
+    pieces = pieces.withColumn("last", F.when(F.col("begins") == 0, F.col("last0")).otherwise(F.col("last1")))
+    pieces = pieces.withColumn("open", F.last("last", ignorenulls=True).over(before)).withColumn(
+        "torn", F.sum("odd_").over(Window.partitionBy("file_")) % 2 == 1)
+    lines = lines.join(pieces.drop("odd_", "last0", "last1", "last"), (F.col(FILE) == F.col("file_")) & (F.col("block") == F.col("block_"))).drop("file_", "block_")
+    lines = lines.withColumn("inside", (F.col("inside") + F.col("begins")) % 2).withColumn("is_first", (F.col("block") == 0) & (F.row_number().over(piece) == 1))
+    record = F.coalesce(F.last(F.when(F.col("inside") == 0, F.col("at")), ignorenulls=True).over(so_far), F.col("open"))
+    lines = lines.withColumn("record", record)
+    if mark:
+        lines = lines.withColumn(UNREADABLE, F.when(F.col("torn"), "the file ends within a quoted cell"))
+    else:
+        torn = F.raise_error(F.concat(F.lit("a file ends within a quoted cell: "), FILE)).cast("boolean")
+        lines = lines.filter(F.when(F.col("torn"), torn).otherwise(F.lit(True)))
+    kept = ["value", "is_first", FILE, *([UNREADABLE] if mark else [])]
+    alone = ((F.col("inside") == 0) & (F.col("odd") == 0)) | F.col("torn")
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("block", "at", "value"))), lambda x: x["value"])  # the lines of one record
+    strung = lines.filter(~alone).groupBy(FILE, "record").agg(
+        F.array_join(parts, "\n").alias("value"), F.max("is_first").alias("is_first"), *([F.max(UNREADABLE).alias(UNREADABLE)] if mark else []))
+    return lines.filter(alone).select(*kept).unionByName(strung.select(*kept))
+
+
+def _cells(value: Column) -> Column:
+    """The cells of a CSV record; empty ones are NULL unless quoted."""
+    return F.transform(F.regexp_extract_all(F.concat(F.lit(","), value), F.lit(CELL), F.lit(1)), lambda x: F.when(
+        F.startswith(x, F.lit('"')), F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).when(x != "", x))
+
+
+# A cell of a record that has a comma put in front.
+CELL = r',("(?:[^"]++|"")*+"|[^,]*+)'
+
 # A line that ends within a quoted cell.
 OPEN = r'^(?:(?:"(?:[^"]++|"")*+"[^,]*+|[^",][^,]*+|),)*+"(?:[^"]++|"")*+$'
 
@@ -58,18 +108,20 @@ def read_landed_table(
     columns    the columns of the file in file order, after row_no
     bad_path   "fail" or "skip" files whose path lacks one of the tokens
     types      columns to cast strictly
-    multiline  cells may hold line breaks; then a file is read by one task, otherwise in pieces, and a line that
-               ends within a quoted cell is an error, not a broken row
+    multiline  cells may hold line breaks, at the cost of a shuffle of the text; without it a line that ends within a
+               quoted cell is an error, not a broken row
     mark       do not raise that error: the row says it in a column __unreadable, so that other files can be loaded
     """
-    schema = text_schema(columns)
-    if not multiline:  # a column that no file has makes the reader keep the line of every row
-        schema = schema.add("__none", T.StringType()).add("__line", T.StringType())
-    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", True)
-    reader = reader.option("columnNameOfCorruptRecord", "__line").option("columnPruning", multiline)
-    df = _guarded(reader.option("multiLine", multiline).option("escape", '"').csv(path), path_tokens,
-                  exclude_name_chars, bad_path)
-    if not multiline:
+    if multiline:
+        records = read_records(spark, path, path_tokens=path_tokens, exclude_name_chars=exclude_name_chars, bad_path=bad_path, mark=mark)
+        records = records.filter(~F.col("is_first") & (F.col("value") != "")).withColumn("cells", _cells(F.col("value")))
+        df = records.select(F.get("cells", F.lit(0)).try_cast("bigint").alias("row_no"), *[F.get("cells", F.lit(i)).alias(c) for i, c in enumerate(columns, 1)],
+                            FILE, *([UNREADABLE] if mark else []))
+    else:  # a column that no file has makes the reader keep the line of every row
+        schema = text_schema(columns).add("__none", T.StringType()).add("__line", T.StringType())
+        reader = spark.read.schema(schema).option("header", True).option("enforceSchema", True)
+        reader = reader.option("columnNameOfCorruptRecord", "__line").option("columnPruning", False)
+        df = _guarded(reader.option("escape", '"').csv(path), path_tokens, exclude_name_chars, bad_path)
         is_open = F.coalesce(F.col("__line").rlike(OPEN), F.lit(False))
         if mark:
             df = df.withColumn(UNREADABLE, F.when(is_open, "a cell holds a line break"))
@@ -81,35 +133,26 @@ def read_landed_table(
     return _tagged(df.select("row_no", *[f"`{c}`" for c in columns], FILE, *[c for c in df.columns if c == UNREADABLE]), source, account)
 
 
-# A record of a CSV text, and a cell of a record that has a comma put in front.
-RECORD = r'(?:[^"\n]++|"(?:[^"]++|"")*+")*+\n'
-CELL = r',("(?:[^"]++|"")*+"|[^,]*+)'
-
-
 def read_grid(
     spark: SparkSession, path: str | list[str], *, path_tokens: tuple[str, ...] = (),
     exclude_name_chars: str = "(", bad_path: str = "fail", multiline: bool = False, mark: bool = False,
 ) -> DataFrame:
     """Whole workbook sheets cell by cell: row_no, cells (array of text, as many as the row has), source_file.
 
-    No header is assumed. Empty cells are NULL. multiline: cells may hold line breaks; then a file is read by one
-    task. Without it, a line that ends within a quoted cell is an error, not a broken row; mark: the row says it in a column __unreadable instead.
+    No header is assumed. Empty cells are NULL. multiline: cells may hold line breaks, at the cost of a shuffle of the text.
+    Without it, a line that ends within a quoted cell is an error, not a broken row; mark: the row says it in a column __unreadable instead.
     """
-    df = _guarded(spark.read.text(path, wholetext=multiline), path_tokens, exclude_name_chars, bad_path)
-    line = F.col("value")
     if multiline:
-        records = F.regexp_extract_all(F.concat(F.regexp_replace(line, "\r\n", "\n"), F.lit("\n")), F.lit(RECORD), F.lit(0))
-        df = df.select(F.explode(records).alias("value"), FILE).withColumn("value", F.expr("substring(value, 1, length(value) - 1)"))
+        df = read_records(spark, path, path_tokens=path_tokens, exclude_name_chars=exclude_name_chars, bad_path=bad_path, mark=mark)
     else:
+        df = _guarded(spark.read.text(path), path_tokens, exclude_name_chars, bad_path)
+        line = F.col("value")
         quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
         broken = F.raise_error(F.concat(F.lit("a cell holds a line break, read with multiline: "), FILE)).cast("string")
         if mark:
             df, broken = df.withColumn(UNREADABLE, F.when(quotes % 2 == 1, "a cell holds a line break")), line
         df = df.withColumn("value", F.when(quotes % 2 == 0, F.rtrim(line, F.lit("\r"))).otherwise(broken))
-    if mark and multiline:
-        df = df.withColumn(UNREADABLE, F.lit(None).cast("string"))
-    cells = F.transform(F.regexp_extract_all(F.concat(F.lit(","), "value"), F.lit(CELL), F.lit(1)), lambda x: F.when(
-        F.startswith(x, F.lit('"')), F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).when(x != "", x))
+    cells = _cells(F.col("value"))
     marked = [c for c in df.columns if c == UNREADABLE]
     df = df.filter(F.col("value") != "").select(cells.alias("cells"), FILE, *marked)
     return df.select(F.get("cells", F.lit(0)).try_cast("bigint").alias("row_no"),
