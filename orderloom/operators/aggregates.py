@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.functions.scalar import safe_ratio
 from orderloom.operators.relational import join_back
 
 GROUP = "__g_"
+CHUNK_ROWS = 10_000
 
 
 def totals(
@@ -29,31 +33,36 @@ def signed_totals(value: Column, prefix: str) -> list[Column]:
     ]
 
 
-def ordered_text(
-    df: DataFrame, keys: list[str], cols: dict[str, Column], order_by: list[Column], *, slot: Column, sep: str = ",",
-) -> DataFrame:
-    """One ordered, delimited text per key and column; NULLs are skipped, none at all gives NULL.
+def ordered_text(df: DataFrame, keys: list[str], cols: dict[str, Column], order_by: list[Column], *, sep: str = ",", chunk: int = CHUNK_ROWS) -> DataFrame:
+    """One ordered, delimited text per key and column; NULLs are skipped, none at all gives NULL. Ties are ordered by the text itself.
 
-    `slot` cuts a group into parts along its order (a day, a month): parts are ordered and joined
-    in tasks of their own, and a second step only strings the finished parts together, so that a
-    hot key is never sorted in one task. `slot` must grow with `order_by`.
+    Keys of up to `chunk` rows are sorted whole. Larger ones, which the counts of all keys name, are sorted over range partitions, cut into
+    chunks there, and strung together up a tree of chunks, partitions and key: no task sorts or holds more rows than a partition has, and
+    only the one cell of the result grows with its key.
     """
-    ordered = F.struct(*order_by)
-    rows = df.select(*keys, slot.alias(GROUP + "slot"), ordered.alias(GROUP + "at"),
-                     *[c.cast("string").alias(n) for n, c in cols.items()])
-    pairs = [
-        F.array_sort(F.collect_list(F.when(F.col(n).isNotNull(), F.struct(GROUP + "at", n)))).alias(n) for n in cols
-    ]
-    parts = rows.groupBy(*keys, GROUP + "slot").agg(*pairs)
-    parts = parts.select(
-        *keys, GROUP + "slot",
-        *[F.when(F.size(n) > 0, F.array_join(F.col(n)[n], sep)).alias(n) for n in cols],
-    )
-    whole = [
-        F.array_sort(F.collect_list(F.when(F.col(n).isNotNull(), F.struct(GROUP + "slot", n)))).alias(n) for n in cols
-    ]
-    out = parts.groupBy(*keys).agg(*whole)
-    return out.select(*keys, *[F.when(F.size(n) > 0, F.array_join(F.col(n)[n], sep)).alias(n) for n in cols])
+    at, size = GROUP + "at", GROUP + "size"
+    rows = df.select(*keys, F.struct(*order_by).alias(at), *[c.cast("string").alias(n) for n, c in cols.items()])
+    large = rows.groupBy(*[F.col(k).alias(GROUP + k) for k in keys]).agg(F.count(F.lit(1)).alias(size)).filter(F.col(size) > chunk).drop(size)
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(GROUP + k)) for k in keys])
+
+    def joined(pairs: Column, name: str) -> Column:
+        return F.when(F.size(pairs) > 0, F.array_join(F.transform(F.array_sort(pairs), lambda x: x[name]), sep))
+
+    pairs = {n: F.collect_list(F.when(F.col(n).isNotNull(), F.struct(at, n))) for n in cols}
+    out = rows.join(large, same, "left_anti").groupBy(*keys).agg(*[joined(p, n).alias(n) for n, p in pairs.items()])
+
+    place, text, part, piece = (GROUP + n for n in ("place", "text", "part", "piece"))
+    cells = rows.join(large, same, "left_semi").select(*keys, at, F.posexplode(F.array(*cols)).alias(place, text)).filter(F.col(text).isNotNull())
+    # rows that are equal in all of these may be parted by the draw
+    ranged = cells.withColumn(GROUP + "draw", F.rand(7)).repartitionByRange(*keys, place, at, text, GROUP + "draw").withColumn(part, F.spark_partition_id())
+    rank = F.row_number().over(Window.partitionBy(*keys, place, part).orderBy(at, text))
+    pieces = ranged.withColumn(piece, F.floor((rank - 1) / chunk)).groupBy(*keys, place, part, piece).agg(
+        joined(F.collect_list(F.struct(at, text)), text).alias(text))
+    for by, nth in (([*keys, place, part], piece), ([*keys, place], part)):
+        pieces = pieces.groupBy(*by).agg(joined(F.collect_list(F.struct(nth, text)), text).alias(text))
+    wide = pieces.groupBy(*[F.col(k).alias(GROUP + "of_" + k) for k in keys]).agg(*[F.max(F.when(F.col(place) == i, F.col(text))).alias(n) for i, n in enumerate(cols)])
+    named = reduce(and_, [F.col(GROUP + k).eqNullSafe(F.col(GROUP + "of_" + k)) for k in keys])
+    return out.unionByName(large.join(wide, named, "left").select(*[F.col(GROUP + k).alias(k) for k in keys], *cols))
 
 
 def collapse(df: DataFrame, keys: list[str], sums: list[str], count_as: str) -> DataFrame:

@@ -46,7 +46,7 @@ def signed_reconciliation(t):
         money, ["user_id"],
         {"all_sessionid": F.col("event_id"), "all_content": F.col("content"),
          "all_at": F.date_format("ts", "yyyy-MM-dd HH:mm:ss")},
-        [F.col("ts"), F.col("event_id")], slot=F.date_trunc("day", "ts"))
+        [F.col("ts"), F.col("event_id")])
     return rel.lookup(sums, texts, "user_id", ["all_sessionid", "all_content", "all_at"])
 
 

@@ -167,7 +167,7 @@ def courier_money(lake: Tables, marks: Marks, new: Tables, reach: Reach | None =
         rows, ["delivery_orderid"],
         {"all_at": F.date_format(at, "yyyy-MM-dd HH:mm:ss"), "all_content": F.col("reconciliation_content"),
          "all_sessionid": F.col("sessionid")},
-        [at, F.col("sessionid")], slot=F.date_trunc("month", at))
+        [at, F.col("sessionid")])
     return lookup(sums, texts, "delivery_orderid", ["all_at", "all_content", "all_sessionid"])
 
 
@@ -178,7 +178,7 @@ def tiktok_money(lake: Tables, marks: Marks, new: Tables, reach: Reach | None =
     sums = rows.groupBy(key).agg(
         F.max(at).alias("max_at"), F.min(at).alias("min_at"), F.sum("revenue").alias("positive_amount"),
         F.sum("totalfee").alias("negative_amount"), F.max("dw_updatedat").alias("max_dw_updatedat"))
-    texts = ordered_text(rows, [key], {"all_at": at}, [at], slot=F.date_trunc("month", at))
+    texts = ordered_text(rows, [key], {"all_at": at}, [at])
     return lookup(sums, texts, key, ["all_at"])
 
 

@@ -1,6 +1,7 @@
 """Row-order operators against a plain loop, and grouped operators."""
 
 import random
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -70,7 +71,7 @@ def test_ordered_text(spark):
     df = spark.createDataFrame(
         [("a", "2024-01-02", "y"), ("a", "2024-01-01", "x"), ("a", "2024-02-01", None), ("b", "2024-01-01", None)],
         "k string, d string, v string").withColumn("d", F.to_date("d"))
-    out = agg.ordered_text(df, ["k"], {"v2": F.col("v"), "d2": F.col("d")}, [F.col("d")], slot=F.date_trunc("month", "d"))
+    out = agg.ordered_text(df, ["k"], {"v2": F.col("v"), "d2": F.col("d")}, [F.col("d")])
     assert rows(out) == [("a", "x,y", "2024-01-01,2024-01-02,2024-02-01"), ("b", None, "2024-01-01")]
 
 
@@ -109,3 +110,28 @@ def test_hot_key_is_split(spark):
                     "spark.sql.adaptive.advisoryPartitionSizeInBytes"):
             spark.conf.unset(key)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@pytest.mark.parametrize("chunk", [3, 10_000])
+def test_ordered_text_of_large_keys(spark, chunk):
+    """Chunks of keys that are too large to sort whole give the same text: all rows of a month, ties, NULLs, equal rows, a NULL key."""
+    at = datetime(2024, 1, 1)
+    data = [("hot", at.replace(day=1 + i * 7 % 28), f"s{i % 9}", None if i % 4 == 0 else f"c{i % 5}") for i in range(90)]
+    data += [("hot", at, "same", "same")] * 40 + [(None, at, f"n{i}", None) for i in range(7)] + [("one", at, "x", None), ("none", at, None, None)]
+    df = spark.createDataFrame(data, "k string, d timestamp_ntz, s string, c string").repartition(3)
+    want = {}
+    for k in {r[0] for r in data}:
+        of = [r for r in data if r[0] == k]
+        texts = [",".join(r[i] for r in sorted((r for r in of if r[i] is not None), key=lambda r: (r[1], r[i]))) for i in (2, 3)]
+        want[k] = tuple(t if any(r[i] is not None for r in of) else None for i, t in zip((2, 3), texts))
+    got = agg.ordered_text(df, ["k"], {"s2": F.col("s"), "c2": F.col("c")}, [F.col("d")], chunk=chunk).collect()
+    assert {r.k: (r.s2, r.c2) for r in got} == want and len(got) == len(want)
+
+
+def test_ordered_text_has_no_group_beyond_a_chunk(spark):
+    """The largest list any task builds holds a chunk of rows, or the pieces made of them."""
+    df = spark.range(20_000).select(F.lit("hot").alias("k"), F.lit(datetime(2024, 1, 1)).alias("d"), F.col("id").cast("string").alias("s"))
+    out = agg.ordered_text(df, ["k"], {"s2": F.col("s")}, [F.col("d")], chunk=1000)
+    assert out.first().s2 == ",".join(sorted(map(str, range(20_000))))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("rangepartitioning") >= 1
