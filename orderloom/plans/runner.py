@@ -1,4 +1,4 @@
-"""Chosen steps in order: feeds into staging tables, staging tables into the star, reports out of it (B38, QG).
+"""Chosen steps in order: feeds into staging tables, side by side, staging tables into the star, reports out of it (B38, QG).
 
 A step that fails is reported and does not stop the others. Every step can be repeated: merges by key
 give the same tables again.
@@ -8,8 +8,12 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Callable
+from concurrent.futures import Future, ThreadPoolExecutor
+from copy import copy
+from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +26,7 @@ from orderloom.operators.verdicts import Inspection
 from orderloom.plans import reports, star
 from orderloom.schemas import LAKE, LAKE_KEYS, LAKE_MODES, STAR, STAR_KEYS, STAR_REFERENCES, TEXT_LIMITS, conform
 from orderloom.sources.landed import read_grid, read_landed_json, read_landed_table, table_from_grid, with_header_cells
+from orderloom.sources.manifest import Manifest, paths_of
 from orderloom.sources.store import TableStore
 from orderloom.staged import Staged
 
@@ -212,7 +217,7 @@ def _log_path(store: TableStore) -> str:
 
 
 class State(dict):
-    """What became of each step of a run (name -> "ok", "off" or "failed: ..."), and what its rows showed.
+    """What became of each step of a run (name -> "ok", "off", "unchanged" or "failed: ..."), and what its rows showed.
 
     found   step -> reason or doubt -> rows; for the star, problem -> rows
     files   step -> files left out because of a row in them
@@ -262,34 +267,109 @@ def _refresh(store: TableStore, stage: Staged, by_order: bool, found: dict[str,
     delete_keys(after, log, ["dwtable_name", "updatetime"]).coalesce(1).write.mode("append").parquet(_log_path(store))
 
 
+def _fresh_source(job: Run, step: str, label: str, source: dict, stage: Staged) -> tuple[dict | None, DataFrame]:
+    """The source as far as it has news, None if it has none, and the files that make the news.
+
+    The files of a folder stand for themselves, so only new and changed ones are read; other sources are read whole if one of their files changed.
+    """
+    manifest = Manifest(job.spark, job.store.root, step, label)
+    files = stage(manifest.fresh(paths_of(source)))
+    if files.isEmpty():
+        return None, files
+    if "folder" in source:
+        source = {**source, "folder": sorted(r.path for r in files.select("path").collect())}  # names of files to be read now
+    return source, files
+
+
+@dataclass
+class Prepared:
+    """A cleaned source, written aside."""
+
+    stage: Staged
+    ready: Frames
+    files: DataFrame | None = None
+    unchanged: bool = False
+
+
+def _prepare(job: Run, step: str, label: str, source: dict, inspect: Inspection, stage: Staged) -> Prepared:
+    job = copy(job)
+    job.inspect = inspect
+    job.spark.sparkContext.setLocalProperty("spark.scheduler.pool", step)  # with a fair scheduler, feeds share the cluster
+    files = None
+    if job.params.get("only_new"):
+        fresh, files = _fresh_source(job, step, label, source, stage)
+        if fresh is None:
+            return Prepared(stage, {}, files, unchanged=True)
+        source = fresh
+    # All rows of a source are cleaned and written aside before its first table is touched.
+    return Prepared(stage, {table: stage(rows) for table, rows in FEEDS[step](job, source).items()}, files)
+
+
 def run(steps: list[str], spark: SparkSession, store: TableStore, paths: dict[str, list[dict]], run_ts: datetime,
         params: dict | None = None) -> State:
-    """Run the chosen steps (names of FEEDS, then 'star', 'reports') in the given order; give the state of each, with what was rejected or doubtful."""
+    """Run the chosen steps (names of FEEDS, then 'star', 'reports') in the given order; give the state of each, with what was rejected or doubtful.
+
+    Feeds that follow one another are read and cleaned side by side, params["parallel"] at a time (4); their tables are merged in the given order, since
+    two feeds may write one table. 'star' and 'reports' wait for all before them. params["only_new"]: files that were loaded before and have not
+    changed are not read; a source without others is "unchanged".
+    """
     job = Run(spark, store, paths, run_ts, params)
     state = State()
 
+    def failed(name: str, error: Exception, written: list[str]) -> None:
+        warnings.warn(f"{name} failed; tables loaded before the error: {', '.join(written) or 'none'}: {error}", stacklevel=3)
+        state[name] = f"failed: {type(error).__name__}"
+
     def attempt(name: str, action: Callable[[], object]) -> None:
         try:
             action()
             state[name] = "ok"
         except Exception as error:
-            warnings.warn(f"{name} failed; tables loaded before the error: {', '.join(written) or 'none'}: {error}", stacklevel=3)
-            state[name] = f"failed: {type(error).__name__}"
-
-    written: list[str] = []
-
-    def feed(step: str, label: str, source: dict) -> None:
-        written.clear()
-        with Staged(spark) as stage:
-            job.inspect = Inspection(stage, f"{store.root}/_rejects", step, str(label), run_ts)
-            state.found[f"{step}/{label}"], state.files[f"{step}/{label}"] = job.inspect.found, job.inspect.files
-            # All rows of a source are cleaned and written aside before its first table is touched.
-            ready = {table: stage(rows) for table, rows in FEEDS[step](job, source).items()}
-            for table, rows in ready.items():
+            failed(name, error, [])
+
+    def finish(step: str, label: str, name: str, work: Future, stage: Staged) -> None:
+        written: list[str] = []
+        try:
+            prepared = work.result()
+            for table, rows in prepared.ready.items():
                 load(store, table, rows, run_ts)
                 written.append(table)
-
-    for step in steps:
+            if prepared.files is not None and not prepared.unchanged:
+                Manifest(spark, store.root, step, label).add(prepared.files)
+            state[name] = "unchanged" if prepared.unchanged else "ok"
+        except Exception as error:
+            failed(name, error, written)
+        finally:
+            stage.drop()
+
+    def feeds(batch: list[str]) -> None:
+        with ThreadPoolExecutor(job.params.get("parallel", 4)) as pool:
+            waiting = []
+            for step in batch:
+                for i, source in enumerate(paths.get(step, [])):
+                    label = str(source.get("account") or source.get("shop") or i)
+                    name, stage = f"{step}/{label}", Staged(spark)
+                    inspect = Inspection(stage, f"{store.root}/_rejects", step, label, run_ts)
+                    state.found[name], state.files[name] = inspect.found, inspect.files
+                    waiting.append((step, label, name, pool.submit(inheritable_thread_target(spark)(_prepare), job, step, label, source, inspect, stage), stage))
+            forgotten = "ok"
+            for step, label, name, work, stage in waiting:
+                if step == "pos" and "pos/forget_unconfirmed" not in state and {"start", "end"} <= job.params.keys():
+                    attempt("pos/forget_unconfirmed", lambda: forget_unconfirmed(store, job.params["start"], job.params["end"]))
+                    forgotten = state["pos/forget_unconfirmed"]
+                if step == "pos" and forgotten != "ok":
+                    work.cancel() or work.exception()
+                    stage.drop()
+                    continue
+                finish(step, label, name, work, stage)
+
+    batch: list[str] = []
+    for step in [*steps, None]:
+        if step is not None and step not in ("star", "reports"):
+            batch.append(step)
+            continue
+        feeds(batch)
+        batch = []
         if step == "star":
             attempt(step, lambda: refresh_star(store, found=state.found.setdefault("star", {})))
         elif step == "reports":
@@ -297,12 +377,4 @@ def run(steps: list[str], spark: SparkSession, store: TableStore, paths: dict[st
             source = paths["reports"][0]
             done = reports.run_report_catalogue(spark, tables, spark.read.json(source["catalogue"]), job.params, source["out"])
             state.update({f"reports/{name}": text for name, text in done.items()})
-        else:
-            if step == "pos" and {"start", "end"} <= job.params.keys():
-                attempt("pos/forget_unconfirmed", lambda: forget_unconfirmed(store, job.params["start"], job.params["end"]))
-                if state["pos/forget_unconfirmed"] != "ok":
-                    continue
-            for i, source in enumerate(paths.get(step, [])):
-                label = source.get("account") or source.get("shop") or i
-                attempt(f"{step}/{label}", lambda source=source, label=label: feed(step, label, source))
     return state

@@ -19,7 +19,7 @@ from orderloom.schemas import LAKE, LAKE_KEYS, STAR, STAR_KEYS, STAR_REFERENCES,
 from orderloom.sources.landed import text_schema
 from orderloom.sources.store import TableStore
 from orderloom.staged import Staged, staging_root
-from orderloom.streaming.ingest import ingest_available
+from orderloom.streaming.ingest import ingest_available, merged_once
 
 T1, T2 = datetime(2025, 1, 1), datetime(2025, 1, 2)
 # Tables whose rows may come a run after the order they belong to.
@@ -251,3 +251,93 @@ def test_stream_of_landed_files(spark, tmp_path):
     assert got == {"J1": 70, "J2": 100}
     ingest()
     assert store.read("delivery_reconciliation").count() == 2
+
+
+def test_a_repeated_batch_writes_nothing(spark, tmp_path):
+    store, times = TableStore(spark, str(tmp_path / "store"), parts=2), []
+
+    def merge(batch, number):
+        times.append(number)
+        store.merge("dim_order", batch, lambda a, b: upsert(a, b, ["orderid"], stamp_col=None))
+
+    once = merged_once(spark, merge, str(tmp_path / "ledger"))
+    once(dated_orders(spark, 20), 0)
+    before = files(tmp_path / "store", "dim_order")
+    once(dated_orders(spark, 20).withColumn("status", F.lit("other")), 0)
+    assert times == [0] and files(tmp_path / "store", "dim_order") == before
+    once(dated_orders(spark, 30), 1)
+    assert times == [0, 1] and store.read("dim_order").count() == 30
+
+
+def test_files_without_news_are_not_read(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "store"), parts=2)
+    line, folder = {"Tiền thực nhận": "100", "Kỳ thanh toán": "a-20240131-0131"}, tmp_path / "jte"
+    landing.sheet(folder / "a.csv", cash.JTE_CASH, [{**line, "Mã vận đơn": "J1"}])
+    paths = {"jte_cash": [{"folder": str(folder)}], "return_scans": [{"sheet": landing.sheet(tmp_path / "r.csv", sheets.RETURN_SCANS, [{"Key": "k", "NGÀY": "5", "THÁNG": "T1", "Mã vận đơn": "N", "Mã SP": "A"}])}]}
+
+    def once(at):
+        return runner.run(["jte_cash", "return_scans"], spark, store, paths, at, {"only_new": True, "year": 2024})
+
+    assert once(T1) == {"jte_cash/0": "ok", "return_scans/0": "ok"}
+    before = files(tmp_path / "store", "delivery_reconciliation")
+    assert once(T2) == {"jte_cash/0": "unchanged", "return_scans/0": "unchanged"}
+    assert files(tmp_path / "store", "delivery_reconciliation") == before
+    # only the new file of a folder is read: the old one would fail by now
+    (folder / "b.csv").write_text((folder / "a.csv").read_text().replace("J1", "J2"))
+    stat = (folder / "a.csv").stat()
+    (folder / "a.csv").write_text((folder / "a.csv").read_text().replace("100", "1.5"))
+    import os
+    os.utime(folder / "a.csv", ns=(stat.st_atime_ns, stat.st_mtime_ns))
+    assert once(T2) == {"jte_cash/0": "ok", "return_scans/0": "unchanged"}
+    assert sorted(r.delivery_orderid for r in store.read("delivery_reconciliation").collect()) == ["J1", "J2"]
+
+
+def test_feeds_are_cleaned_side_by_side(spark, tmp_path, monkeypatch):
+    """Two feeds are at work at the same time; the failure of one leaves the other, and merges keep the order of the steps."""
+    import threading
+
+    both, loaded = threading.Barrier(2, timeout=60), []
+
+    def feed(rows):
+        def clean(job, src):
+            both.wait()  # passes only if the other is at work, too
+            return {"dim_order": rows()}
+        return clean
+
+    def broken():
+        raise ValueError("no such sheet")
+
+    monkeypatch.setitem(runner.FEEDS, "one", feed(broken))
+    monkeypatch.setitem(runner.FEEDS, "two", feed(lambda: dated_orders(spark, 10)))
+    monkeypatch.setattr(runner, "load", lambda store, table, rows, at: loaded.append((table, rows.count())))
+    with pytest.warns(UserWarning, match="one/0 failed"):
+        state = runner.run(["one", "two"], spark, TableStore(spark, str(tmp_path / "s")), {"one": [{}], "two": [{}]}, T1)
+    assert state == {"one/0": "failed: ValueError", "two/0": "ok"} and loaded == [("dim_order", 10)]
+
+
+def test_refresh_writes_only_months_with_news(spark, tmp_path):
+    """Orders of two years, then news about one parcel: one month of the fact and of the parcels is written."""
+    store = TableStore(spark, str(tmp_path / "store"))
+    n = F.col("id")
+    at = F.make_timestamp_ntz(F.lit(2022) + (n / 12).cast("int"), n % 12 + 1, F.lit(3), F.lit(0), F.lit(0), F.lit(0))
+    ids = spark.range(24).select(F.concat(F.lit("o"), "id").alias("orderid"), at.alias("created_at"), F.lit(T1).cast("timestamp_ntz").alias("dw_updatedat"),
+                                 F.concat(F.lit("t"), "id").alias("trackingnumber"))
+    orders = ids.withColumns({"orderstatus": F.lit("thanh cong"), "orderparentsource": F.lit("di moi"), "deliverybrand": F.lit("GHN")})
+    lines = ids.select("orderid", F.lit("P1-M").alias("productid"), F.lit("P1").alias("parentproductid"), F.lit(100_000).cast("bigint").alias("price"), F.lit(1).cast("bigint").alias("quantity"), "dw_updatedat")
+    parcels = ids.select(F.col("trackingnumber").alias("delivery_orderid"), F.lit("Da giao hang").alias("orderstatus"), F.lit(100_000).cast("bigint").alias("cod_collected"),
+                         F.lit("Giao Hang Nhanh").alias("courier"), F.col("created_at").alias("createdat"), "dw_updatedat")
+    for name, df in (("nhanhvnorders", orders), ("nhanhvnorderdetails", lines), ("deliveryorders", parcels)):
+        store.replace(name, conform(df, name))
+    runner.refresh_star(store)
+    assert len(store.written["fact_orderdetails"]) == 24 and store.read("fact_orderdetails").count() == 24
+    before = files(tmp_path / "store", "fact_orderdetails")
+    store.written.clear()
+    news = conform(parcels.filter("delivery_orderid = 't5'").withColumn("cod_collected", F.lit(0).cast("bigint")).withColumn(
+        "dw_updatedat", F.lit(T2).cast("timestamp_ntz")), "deliveryorders")
+    store.merge("deliveryorders", news, lambda a, b: upsert(a, b, LAKE_KEYS["deliveryorders"], mode="changed"))
+    found = {}
+    runner.refresh_star(store, found=found)
+    assert store.written["deliveryorders"] == store.written["fact_orderdetails"] == store.written["dim_delivery"] == ["2022-06"]
+    assert len(set(before) - set(files(tmp_path / "store", "fact_orderdetails"))) == 1 and found == {}
+    fact = {r.orderid: r.finalstatus for r in store.read("fact_orderdetails").collect()}
+    assert fact["o5"] == "Hoan" and sum(v == "Thanh cong" for v in fact.values()) == 23
