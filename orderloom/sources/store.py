@@ -2,7 +2,8 @@
 
 A merge looks up which partitions hold one of its keys, by a scan of the key columns alone, merges these and the months its own rows belong to, and
 writes them with Spark's dynamic partition overwrite: what a batch does not touch is not read beyond its keys and not written. The partition is a
-matter of layout only: a row whose date changes is found in its old month and written to the new one. One job writes a table at a time. Where
+matter of layout only: rows are always found by key, whichever month they lie in. A row whose date changes moves to its new month if the batch says
+the date. One job writes a table at a time. Where
 a catalog offers a table format with MERGE, use that instead: it also survives a driver that dies while Spark moves finished partitions into place.
 """
 
@@ -86,19 +87,25 @@ class TableStore:
             df = df.filter(F.col(PART).isin(parts) if parts else F.lit(False))
         return df if with_part else df.drop(PART)
 
-    def parts_of(self, name: str, keys: DataFrame, on) -> list[str]:
-        """The partitions that hold one of the keys; reads nothing but the key columns. At most one short text per partition."""
+    def _holding(self, name: str, keys: DataFrame, on) -> DataFrame:
+        """The partitions that hold one of the keys; reads nothing but the key columns."""
         pairs = on if isinstance(on, dict) else {k: k for k in ([on] if isinstance(on, str) else on)}
-        slim = self.read(name, with_part=True).select(*pairs, PART)
-        return sorted(r[0] for r in keep_keys(slim, keys, pairs).select(PART).distinct().collect())
+        return keep_keys(self.read(name, with_part=True).select(*pairs, PART), keys, pairs).select(PART).distinct()
+
+    def parts_of(self, name: str, keys: DataFrame, on) -> list[str]:
+        """The names of the partitions that hold one of the keys: at most one short text per partition."""
+        return sorted(r[0] for r in self._holding(name, keys, on).collect())
 
     def reach(self, name: str, keys: DataFrame, on) -> DataFrame:
         """The rows with one of the keys (on: columns of the table, or a dict from them to those of `keys`), from the partitions that hold some."""
         return keep_keys(self.read(name, self.parts_of(name, keys, on)), keys, on)
 
-    def _write(self, name: str, df: DataFrame, touched: set[str]) -> None:
+    def _write(self, name: str, df: DataFrame, touched: set[str], only: bool = False) -> None:
+        """only: rows stay within the touched partitions; one that belongs to another, which was not read, lies in the first of them instead."""
         schema = SCHEMAS[name]
         rows = self.placed(name, df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]))
+        if only:
+            rows = rows.withColumn(PART, F.when(F.col(PART).isin(sorted(touched)), F.col(PART)).otherwise(F.lit(min(touched))))
         stamp = next((c for c in ("dw_updatedat", "lastupdateat") if c in schema.names), None)
         seen = Observation()
         rows = rows.hint("rebalance", PART)  # adaptive execution splits large months over tasks and joins small ones before writing
@@ -135,32 +142,19 @@ class TableStore:
         if staged is not None:
             source = staged(source)
         keys = [k for k in KEYS[name] if k in source.columns]
-        touched = {*self.parts_of(name, source, keys), *self._own_parts(name, source)}
-        if not touched and source.isEmpty():
-            return self.read(name)
-        while True:  # until no row goes where others lie that were not read: mostly the first time
-            merged = merge(self.read(name, sorted(touched)), source)
-            reached = set() if self._hashed(name) else {r[0] for r in self.placed(name, merged).select(PART).distinct().collect()}
-            if reached <= touched:
-                break
-            touched |= reached
-        self._write(name, merged, touched)
+        holding, own = self._holding(name, source, keys), self._own_parts(name, source)
+        touched = {r[0] for r in (holding if own is None else holding.union(own)).distinct().collect()}  # one short text per partition
+        if own is None and not touched and not source.isEmpty():
+            touched = {UNKNOWN}
+        if touched:
+            self._write(name, merge(self.read(name, sorted(touched)), source), touched, only=True)
         return self.read(name)
 
-    def _hashed(self, name: str) -> bool:
-        return name not in DATE_OF and name not in HEADER_OF
-
-    def _own_parts(self, name: str, source: DataFrame) -> set[str]:
-        """Partitions that the rows of a batch belong to, as far as the batch says (a folded batch has the date in one of its structs)."""
+    def _own_parts(self, name: str, source: DataFrame) -> DataFrame | None:
+        """Partitions that the rows of a batch belong to, if the batch says (a folded batch has the date in one of its structs)."""
         if name in DATE_OF:
             date = DATE_OF[name]
             held = [F.col(date)] if date in source.columns else [
                 F.col(f.name)[date] for f in source.schema.fields if isinstance(f.dataType, T.StructType) and date in f.dataType.names]
-            if not held:
-                return set()
-            found = source.select(F.coalesce(F.date_format(held[0], self.grain), F.lit(UNKNOWN)).alias(PART))
-        elif set(KEYS[name]) <= set(source.columns):
-            found = self.placed(name, source)
-        else:
-            return set()
-        return {r[0] for r in found.select(PART).distinct().collect()}
+            return source.select(F.coalesce(F.date_format(held[0], self.grain), F.lit(UNKNOWN)).alias(PART)) if held else None
+        return self.placed(name, source).select(PART) if set(KEYS[name]) <= set(source.columns) else None
