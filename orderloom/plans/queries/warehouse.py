@@ -8,7 +8,7 @@ from orderloom.operators import quality
 from orderloom.operators.relational import union_all
 from orderloom.operators.settlement import classify, settle
 from orderloom.operators.tracking import START, _Default
-from orderloom.plans import reports, roles, star
+from orderloom.plans import partials, reports, roles, star
 from orderloom.plans.registry import query
 from orderloom.schemas import STAR, STAR_KEYS, STAR_REFERENCES, conform, empty
 from orderloom.staged import Staged
@@ -312,6 +312,23 @@ def report_unreconciled(t):
     return _june(t, "unreconciled").withColumns(whole)
 
 
+@query(f"""
+WITH {FACT},
+counted AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, * FROM fact5)
+SELECT 3 - grouping(month) - grouping(platform) - grouping(finalstatus) AS level, month, platform, finalstatus, count(*) AS n_lines,
+  cast(sum(quantity) AS bigint) AS pieces, cast(sum(back) AS bigint) AS pieces_back, cast(sum(quantity * price) AS bigint) AS order_value,
+  cast(round(sum({share('ship', 'quantity', 'total_qty')})) AS bigint) AS shippingfee
+FROM counted GROUP BY GROUPING SETS ((month, platform, finalstatus), (platform, finalstatus), (month), ())
+""")
+def report_totals(t):
+    """Monthly partial sums, added up at four levels in one pass."""
+    tables = _built(t)
+    found = partials.totals(partials.partials(tables["fact_orderdetails"], tables["dim_order"], tables["dim_delivery"]),
+                            [["month", "platform", "finalstatus"], ["platform", "finalstatus"], ["month"], []])
+    return found.select("level", "month", "platform", "finalstatus", "n_lines", "pieces", "pieces_back", "order_value",
+                        F.round(F.col("shippingfee").cast("double")).cast("bigint").alias("shippingfee"))
+
+
 @query(f"""
 WITH {O},
 gate AS (SELECT *, EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderdate > TIMESTAMP '1998-06-01')

@@ -23,7 +23,7 @@ from orderloom.operators.merge import apply_feeds, fold_feeds, upsert
 from orderloom.operators.relational import delete_keys, union_all
 from orderloom.operators.tracking import LOG_SCHEMA, stamp, watermarks
 from orderloom.operators.verdicts import Inspection
-from orderloom.plans import reports, star
+from orderloom.plans import partials, reports, star
 from orderloom.schemas import LAKE, LAKE_KEYS, LAKE_MODES, STAR, STAR_KEYS, STAR_REFERENCES, TEXT_LIMITS, conform
 from orderloom.sources.landed import read_grid, read_landed_json, read_landed_table, table_from_grid, with_header_cells
 from orderloom.sources.manifest import Manifest, paths_of
@@ -311,7 +311,7 @@ def run(steps: list[str], spark: SparkSession, store: TableStore, paths: dict[st
 
     Feeds that follow one another are read and cleaned side by side, params["parallel"] at a time (4); their tables are merged in the given order, since
     two feeds may write one table. 'star' and 'reports' wait for all before them. params["only_new"]: files that were loaded before and have not
-    changed are not read; a source without others is "unchanged".
+    changed are not read; a source without others is "unchanged". params["partials"]: after the star, count the report partials of the months it wrote anew.
     """
     job = Run(spark, store, paths, run_ts, params)
     state = State()
@@ -371,7 +371,11 @@ def run(steps: list[str], spark: SparkSession, store: TableStore, paths: dict[st
         feeds(batch)
         batch = []
         if step == "star":
+            store.written.pop("fact_orderdetails", None)
             attempt(step, lambda: refresh_star(store, found=state.found.setdefault("star", {})))
+            if job.params.get("partials") and state["star"] == "ok":
+                changed = store.written.get("fact_orderdetails", []) if store.there("report_partials") else None
+                attempt("partials", lambda: partials.refresh(store, changed))
         elif step == "reports":
             tables = {name: store.read(name) for name in STAR}
             source = paths["reports"][0]

@@ -59,7 +59,10 @@ class TableStore:
     def _there(self, path: str) -> bool:
         return self._files(path).exists(self._at(path))
 
-    def _path(self, name: str) -> str:
+    def there(self, name: str) -> bool:
+        return self._there(self.path(name))
+
+    def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def _month(self, name: str) -> Column:
@@ -79,8 +82,8 @@ class TableStore:
     def read(self, name: str, parts: list[str] | None = None, with_part: bool = False) -> DataFrame:
         """The current rows, of some partitions only if given."""
         schema = T.StructType([*SCHEMAS[name].fields, T.StructField(PART, T.StringType())])
-        if self._there(self._path(name)):
-            df = self.spark.read.schema(schema).parquet(self._path(name))
+        if self._there(self.path(name)):
+            df = self.spark.read.schema(schema).parquet(self.path(name))
         else:  # a table that was never written is empty
             df = self.spark.createDataFrame([], schema)
         if parts is not None:
@@ -108,23 +111,32 @@ class TableStore:
             rows = rows.withColumn(PART, F.when(F.col(PART).isin(sorted(touched)), F.col(PART)).otherwise(F.lit(min(touched))))
         stamp = next((c for c in ("dw_updatedat", "lastupdateat") if c in schema.names), None)
         seen = Observation()
+        rows = rows.observe(seen, F.max(stamp or F.lit(None).cast("timestamp_ntz")).alias("mark"))
+        self.overwrite_parts(name, self.path(name), rows, touched)
+        if seen.get["mark"] is not None:
+            one = self.spark.createDataFrame([(name, seen.get["mark"])], MARKS)
+            one.coalesce(1).write.mode("append").parquet(self.path("_marks"))
+
+    def overwrite_parts(self, name: str, path: str, rows: DataFrame, touched: set[str] | None) -> list[str]:
+        """Write rows over the partitions they lie in, and drop the touched ones (None: all there are) that none lies in any more."""
+        if touched is None:
+            there = self.spark.read.parquet(path).select(PART).distinct().collect() if self._there(path) else []
+            touched = {r[0] for r in there}
+        seen = Observation()
         rows = rows.hint("rebalance", PART)  # adaptive execution splits large months over tasks and joins small ones before writing
-        rows = rows.observe(seen, F.collect_set(PART).alias("parts"), F.max(stamp or F.lit(None).cast("timestamp_ntz")).alias("mark"))
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(self._path(name))
+        rows = rows.observe(seen, F.collect_set(PART).alias("parts"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
         written = set(seen.get["parts"] or [])
         for part in touched - written:  # rows left that no other took the place of
-            path = f"{self._path(name)}/{PART}={part}"
-            self._files(path).delete(self._at(path), True)
+            self._files(path).delete(self._at(f"{path}/{PART}={part}"), True)
         self.written[name] = sorted(touched | written)
-        if seen.get["mark"] is not None:
-            one = self.spark.createDataFrame([(name, seen.get["mark"])], MARKS)
-            one.coalesce(1).write.mode("append").parquet(self._path("_marks"))
+        return self.written[name]
 
     def marks(self) -> dict[str, datetime]:
         """The highest stamp ever written per table, from what each write observed: a short row per write, and none of the tables is read."""
-        if not self._there(self._path("_marks")):
+        if not self._there(self.path("_marks")):
             return {}
-        seen = self.spark.read.schema(MARKS).parquet(self._path("_marks"))
+        seen = self.spark.read.schema(MARKS).parquet(self.path("_marks"))
         return {r.name: r.mark for r in seen.groupBy("name").agg(F.max("mark").alias("mark")).collect()}
 
     def replace(self, name: str, df: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from orderloom.operators import quality
 from orderloom.operators.merge import upsert
 from orderloom.operators.relational import delete_keys
 from orderloom.operators.tracking import START, _Default
-from orderloom.plans import roles, runner, star
+from orderloom.plans import partials, roles, runner, star
 from orderloom.plans.registry import Tables
 from orderloom.schemas import LAKE, LAKE_KEYS, STAR, STAR_KEYS, STAR_REFERENCES, conform, empty
 from orderloom.sources.landed import text_schema
@@ -328,15 +328,19 @@ def test_refresh_writes_only_months_with_news(spark, tmp_path):
                          F.lit("Giao Hang Nhanh").alias("courier"), F.col("created_at").alias("createdat"), "dw_updatedat")
     for name, df in (("nhanhvnorders", orders), ("nhanhvnorderdetails", lines), ("deliveryorders", parcels)):
         store.replace(name, conform(df, name))
-    runner.refresh_star(store)
+    assert runner.run(["star"], spark, store, {}, T1, {"partials": True}) == {"star": "ok", "partials": "ok"}
     assert len(store.written["fact_orderdetails"]) == 24 and store.read("fact_orderdetails").count() == 24
+    assert len(store.written["report_partials"]) == 24
+    assert [(r.n_lines, r.n_parcels, int(r.cod)) for r in partials.added(partials.read(store), []).collect()] == [(24, 24, 2_400_000)]
     before = files(tmp_path / "store", "fact_orderdetails")
     store.written.clear()
     news = conform(parcels.filter("delivery_orderid = 't5'").withColumn("cod_collected", F.lit(0).cast("bigint")).withColumn(
         "dw_updatedat", F.lit(T2).cast("timestamp_ntz")), "deliveryorders")
     store.merge("deliveryorders", news, lambda a, b: upsert(a, b, LAKE_KEYS["deliveryorders"], mode="changed"))
-    found = {}
-    runner.refresh_star(store, found=found)
+    state = runner.run(["star"], spark, store, {}, T2, {"partials": True})
+    assert state == {"star": "ok", "partials": "ok"} and store.written["report_partials"] == ["2022-06"]
+    found, sums = state.found["star"], {r.finalstatus: (r.n_lines, r.n_parcels) for r in partials.added(partials.read(store), ["finalstatus"]).collect()}
+    assert sums == {"Thanh cong": (23, 23), "Hoan": (1, 1)}
     assert store.written["deliveryorders"] == store.written["fact_orderdetails"] == store.written["dim_delivery"] == ["2022-06"]
     assert len(set(before) - set(files(tmp_path / "store", "fact_orderdetails"))) == 1 and found == {}
     fact = {r.orderid: r.finalstatus for r in store.read("fact_orderdetails").collect()}
