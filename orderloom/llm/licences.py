@@ -1,11 +1,13 @@
 """Licence paragraphs in documents: a trained classifier finds them, a comparison with templates confirms them.
 
-A paragraph (a line of a text; lines that are not believed alone are also judged as a run of neighbouring lines, since notices are wrapped) is the set of its word bigrams and trigrams, of those that stand in a template and have a word that is no
-function word. A multinomial logistic regression with an elastic net, so that most weights are zero, is trained on varied templates of each
-family, on licence-like texts of no family (`unknown`) and on ordinary paragraphs of the corpus, a bounded sample (`none`). Weights become a
-small table; paragraphs are scored by joining their n-grams with it and summing per class. The probability below which a family is not
-believed is calibrated on variants that were not trained on. A believed family must also hold MIN_SIMILARITY of the n-grams of one of its
-templates; a paragraph that is like a licence but passes neither is `unknown`. Built of DataFrame expressions and Spark's own LogisticRegression.
+A paragraph is a line of a text. Lines that are not believed alone are also judged as a run of neighbouring lines, since notices are wrapped.
+Its features are its word bigrams and trigrams, of those that stand in a template and have a word that is no function word. A multinomial
+logistic regression with an elastic net, so that most weights are zero, is trained on varied templates of each family, on licence-like texts
+of no family (`unknown`: some of their own, and the templates without the words that name their family) and on ordinary paragraphs of the
+corpus, a bounded sample (`none`). Weights become a small table; paragraphs are scored by joining their n-grams with it and summing per
+class. The probability below which a family is not believed is calibrated on variants that were not trained on. A believed family must also
+hold MIN_SIMILARITY of the n-grams of one of its templates, and the paragraph must not name a version of which none is the family's; a
+paragraph that is like a licence but passes not all of this is `unknown`. Built of DataFrame expressions and Spark's own LogisticRegression.
 """
 
 from __future__ import annotations
@@ -44,9 +46,13 @@ TEMPLATES = (
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
     ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3."),
-    ("LGPL-3.0", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
+    ("LGPL-3.0", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "This library is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("BSD", "Released under the BSD 3-Clause License."),
+    ("BSD", "Released under the BSD 2-Clause License."),
     ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
     ("BSD", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
@@ -57,6 +63,13 @@ TEMPLATES = (
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("EPL-2.0", "Licensed under the Eclipse Public License, Version 2.0."),
+    ("Artistic-2.0", "You can redistribute it and/or modify it under the terms of the Artistic License, version 2.0."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."),
     ("CC0-1.0", "Released into the public domain under CC0 1.0 Universal."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
@@ -66,6 +79,10 @@ TEMPLATES = (
     (UNKNOWN, "This work is licensed under a proprietary license; contact the authors for terms."),
     (UNKNOWN, "You may use this material for personal use only; commercial use needs a separate license."),
 )
+# Words that name a family. Without them, and without numbers, a notice is like a licence, but of no family.
+NAMES = ("mit", "apache", "gnu", "gpl", "general", "lesser", "affero", "bsd", "2-clause", "3-clause", "mozilla", "eclipse", "artistic", "boost", "creative", "commons",
+         "cc", "cc0", "by", "by-sa", "by-nc", "by-nd", "attribution", "attribution-sharealike", "attribution-noncommercial", "attribution-noderivatives", "unencumbered")
+VERSION = r"(?:version|v\.?|license|licence)[\s,]+([0-9]+(?:\.[0-9]+)*)"
 # Function words; an n-gram of these alone is no feature.
 FUNCTION_WORDS = ("a", "an", "and", "any", "are", "as", "at", "be", "by", "for", "from", "in", "is", "it", "its", "no", "not", "of", "on", "or", "that", "the",
                   "this", "to", "under", "was", "were", "with", "you")
@@ -113,7 +130,11 @@ def train(docs: DataFrame) -> Model:
     vocabulary = sorted(r.gram for r in grams.select("gram").distinct().collect())  # fixed by TEMPLATES
     varied = forms.withColumn("variant", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1)))).withColumn(
         "forms", F.filter("forms", lambda w, i: (F.col("variant") == 0) | (F.pmod(F.xxhash64(w, i, F.col("variant")), F.lit(100)) >= DROPPED)))
-    varied = varied.select("family", "variant", _grams(F.col("forms"), (2, 3)).alias("grams"))
+    named = F.filter("forms", lambda w: ~w.isin(*NAMES) & ~w.rlike("[0-9]"))
+    nameless = varied.filter((F.col("family") != UNKNOWN) & (F.size(named) < F.size("forms")) & (F.col("variant") % 4 != 2)).select(
+        F.lit(UNKNOWN).alias("family"), "variant", F.transform("forms", lambda w: F.when(w.isin(*NAMES) | w.rlike("[0-9]"), "\x01").otherwise(w)).alias("forms"))
+    varied = varied.select("family", "variant", "forms").unionByName(nameless).select("family", "variant", _grams(F.col("forms"), (2, 3)).alias("grams"))
+    varied = varied.select("family", "variant", F.array_intersect("grams", F.array(*[F.lit(g) for g in vocabulary])).alias("grams")).filter("size(grams) > 0")
     ids = stage(docs.filter("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS))
     lines = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select(F.explode(F.split("text", "\n")).alias("text"))  # SAMPLE_DOCS ids
     known = F.array(*[F.lit(g) for g in vocabulary])
@@ -136,7 +157,7 @@ def train(docs: DataFrame) -> Model:
     size = grams.groupBy("template").agg(F.count("*").alias("size"))
     model = Model(classes, weights, [*map(float, intercepts), *[-50.0] * missing], stage(grams.join(size, "template").select("gram", "template", "size").coalesce(1)),
                   [f for f, _ in TEMPLATES], 0.0)
-    held = stage(examples.filter(is_held & (F.col("family") != NONE)).withColumn("row", F.monotonically_increasing_id()))
+    held = stage(examples.filter(is_held & ~F.col("family").isin(NONE, UNKNOWN)).withColumn("row", F.monotonically_increasing_id()))
     scored = _logits(held.select("row", "label", F.explode(F.transform(F.array_distinct("grams"), lambda g: g.cast("long"))).alias("gram")), ["row", "label"], model)
     right = F.get("p", F.col("label").cast("int"))
     model.believed = float(scored.agg(F.percentile(right, F.lit(BELIEVED_SHARE))).first()[0] or 0.5)
@@ -155,6 +176,17 @@ def _judged(features: DataFrame, keys: list[str], model: Model) -> DataFrame:
     return judged.withColumn("confirmed", (F.col("predicted_family") != UNKNOWN) & (F.col("probability") >= model.believed) & (F.col("similarity") >= MIN_SIMILARITY))
 
 
+def _version(number: Column) -> Column:
+    return F.regexp_replace(number, r"(\.0)+$", "")
+
+
+def _other_version(family: Column, text: Column) -> Column:
+    """Whether the text names versions, and none is that of the family."""
+    own = _version(F.nullif(F.regexp_extract(family, r"-([0-9.]+)$", 1), F.lit("")))
+    said = F.transform(F.regexp_extract_all(F.lower(text), F.lit(VERSION), F.lit(1)), _version)
+    return own.isNotNull() & (F.size(said) > 0) & ~F.array_contains(said, own)
+
+
 def licence_paragraphs(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """One row per licence-like paragraph of docs (doc_id, text): doc_id, paragraph (line, from 0), family, predicted_family, probability,
     template, similarity, confirmed, text.
@@ -173,15 +205,19 @@ def licence_paragraphs(docs: DataFrame, model: Model | None = None) -> DataFrame
     lines = stage(lines.dropDuplicates(["row_key", "paragraph"]))
     keys = ["row_key", "paragraph"]
     features = stage(lines.select(*keys, F.explode(F.array_distinct(_grams(_forms(F.col("text")), (2, 3)))).alias("gram")))
-    alone = stage(_judged(features, keys, model))
+    alone = _judged(features, keys, model).join(lines.select(*[F.col(k).alias(f"{k}_") for k in keys], "text"), (F.col("row_key") == F.col("row_key_")) & (F.col("paragraph") == F.col("paragraph_")))
+    alone = stage(alone.withColumn("confirmed", F.col("confirmed") & ~_other_version(F.col("predicted_family"), F.col("text"))).drop("row_key_", "paragraph_", "text"))
     # lines that were not believed, in runs of neighbours: a line's number less its place among them is the same all over a run
     loose = lines.join(alone.filter("confirmed").select(*keys), keys, "left_anti").groupBy("row_key").agg(F.sort_array(F.collect_list(F.struct("paragraph", "text"))).alias("l"))
     loose = stage(loose.select("row_key", F.posexplode("l").alias("i", "l")).select("row_key", (F.col("l.paragraph") - F.col("i")).alias("run"), "l.*"))
     runs = loose.groupBy("row_key", "run").agg(F.sort_array(F.collect_list(F.struct("paragraph", F.regexp_replace("text", MARKS, "").alias("text")))).alias("l"))
     runs = runs.filter("size(l) > 1").select("row_key", "run", F.array_join(F.col("l.text"), " ").alias("text"))
+    runs = stage(runs)
     wrapped = _judged(runs.select("row_key", "run", F.explode(F.array_distinct(_grams(_forms(F.col("text")), (2, 3)))).alias("gram")), ["row_key", "run"], model)
+    wrapped = wrapped.join(runs.withColumnsRenamed({"row_key": "row_key_", "run": "run_"}), (F.col("row_key") == F.col("row_key_")) & (F.col("run") == F.col("run_")))
+    wrapped = wrapped.withColumn("confirmed", F.col("confirmed") & ~_other_version(F.col("predicted_family"), F.col("text"))).drop("row_key_", "run_", "text")
     wrapped = loose.select(*keys, "run").join(wrapped.filter("confirmed"), ["row_key", "run"]).drop("run")
-    judged = alone.join(wrapped.select(*keys, F.struct(*[c for c in wrapped.columns if c not in keys]).alias("w")), keys, "left")
+    judged = alone.join(wrapped.select(*keys, F.struct(*[c for c in wrapped.columns if c not in keys]).alias("w")), keys, "full")
     judged = judged.select(*keys, *[F.coalesce(f"w.{c}", c).alias(c) for c in wrapped.columns if c not in keys])
     return judged.join(lines, keys).select(
         "doc_id", "paragraph", F.when(F.col("confirmed"), F.col("predicted_family")).otherwise(F.lit(UNKNOWN)).alias("family"), "predicted_family",

@@ -54,3 +54,20 @@ def test_wrapped_notices(docs_of, model, text_of):
     out = licence_paragraphs(docs, model).collect()
     assert {(r.doc_id, r.family) for r in out} == {(1, "MIT"), (2, "GPL-3.0")}
     assert {(r.doc_id, r.paragraph) for r in out} >= {(1, 1), (1, 2), (2, 1), (2, 2)} and all(r.confirmed for r in out)
+
+
+LGPL = ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the "
+        "Free Software Foundation; either version {} of the License, or (at your option) any later version.")
+
+
+def test_versions_and_families_that_are_not_listed(docs_of, model, text_of):
+    cases = [(LGPL.format("2.1"), "LGPL-2.1"), (LGPL.format("3"), "LGPL-3.0"), (LGPL.format("2"), UNKNOWN),
+             ("This work is licensed under the GNU General Public License, version 1.", UNKNOWN),
+             ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0", "EPL-2.0"),
+             ("This work is licensed under the European Union Public License, version 1.2.", UNKNOWN),
+             ("Licensed under the Open Widgets Software License, Version 7.0.", UNKNOWN),
+             ("This program is free software; you can redistribute it and/or modify it under the terms of the Someone Else Public License.", UNKNOWN),
+             ("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.", "CC-BY-ND-4.0")]
+    docs = docs_of([(i, f"{text_of(i, 20)}\n\n{t}\n\n{text_of(i + 99, 20)}") for i, (t, _) in enumerate(cases)])
+    out = {r.doc_id: r for r in licence_paragraphs(docs, model).collect()}
+    assert {i: out[i].family if i in out else None for i in range(len(cases))} == {i: f for i, (_, f) in enumerate(cases)}
