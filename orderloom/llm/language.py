@@ -4,7 +4,8 @@ Each language has a probability for each piece. A word's likelihood is the sum o
 pieces' probabilities, found by the forward algorithm; a text's is the product of its words'. The probabilities are learnt by
 expectation maximisation on a bounded sample of labelled texts: forward and backward sums give each piece's expected count. The
 vocabulary is read, never trained. Pieces are matched on bytes of the lower-cased text; a single byte has a small probability in every
-language, so every text has a likelihood. Words over MAX_BYTES bytes are cut there and at multiples of it.
+language, so every text has a likelihood. Words of any length are summed over all their segmentations: those over MAX_BYTES bytes, as texts without
+blanks have, one by one, in blocks, with sums that are scaled as they go. Only what is learnt from is cut, between letters, to pieces of MAX_BYTES.
 """
 
 from __future__ import annotations
@@ -24,8 +25,9 @@ from orderloom.llm.tables import staging
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 EXAMPLES_PER_LANGUAGE = 1_500  # labelled rows learnt from, those with the smallest hash of doc_id
 ROUNDS = 3
-MAX_PIECE = 16
-MAX_BYTES = 60
+MAX_BYTES = 60  # of words that are summed side by side
+BLOCK_BYTES = 1 << 16  # of a longer word
+RESCALE = 32  # bytes between two looks at the scale of its sums
 BYTE_PROBABILITY = 1e-6
 POOLED = 0.02  # share of the pooled model that is mixed into each language
 SCALE = float(np.exp(2.5))  # keeps the forward sums of a word near 1
@@ -41,7 +43,7 @@ def pieces(path: str) -> list[bytes]:
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     normal = (model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i)))
     found = {p.replace(SPACE_MARK, " ").lower().encode() for p in normal}
-    return sorted(p for p in found if 0 < len(p) <= MAX_PIECE and p.strip())
+    return sorted(p for p in found if p.strip())
 
 
 class Lattice:
@@ -56,7 +58,8 @@ class Lattice:
         self.hashes = hashes[self.order]
         self.maybe = np.zeros(1 << 20, dtype=bool)
         self.maybe[(self.hashes >> U(44)).astype(np.int64)] = True
-        self.longest = max(len(p) for p in names)
+        self.lengths = sorted({len(p) for p in names})
+        self.longest = self.lengths[-1]
 
     def hits(self, buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray, width: int):
         """(end, length, rows, pieces) of every piece in words of at most `width` bytes, by rising end."""
@@ -66,7 +69,9 @@ class Lattice:
         total = np.zeros((width + 1, len(starts)), dtype=U)
         np.cumsum((chars * up[:width]).T, axis=0, out=total[1:])
         for end in range(1, width + 1):
-            for length in range(1, min(self.longest, end) + 1):
+            for length in self.lengths:
+                if length > end:
+                    break
                 h = kernel.mix((total[end] - total[end - length]) * down[end - length])
                 row = np.flatnonzero(self.maybe[(h >> U(44)).astype(np.int64)])
                 if len(row):
@@ -76,6 +81,52 @@ class Lattice:
                         yield end, length, row[same], self.order[place[same]]
 
 
+    def spans(self, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(end, length, piece) of every piece in one span of bytes, by rising end."""
+        up, down = kernel._powers(len(word) + 1)
+        total = np.zeros(len(word) + 1, dtype=U)
+        np.cumsum(kernel.BYTE_VALUE[word] * up[: len(word)], out=total[1:])
+        found = []
+        for length in self.lengths:
+            if length > len(word):
+                break
+            h = kernel.mix((total[length:] - total[:-length]) * down[: len(word) - length + 1])
+            start = np.flatnonzero(self.maybe[(h >> U(44)).astype(np.int64)])
+            place = np.minimum(np.searchsorted(self.hashes, h[start]), len(self.hashes) - 1)
+            same = self.hashes[place] == h[start]
+            found.append((start[same] + length, np.full(same.sum(), length), self.order[place[same]]))
+        end, length, piece = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(end, kind="stable")
+        return end[order], length[order], piece[order]
+
+
+def _long_word(lattice: Lattice, p: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """As log_likelihoods for one word, block by block: only the sums that pieces can still reach back to are kept."""
+    reach = lattice.longest
+    tail, log_scale = np.zeros((reach + 1, p.shape[1])), np.zeros(p.shape[1])  # sums of the last places before a block, scaled
+    tail[-1] = 1
+    weight = [p * SCALE**length for length in range(reach + 1)] if len(p) * reach < 1 << 12 else None
+    for start in range(0, len(word), BLOCK_BYTES):
+        block = word[max(0, start - reach): start + BLOCK_BYTES]
+        shift = min(start, reach)  # bytes of the block that were there before
+        ends, lengths, ids = lattice.spans(block)
+        forward = np.concatenate([tail, np.zeros((len(block) - shift, p.shape[1]))])
+        offset, at = reach - shift, int(np.searchsorted(ends, shift, side="right"))
+        for end in range(shift + 1, len(block) + 1):
+            here = forward[offset + end - 1] * (BYTE_PROBABILITY * SCALE)
+            while at < len(ends) and ends[at] == end:
+                length = lengths[at]
+                here = here + forward[offset + end - length] * (weight[length][ids[at]] if weight else p[ids[at]] * SCALE**length)
+                at += 1
+            forward[offset + end] = here
+            if end % RESCALE == 0 or end == len(block):
+                window = slice(max(0, offset + end - reach), offset + end + 1)
+                log_scale += np.log(here)
+                forward[window] = forward[window] / here
+        tail = forward[-(reach + 1):]
+    return np.log(tail[-1]) + log_scale - len(word) * np.log(SCALE)
+
+
 def _groups(lengths: np.ndarray):
     low = 0
     for width in LENGTHS:
@@ -92,6 +143,8 @@ def log_likelihoods(lattice: Lattice, p: np.ndarray, buf: np.ndarray, starts: np
     for width, rows in _groups(lengths):
         forward = _forward(width, len(rows), p, list(lattice.hits(buf, starts[rows], lengths[rows], width)))
         out[rows] = np.log(forward[lengths[rows], np.arange(len(rows))]) - lengths[rows, None] * np.log(SCALE)
+    for row in np.flatnonzero(lengths > MAX_BYTES):
+        out[row] = _long_word(lattice, p, buf[starts[row]: starts[row] + lengths[row]])
     return out
 
 
@@ -131,16 +184,27 @@ def expected_counts(lattice: Lattice, p: np.ndarray, buf: np.ndarray, starts: np
 
 
 def _spans(texts: kernel.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The buffer with a blank in front of each word, the words' spans from that blank, cut to MAX_BYTES, and their texts."""
+    """The buffer with a blank in front of each word, the words' spans from that blank, and their texts."""
     buf = np.where(kernel.SPACE[texts.buf], np.uint8(32), texts.buf)
     buf = np.concatenate([np.array([32], dtype=np.uint8), buf])
-    starts, ends, doc = texts.starts, texts.ends + 1, texts.doc  # shifted by the blank that was put in front
+    return buf, texts.starts, texts.ends + 1, texts.doc  # shifted by the blank that was put in front
+
+
+def _cut(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The spans, longer ones cut between letters to at most MAX_BYTES."""
     long = ends - starts > MAX_BYTES
-    if long.any():
-        extra = [(s, min(s + MAX_BYTES, e), d) for a, e, d in zip(starts[long], ends[long], doc[long]) for s in range(a, e, MAX_BYTES)]
-        extra = np.array(extra, dtype=np.int64)
-        starts, ends, doc = (np.concatenate([x[~long], extra[:, i]]) for i, x in enumerate((starts, ends, doc)))
-    return buf, starts, ends, doc
+    if not long.any():
+        return starts, ends, doc
+    parts = []
+    for start, end, d in zip(starts[long].tolist(), ends[long].tolist(), doc[long].tolist()):
+        while start < end:
+            stop = min(start + MAX_BYTES, end)
+            while stop < end and stop > start + MAX_BYTES - 3 and buf[stop] & 0xC0 == 0x80:
+                stop -= 1
+            parts.append((start, stop, d))
+            start = stop
+    more = np.array(parts, dtype=np.int64)
+    return tuple(np.concatenate([x[~long], more[:, i]]) for i, x in enumerate((starts, ends, doc)))
 
 
 @dataclass
@@ -197,7 +261,8 @@ def fit(examples: DataFrame, *, vocabulary: str = VOCABULARY, per_language: int
 
     def words(batches):
         for batch in kernel.slices(batches, "text"):
-            buf, starts, ends, doc = _spans(kernel.Texts(batch.column("text")))
+            buf, *spans = _spans(kernel.Texts(batch.column("text")))
+            starts, ends, doc = _cut(buf, *spans)
             lang = np.array([number[x] for x in batch.column("lang").to_pylist()], dtype=np.int64)[doc]
             _, first, count = np.unique(kernel.span_hashes(buf, starts, ends) + lang.astype(U), return_index=True, return_counts=True)
             raw = buf.tobytes()

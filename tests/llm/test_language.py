@@ -60,11 +60,42 @@ def test_expected_counts_are_the_gradient():
         assert got[j, g] == pytest.approx((b - a) / 1e-6, abs=1e-3)
 
 
+def log_sums(word, p):
+    """The forward sums in logarithms, one place after the other."""
+    out = np.full((len(word) + 1, p.shape[1]), -np.inf)
+    out[0] = 0
+    for end in range(1, len(word) + 1):
+        out[end] = out[end - 1] + math.log(lang.BYTE_PROBABILITY)
+        for i, name in enumerate(NAMES):
+            if word[:end].endswith(name):
+                out[end] = np.logaddexp(out[end], out[end - len(name)] + np.log(p[i]))
+    return out[-1]
+
+
+@pytest.mark.parametrize("block", [7, 64, 1 << 16])
+def test_words_of_any_length(monkeypatch, block):
+    monkeypatch.setattr(lang, "BLOCK_BYTES", block)
+    r = random.Random(block)
+    p = np.random.default_rng(block).random((len(NAMES), 3)) * 0.3
+    words = [(" " + "".join(r.choices(["a", "b", "aba", "é", "x", "日本"], k=k))).encode() for k in (3, 25, 40, 90, 400, 1500)]
+    got = lang.log_likelihoods(lang.Lattice(NAMES), p, *spans(words))
+    assert np.allclose(got, [log_sums(w, p) for w in words], rtol=1e-9)
+
+
 def test_long_words_do_not_under_or_overflow():
-    p = np.full((len(NAMES), 1), 1e-9)
-    buf, starts, ends, doc = lang._spans(kernel.Texts(__import__("pyarrow").array(["ab" * 500 + " x " + "é" * 300])))
-    assert (ends - starts).max() <= lang.MAX_BYTES + 1 and (ends - starts).sum() == 1001 + 2 + 601
-    assert np.isfinite(lang.log_likelihoods(lang.Lattice(NAMES), p, buf, starts, ends - starts)).all()
+    for chance in (1e-9, 0.9):
+        p = np.full((len(NAMES), 1), chance)
+        buf, starts, ends, doc = lang._spans(kernel.Texts(__import__("pyarrow").array(["ab" * 5000 + " x " + "é" * 3000])))
+        assert (ends - starts).tolist() == [10001, 2, 6001]
+        assert np.isfinite(lang.log_likelihoods(lang.Lattice(NAMES), p, buf, starts, ends - starts)).all()
+
+
+def test_what_is_learnt_from_is_cut_between_letters():
+    buf, *where = lang._spans(kernel.Texts(__import__("pyarrow").array(["日本語" * 50 + " ok", "é" * 100])))
+    starts, ends, doc = lang._cut(buf, *where)
+    assert (ends - starts).max() <= lang.MAX_BYTES and (ends - starts).sum() == 451 + 3 + 201 and sorted(set(doc.tolist())) == [0, 1]
+    for a, b in zip(starts, ends):
+        buf[a:b].tobytes().decode()
 
 
 def test_held_out_accuracy(spark):
