@@ -22,6 +22,7 @@ products ARRAY<STRUCT<code: STRING, barcode: STRING, price: BIGINT, discountAmou
 # Order sources end with one of these where the order follows another one.
 FOLLOW_UPS = ("don doi", "bo sung", "len lai", "don tach")
 FIRST = "di moi"
+# How notes name an earlier order, an earlier sku and a wrong product.
 OLD_ID = r"(\b\d{9}\b)"
 OLD_SKU = r"(mdu[1-9]{4})"
 WRONG_PRODUCT = r"DI\s*=\s*[a-zA-Z]{3}"

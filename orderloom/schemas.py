@@ -16,34 +16,36 @@ def schema(**cols: str) -> T.StructType:
     return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in cols.items()])
 
 
-def _of(kind: str, names: str) -> dict[str, str]:
-    return {n: kind for n in names.split()}
+def _of(kind: str, *names: str) -> dict[str, str]:
+    return dict.fromkeys(names, kind)
 
 
 STAMP = {"dw_updatedat": "time"}
 
+# The columns of the staging tables, and further down those of the star.
 LAKE: dict[str, T.StructType] = {
     "nhanhvnorders": schema(
         orderid="string", created_at="time",
-        **_of("string", "customername customerphonenumber customer_cityaddress customer_districtaddress deliverybrand "
-                        "trackingnumber orderstatus orderparentsource ordersource platform"),
+        **_of("string", "customername", "customerphonenumber", "customer_cityaddress", "customer_districtaddress",
+                        "deliverybrand", "trackingnumber", "orderstatus", "orderparentsource", "ordersource", "platform"),
         senddelivery_at="time", cod_prepaid="bigint",
-        **_of("string", "created_byperson internalnote customernote previousid_internalnote previousid_customernote"),
+        **_of("string", "created_byperson", "internalnote", "customernote", "previousid_internalnote",
+                        "previousid_customernote"),
         is_wrongproduct="boolean", **STAMP,
     ),
     "nhanhvnorderdetails": schema(
-        **_of("string", "productid orderid productbarcode parentproductid"),
-        **_of("bigint", "price discount_allproduct quantity"), **STAMP,
+        **_of("string", "productid", "orderid", "productbarcode", "parentproductid"),
+        **_of("bigint", "price", "discount_allproduct", "quantity"), **STAMP,
     ),
     "deliveryorders": schema(
-        **_of("string", "delivery_orderid shop_orderid orderstatus"),
-        **_of("bigint", "cod_collected cod_declared shippingcost"),
-        **_of("time", "createdat pickupat completedat"),
+        **_of("string", "delivery_orderid", "shop_orderid", "orderstatus"),
+        **_of("bigint", "cod_collected", "cod_declared", "shippingcost"),
+        **_of("time", "createdat", "pickupat", "completedat"),
         courier="string", compensationvalue="bigint", courieraccount="string", **STAMP,
     ),
     "customerbanks": schema(
         bank_surrogateid="string", notedate="date", orderid="string", customerphonenumber="string",
-        bankvalue="double", **_of("string", "verifybyperson ftcode note"), **STAMP,
+        bankvalue="double", **_of("string", "verifybyperson", "ftcode", "note"), **STAMP,
     ),
     "returnedorders_scan": schema(
         scan_surrogateid="string", scanat="date", delivery_orderid="string", productid="string", **STAMP,
@@ -54,38 +56,40 @@ LAKE: dict[str, T.StructType] = {
     ),
     "handle_deliveryorders": schema(
         delivery_orderid="string", scan_deliveryorder_at="date",
-        **_of("string", "handleteam_note1 handleteam_note2 handleteam_note3"), **STAMP,
+        **_of("string", "handleteam_note1", "handleteam_note2", "handleteam_note3"), **STAMP,
     ),
     "shopeeorders": schema(
-        **_of("string", "orderid packageid courier"), **_of("time", "createdat pickupat completedat"),
-        **_of("string", "orderstatus cancel_reason buyer_accountname returned_orderids buyer_paymentmethod"),
-        **_of("bigint", "collectedvalue_theory buyerpaidvalue shippingcost shippingcostdiscounted_byplatform "
+        **_of("string", "orderid", "packageid", "courier"), **_of("time", "createdat", "pickupat", "completedat"),
+        **_of("string", "orderstatus", "cancel_reason", "buyer_accountname", "returned_orderids", "buyer_paymentmethod"),
+        **_of("bigint", "collectedvalue_theory", "buyerpaidvalue", "shippingcost", "shippingcostdiscounted_byplatform",
                         "shippingcostdiscounted_byseller"),
-        **_of("string", "delivery_orderid shopname"), **STAMP,
+        **_of("string", "delivery_orderid", "shopname"), **STAMP,
     ),
     "shopeeorderdetails": schema(
-        **_of("string", "orderid product_skuid orderproduct_id productid productname product_skuname"),
+        **_of("string", "orderid", "product_skuid", "orderproduct_id", "productid", "productname", "product_skuname"),
         quantity="bigint", displayprice="bigint", realprice="double",
         shopdiscount_allquantities="bigint", shopeediscount_allquantities="bigint", **STAMP,
     ),
     "tiktokorders": schema(
-        orderid="string", **_of("time", "create_time collection_time delivery_time cancel_time"),
-        **_of("string", "status cancel_reason buyer_email payment_method_name"),
-        **_of("bigint", "original_shipping_fee actual_shipping_fee shipping_fee_platform_discount "
+        orderid="string", **_of("time", "create_time", "collection_time", "delivery_time", "cancel_time"),
+        **_of("string", "status", "cancel_reason", "buyer_email", "payment_method_name"),
+        **_of("bigint", "original_shipping_fee", "actual_shipping_fee", "shipping_fee_platform_discount",
                         "shipping_fee_seller_discount"),
-        **_of("string", "tracking_number shipping_provider buyeraddress_lv0 buyeraddress_lv1 buyeraddress_lv2 "
-                        "return_reason returned_trackingnumber returnstatus"),
-        **_of("bigint", "returnshippingfee_paidbybuyer returnshippingfee_paidbyplatform returnshippingfee_paidbyseller"),
+        **_of("string", "tracking_number", "shipping_provider", "buyeraddress_lv0", "buyeraddress_lv1", "buyeraddress_lv2",
+                        "return_reason", "returned_trackingnumber", "returnstatus"),
+        **_of("bigint", "returnshippingfee_paidbybuyer", "returnshippingfee_paidbyplatform",
+                        "returnshippingfee_paidbyseller"),
         shopname="string", **STAMP,
     ),
     "tiktokorderdetails": schema(
-        **_of("string", "orderid product_skuid productid productname product_skuname"),
-        **_of("bigint", "displayprice quantity shopdiscount_allquantities tiktokdiscount_allquantities"), **STAMP,
+        **_of("string", "orderid", "product_skuid", "productid", "productname", "product_skuname"),
+        **_of("bigint", "displayprice", "quantity", "shopdiscount_allquantities", "tiktokdiscount_allquantities"), **STAMP,
     ),
     "tiktok_reconciliation": schema(
         order_or_statement_id="string", transactiontime="date", transactiontype="string",
-        **_of("bigint", "settlement_amount revenue subtotal_after_discount subtotal_before_discount seller_discount "
-                        "refund_subtotal_after_discount refund_subtotal_before_discount refundforseller_amount totalfee"),
+        **_of("bigint", "settlement_amount", "revenue", "subtotal_after_discount", "subtotal_before_discount",
+                        "seller_discount", "refund_subtotal_after_discount", "refund_subtotal_before_discount",
+                        "refundforseller_amount", "totalfee"),
         **STAMP,
     ),
 }
@@ -123,41 +127,45 @@ TEXT_LIMITS: dict[str, dict[str, int]] = {
     "tiktokorders": {"returned_trackingnumber": 50, "cancel_reason": 200},
 }
 
-BASE_MEASURES = ("baseorder_shippingfee baseorder_cod_collected_allquantity baseorder_codbank_collected_allquantity "
-                 "baseorder_codprepaid_allquantity baseorder_positive_reconciliation_allquantity "
-                 "baseorder_negative_reconciliation_allquantity").split()
+BASE_MEASURES = (
+    "baseorder_shippingfee", "baseorder_cod_collected_allquantity",
+    "baseorder_codbank_collected_allquantity", "baseorder_codprepaid_allquantity",
+    "baseorder_positive_reconciliation_allquantity", "baseorder_negative_reconciliation_allquantity",
+)
 
 STAR: dict[str, T.StructType] = {
     "dim_order": schema(
         orderid="string", createdat="time",
-        **_of("string", "status parentsource source platform created_byperson cancel_reason return_reason"),
+        **_of("string", "status", "parentsource", "source", "platform", "created_byperson", "cancel_reason",
+                        "return_reason"),
         is_wrongproduct="boolean", lastupdateat="time",
     ),
     "dim_delivery": schema(
-        **_of("string", "trackingnumber courier courieraccount delivery_status"),
-        **_of("time", "createdat pickupat deliveryat"), scan_deliveryorder_at="date",
-        **_of("string", "handleteam_note1 handleteam_note2 handleteam_note3"), lastupdateat="time",
+        **_of("string", "trackingnumber", "courier", "courieraccount", "delivery_status"),
+        **_of("time", "createdat", "pickupat", "deliveryat"), scan_deliveryorder_at="date",
+        **_of("string", "handleteam_note1", "handleteam_note2", "handleteam_note3"), lastupdateat="time",
     ),
     "dim_customer": schema(
-        **_of("string", "customer_surrogateid phonenumber name ecommerce_name country city district"),
+        **_of("string", "customer_surrogateid", "phonenumber", "name", "ecommerce_name", "country", "city", "district"),
     ),
     "dim_product": schema(
         productid="string", retailprice="bigint",
-        **_of("string", "cate_purpose cate_color cate_fabric cate_collar cate_sleeve cate_sleevelong cate_dresstype "
-                        "cate_fabricpattern"),
+        **_of("string", "cate_purpose", "cate_color", "cate_fabric", "cate_collar", "cate_sleeve", "cate_sleevelong",
+                        "cate_dresstype", "cate_fabricpattern"),
     ),
     "dim_reconciliation": schema(
         order_or_delivery_id="string", max_transactiontime="time", min_transactiontime="time",
-        **_of("string", "all_sessionid all_transactiontime allcontent"),
+        **_of("string", "all_sessionid", "all_transactiontime", "allcontent"),
     ),
     "fact_orderdetails": schema(
-        **_of("string", "orderid productid parentproductid deliveryid customer_surrogateid transaction_orderid"),
-        **_of("double", " ".join(BASE_MEASURES)), shippingfee="money",
+        **_of("string", "orderid", "productid", "parentproductid", "deliveryid", "customer_surrogateid",
+                        "transaction_orderid"),
+        **_of("double", *BASE_MEASURES), shippingfee="money",
         quantity="bigint", originalprice="bigint", discountamount_allquantity="double",
         extradiscountamount_allquantity="money",
-        **_of("money", "cod_collected_allquantity codbank_collected_allquantity codprepaid_allquantity"),
+        **_of("money", "cod_collected_allquantity", "codbank_collected_allquantity", "codprepaid_allquantity"),
         return_quantity="bigint",
-        **_of("money", "positive_reconciliation_allquantity negative_reconciliation_allquantity"),
+        **_of("money", "positive_reconciliation_allquantity", "negative_reconciliation_allquantity"),
         finalstatus="string", lastupdateat="time",
     ),
 }
