@@ -104,3 +104,55 @@ def test_few_labels(spark):
     out = QUERIES["op5_toxicity"](spark, f"{TESTDATA}/sf0.001").join(labels, "doc_id").collect()
     assert sum(r.toxic for r in out) == 11
     assert [r.doc_id for r in out if r.predicted != r.toxic] == []
+
+
+def test_votes_are_distance_weighted_shares():
+    rng = np.random.default_rng(8)
+    index = index_of(rng, 300, 12)
+    base = index.positive.sum() / index.total.sum()
+    for _ in range(50):
+        where = np.sort(rng.choice(12, 3, replace=False))
+        weight = rng.random(3)
+        weight /= np.linalg.norm(weight)
+        cos = index.vectors[:, where] @ weight
+        near = np.flatnonzero((cos > 0) & (cos >= np.sort(cos[cos > 0])[::-1][: tox.K].min(initial=9) - 1e-9))
+        w = 1 / (1 - np.minimum(cos[near], 1) + tox.SOFTEN)
+        want = ((w * index.positive[near]).sum() + base) / ((w * index.total[near]).sum() + 1)
+        share, ids, _ = index.votes(where, weight)
+        assert share == pytest.approx(want, abs=1e-6) and set(ids.tolist()) == set(near.tolist())
+        out = int(near[0])
+        left = ((w * index.positive[near]).sum() - w[0] * 1 + base) / ((w * index.total[near]).sum() - w[0] + 1)
+        assert index.votes(where, weight, out, 1)[0] == pytest.approx(left, abs=1e-6)
+
+
+def test_vectors_weigh_terms_by_count_idf_and_relevance():
+    import pyarrow as pa
+    from collections import Counter
+
+    text = "Snarl snarl grumpfly, quiet grumpfly! x"
+    terms = Counter(["snarl"] * 2 + ["grumpfly"] * 2 + ["quiet", "x"])
+    _, _, hashes = tox._terms(pa.array(["snarl grumpfly quiet x"]))
+    words = np.sort(hashes)  # and the beginning of grumpfly
+    gain = np.arange(1, len(words) + 1, dtype=float)
+    where, weight = next(tox._vectors(pa.array([text]), words, gain))
+    assert where.tolist() == list(range(len(words)))
+    one = {w: tox._terms(pa.array([w]))[2] for w in terms}
+    times = np.zeros(len(words))
+    for w, n in terms.items():
+        times[np.searchsorted(words, one[w])] += n
+    want = (1 + np.log(times)) * gain
+    assert np.allclose(weight, want / np.linalg.norm(want))
+
+
+def test_relevance_is_nothing_where_chance_says_the_same():
+    n, pos = np.array([100.0, 100, 100, 1, 1, 0]), np.array([10.0, 14, 60, 1, 0, 0])
+    got = tox._relevance(n, pos, 1000, 100)
+    assert got[0] == got[1] == got[4] == got[5] == 0 and got[2] > 100 and 0 < got[3] < 10
+
+
+def test_witnesses_are_no_near_copies(spark, text_of):
+    base = text_of(1, 80).split()
+    near, far = base[:75] + text_of(2, 5).split(), base[:30] + text_of(3, 50).split()
+    rows = [(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(far)), (4, " ".join(base).upper()), (5, ""), (6, None), (7, "two words"), (8, "Two Words")]
+    kept = [r.row for r in tox._fresh(spark.createDataFrame(rows, "row long, text string")).collect()]
+    assert sorted(kept) == [1, 3, 5, 6, 7]
