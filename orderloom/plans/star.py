@@ -156,9 +156,9 @@ def history(name: str, key: str, lake: Tables, marks: Marks, new: Tables, reach:
     return keep_keys(reach(name, touched, {key: key}), touched, key)
 
 
-def courier_money(lake: Tables, marks: Marks, new: Tables, reach: Reach | None = None) -> DataFrame:
-    """Courier settlements per parcel."""
-    rows = history("delivery_reconciliation", "delivery_orderid", lake, marks, new, reach)
+def courier_money(lake: Tables, marks: Marks, new: Tables, reach: Reach | None = None, stage: Stage = lambda df: df) -> DataFrame:
+    """Courier settlements per parcel (A7-A9). The rows are read several times: stage writes them once."""
+    rows = stage(history("delivery_reconciliation", "delivery_orderid", lake, marks, new, reach))
     sums = rows.groupBy("delivery_orderid").agg(
         F.max("reconciliation_at").alias("max_at"), F.min("reconciliation_at").alias("min_at"),
         *signed_totals(F.col("reconciliation_value"), "amount"), F.max("dw_updatedat").alias("max_dw_updatedat"))
@@ -171,10 +171,10 @@ def courier_money(lake: Tables, marks: Marks, new: Tables, reach: Reach | None =
     return lookup(sums, texts, "delivery_orderid", ["all_at", "all_content", "all_sessionid"])
 
 
-def tiktok_money(lake: Tables, marks: Marks, new: Tables, reach: Reach | None = None) -> DataFrame:
+def tiktok_money(lake: Tables, marks: Marks, new: Tables, reach: Reach | None = None, stage: Stage = lambda df: df) -> DataFrame:
     """Marketplace settlements per order or statement."""
     key, at = "order_or_statement_id", F.col("transactiontime")
-    rows = history("tiktok_reconciliation", key, lake, marks, new, reach)
+    rows = stage(history("tiktok_reconciliation", key, lake, marks, new, reach))
     sums = rows.groupBy(key).agg(
         F.max(at).alias("max_at"), F.min(at).alias("min_at"), F.sum("revenue").alias("positive_amount"),
         F.sum("totalfee").alias("negative_amount"), F.max("dw_updatedat").alias("max_dw_updatedat"))
@@ -348,7 +348,7 @@ def build_star(lake: Tables, star: Tables, marks: Marks, *, by_order: bool = Fal
     known = parcel_keys(star["dim_delivery"], lake, new, marks)
     new["pos"] = stage(fix_tracking(new["pos"], known))
     lines = new_lines(lake, new, reach)
-    couriers, tiktok = stage(courier_money(lake, marks, new, reach)), stage(tiktok_money(lake, marks, new, reach))
+    couriers, tiktok = stage(courier_money(lake, marks, new, reach, stage)), stage(tiktok_money(lake, marks, new, reach, stage))
 
     dims = {
         "dim_order": merge("dim_order", order_feeds(new)),
