@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 RIGHT = "__r_"
 
@@ -114,9 +115,14 @@ def update_from(
 
 
 def null_unmatched(df: DataFrame, col: str, dim: DataFrame, key: str) -> DataFrame:
-    """Empty a reference that the dimension does not hold."""
+    """Empty a reference that the dimension does not hold.
+
+    Rows without a reference match nothing; a hash of the row stands for a text, so that they are dealt out over all tasks.
+    """
     known = dim.select(F.col(key).alias(RIGHT + col)).distinct()
-    joined = df.join(_known(known, [col]), _equal([col]), "left")
+    text = df.schema[col].dataType == T.StringType()
+    place = F.coalesce(col, F.xxhash64(*df.columns).cast("string")) if text else F.col(col)
+    joined = df.join(_known(known, [col]), place.eqNullSafe(F.col(RIGHT + col)) & F.col(col).isNotNull(), "left")
     return joined.select(*[F.col(RIGHT + c).alias(c) if c == col else c for c in df.columns])
 
 
