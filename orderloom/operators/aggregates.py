@@ -89,6 +89,15 @@ def with_totals(df: DataFrame, keys: list[str], totals_by: dict[str, Column]) ->
     return join_back(df, totals(df, keys, sums=totals_by), keys)
 
 
+def over_group(df: DataFrame, keys: list[str], totals_by: dict[str, Column]) -> DataFrame:
+    """As with_totals, by a window: rows that lie by the key already are neither shuffled nor computed again.
+
+    For keys of few rows: one task sums a group, and spills it to disk if it is large.
+    """
+    of = Window.partitionBy(*keys)
+    return df.withColumns({n: F.sum(c).over(of) for n, c in totals_by.items()})
+
+
 def allocate(amount: Column, weight: Column, whole: Column) -> Column:
     """Share of an order amount for a line; 0 where the weights add up to 0."""
     return amount * safe_ratio(weight, whole)

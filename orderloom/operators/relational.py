@@ -40,18 +40,23 @@ def _pairs(on) -> dict[str, str]:
     return dict(on) if isinstance(on, dict) else {k: k for k in on}
 
 
-def _join(df: DataFrame, other: DataFrame, on, cols: list[str]) -> DataFrame:
+def _join(df: DataFrame, other: DataFrame, on, cols: list[str], aligned: bool = False) -> DataFrame:
     keys = _pairs(on)
-    return df.join(_known(_prefixed(other, keys, cols), keys), _equal(keys), "left")
+    return df.join(_known(_prefixed(other, keys, cols), keys), _equal(keys, aligned), "left")
 
 
-def _equal(keys) -> Column:
+def _equal(keys, aligned: bool = False) -> Column:
     """Join condition on keys whose right side is never NULL, so that NULL on the left matches nothing.
 
     The null-safe form does not change the result. It makes Catalyst shuffle the right side for the join itself,
     also where that is a grouped frame already partitioned by the key: adaptive execution splits a hot key only in
     joins that sit directly on their shuffles.
+
+    aligned: the plain form, with the same result. A frame shuffled by such a key stays where it is in all further
+    aligned joins, groups and windows by this key, or by it and others.
     """
+    if aligned:
+        return reduce(lambda a, b: a & b, [F.col(k) == F.col(RIGHT + k) for k in keys])
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(RIGHT + k)) for k in keys])
 
 
@@ -73,13 +78,13 @@ def join_back(df: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(right, _equal(keys), "left").select(*df.columns, *added)
 
 
-def lookup(df: DataFrame, other: DataFrame, on, cols: list[str] | dict[str, str]) -> DataFrame:
+def lookup(df: DataFrame, other: DataFrame, on, cols: list[str] | dict[str, str], aligned: bool = False) -> DataFrame:
     """Left join that adds columns of `other` (name -> new name). Repeated keys on the right fan out.
 
-    The join kind is left to Catalyst: a side is broadcast only under the size threshold.
+    The join kind is left to Catalyst: a side is broadcast only under the size threshold. aligned: see _equal.
     """
     names = cols if isinstance(cols, dict) else {c: c for c in cols}
-    joined = _join(df, other, on, list(names))
+    joined = _join(df, other, on, list(names), aligned)
     return joined.select(*df.columns, *[F.col(RIGHT + "v_" + c).alias(n) for c, n in names.items()])
 
 
@@ -91,13 +96,13 @@ def missing_members(df: DataFrame, key: Column, dim: DataFrame, dim_key: str, na
 
 def update_from(
     df: DataFrame, other: DataFrame, on, rules: dict[str, Callable[[Column, Callable[[str], Column]], Column]],
-    gate: Column | None = None,
+    gate: Column | None = None, aligned: bool = False,
 ) -> DataFrame:
     """Joined update: matched rows take rules[c](old value, right-side getter), others stay.
 
-    `other` must hold each key once; the result has the rows of `df`.
+    `other` must hold each key once; the result has the rows of `df`. aligned: see _equal.
     """
-    joined = _join(df, other, on, [c for c in other.columns if c not in _pairs(on).values()])
+    joined = _join(df, other, on, [c for c in other.columns if c not in _pairs(on).values()], aligned)
     hit = F.col(RIGHT + "hit").isNotNull()
     if gate is not None:
         hit = hit & gate
@@ -114,6 +119,16 @@ def update_from(
     return joined.select(*out)
 
 
+def under_owners(source: DataFrame, key: str, refs: DataFrame, col: str, owner: str) -> DataFrame:
+    """Rows of a source keyed by `key` under each owner that refers to them by `col`, so that joins by owner find them.
+
+    Short rows are shuffled by the key here, in place of the wide rows of the owners.
+    """
+    pairs = refs.select(F.col(owner).alias(RIGHT + "owner"), F.col(col).alias(RIGHT + "ref")).dropna().repartition(RIGHT + "ref").distinct()
+    found = pairs.join(source, F.col(RIGHT + "ref") == F.col(key)).select(F.col(RIGHT + "owner").alias(owner), *source.columns)
+    return found.repartition(owner)  # else joins by owner and key would have the owners' rows follow these, by key
+
+
 def null_unmatched(df: DataFrame, col: str, dim: DataFrame, key: str) -> DataFrame:
     """Empty a reference that the dimension does not hold.
 

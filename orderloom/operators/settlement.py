@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.operators import outcome as o
-from orderloom.operators.aggregates import allocate, totals, with_totals
-from orderloom.operators.relational import join_back, lookup
+from orderloom.operators.aggregates import allocate, over_group
+from orderloom.operators.relational import lookup, under_owners
 
 MARKETPLACES = ("Shopee shops", "Tiktok shops")
 # Kept values may be fractions of a dong. They are summed as decimals, exactly, so that a total does not
@@ -18,15 +18,18 @@ EXACT = "decimal(28,10)"
 
 
 def classify(fact: DataFrame, dim_order: DataFrame, dim_delivery: DataFrame, mark: datetime | None = None,
-             by_order: bool = False) -> DataFrame:
+             by_order: bool = False, refs: DataFrame | None = None) -> DataFrame:
     """Fact rows with finalstatus, plus helper columns: order sums, line value, platform, gate.
 
     mark       relabel only rows stamped after it, others keep what they hold.
     by_order   widen that gate to all lines of an order with a newer line. This equals a full
                recompute; gating by line leaves a sibling line as it was.
 
-    `fact` must hold whole orders. Sums by order are joined back, never windowed, so that an order of
-    any size is spread over tasks.
+    refs       orders with all parcels their lines may refer to, if they are known from elsewhere: parcels are
+               then looked up for these short rows, and the lines stay where their order is.
+
+    `fact` must hold whole orders. Sums by order are windowed: an order holds a product once, so that its lines
+    are bounded by the catalogue. One shuffle by order serves the header and all sums.
     """
     value = F.col("quantity") * F.col("originalprice") - F.col("discountamount_allquantity") \
         - F.col("extradiscountamount_allquantity").cast("double")
@@ -35,16 +38,18 @@ def classify(fact: DataFrame, dim_order: DataFrame, dim_delivery: DataFrame, mar
     newer = F.coalesce(F.col("lastupdateat") > F.lit(mark).cast("timestamp_ntz"), F.lit(False))
     if mark is not None and by_order:
         sums["__new"] = newer.cast("int")
-    # Sums and header of an order are brought together first, so that the lines are shuffled once for both.
-    per_order = lookup(totals(rows, ["orderid"], sums=sums), dim_order, "orderid", {
-        "parentsource": "__parent", "status": "__status", "return_reason": "__reason", "platform": "__platform"})
-    rows = join_back(rows, per_order, ["orderid"])
+    rows = lookup(over_group(rows, ["orderid"], sums), dim_order, "orderid", {
+        "parentsource": "__parent", "status": "__status", "return_reason": "__reason", "platform": "__platform"}, aligned=True)
     if mark is None:
         gate = F.lit(True)
     else:
         gate = F.col("__new") > 0 if by_order else newer
-    rows = lookup(rows.withColumn("__gate", gate), dim_delivery, {"deliveryid": "trackingnumber"}, {
-        "courier": "__courier", "delivery_status": "__delivery"})
+    on = {"deliveryid": "trackingnumber"}
+    if refs is not None:
+        dim_delivery = under_owners(dim_delivery.select("trackingnumber", "courier", "delivery_status"), "trackingnumber", refs, "deliveryid", "orderid")
+        on = {"orderid": "orderid", **on}
+    rows = lookup(rows.withColumn("__gate", gate), dim_delivery, on, {
+        "courier": "__courier", "delivery_status": "__delivery"}, aligned=refs is not None)
     rows = rows.withColumn("__paid", o.paid(
         F.col("baseorder_cod_collected_allquantity"), F.col("baseorder_codbank_collected_allquantity"),
         F.col("baseorder_codprepaid_allquantity")))
@@ -57,14 +62,14 @@ def classify(fact: DataFrame, dim_order: DataFrame, dim_delivery: DataFrame, mar
 
 
 def settle(fact: DataFrame, dim_order: DataFrame, dim_delivery: DataFrame, mark: datetime | None = None,
-           by_order: bool = False) -> DataFrame:
+           by_order: bool = False, refs: DataFrame | None = None) -> DataFrame:
     """Fact rows with finalstatus and all line-grain money filled in; see classify for the gate."""
-    rows = classify(fact, dim_order, dim_delivery, mark, by_order)
+    rows = classify(fact, dim_order, dim_delivery, mark, by_order, refs)
     success = o.success_value(
         F.col("finalstatus"), F.col("quantity"), F.col("originalprice"), F.col("discountamount_allquantity"),
         F.col("extradiscountamount_allquantity"), F.col("return_quantity"))
     rows = rows.withColumn("__success", success)
-    rows = with_totals(rows, ["orderid"], {"__kept": F.col("__success").cast(EXACT)})
+    rows = over_group(rows, ["orderid"], {"__kept": F.col("__success").cast(EXACT)})
 
     by_quantity = (F.col("quantity"), F.col("__qty"))
     by_success = (F.col("__success").cast(EXACT).cast("double"), F.col("__kept").cast("double"))

@@ -23,15 +23,20 @@ def _state(flag: str, status: str):
     return F.ascii(flag) * 100 + F.ascii(status)
 
 
+def _by_order(lineitem: DataFrame) -> DataFrame:
+    """Line items with their order, for products per order and for joins by order: one shuffle serves both."""
+    return lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus").repartition("l_orderkey")
+
+
 def outcome_frames(t) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(fact lines, order dimension, delivery dimension) that reach every outcome rule."""
     key = F.col("l_orderkey")
-    lines = t.lineitem.groupBy("l_orderkey", "l_partkey").agg(
+    lines = _by_order(t.lineitem).groupBy("l_orderkey", "l_partkey").agg(
         F.when(key % 7 == 0, F.lit(1)).otherwise(F.sum("l_quantity")).cast("bigint").alias("quantity"),
         F.min(F.floor(F.col("l_extendedprice") / F.col("l_quantity"))).cast("bigint").alias("originalprice"),
         F.min(_state("l_returnflag", "l_linestatus")).alias("state"),
         F.min(cents("l_discount")).alias("off"))
-    lines = lookup(lines, t.orders, {"l_orderkey": "o_orderkey"}, ["o_totalprice", "o_custkey"])
+    lines = lookup(lines, t.orders, {"l_orderkey": "o_orderkey"}, ["o_totalprice", "o_custkey"], aligned=True)
     key, qty, off = F.col("l_orderkey"), F.col("quantity"), F.col("off")
     amount = whole("o_totalprice").cast("double")
     zero = F.lit(0.0)
@@ -136,7 +141,8 @@ settled AS (SELECT *, cast(cast(success AS decimal(28,10)) AS double) AS kept,
 def staging(t, stage=None) -> dict[str, DataFrame]:
     """All staging tables, derived from the shared tables.
 
-    stage   writes the product lines, from which four of the tables are made, once
+    stage   writes the product lines, from which four of the tables are made, and the orders with their buyers, from which
+            six are made, once each
     """
     orders = lookup(t.orders, t.customer, {"o_custkey": "c_custkey"}, ["c_name", "c_mktsegment", "c_nationkey"])
     orders = lookup(orders, t.nation, {"c_nationkey": "n_nationkey"}, ["n_name"])
@@ -146,11 +152,13 @@ def staging(t, stage=None) -> dict[str, DataFrame]:
     by_hand, shopee, tiktok = priority == "2-HIGH", priority == "4-NOT SPECIFIED", priority == "5-LOW"
     pos = ~shopee & ~tiktok
     price = whole("o_totalprice")
+    if stage is not None:
+        orders = stage(orders)
     lines = t.lineitem.groupBy("l_orderkey", "l_partkey").agg(
         F.sum("l_quantity").cast("bigint").alias("quantity"),
         F.min(F.floor(F.col("l_extendedprice") / F.col("l_quantity"))).cast("bigint").alias("price"),
         F.min("l_suppkey").alias("supplier"), F.min("l_linenumber").alias("line"),
-        F.max(cents("l_discount")).alias("off"), F.max("l_shipdate").alias("shipped"))
+        F.max(cents("l_discount")).alias("off"), F.max("l_shipdate").alias("shipped"), F.bool_or(F.col("l_returnflag") == "R").alias("returned"))
     sku = F.concat(F.lit("P"), "l_partkey", F.lit("-"), "supplier")
     lines = lookup(lines, t.orders, {"l_orderkey": "o_orderkey"}, ["o_orderpriority"]).withColumn("sku", sku)
     if stage is not None:
@@ -190,7 +198,7 @@ def staging(t, stage=None) -> dict[str, DataFrame]:
                 "orderid"),
             whole(F.col("value") * 1000).cast("double").alias("bankvalue"), F.col("ts").alias("dw_updatedat")),
         "returnedorders_scan": lookup(
-            t.lineitem.filter("l_returnflag = 'R'"), lines, ["l_orderkey", "l_partkey"], ["sku", "o_orderpriority"]
+            t.lineitem.filter("l_returnflag = 'R'"), lines.filter("returned"), ["l_orderkey", "l_partkey"], ["sku", "o_orderpriority"]
         ).select(
             F.concat_ws("_", "l_orderkey", "l_linenumber", "l_partkey").alias("scan_surrogateid"),
             F.to_date("l_shipdate").alias("scanat"),

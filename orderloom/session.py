@@ -13,6 +13,8 @@ ADAPTIVE = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rows that lie by one key of a join are not shuffled by all of its keys; the other side follows them.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
