@@ -163,11 +163,14 @@ def fold_feeds(feeds: list[tuple[DataFrame, list[str]]], keys: list[str]) -> Dat
 
 
 def apply_feeds(target: DataFrame, folded: DataFrame, keys: list[str],
-                insert_defaults: dict[str, object] | None = None) -> DataFrame:
-    """Merge folded feeds into a table; columns no feed knows keep their value, or take the default on new keys."""
+                insert_defaults: dict[str, object] | None = None, first: bool = False) -> DataFrame:
+    """Merge folded feeds into a table; columns no feed knows keep their value, or take the default on new keys.
+
+    first: the table has no rows yet. There is nothing to join then, and the rows stay where their keys lie.
+    """
     source_of = {c: g.name for g in folded.schema.fields if g.name not in keys for c in g.dataType.names}
     t = target.select(*[F.col(c).alias(c if c in keys else TGT + c) for c in target.columns], F.lit(True).alias("__old"))
-    both = t.join(folded, keys, "full_outer")
+    both = folded if first else t.join(folded, keys, "full_outer")
     is_old = F.col("__old").isNotNull()
     out = []
     for field in target.schema.fields:
@@ -175,7 +178,9 @@ def apply_feeds(target: DataFrame, folded: DataFrame, keys: list[str],
         if name in keys:
             out.append(F.col(name).cast(field.dataType).alias(name))
             continue
-        value = F.when(is_old, F.col(TGT + name)).otherwise(F.lit((insert_defaults or {}).get(name)))
+        value = F.lit((insert_defaults or {}).get(name))
+        if not first:
+            value = F.when(is_old, F.col(TGT + name)).otherwise(value)
         if name in source_of:
             group = F.col(source_of[name])
             value = F.when(group.isNotNull(), group[name]).otherwise(value)
@@ -184,9 +189,9 @@ def apply_feeds(target: DataFrame, folded: DataFrame, keys: list[str],
 
 
 def upsert_feeds(target: DataFrame, feeds: list[tuple[DataFrame, list[str]]], keys: list[str], *,
-                 insert_defaults: dict[str, object] | None = None) -> DataFrame:
+                 insert_defaults: dict[str, object] | None = None, first: bool = False) -> DataFrame:
     """Several feeds into one table with one shuffle each side; per column the last feed that writes it wins.
 
     Equal to one upsert of a column subset after the other.
     """
-    return apply_feeds(target, fold_feeds(feeds, keys), keys, insert_defaults)
+    return apply_feeds(target, fold_feeds(feeds, keys), keys, insert_defaults, first)

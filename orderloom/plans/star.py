@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +13,7 @@ from orderloom.functions.scalar import sku_prefix, surrogate
 from orderloom.operators import outcome as o
 from orderloom.operators.aggregates import average_price, ordered_text, signed_totals
 from orderloom.operators.merge import insert_ignore, upsert_feeds
-from orderloom.operators.relational import delete_keys, keep_keys, lookup, null_unmatched, union_all, update_from
+from orderloom.operators.relational import delete_keys, keep_keys, lookup, null_unmatched, under_owners, union_all, update_from
 from orderloom.operators.settlement import settle
 from orderloom.operators.tracking import changed_groups, since
 from orderloom.schemas import BASE_MEASURES, STAR_KEYS, conform
@@ -204,11 +204,11 @@ def new_lines(lake: Tables, new: Tables, reach: Reach | None = None) -> Tables:
     of = {name: reach(name, new[channel].select("orderid"), {"orderid": "orderid"}) for channel, name in (
         ("shopee", "shopeeorderdetails"), ("tiktok", "tiktokorderdetails"), ("pos", "nhanhvnorderdetails"))}
     shopee = lookup(new["shopee"], of["shopeeorderdetails"], "orderid", [
-        "product_skuid", "orderproduct_id", "quantity", "displayprice", "realprice", "shopdiscount_allquantities"])
+        "product_skuid", "orderproduct_id", "quantity", "displayprice", "realprice", "shopdiscount_allquantities"], aligned=True)
     tiktok = lookup(new["tiktok"], of["tiktokorderdetails"], "orderid", [
-        "product_skuid", "quantity", "displayprice", "shopdiscount_allquantities"])
+        "product_skuid", "quantity", "displayprice", "shopdiscount_allquantities"], aligned=True)
     pos = lookup(new["pos"], of["nhanhvnorderdetails"], "orderid", [
-        "productid", "parentproductid", "price", "quantity", "discount_allproduct"])
+        "productid", "parentproductid", "price", "quantity", "discount_allproduct"], aligned=True)
     with_parent = {"parentproductid": sku_prefix(F.col("product_skuid"))}
     blank = {c: F.coalesce(c, F.lit("")) for c in ("productid", "parentproductid")}
     return {
@@ -229,11 +229,13 @@ def fact_feeds(lines: Tables) -> Feeds:
         quantity=F.coalesce("quantity", F.lit(0)), originalprice=F.coalesce("price", F.lit(0)),
         discountamount_allquantity=F.coalesce("discount_allproduct", F.lit(0)).cast("double"),
         lastupdateat="dw_updatedat")
+    # A value of its own: as a second name of the order it would make the rows lie by either, and the union by none.
+    same = F.concat("orderid", F.lit(""))
     qty, shown, off = F.col("quantity"), F.col("displayprice"), F.col("shopdiscount_allquantities")
     shopee = _as(
         lines["shopee"], orderid="orderid", productid=F.concat_ws("_", "product_skuid", "orderproduct_id"),
         parentproductid="parentproductid", deliveryid="delivery_orderid",
-        customer_surrogateid=F.coalesce("buyer_accountname", F.lit("")), transaction_orderid="orderid",
+        customer_surrogateid=F.coalesce("buyer_accountname", F.lit("")), transaction_orderid=same,
         baseorder_cod_collected_allquantity=F.col("realprice") * qty - off, quantity=qty, originalprice=shown,
         discountamount_allquantity=shown - F.col("realprice"),
         extradiscountamount_allquantity=off.cast("decimal(25,10)"), lastupdateat="dw_updatedat")
@@ -241,15 +243,32 @@ def fact_feeds(lines: Tables) -> Feeds:
         lines["tiktok"], orderid="orderid", productid="product_skuid", parentproductid="parentproductid",
         deliveryid="tracking_number",
         customer_surrogateid=surrogate(F.col("buyer_email"), F.col("buyeraddress_lv1")),
-        transaction_orderid="orderid", baseorder_cod_collected_allquantity=(shown * qty - off).cast("double"),
+        transaction_orderid=same, baseorder_cod_collected_allquantity=(shown * qty - off).cast("double"),
         quantity=qty, originalprice=shown, discountamount_allquantity=off.cast("double"),
         lastupdateat="dw_updatedat")
     return [(pos, []), (shopee, []), (tiktok, [])]
 
 
-def merged(name: str, table: DataFrame, feeds: Feeds) -> DataFrame:
-    """A star table after its feeds."""
-    return upsert_feeds(table, feeds, STAR_KEYS[name], insert_defaults=DEFAULTS.get(name))
+def merged(name: str, table: DataFrame, feeds: Feeds, first: bool = False) -> DataFrame:
+    """A star table after its feeds; first: it has no rows yet."""
+    return upsert_feeds(table, feeds, STAR_KEYS[name], insert_defaults=DEFAULTS.get(name), first=first)
+
+
+def references(fact: DataFrame, new: Tables) -> DataFrame:
+    """Parcel and transaction of every order: those of its lines so far and those of its new header. All lines have one of these."""
+    return union_all(
+        fact.select("orderid", "deliveryid", "transaction_orderid"),
+        _as(new["shopee"], orderid="orderid", deliveryid="delivery_orderid", transaction_orderid="orderid"),
+        _as(new["tiktok"], orderid="orderid", deliveryid="tracking_number", transaction_orderid="orderid"),
+        _as(new["pos"], orderid="orderid", deliveryid="trackingnumber", transaction_orderid="trackingnumber"))
+
+
+def _update(fact: DataFrame, source: DataFrame, on: dict[str, str], rules: dict, refs: DataFrame | None) -> DataFrame:
+    """update_from by the first column of `on`, which with refs is looked up per order: the fact then stays with its orders."""
+    if refs is None:
+        return update_from(fact, source, on, rules)
+    col, key = next(iter(on.items()))
+    return update_from(fact, under_owners(source, key, refs, col, "orderid"), {"orderid": "orderid", **on}, rules, aligned=True)
 
 
 def _newer(stamp: str):
@@ -260,7 +279,7 @@ def _keep_null(name: str):
     return lambda old, right: F.coalesce(right(name).cast("double"), old)
 
 
-def apply_parcels(fact: DataFrame, parcels: DataFrame) -> DataFrame:
+def apply_parcels(fact: DataFrame, parcels: DataFrame, refs: DataFrame | None = None) -> DataFrame:
     """Shipping cost and collected money by parcel state."""
     def cost(old, right):
         status, value = right("orderstatus"), right("shippingcost").cast("double")
@@ -271,19 +290,19 @@ def apply_parcels(fact: DataFrame, parcels: DataFrame) -> DataFrame:
         return F.when(value.isNull(), old).when(not_in(status, o.COD_KEPT_STATUSES), F.lit(0.0)).otherwise(value)
 
     source = parcels.select("delivery_orderid", "orderstatus", "shippingcost", "cod_collected", "dw_updatedat")
-    return update_from(fact, source, {"deliveryid": "delivery_orderid"}, {
+    return _update(fact, source, {"deliveryid": "delivery_orderid"}, {
         "baseorder_shippingfee": cost, "baseorder_cod_collected_allquantity": cod,
-        "lastupdateat": _newer("dw_updatedat")})
+        "lastupdateat": _newer("dw_updatedat")}, refs)
 
 
 def apply_bank(fact: DataFrame, banks: DataFrame) -> DataFrame:
     """Transfers per order."""
     source = banks.groupBy("orderid").agg(F.sum(F.col("bankvalue").cast("decimal(18,6)")).alias("value"), F.max("dw_updatedat").alias("at"))
     return update_from(fact, source, "orderid", {
-        "baseorder_codbank_collected_allquantity": _keep_null("value"), "lastupdateat": _newer("at")})
+        "baseorder_codbank_collected_allquantity": _keep_null("value"), "lastupdateat": _newer("at")}, aligned=True)
 
 
-def apply_money(fact: DataFrame, couriers: DataFrame, tiktok: DataFrame) -> DataFrame:
+def apply_money(fact: DataFrame, couriers: DataFrame, tiktok: DataFrame, refs: DataFrame | None = None) -> DataFrame:
     """Settlements per transaction (B31). A key in both sources takes the marketplace amount where there is one."""
     amounts = ("positive_amount", "negative_amount")
 
@@ -293,20 +312,20 @@ def apply_money(fact: DataFrame, couriers: DataFrame, tiktok: DataFrame) -> Data
     both = union_all(part(couriers, "delivery_orderid", 0), part(tiktok, "order_or_statement_id", 1))
     source = both.groupBy("id").agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("seq"))).alias(c) for c in amounts], F.max("at").alias("at"))
-    return update_from(fact, source, {"transaction_orderid": "id"}, {
+    return _update(fact, source, {"transaction_orderid": "id"}, {
         "baseorder_positive_reconciliation_allquantity": _keep_null("positive_amount"),
         "baseorder_negative_reconciliation_allquantity": _keep_null("negative_amount"),
-        "lastupdateat": _newer("at")})
+        "lastupdateat": _newer("at")}, refs)
 
 
-def apply_returns(fact: DataFrame, scans: DataFrame) -> DataFrame:
+def apply_returns(fact: DataFrame, scans: DataFrame, refs: DataFrame | None = None) -> DataFrame:
     """Scanned pieces per parcel and sku."""
     source = scans.filter(F.col("delivery_orderid").isNotNull() & F.col("productid").isNotNull())
     source = source.groupBy("delivery_orderid", "productid").agg(
         F.count("productid").alias("n"), F.max("dw_updatedat").alias("at"))
     keyed = fact.withColumn("__sku", sku_prefix(F.col("productid"), "_"))
-    out = update_from(keyed, source, {"deliveryid": "delivery_orderid", "__sku": "productid"}, {
-        "return_quantity": lambda old, right: F.coalesce(right("n"), old), "lastupdateat": _newer("at")})
+    out = _update(keyed, source, {"deliveryid": "delivery_orderid", "__sku": "productid"}, {
+        "return_quantity": lambda old, right: F.coalesce(right("n"), old), "lastupdateat": _newer("at")}, refs)
     return out.drop("__sku")
 
 
@@ -328,7 +347,8 @@ def touched_orders(fact: DataFrame, lake: Tables, new: Tables, marks: Marks, cou
 
 
 def build_star(lake: Tables, star: Tables, marks: Marks, *, by_order: bool = False, only_touched: bool = False,
-               stage: Stage | None = None, merge: Merge | None = None, reach: Reach | None = None) -> Tables:
+               stage: Stage | None = None, merge: Merge | None = None, reach: Reach | None = None,
+               first: Collection[str] = ()) -> Tables:
     """The star after one run over the staging tables.
 
     by_order      recompute all lines of an order with a newer line (equals a full recompute); otherwise only
@@ -338,10 +358,11 @@ def build_star(lake: Tables, star: Tables, marks: Marks, *, by_order: bool = Fal
     merge         called with (dimension, feeds) to bring a dimension up to date; by default a lazy merge
     reach         called with (table, keys, {column: column of keys}) for rows of a stored table by key, so that only the partitions
                   that hold some are read; by default the whole tables are joined
+    first         star tables that have no rows yet
     """
     stored = reach is not None
     stage = stage or (lambda df: df)
-    merge = merge or (lambda name, feeds: conform(merged(name, star[name], feeds), name))
+    merge = merge or (lambda name, feeds: conform(merged(name, star[name], feeds, name in first), name))
     new = new_headers(lake, marks)
     if stored:  # looked up in many tables
         new = {channel: stage(df) for channel, df in new.items()}
@@ -362,17 +383,20 @@ def build_star(lake: Tables, star: Tables, marks: Marks, *, by_order: bool = Fal
     if only_touched:
         touched = stage(touched_orders(old, lake, new, marks, couriers, tiktok))
         old = reach("fact_orderdetails", touched, {"orderid": "orderid"}) if stored else keep_keys(old, touched, "orderid")
-    # Joins are grouped by key, so that a shuffle by parcel, one by transaction and one by order serve all steps.
-    fact = merged("fact_orderdetails", old, fact_feeds(lines))
+    # Lines are shuffled once, by order. What is known by parcel or transaction is brought to the orders first.
+    refs = references(old, new)
+    fact = merged("fact_orderdetails", old, fact_feeds(lines), "fact_orderdetails" in first)
     reach = reach or whole_tables(lake, dims)
     if stored:  # its keys say which partitions of the other tables are read
         fact = stage(fact)
-    fact = apply_parcels(fact, reach("deliveryorders", fact, {"delivery_orderid": "deliveryid"}))
-    fact = apply_returns(fact, reach("returnedorders_scan", fact, {"delivery_orderid": "deliveryid"}))
-    fact = apply_money(fact, couriers, tiktok)
-    fact = stage(apply_bank(fact, reach("customerbanks", fact, {"orderid": "orderid"})))
+    fact = apply_parcels(fact, reach("deliveryorders", fact, {"delivery_orderid": "deliveryid"}), refs)
+    fact = apply_returns(fact, reach("returnedorders_scan", fact, {"delivery_orderid": "deliveryid"}), refs)
+    fact = apply_money(fact, couriers, tiktok, refs)
+    fact = apply_bank(fact, reach("customerbanks", fact, {"orderid": "orderid"}))
+    if stored:
+        fact = stage(fact)
     fact = settle(fact, reach("dim_order", fact, {"orderid": "orderid"}), reach("dim_delivery", fact, {"trackingnumber": "deliveryid"}),
-                  marks["fact and dim tables"], by_order)
+                  marks["fact and dim tables"], by_order, refs)
     return {**dims, "fact_orderdetails": conform(fact, "fact_orderdetails")}
 
 

@@ -190,7 +190,8 @@ STAR_REFERENCES: dict[str, tuple[str, str]] = {
 
 
 def empty(spark: SparkSession, table: str) -> DataFrame:
-    return spark.createDataFrame([], {**LAKE, **STAR}[table])
+    """A table without rows, known as such to Catalyst, which then leaves out the joins with it."""
+    return spark.createDataFrame([], {**LAKE, **STAR}[table]).filter(F.lit(False))
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
