@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from orderloom.session import tune
+from orderloom.session import spread, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,6 +30,10 @@ class Tables:
 
     __getattr__ = __call__
 
+    def spread(self, *names: str) -> None:
+        """Shuffle partitions by the size of some of the tables."""
+        spread(self.spark, [f"{self.path}/{name}.parquet" for name in names])
+
 
 def query(sql: str | None = None):
     """Register a function of Tables under its own name."""

@@ -144,6 +144,7 @@ def staging(t, stage=None) -> dict[str, DataFrame]:
     stage   writes the product lines, from which four of the tables are made, and the orders with their buyers, from which
             six are made, once each
     """
+    t.spread("customer", "orders", "lineitem", "events")
     orders = lookup(t.orders, t.customer, {"o_custkey": "c_custkey"}, ["c_name", "c_mktsegment", "c_nationkey"])
     orders = lookup(orders, t.nation, {"c_nationkey": "n_nationkey"}, ["n_name"])
     number, at = F.col("o_orderkey"), F.col("o_orderdate")
@@ -154,15 +155,20 @@ def staging(t, stage=None) -> dict[str, DataFrame]:
     price = whole("o_totalprice")
     if stage is not None:
         orders = stage(orders)
-    lines = t.lineitem.groupBy("l_orderkey", "l_partkey").agg(
-        F.sum("l_quantity").cast("bigint").alias("quantity"),
-        F.min(F.floor(F.col("l_extendedprice") / F.col("l_quantity"))).cast("bigint").alias("price"),
+    # One shuffle by order serves the products and their headers. A line without an order is sold nowhere and no scan finds it.
+    lines = t.lineitem.filter(F.col("l_orderkey").isNotNull()).select(
+        "l_orderkey", "l_partkey", "l_quantity", F.floor(F.col("l_extendedprice") / F.col("l_quantity")).alias("price"), "l_suppkey", "l_linenumber",
+        cents("l_discount").alias("off"), "l_shipdate", (F.col("l_returnflag") == "R").alias("returned")).repartition("l_orderkey")
+    lines = lines.groupBy("l_orderkey", "l_partkey").agg(
+        F.sum("l_quantity").cast("bigint").alias("quantity"), F.min("price").cast("bigint").alias("price"),
         F.min("l_suppkey").alias("supplier"), F.min("l_linenumber").alias("line"),
-        F.max(cents("l_discount")).alias("off"), F.max("l_shipdate").alias("shipped"), F.bool_or(F.col("l_returnflag") == "R").alias("returned"))
-    sku = F.concat(F.lit("P"), "l_partkey", F.lit("-"), "supplier")
-    lines = lookup(lines, t.orders, {"l_orderkey": "o_orderkey"}, ["o_orderpriority"]).withColumn("sku", sku)
+        F.max("off").alias("off"), F.max("l_shipdate").alias("shipped"), F.bool_or("returned").alias("returned"))
+    lines = lookup(lines, t.orders, {"l_orderkey": "o_orderkey"}, ["o_orderpriority"], aligned=True)
     if stage is not None:
         lines = stage(lines)
+    sku = F.concat(F.lit("P"), "l_partkey", F.lit("-"), "supplier")
+    returned = lines.filter("returned").select("l_orderkey", "l_partkey", "supplier", "o_orderpriority")
+    lines = lines.withColumn("sku", sku)
 
     out = {
         "nhanhvnorders": orders.filter(pos).select(
@@ -198,12 +204,12 @@ def staging(t, stage=None) -> dict[str, DataFrame]:
                 "orderid"),
             whole(F.col("value") * 1000).cast("double").alias("bankvalue"), F.col("ts").alias("dw_updatedat")),
         "returnedorders_scan": lookup(
-            t.lineitem.filter("l_returnflag = 'R'"), lines.filter("returned"), ["l_orderkey", "l_partkey"], ["sku", "o_orderpriority"]
+            t.lineitem.filter("l_returnflag = 'R'"), returned, ["l_orderkey", "l_partkey"], ["supplier", "o_orderpriority"]
         ).select(
             F.concat_ws("_", "l_orderkey", "l_linenumber", "l_partkey").alias("scan_surrogateid"),
             F.to_date("l_shipdate").alias("scanat"),
             F.when(shopee, _text("ST", "l_orderkey")).otherwise(_text("T", "l_orderkey")).alias("delivery_orderid"),
-            F.col("sku").alias("productid"), F.col("l_shipdate").alias("dw_updatedat")),
+            sku.alias("productid"), F.col("l_shipdate").alias("dw_updatedat")),
         "delivery_reconciliation": t.events.filter("event_type IN ('click', 'view', 'error')").select(
             F.concat_ws("_", "event_type", "event_id").alias("sessionid"),
             F.concat(F.when(F.col("event_type") == "view", "S").otherwise("T"),

@@ -321,6 +321,8 @@ def apply_money(fact: DataFrame, couriers: DataFrame, tiktok: DataFrame, refs: D
 def apply_returns(fact: DataFrame, scans: DataFrame, refs: DataFrame | None = None) -> DataFrame:
     """Scanned pieces per parcel and sku."""
     source = scans.filter(F.col("delivery_orderid").isNotNull() & F.col("productid").isNotNull())
+    if refs is not None:  # counted where the join with the references wants them
+        source = source.select("delivery_orderid", "productid", "dw_updatedat").repartition("delivery_orderid")
     source = source.groupBy("delivery_orderid", "productid").agg(
         F.count("productid").alias("n"), F.max("dw_updatedat").alias("at"))
     keyed = fact.withColumn("__sku", sku_prefix(F.col("productid"), "_"))

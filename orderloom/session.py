@@ -26,6 +26,22 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+INPUT_PER_TASK = 4 << 20  # bytes of Parquet; rows in a sort take several times as much
+
+
+def spread(spark: SparkSession, paths: list[str]) -> None:
+    """Have shuffles begin with as many partitions as the files under the paths are large, at least as many as are set.
+
+    A fixed number would let partitions grow with the input until their sorts spill. Adaptive execution joins partitions that turn out small.
+    """
+    conf, size = spark._jsc.hadoopConfiguration(), 0
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        size += path.getFileSystem(conf).getContentSummary(path).getLength()
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // INPUT_PER_TASK))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", parts)
+
+
 def local_session(app: str = "orderloom", cores: int | str = "*", **conf: str) -> SparkSession:
     """A session for tests and the bench. On a cluster, pass your own session to the operators."""
     builder = (
