@@ -24,7 +24,7 @@ ADDED = {**{m: f"sum({m})" for m in MEASURES if m != "parcels"}, "n_parcels": "h
 
 def partials(fact: DataFrame, dim_order: DataFrame, dim_delivery: DataFrame, by: list[str] | None = None) -> DataFrame:
     """The partial sums of some fact rows; by: columns of the fact to keep them apart by as well. A month without a date is NULL."""
-    rows = lookup(fact, dim_order, "orderid", ["createdat", "platform"])
+    rows = lookup(fact, dim_order, "orderid", ["createdat", "platform"], aligned=True)  # a built fact lies by order
     rows = lookup(rows, dim_delivery, {"deliveryid": "trackingnumber"}, ["courier", "courieraccount"])
     rows = rows.withColumn("month", F.date_format("createdat", "yyyy-MM"))
     return rows.groupBy(*(by or []), *BY).agg(*[F.expr(e).alias(m) for m, e in MEASURES.items()])
