@@ -64,11 +64,11 @@ def _known(right: DataFrame, keys) -> DataFrame:
     return right.filter(reduce(lambda a, b: a & b, [F.col(RIGHT + k).isNotNull() for k in keys]))
 
 
-def keep_keys(df: DataFrame, wanted: DataFrame, on) -> DataFrame:
-    """Rows whose key is among the wanted ones."""
+def keep_keys(df: DataFrame, wanted: DataFrame, on, aligned: bool = False) -> DataFrame:
+    """Rows whose key is among the wanted ones. aligned: see _equal."""
     keys = _pairs(on)
     right = wanted.select(*[F.col(src).alias(RIGHT + dst) for dst, src in keys.items()]).distinct()
-    return df.join(_known(right, keys), _equal(keys), "left_semi")
+    return df.join(_known(right, keys), _equal(keys, aligned), "left_semi")
 
 
 def join_back(df: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderloom.operators.quality import assert_select
+from orderloom.operators.relational import keep_keys
 
 MONTH_CHANNEL = """
 SELECT date_format(o.createdat, 'yyyy-MM') AS month, o.platform, f.finalstatus, count(*) AS n_lines,
@@ -55,6 +56,17 @@ REPORTS = {"month_channel": MONTH_CHANNEL, "return_rate": RETURN_RATE, "shipping
            "unreconciled": UNRECONCILED}
 
 
+def of_month(tables: dict[str, DataFrame], year: int, month: int) -> dict[str, DataFrame]:
+    """The star with the fact lines of the orders of one month, for a report of that month that joins lines by another key first.
+
+    A built fact lies by order: picked there, the lines of other months are not shuffled for the report.
+    """
+    start = F.make_timestamp_ntz(*[F.lit(n) for n in (year, month, 1, 0, 0, 0)])
+    end = F.add_months(F.make_date(F.lit(year), F.lit(month), F.lit(1)), 1)
+    orders = tables["dim_order"].filter((F.col("createdat") >= start) & (F.col("createdat") < end))
+    return {**tables, "fact_orderdetails": keep_keys(tables["fact_orderdetails"], orders, "orderid", aligned=True)}
+
+
 def run_report(spark: SparkSession, tables: dict[str, DataFrame], sql: str, params: dict | None = None,
                out_path: str | None = None, one_file: bool = False) -> DataFrame:
     """Run one SELECT over the given tables; with a path, also write it there as CSV.
