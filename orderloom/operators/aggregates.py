@@ -40,19 +40,20 @@ def ordered_text(df: DataFrame, keys: list[str], cols: dict[str, Column], order_
     chunks there, and strung together up a tree of chunks, partitions and key: no task sorts or holds more rows than a partition has, and
     only the one cell of the result grows with its key.
     """
-    at, size = GROUP + "at", GROUP + "size"
-    rows = df.select(*keys, F.struct(*order_by).alias(at), *[c.cast("string").alias(n) for n, c in cols.items()])
-    large = rows.groupBy(*[F.col(k).alias(GROUP + k) for k in keys]).agg(F.count(F.lit(1)).alias(size)).filter(F.col(size) > chunk).drop(size)
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(GROUP + k)) for k in keys])
+    at, size, key, of = (GROUP + n for n in ("at", "size", "key", "of"))
+    # The key as one value, NULL in it equals NULL: counts, the join with them and the texts all find the rows in one place.
+    rows = df.select(F.struct(*keys).alias(key), F.struct(*order_by).alias(at), *[c.cast("string").alias(n) for n, c in cols.items()])
+    large = rows.groupBy(F.col(key).alias(of)).agg(F.count(F.lit(1)).alias(size)).filter(F.col(size) > chunk).drop(size)
+    same = F.col(key) == F.col(of)
 
     def joined(pairs: Column, name: str) -> Column:
         return F.when(F.size(pairs) > 0, F.array_join(F.transform(F.array_sort(pairs), lambda x: x[name]), sep))
 
     pairs = {n: F.collect_list(F.when(F.col(n).isNotNull(), F.struct(at, n))) for n in cols}
-    out = rows.join(large, same, "left_anti").groupBy(*keys).agg(*[joined(p, n).alias(n) for n, p in pairs.items()])
+    out = rows.join(large, same, "left_anti").groupBy(key).agg(*[joined(p, n).alias(n) for n, p in pairs.items()]).select(f"{key}.*", *cols)
 
     place, text, part, piece = (GROUP + n for n in ("place", "text", "part", "piece"))
-    cells = rows.join(large, same, "left_semi").select(*keys, at, F.posexplode(F.array(*cols)).alias(place, text)).filter(F.col(text).isNotNull())
+    cells = rows.join(large, same, "left_semi").select(f"{key}.*", at, F.posexplode(F.array(*cols)).alias(place, text)).filter(F.col(text).isNotNull())
     # rows that are equal in all of these may be parted by the draw
     ranged = cells.withColumn(GROUP + "draw", F.rand(7)).repartitionByRange(*keys, place, at, text, GROUP + "draw").withColumn(part, F.spark_partition_id())
     rank = F.row_number().over(Window.partitionBy(*keys, place, part).orderBy(at, text))
@@ -61,8 +62,8 @@ def ordered_text(df: DataFrame, keys: list[str], cols: dict[str, Column], order_
     for by, nth in (([*keys, place, part], piece), ([*keys, place], part)):
         pieces = pieces.groupBy(*by).agg(joined(F.collect_list(F.struct(nth, text)), text).alias(text))
     wide = pieces.groupBy(*[F.col(k).alias(GROUP + "of_" + k) for k in keys]).agg(*[F.max(F.when(F.col(place) == i, F.col(text))).alias(n) for i, n in enumerate(cols)])
-    named = reduce(and_, [F.col(GROUP + k).eqNullSafe(F.col(GROUP + "of_" + k)) for k in keys])
-    return out.unionByName(large.join(wide, named, "left").select(*[F.col(GROUP + k).alias(k) for k in keys], *cols))
+    named = reduce(and_, [F.col(f"{of}.{k}").eqNullSafe(F.col(GROUP + "of_" + k)) for k in keys])
+    return out.unionByName(large.join(wide, named, "left").select(f"{of}.*", *cols))
 
 
 def collapse(df: DataFrame, keys: list[str], sums: list[str], count_as: str) -> DataFrame:

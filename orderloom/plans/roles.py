@@ -152,6 +152,7 @@ def staging(t, stage=None) -> dict[str, DataFrame]:
     known = F.col("c_mktsegment") != "HOUSEHOLD"
     by_hand, shopee, tiktok = priority == "2-HIGH", priority == "4-NOT SPECIFIED", priority == "5-LOW"
     pos = ~shopee & ~tiktok
+    channel = F.when(pos, 0).when(shopee, 1).when(tiktok, 2)  # lines need no more of their order
     price = whole("o_totalprice")
     if stage is not None:
         orders = stage(orders)
@@ -163,12 +164,13 @@ def staging(t, stage=None) -> dict[str, DataFrame]:
         F.sum("l_quantity").cast("bigint").alias("quantity"), F.min("price").cast("bigint").alias("price"),
         F.min("l_suppkey").alias("supplier"), F.min("l_linenumber").alias("line"),
         F.max("off").alias("off"), F.max("l_shipdate").alias("shipped"), F.bool_or("returned").alias("returned"))
-    lines = lookup(lines, t.orders, {"l_orderkey": "o_orderkey"}, ["o_orderpriority"], aligned=True)
+    lines = lookup(lines, t.orders.select("o_orderkey", channel.alias("channel")), {"l_orderkey": "o_orderkey"}, ["channel"], aligned=True)
     if stage is not None:
         lines = stage(lines)
     sku = F.concat(F.lit("P"), "l_partkey", F.lit("-"), "supplier")
-    returned = lines.filter("returned").select("l_orderkey", "l_partkey", "supplier", "o_orderpriority")
+    returned = lines.filter("returned").select("l_orderkey", "l_partkey", "supplier", "channel")
     lines = lines.withColumn("sku", sku)
+    pos_line, shopee_line, tiktok_line = (F.col("channel") == i for i in range(3))
 
     out = {
         "nhanhvnorders": orders.filter(pos).select(
@@ -184,7 +186,7 @@ def staging(t, stage=None) -> dict[str, DataFrame]:
             F.lit("fanpage").alias("ordersource"), F.lit("facebook").alias("platform"),
             F.when(priority == "1-URGENT", F.floor(price / 10)).alias("cod_prepaid"),
             F.lit(False).alias("is_wrongproduct"), at.alias("dw_updatedat")),
-        "nhanhvnorderdetails": lines.filter(pos).select(
+        "nhanhvnorderdetails": lines.filter(pos_line).select(
             _text("N", "l_orderkey").alias("orderid"), F.col("sku").alias("productid"),
             F.substring_index("sku", "-", 1).alias("parentproductid"), "price",
             (F.col("off") * 100).alias("discount_allproduct"), "quantity", F.col("shipped").alias("dw_updatedat")),
@@ -204,11 +206,11 @@ def staging(t, stage=None) -> dict[str, DataFrame]:
                 "orderid"),
             whole(F.col("value") * 1000).cast("double").alias("bankvalue"), F.col("ts").alias("dw_updatedat")),
         "returnedorders_scan": lookup(
-            t.lineitem.filter("l_returnflag = 'R'"), returned, ["l_orderkey", "l_partkey"], ["supplier", "o_orderpriority"]
+            t.lineitem.filter("l_returnflag = 'R'"), returned, ["l_orderkey", "l_partkey"], ["supplier", "channel"]
         ).select(
             F.concat_ws("_", "l_orderkey", "l_linenumber", "l_partkey").alias("scan_surrogateid"),
             F.to_date("l_shipdate").alias("scanat"),
-            F.when(shopee, _text("ST", "l_orderkey")).otherwise(_text("T", "l_orderkey")).alias("delivery_orderid"),
+            F.when(shopee_line, _text("ST", "l_orderkey")).otherwise(_text("T", "l_orderkey")).alias("delivery_orderid"),
             sku.alias("productid"), F.col("l_shipdate").alias("dw_updatedat")),
         "delivery_reconciliation": t.events.filter("event_type IN ('click', 'view', 'error')").select(
             F.concat_ws("_", "event_type", "event_id").alias("sessionid"),
@@ -229,7 +231,7 @@ def staging(t, stage=None) -> dict[str, DataFrame]:
             F.when(F.col("c_mktsegment") == "BUILDING", "x").alias("returned_orderids"),
             F.when(status != "P", _text("ST", "o_orderkey")).alias("delivery_orderid"), F.lit("shop 1").alias("shopname"),
             at.alias("dw_updatedat")),
-        "shopeeorderdetails": lines.filter(shopee).select(
+        "shopeeorderdetails": lines.filter(shopee_line).select(
             _text("S", "l_orderkey").alias("orderid"), F.col("sku").alias("product_skuid"),
             F.col("line").cast("string").alias("orderproduct_id"), "quantity", F.col("price").alias("displayprice"),
             (F.col("price") - F.col("off")).alias("realprice"), (F.col("off") * 10).alias("shopdiscount_allquantities"),
@@ -245,7 +247,7 @@ def staging(t, stage=None) -> dict[str, DataFrame]:
             F.lit("Viet Nam").alias("buyeraddress_lv0"), F.col("n_name").alias("buyeraddress_lv1"),
             F.when(F.col("c_mktsegment") == "MACHINERY", "vo").alias("return_reason"), F.lit("shop 2").alias("shopname"),
             at.alias("dw_updatedat")),
-        "tiktokorderdetails": lines.filter(tiktok).select(
+        "tiktokorderdetails": lines.filter(tiktok_line).select(
             _text("K", "l_orderkey").alias("orderid"), F.col("sku").alias("product_skuid"),
             F.col("price").alias("displayprice"), "quantity", (F.col("off") * 50).alias("shopdiscount_allquantities"),
             F.col("shipped").alias("dw_updatedat")),
