@@ -8,10 +8,14 @@ A link is a distance of at most r = 1 - threshold. The plan:
    since neither can lack more of the other's shingles than that. Pivots of one point only join nothing and are left out,
    which leaves the few points that can have a partner at all. Cells that share a point make one region.
 3. A region of more than CELL_POINTS points is split into the Voronoi cells of pivots taken from its own points. A point
-   belongs to the cell of its nearest pivot p and is replicated to each cell q with d(x, q) <= d(x, p) + 2 r: by the triangle
-   inequality, all partners of a point of cell q are then in cell q. Cells are split again until they are small; a cell that
-   does not shrink (all its points lie within 2 r of each other) is dealt into blocks that are joined block by block.
+   belongs to the cell of its nearest pivot p, or to the cell of the far points if d(x, p) > f. It is replicated to each cell q
+   with d(x, q) <= min(d(x, p) + 2 r, f + r), and to that of the far points if d(x, p) > f - r: by the triangle inequality, all
+   partners of a point of a cell are then in that cell. As f + r is below 1, points that have nothing in common with a pivot
+   stay out of its cell. Cells are split again until they are small. A split that would not halve the comparisons (most points
+   lie within 2 r of each other) is not carried out, and no point replicated: such a cell is dealt into blocks, every two of
+   which are joined. A block is one row that writes each of its shingles once, as points that are alike share most of them.
 4. In a cell all points are compared exactly, by counting common shingles. Only sums and forest edges leave a cell, no pairs.
+   Shingles that no other point holds cannot be common and stay behind; they count in the size n of a set.
 
 No candidate is capped, sampled or dropped.
 """
@@ -33,7 +37,7 @@ WORDS = 5
 THRESHOLD = (75, 100)
 CELL_POINTS = 1024
 CELL_SHINGLES = 1 << 20
-PIVOTS = 16
+PIVOTS = 16  # 100 at most
 MAX_DEPTH = 12
 
 
@@ -65,7 +69,7 @@ def _key(shingles: np.ndarray) -> str | None:
 
 
 def _keyed(docs: DataFrame, words: int, carry: list[str], texts_once: bool) -> DataFrame:
-    """Columns `carry` with set_key_ and n_; with texts_once only the first row of each key of a task, with its text."""
+    """Columns `carry` with set_key_ and n_; with texts_once only the first row of each key of a task, its text packed."""
 
     def run(batches):
         seen: set[str] = set()
@@ -76,22 +80,23 @@ def _keyed(docs: DataFrame, words: int, carry: list[str], texts_once: bool) -> D
                 new = [k is not None and k not in seen and not seen.add(k) for k in keys]
                 keep = pa.array(np.flatnonzero(new))
                 batch, keys, sets = batch.take(keep), [k for k, n in zip(keys, new) if n], [s for s, n in zip(sets, new) if n]
-            cols = [batch.column(c) for c in carry]
+            cols = [kernel.packed(batch.column(c)) if texts_once and c == "text" else batch.column(c) for c in carry]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(keys, pa.string()), pa.array([len(s) for s in sets], pa.int64())],
                                              names=[*carry, "set_key_", "n_"])
 
     wanted = docs.select(*dict.fromkeys([*carry, "text"]))
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema) if carry else ""
+    types = ", ".join(f"`{f.name}` {'binary' if texts_once and f.name == 'text' else f.dataType.simpleString()}" for f in docs.select(*carry).schema) if carry else ""
     return wanted.mapInArrow(run, f"{types}{', ' if types else ''}set_key_ string, n_ long")
 
 
 def _candidates(points: DataFrame, words: int, threshold: tuple[int, int], n_blocks: int, n_buckets: int) -> DataFrame:
-    """Points whose window holds a shingle of another point: key, window (those shingles) and the whole set."""
+    """Points whose window holds a shingle of another point: key, window (those shingles) and all shingles that other points hold. Texts come packed."""
     num, den = threshold
 
     def of_block(table: pa.Table):
         seen: set[str] = set()
-        for batch in kernel.table_slices(table, "text"):
+        whole = (pa.record_batch([b.column("set_key_"), kernel.unpacked(b.column("text"))], names=["set_key_", "text"]) for b in table.to_batches())
+        for batch in kernel.slices(whole, "text"):
             for shingles, key in zip(_shingle_sets(kernel.Texts(batch.column("text"), lower=True), words), batch.column("set_key_").to_pylist()):
                 if key not in seen:
                     seen.add(key)
@@ -100,7 +105,7 @@ def _candidates(points: DataFrame, words: int, threshold: tuple[int, int], n_blo
     def request(block, table, found):
         every = np.concatenate([s for _, s in of_block(table)])
         keys, counts = np.unique(every, return_counts=True)
-        return blocks.ask(block, 0, keys, counts, n_buckets, 4)
+        return blocks.ask(block, 0, keys, counts, n_buckets, short=True)
 
     def use(table, found):
         rows = list(of_block(table))
@@ -115,7 +120,7 @@ def _candidates(points: DataFrame, words: int, threshold: tuple[int, int], n_blo
                 out["key"].append(key)
                 out["n"].append(n)
                 out["window"].append(shingles[window].view(np.int64))
-                out["shingles"].append(shingles.tobytes())
+                out["shingles"].append(shingles[seen_by > 0].tobytes())
         return pa.table([pa.array(out["key"], pa.string()), pa.array(out["n"], pa.int64()), pa.array(out["window"], pa.list_(pa.int64())),
                          pa.array(out["shingles"], pa.binary())], names=list(out))
 
@@ -124,7 +129,7 @@ def _candidates(points: DataFrame, words: int, threshold: tuple[int, int], n_blo
         return np.minimum(255, np.ceil(8 * np.log2(np.maximum(counts, 1)))).astype(np.uint8)
 
     routed = points.withColumn("block", F.pmod(F.xxhash64("set_key_"), F.lit(n_blocks))).select("block", "set_key_", "text")
-    answers = blocks.answered(routed, None, request, width=4, encode=log_rank)
+    answers = blocks.answered(routed, None, request, short=True, encode=log_rank)
     return blocks.with_answers(routed, answers, use, "key string, n long, window array<long>, shingles binary", np.uint8)
 
 
@@ -135,37 +140,85 @@ def _regions(candidates: DataFrame, stage) -> DataFrame:
     return components(held.join(least, "pivot").select(F.col("key").alias("a"), "b"), stage)
 
 
-def _split(cells: DataFrame, big: DataFrame, radius: float, stage) -> DataFrame:
-    """The Voronoi cells of PIVOTS points of each big cell, with the replicas that the triangle inequality asks for.
-
-    A big cell is dealt into parts of about CELL_POINTS points, each of which meets the pivots of its cell.
-    """
-    parts = F.ceil(F.greatest(F.col("points") / CELL_POINTS, F.col("shingles_") / CELL_SHINGLES)).cast("int")
-    inside = cells.drop("was_").join(big.select("cell", F.col("points").alias("was_"), parts.alias("parts_")), "cell")
-    ranked = inside.select("cell", "parts_", "key", "shingles",
+def _frozen(rows: pa.Table) -> tuple[bytes, bytes]:
+    """Points as one compressed block without their shingles but with the places of these, and the block's distinct shingles, the most common first."""
+    sets = [np.frombuffer(raw, dtype=U) for raw in rows.column("shingles").to_pylist()]
+    value, where, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    order = np.argsort(-often, kind="stable")
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.arange(len(order))
+    sizes = np.array([len(s) for s in sets])
+    place, owner = place[where.ravel()], np.repeat(np.arange(len(sets)), sizes)
+    place = place[np.lexsort((place, owner))]
+    steps = np.diff(place, prepend=0)
+    starts = np.cumsum(sizes) - sizes
+    steps[starts[sizes > 0]] = place[starts[sizes > 0]]
+    steps = pa.ListArray.from_arrays(pa.array(np.append(starts, sizes.sum()), pa.int32()), pa.array(steps, pa.uint32()))
+    rows = rows.drop_columns(["shingles"]).append_column("steps", steps).combine_chunks()
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(rows)
+    return sink.getvalue().to_pybytes(), value[order].tobytes()
+
+
+def _thawed(block: bytes, shingles: bytes) -> pa.Table:
+    rows, value = pa.ipc.open_stream(block).read_all(), np.frombuffer(shingles, dtype=U)
+    steps = rows.column("steps").combine_chunks()
+    ends, steps = steps.offsets.to_numpy().tolist(), steps.values.to_numpy().astype(np.int64)
+    raw = [value[np.cumsum(steps[a:b])].tobytes() for a, b in zip(ends, ends[1:])]
+    return rows.drop_columns(["steps"]).append_column("shingles", pa.array(raw, pa.binary()))
+
+
+def _blocks(cells: DataFrame, big: DataFrame, radius: float, stage) -> DataFrame:
+    """Each big cell in blocks of about CELL_POINTS / 2 points; every point knows which of the cells of PIVOTS points, and of the far points after them,
+    would be its own and which would have it. in_cell: how many of a block's points each of those cells would have."""
+    far = 1 - 1.5 * radius
+    inside = cells.join(big.select("cell", "blocks_"), "cell")
+    ranked = inside.select("cell", "blocks_", "key", "n", "shingles",
                            F.row_number().over(Window.partitionBy("cell").orderBy(F.xxhash64("cell", "key"), "key")).alias("rank_"))
-    chosen = stage(ranked.filter(F.col("rank_") <= PIVOTS).select("cell", "key", "shingles", "parts_"))
-    pivots = chosen.select("cell", "key", "shingles", F.explode(F.sequence(F.lit(0), F.col("parts_") - 1)).alias("part"))
-    points = inside.select("cell", F.pmod(F.xxhash64("key"), F.col("parts_")).cast("int").alias("part"), "key", "n", "copies", "shingles", "home", "was_")
+    chosen = stage(ranked.filter(F.col("rank_") <= PIVOTS).select("cell", "key", "n", "shingles", "blocks_"))
+    pivots = chosen.select("cell", "key", "n", "shingles", F.explode(F.sequence(F.lit(0), F.col("blocks_") - 1)).alias("block"))
+    points = inside.select("cell", F.pmod(F.xxhash64("key"), F.col("blocks_")).cast("int").alias("block"), "blocks_", "key", "n", "copies", "shingles", "home")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        pivots = [np.frombuffer(raw, dtype=U) for _, raw in sorted(zip(right.column("key").to_pylist(), right.column("shingles").to_pylist()))]
-        take, cell, home = [], [], []
-        for i, (name, raw, own) in enumerate(zip(left.column("cell").to_pylist(), left.column("shingles").to_pylist(), left.column("home").to_pylist())):
+        if not left.num_rows:
+            return pa.table({"cell": pa.array([], pa.string()), "block": pa.array([], pa.int32()), "blocks_": pa.array([], pa.int32()),
+                             "in_cell": pa.array([], pa.list_(pa.int64())), "rows": pa.array([], pa.binary()), "shingles": pa.array([], pa.binary())})
+        pivots = sorted(zip(*(right.column(c).to_pylist() for c in ("key", "n", "shingles"))))
+        size, pivots = np.array([n for _, n, _ in pivots]), [np.frombuffer(raw, dtype=U) for _, _, raw in pivots]
+        nearest, near, in_cell = [], [], np.zeros(len(pivots) + 1, dtype=np.int64)
+        for n, raw in zip(left.column("n").to_pylist(), left.column("shingles").to_pylist()):
             x = np.frombuffer(raw, dtype=U)
             common = np.array([np.count_nonzero(p[np.minimum(np.searchsorted(p, x), len(p) - 1)] == x) for p in pivots])
-            distance = 1 - common / (len(x) + np.array([len(p) for p in pivots]) - common)
-            nearest = int(np.argmin(distance))
-            for q in np.flatnonzero(distance <= distance[nearest] + 2 * radius + 1e-9).tolist():
-                take.append(i)
-                cell.append(f"{name}.{q}")
-                home.append(own and q == nearest)
-        rest = left.select(["key", "n", "copies", "shingles", "was_"]).take(pa.array(take, pa.int64()))
-        return rest.append_column("cell", pa.array(cell, pa.string())).append_column("home", pa.array(home, pa.bool_())).select(
-            ["cell", "key", "n", "copies", "shingles", "home", "was_"])
+            distance = 1 - common / (n + size - common)
+            least = distance.min()
+            nearest.append(int(np.argmin(distance)) if least <= far else len(pivots))
+            near.append(np.flatnonzero(np.append(distance <= min(least + 2 * radius, far + radius) + 1e-9, least > far - radius - 1e-9)).tolist())
+            in_cell[near[-1]] += 1
+        rows = left.select(["key", "n", "copies", "shingles", "home"]).append_column("nearest", pa.array(nearest, pa.int8())).append_column(
+            "near", pa.array(near, pa.list_(pa.int8())))
+        rows, shingles = _frozen(rows)
+        return pa.table({**{c: left.column(c).slice(0, 1) for c in ("cell", "block", "blocks_")}, "in_cell": pa.array([in_cell.tolist()], pa.list_(pa.int64())),
+                         "rows": pa.array([rows], pa.binary()), "shingles": pa.array([shingles], pa.binary())})
+
+    return stage(points.groupBy("cell", "block").cogroup(pivots.groupBy("cell", "block")).applyInArrow(
+        run, "cell string, block int, blocks_ int, in_cell array<long>, rows binary, shingles binary"))
+
+
+def _split(blocks_of: DataFrame) -> DataFrame:
+    """The Voronoi cells of blocks, with the replicas that the triangle inequality asks for."""
+    def run(batches):
+        for batch in batches:
+            for name, *block in zip(*(batch.column(c).to_pylist() for c in ("cell", "rows", "shingles"))):
+                rows = _thawed(*block)
+                near, nearest, own = (rows.column(c).to_pylist() for c in ("near", "nearest", "home"))
+                take = np.repeat(np.arange(rows.num_rows), [len(q) for q in near])
+                out = rows.select(["key", "n", "copies", "shingles"]).take(pa.array(take))
+                out = out.append_column("cell", pa.array([f"{name}.{q}" for qs in near for q in qs], pa.string())).append_column(
+                    "home", pa.array([bool(h) and q == first for qs, first, h in zip(near, nearest, own) for q in qs], pa.bool_()))
+                yield from out.select(["cell", "key", "n", "copies", "shingles", "home"]).combine_chunks().to_batches()
 
-    return points.groupBy("cell", "part").cogroup(pivots.groupBy("cell", "part")).applyInArrow(
-        run, "cell string, key string, n long, copies long, shingles binary, home boolean, was_ long")
+    return blocks_of.select("cell", "rows", "shingles").mapInArrow(run, "cell string, key string, n long, copies long, shingles binary, home boolean")
 
 
 def _common(sets: list[np.ndarray]) -> np.ndarray:
@@ -194,67 +247,83 @@ def _common(sets: list[np.ndarray]) -> np.ndarray:
     return common
 
 
-def _join_cell(threshold: tuple[int, int]):
+def _compared(rows: pa.Table, side: np.ndarray | None, threshold: tuple[int, int]) -> pa.Table:
+    """(key, links, root) of points that are compared, all with each other or, given sides, those of one side with those of the other. Points at home
+    have the sum of the copies of what they are linked to, others 0; root: the least point they are linked to, also through others."""
     num, den = threshold
+    key = np.array(rows.column("key").to_pylist(), dtype=object)
+    order = np.argsort(key, kind="stable")
+    key, m = key[order], len(key)
+    raw = rows.column("shingles").to_pylist()
+    home, copies, n = (rows.column(c).to_numpy()[order] for c in ("home", "copies", "n"))
+    common, n = _common([np.frombuffer(raw[i], dtype=U) for i in order]).astype(np.float64), n.astype(np.float64)
+    link = den * common >= num * (n[:, None] + n[None, :] - common)
+    if side is not None:
+        link &= side[order][:, None] != side[order][None, :]
+    np.fill_diagonal(link, False)
+    links = link @ copies
+    label = np.arange(m)
+    while True:
+        new = np.minimum(label, np.where(link, label[None, :], m).min(axis=1, initial=m))
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    return pa.table([pa.array(key.tolist(), pa.string()), pa.array(np.where(home, links, 0), pa.int64()), pa.array(key[label].tolist(), pa.string())],
+                    names=["key", "links", "root"])
+
+
+def _join_cell(threshold: tuple[int, int]):
+    def run(table: pa.Table) -> pa.Table:
+        return _compared(table, None, threshold)
+
+    return run
 
+
+def _join_blocks(threshold: tuple[int, int]):
+    """Two blocks of a cell, or one with itself."""
     def run(table: pa.Table) -> pa.Table:
-        key = np.array(table.column("key").to_pylist(), dtype=object)
-        # a point of a dealt cell can come once as left and once as right
-        key, first, place = np.unique(key, return_index=True, return_inverse=True)
-        m = len(key)
-        left, right = np.zeros(m, dtype=bool), np.zeros(m, dtype=bool)
-        np.logical_or.at(left, place, np.array(table.column("is_left").to_pylist(), dtype=bool))
-        np.logical_or.at(right, place, np.array(table.column("is_right").to_pylist(), dtype=bool))
-        raw = table.column("shingles").to_pylist()
-        sets = [np.frombuffer(raw[i], dtype=U) for i in first]
-        copies = table.column("copies").to_numpy()[first]
-        n = np.array([len(s) for s in sets], dtype=np.float64)
-        common = _common(sets).astype(np.float64)
-        link = den * common >= num * (n[:, None] + n[None, :] - common)
-        link &= (left[:, None] & right[None, :]) | (right[:, None] & left[None, :])
-        np.fill_diagonal(link, False)
-        links = (link & left[:, None] & right[None, :]) @ copies
-        label = np.arange(m)
-        while True:
-            new = np.minimum(label, np.where(link, label[None, :], m).min(axis=1, initial=m))
-            new = new[new]
-            if (new == label).all():
-                break
-            label = new
-        return pa.table([pa.array(key.tolist(), pa.string()), pa.array(np.where(left, links, 0), pa.int64()), pa.array(key[label].tolist(), pa.string())],
-                        names=["key", "links", "root"])
+        parts = [_thawed(*x) for x in zip(table.column("rows").to_pylist(), table.column("shingles").to_pylist())]
+        itself = table.column("first")[0] == table.column("second")[0]
+        return _compared(pa.concat_tables(parts), None if itself else np.repeat(np.arange(len(parts)), [p.num_rows for p in parts]), threshold)
 
     return run
 
 
 def _joined(points: DataFrame, threshold: tuple[int, int], stage) -> DataFrame:
     """(key, links, root) of every cell; points: cell, key, n, copies, shingles."""
-    radius = 1 - threshold[0] / threshold[1]
-    cells = stage(points.withColumn("home", F.lit(True)).withColumn("was_", F.lit(None).cast("long")))
-    done = []
+    radius, found = 1 - threshold[0] / threshold[1], "key string, links long, root string"
+    cells = stage(points.withColumn("home", F.lit(True)))
+    done, dealt = [], []
     for depth in range(MAX_DEPTH + 1):
-        stats = cells.groupBy("cell").agg(F.count("*").alias("points"), F.sum("n").alias("shingles_"), F.max("was_").alias("was"))
-        big = stage(stats.filter((F.col("points") > CELL_POINTS) | (F.col("shingles_") > CELL_SHINGLES)))
+        stats = cells.groupBy("cell").agg(F.count("*").alias("points"), F.sum("n").alias("shingles_"))
+        fill = F.greatest(F.col("points") / CELL_POINTS, F.col("shingles_") / CELL_SHINGLES)
+        big = stage(stats.filter(fill > 1).withColumn("blocks_", F.ceil(2 * fill).cast("int")))
         small = cells.join(big.select("cell"), "cell", "left_anti")
-        done.append(small.select("cell", "key", "copies", "shingles", F.col("home").alias("is_left"), F.lit(True).alias("is_right")))
+        done.append(small.select("cell", "key", "n", "copies", "shingles", "home"))
         if big.isEmpty():
             break
-        stuck = (F.col("points") > 0.9 * F.col("was")) | (F.lit(depth) >= MAX_DEPTH)
-        dense = big.filter(F.coalesce(stuck, F.lit(False))).select(
-            "cell", F.ceil(F.greatest(F.col("points") * 2 / CELL_POINTS, F.col("shingles_") * 2 / CELL_SHINGLES)).cast("int").alias("_g"))
-        dealt = cells.join(dense, "cell").withColumn("_i", F.pmod(F.xxhash64("key"), F.col("_g")).cast("int")).withColumn(
-            "_j", F.explode(F.sequence(F.lit(0), F.col("_g") - 1)))
-        common = ["key", "copies", "shingles"]
-        done.append(dealt.filter("home").select(F.concat_ws("/", "cell", "_i", "_j").alias("cell"), *common, F.lit(True).alias("is_left"), F.lit(False).alias("is_right")))
-        done.append(dealt.select(F.concat_ws("/", "cell", "_j", "_i").alias("cell"), *common, F.lit(False).alias("is_left"), F.lit(True).alias("is_right")))
-        rest = big.filter(~F.coalesce(stuck, F.lit(False)))
-        if rest.isEmpty():
+        made = _blocks(cells, big, radius, stage)
+        of_pivot = made.select("cell", F.posexplode("in_cell").alias("pivot", "in_cell")).groupBy("cell", "pivot").agg(F.sum("in_cell").alias("in_cell"))
+        pays = F.sum(F.pow("in_cell", F.lit(2))) * 2 <= F.pow(F.any_value("points"), F.lit(2))
+        splits = stage(of_pivot.join(big.select("cell", "points"), "cell").groupBy("cell").agg((pays & F.lit(depth < MAX_DEPTH)).alias("splits")))
+        other = F.explode(F.sequence(F.lit(0), F.col("blocks_") - 1)).alias("other")
+        dealt.append(made.join(splits.filter(~F.col("splits")), "cell", "left_semi").select("cell", "block", "rows", "shingles", other).select(
+            "cell", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "rows", "shingles"))
+        if splits.filter("splits").isEmpty():
             break
-        cells = stage(_split(cells, rest, radius, stage))
-    every = done[0]
-    for part in done[1:]:
-        every = every.unionByName(part)
-    return stage(every.groupBy("cell").applyInArrow(_join_cell(threshold), "key string, links long, root string"))
+        cells = stage(_split(made.join(splits.filter("splits"), "cell", "left_semi")))
+
+    def all_of(parts):
+        every = parts[0]
+        for part in parts[1:]:
+            every = every.unionByName(part)
+        return every
+
+    out = all_of(done).groupBy("cell").applyInArrow(_join_cell(threshold), found)
+    if dealt:
+        out = out.unionByName(all_of(dealt).groupBy("cell", "first", "second").applyInArrow(_join_blocks(threshold), found))
+    return stage(out)
 
 
 def jaccard_links(docs: DataFrame, *, words: int = WORDS, threshold: tuple[int, int] = THRESHOLD, block_bytes: int = blocks.BLOCK_BYTES,
@@ -267,21 +336,22 @@ def jaccard_links(docs: DataFrame, *, words: int = WORDS, threshold: tuple[int,
     true. Repeated rows are copies of each other, also under one doc_id. An empty table gives an empty result.
     """
     spark: SparkSession = docs.sparkSession
-    stage = staging(spark)
+    kept = staging(spark, frees=True)
     total = blocks.text_bytes(docs)
     n_blocks, n_buckets = blocks.block_count(total, block_bytes), max(1, -(-total // (6 * bucket_keys)))
-    points = _keyed(docs, words, ["text"], True)
-    candidates = stage(_candidates(points, words, threshold, n_blocks, n_buckets))
-    members = stage(_keyed(docs, words, ["doc_id"], False))
-    sets = members.filter("set_key_ is not null").groupBy(F.col("set_key_").alias("key")).agg(F.count("*").alias("copies"), F.min("doc_id").alias("least"))
-    regions = _regions(candidates, stage)
-    cells = candidates.join(regions, candidates.key == regions.v).join(sets.select("key", "copies"), "key").select(
-        F.col("root").alias("cell"), "key", "n", "copies", "shingles")
-    found = _joined(cells, threshold, stage)
-    roots = components(found.select(F.col("key").alias("a"), F.col("root").alias("b")), stage)
-    links = found.groupBy("key").agg(F.sum("links").alias("links"))
-    labelled = stage(sets.join(roots, sets.key == roots.v, "left").join(links, "key", "left").select(
-        "key", "copies", "least", F.coalesce("root", "key").alias("root"), F.coalesce("links", F.lit(0)).alias("links")))
+    with staging(spark, frees=True) as stage:
+        points = _keyed(docs, words, ["text"], True)
+        candidates = stage(_candidates(points, words, threshold, n_blocks, n_buckets))
+        members = kept(_keyed(docs, words, ["doc_id"], False))
+        sets = members.filter("set_key_ is not null").groupBy(F.col("set_key_").alias("key")).agg(F.count("*").alias("copies"), F.min("doc_id").alias("least"))
+        regions = _regions(candidates, stage)
+        cells = candidates.join(regions, candidates.key == regions.v).join(sets.select("key", "copies"), "key").select(
+            F.col("root").alias("cell"), "key", "n", "copies", "shingles")
+        found = _joined(cells, threshold, stage)
+        roots = components(found.select(F.col("key").alias("a"), F.col("root").alias("b")), stage)
+        links = found.groupBy("key").agg(F.sum("links").alias("links"))
+        labelled = kept(sets.join(roots, sets.key == roots.v, "left").join(links, "key", "left").select(
+            "key", "copies", "least", F.coalesce("root", "key").alias("root"), F.coalesce("links", F.lit(0)).alias("links")))
     # the first member: least doc_id, nulls last, then least key
     order = F.struct(F.col("least").isNull().alias("no_id"), "least", "key")
     heads = labelled.groupBy("root").agg(F.min(order).alias("head"))

@@ -105,3 +105,17 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BY
 
 def table_slices(table: pa.Table, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     return slices(table.to_batches(), column, limit)
+
+
+def packed(texts: pa.Array) -> pa.Array:
+    """Each text's bytes by zstd, after their number; null stays null. Well under the size that Spark's shuffle writes them in."""
+    codec = pa.Codec("zstd", compression_level=1)
+    raw = texts.cast(pa.binary()).to_pylist()
+    return pa.array([None if t is None else len(t).to_bytes(8, "little") + codec.compress(t, asbytes=True) for t in raw], pa.binary())
+
+
+def unpacked(texts: pa.Array) -> pa.Array:
+    """The bytes that packed() was given."""
+    codec = pa.Codec("zstd")
+    raw = [None if t is None else codec.decompress(t[8:], int.from_bytes(t[:8], "little"), asbytes=True) for t in texts.to_pylist()]
+    return pa.array(raw, pa.binary())

@@ -101,7 +101,7 @@ def lm_scores(docs: DataFrame, *, order: int = ORDER, alpha: float = ALPHA, bloc
         def request(block, table, found, n=n):
             state, levels = _levels(table, found, n - 1)
             keys, counts = np.unique(state.wanted(n, levels[-1] if levels else None)[0], return_counts=True)
-            return blocks.ask(block, n, keys, counts, n_buckets, 8)
+            return blocks.ask(block, n, keys, counts, n_buckets)
 
         answer = stage(blocks.answered(routed, answers, request, encode=lambda x: x))
         answers = answer if answers is None else answers.unionByName(answer)

@@ -13,9 +13,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staging(spark: SparkSession) -> Staged:
+def staging(spark: SparkSession, frees: bool = False) -> Staged:
     """Writes intermediate tables under spark.checkpoint.dir; a lost executor then costs a read, not a recomputation."""
-    return Staged(tune(spark))
+    return Staged(tune(spark), frees)
 
 
 BROADCAST_ROWS = 1_000_000  # of narrow rows: some 10 MB

@@ -28,11 +28,18 @@ def staging_root(spark: SparkSession) -> str:
     return _local_root()
 
 
+FREES_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Staged:
-    """Writes intermediate tables; as a context manager it drops them at the end, also after an error."""
+    """Writes intermediate tables; as a context manager it drops them at the end, also after an error.
+
+    frees: what a table's making has shuffled is removed once the table stands, not when the driver happens to collect its garbage.
+    """
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, frees: bool = False):
         self.spark = spark
+        self.frees = frees
         self.root = f"{staging_root(spark)}/staged-{uuid.uuid4().hex}"
         self.count = 0
 
@@ -40,7 +47,14 @@ class Staged:
         """The rows, read from where they were written; by: a column to part them by."""
         path = f"{self.root}/{self.count}"
         self.count += 1
-        (df.write.partitionBy(by) if by else df.write).parquet(path)
+        before = self.spark.conf.get(FREES_SHUFFLES, None)
+        if self.frees:
+            self.spark.conf.set(FREES_SHUFFLES, "true")
+        try:
+            (df.write.partitionBy(by) if by else df.write).parquet(path)
+        finally:
+            if self.frees:
+                self.spark.conf.unset(FREES_SHUFFLES) if before is None else self.spark.conf.set(FREES_SHUFFLES, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def __enter__(self) -> Staged:
