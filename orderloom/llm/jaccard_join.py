@@ -372,5 +372,9 @@ def one_per_group(docs: DataFrame, *, words: int = WORDS, threshold: tuple[int,
     links = jaccard_links(docs, words=words, threshold=threshold)
     heads = links.filter("is_first and set_key is not null").select(F.col("set_key").alias("head_"), F.col("doc_id").alias("id_")).distinct()
     keyed = _keyed(docs, words, columns, False)
-    chosen = keyed.join(heads, (F.col("set_key_") == F.col("head_")) & F.col("doc_id").eqNullSafe(F.col("id_")), "left_semi").dropDuplicates(["set_key_", "doc_id"])
+    # rows are shuffled once, by one number, for the join and to find repeated ones; heads are distinct (a semi join would be pushed below the shuffle)
+    rows = keyed.filter("set_key_ is not null").withColumn("row_at_", F.xxhash64("set_key_", "doc_id")).repartition("row_at_")
+    heads = heads.withColumn("head_at_", F.xxhash64("head_", "id_"))
+    chosen = rows.join(heads, (F.col("row_at_") == F.col("head_at_")) & (F.col("set_key_") == F.col("head_")) & F.col("doc_id").eqNullSafe(F.col("id_"))
+                       ).dropDuplicates(["row_at_", "set_key_", "doc_id"])
     return chosen.select(*columns).unionByName(keyed.filter("set_key_ is null").select(*columns))

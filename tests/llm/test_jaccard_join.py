@@ -199,3 +199,14 @@ def test_working_tables_are_dropped(spark, docs_of, text_of, monkeypatch):
     links = jaccard_links(docs_of(families(text_of)))
     left = [p for stage in made for p in glob.glob(f"{stage.root.removeprefix('file:')}/*")]
     assert links.count() == len(families(text_of)) and len(left) == 2
+
+
+def test_one_per_group_shuffles_rows_once(spark, docs_of, text_of):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = one_per_group(docs_of(families(text_of) + EDGES))
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.split("MapInArrow")[0].count("Exchange ") == 1
