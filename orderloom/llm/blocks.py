@@ -18,6 +18,7 @@ from orderloom.llm.kernel import U
 
 BLOCK_BYTES = 6 << 20
 BUCKET_KEYS = 1 << 20
+SHORT = 2  # bytes of a key that are sent, and a few bits more
 
 
 def text_bytes(docs: DataFrame, column: str = "text") -> int:
@@ -57,16 +58,16 @@ def _from_short(raw: bytes, n: int) -> np.ndarray:
     return rise.astype(np.uint32) << np.uint32(16) | np.frombuffer(raw, dtype=np.uint16, count=n)
 
 
-def ask(block: int, order: int, keys: np.ndarray, counts: np.ndarray, buckets: int, *, short: bool = False) -> pa.Table:
-    """Requests for sorted distinct keys. short: only the leading 26 bits within the bucket are sent, so that one key in 64 or so of a full bucket
-    shares the count of another; never is a count too small."""
+def ask(block: int, order: int, keys: np.ndarray, counts: np.ndarray, buckets: int, width: int) -> pa.Table:
+    """Requests for sorted distinct keys; width: 8 for all bytes of a key, or SHORT: only its leading 26 bits within the bucket are sent, so that one
+    key in 32 to 64 of a full bucket shares the count of another; never is a count too small."""
     cuts = [0, *_split(keys, buckets).tolist(), len(keys)]
     step, bucket, sent, often = (1 << 64) // buckets, [], [], []
     for b, (start, stop) in enumerate(zip(cuts, cuts[1:])):
         if stop > start:
             part = keys[start:stop] - U(b * step)
             bucket.append(b)
-            sent.append(_short(part, step) if short else _planes(part))
+            sent.append(_short(part, step) if width == SHORT else _planes(part))
             often.append(_planes(counts[start:stop].astype(np.uint32)))
     return pa.table([pa.array([block] * len(bucket), pa.int64()), pa.array([order] * len(bucket), pa.int32()), pa.array(bucket, pa.int32()),
                      pa.array(sent, pa.binary()), pa.array(often, pa.binary())], names=["block", "ord", "bucket", "keys", "counts"])
@@ -76,10 +77,10 @@ ASKED_SQL = "block long, ord int, bucket int, keys binary, counts binary"
 ANSWERED_SQL = "block long, ord int, bucket int, counts binary"
 
 
-def _answer(short: bool, encode: Callable[[np.ndarray], np.ndarray]):
+def _answer(width: int, encode: Callable[[np.ndarray], np.ndarray]):
     def answer(table: pa.Table) -> pa.Table:
         often = [_numbers(x, np.uint32) for x in table.column("counts").to_pylist()]
-        asked = [_from_short(x, len(n)) if short else _numbers(x, U) for x, n in zip(table.column("keys").to_pylist(), often)]
+        asked = [_from_short(x, len(n)) if width == SHORT else _numbers(x, U) for x, n in zip(table.column("keys").to_pylist(), often)]
         counts = np.concatenate(often)
         ends = np.cumsum([len(x) for x in asked])
         order = np.argsort(np.concatenate(asked), kind="stable")
@@ -100,10 +101,10 @@ def _found(right: pa.Table, kind) -> dict[int, np.ndarray]:
     return {o: np.concatenate([_numbers(c, kind) for k, _, c in rows if k == o]) for o in {r[0] for r in rows}}
 
 
-def answered(routed: DataFrame, before: DataFrame | None, request, *, short: bool = False, encode=lambda x: x, kind=np.int64) -> DataFrame:
+def answered(routed: DataFrame, before: DataFrame | None, request, *, width: int = 8, encode=lambda x: x, kind=np.int64) -> DataFrame:
     """The counts, over all blocks, of the keys each block of `routed` (a column `block`) asks for.
 
-    request(block, rows, found) gives a table of ask(), its keys distinct and rising per ord; found has what `before` answered, by ord. short: as for ask().
+    request(block, rows, found) gives a table of ask(), its keys distinct and rising per ord; found has what `before` answered, by ord.
     """
     def first(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         return request(key[0].as_py(), table, {})
@@ -113,7 +114,7 @@ def answered(routed: DataFrame, before: DataFrame | None, request, *, short: boo
 
     blocks = routed.groupBy("block")
     asked = blocks.applyInArrow(first, ASKED_SQL) if before is None else blocks.cogroup(before.groupBy("block")).applyInArrow(later, ASKED_SQL)
-    return asked.groupBy("ord", "bucket").applyInArrow(_answer(short, encode), ANSWERED_SQL)
+    return asked.groupBy("ord", "bucket").applyInArrow(_answer(width, encode), ANSWERED_SQL)
 
 
 def with_answers(routed: DataFrame, answers: DataFrame, use, schema: str, kind) -> DataFrame:

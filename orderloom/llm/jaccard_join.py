@@ -105,7 +105,7 @@ def _candidates(points: DataFrame, words: int, threshold: tuple[int, int], n_blo
     def request(block, table, found):
         every = np.concatenate([s for _, s in of_block(table)])
         keys, counts = np.unique(every, return_counts=True)
-        return blocks.ask(block, 0, keys, counts, n_buckets, short=True)
+        return blocks.ask(block, 0, keys, counts, n_buckets, blocks.SHORT)
 
     def use(table, found):
         rows = list(of_block(table))
@@ -129,7 +129,7 @@ def _candidates(points: DataFrame, words: int, threshold: tuple[int, int], n_blo
         return np.minimum(255, np.ceil(8 * np.log2(np.maximum(counts, 1)))).astype(np.uint8)
 
     routed = points.withColumn("block", F.pmod(F.xxhash64("set_key_"), F.lit(n_blocks))).select("block", "set_key_", "text")
-    answers = blocks.answered(routed, None, request, short=True, encode=log_rank)
+    answers = blocks.answered(routed, None, request, width=blocks.SHORT, encode=log_rank)
     return blocks.with_answers(routed, answers, use, "key string, n long, window array<long>, shingles binary", np.uint8)
 
 

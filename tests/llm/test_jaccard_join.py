@@ -152,10 +152,10 @@ def test_a_block_gives_back_its_points(text_of):
 def test_requests_are_short(buckets):
     keys = np.unique(np.random.default_rng(3).integers(0, 2**64, 700 * buckets, dtype=np.uint64))
     counts = np.arange(1, len(keys) + 1) % 5 + 1
-    asked = blocks.ask(1, 0, keys, counts, buckets, short=True)
+    asked = blocks.ask(1, 0, keys, counts, buckets, blocks.SHORT)
     sent = sum(map(len, asked.column("keys").to_pylist()))
     assert sent < 2.4 * len(keys)
-    answer = blocks._answer(True, lambda x: x)
+    answer = blocks._answer(blocks.SHORT, lambda x: x)
     given = []
     for b in range(buckets):
         part = asked.filter(pc.equal(asked.column("bucket"), b))
